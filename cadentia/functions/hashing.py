@@ -4,6 +4,9 @@
 a re-run task, another partition count or another SQL engine gives equal numbers.
 Quadratic mixing modulo a Mersenne prime: all products stay below 2**63 while
 ``id < 1.9e14``.
+
+Arguments are SQL expressions (a column name, a lambda variable, a literal). Text
+keeps the many small terms of a draw to a single parse.
 """
 
 from __future__ import annotations
@@ -14,19 +17,28 @@ from pyspark.sql import functions as F
 PRIME = 2147483647
 
 
-def _long(value) -> Column:
-    return (value if isinstance(value, Column) else F.lit(value)).cast("bigint")
-
-
-def hashed_int(id_, draw, seed) -> Column:
+def hashed_int_sql(id_: str, draw: str | int, seed: str | int) -> str:
     """Integer in ``[0, PRIME)``."""
-    id_, draw, seed = _long(id_), _long(draw), _long(seed)
-    x1 = (id_ * 48271 + draw * 69621 + seed * 16807 + 12345) % PRIME
-    x2 = (x1 * x1 + draw * 7919 + 1) % PRIME
-    x3 = (x2 * 48271 + x1) % PRIME
-    return (x3 * x3 + x3 + draw) % PRIME
+    x1 = f"(({id_}) * 48271L + ({draw}) * 69621L + ({seed}) * 16807L + 12345L) % {PRIME}L"
+    x2 = f"(a * a + ({draw}) * 7919L + 1L) % {PRIME}L"
+    x3 = f"(b * 48271L + a) % {PRIME}L"
+    x4 = f"(c * c + c + ({draw})) % {PRIME}L"
+    return let_sql("a", x1, let_sql("b", x2, let_sql("c", x3, x4)))
 
 
-def uniform(id_, draw, seed) -> Column:
+def uniform_sql(id_: str, draw: str | int, seed: str | int) -> str:
     """Double in ``[0, 1)``."""
-    return hashed_int(id_, draw, seed) / F.lit(float(PRIME))
+    return f"({hashed_int_sql(id_, draw, seed)} / {PRIME}D)"
+
+
+def let_sql(name: str, value: str, body: str) -> str:
+    """``value`` evaluated once and bound to ``name`` in ``body``."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def uniform(id_: str, draw: str | int, seed: str | int) -> Column:
+    return F.expr(uniform_sql(id_, draw, seed))
+
+
+def hashed_int(id_: str, draw: str | int, seed: str | int) -> Column:
+    return F.expr(hashed_int_sql(id_, draw, seed))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cadentia.functions.hashing import let_sql
+
 # Forms of a model tag, best first. Even ranks carry a version
 # (or a time), odd ranks are the same family with an unreadable version.
 TAG_RANKS = {
@@ -19,8 +21,8 @@ TAG_RANKS = {
     "other": 99,
 }
 TAG_TIME_FORMAT = "yyyyMMdd_HHmmss"
-ARTIFACT_PATTERN = r"^vae_(encoder|decoder)_(.+)\.keras$"
-CADENCE_FILE_PATTERN = r"^cadence_(\d+)_obs_(\d+)\.npy$"
+ARTIFACT_PATTERN = r"(?:^|/)vae_(encoder|decoder)_([^/]+)\.keras$"
+CADENCE_FILE_PATTERN = r"(?:^|/)cadence_(\d+)_obs_(\d+)\.npy$"
 
 
 def pattern_string(pattern: Column) -> Column:
@@ -28,36 +30,23 @@ def pattern_string(pattern: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(pattern.cast("array<string>"), ", "), F.lit("]"))
 
 
-def _version(tag: Column, separator: str) -> Column:
-    text = F.trim(F.get(F.split(tag, separator), F.lit(1)))
-    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
-
-
-def tag_rank(tag: Column) -> Column:
-    """Struct ``(rank, version)``; version is null where the tag has none to read."""
-    final_v = _version(tag, "_v").cast("bigint")
-    round_v = _version(tag, "_").cast("bigint")
-    stamp = F.when(tag.rlike(r"^\d{8}_\d{6}$"), F.unix_seconds(F.try_to_timestamp(tag, F.lit(TAG_TIME_FORMAT))))
-
-    def form(name: str, version: Column) -> Column:
-        return F.struct(
-            F.when(version.isNotNull(), TAG_RANKS[name]).otherwise(TAG_RANKS[f"{name}_malformed"])
-            .cast("int").alias("rank"),
-            version.alias("version"),
-        )
-
-    return (
-        F.when(tag.startswith("final_"), form("final", final_v))
-        .when(tag.startswith("round_"), form("round", round_v))
-        .when(tag.rlike(r"^\d{8}_\d{6}"), form("timestamp", stamp))
-        .when(tag.startswith("test_"), form("test", final_v))
-        .otherwise(
-            F.struct(
-                F.lit(TAG_RANKS["other"]).cast("int").alias("rank"),
-                F.lit(None).cast("bigint").alias("version"),
-            )
-        )
-    )
+def tag_rank(tag: str) -> Column:
+    """Struct ``(rank, version)`` of a tag column; a tag without a readable version has none."""
+    ranks = ", ".join(f"'{name}', {rank}" for name, rank in TAG_RANKS.items())
+    form = f"""case
+        when startswith({tag}, 'final_') then 'final'
+        when startswith({tag}, 'round_') then 'round'
+        when {tag} rlike '^[0-9]{{8}}_[0-9]{{6}}' then 'timestamp'
+        when startswith({tag}, 'test_') then 'test'
+        else 'other' end"""
+    part = f"trim(get(split({tag}, if(f = 'round', '_', '_v')), 1))"
+    number = let_sql("t", part, "if(t rlike '^[+-]?[0-9]+$', try_cast(t as bigint), null)")
+    stamp = f"""if({tag} rlike '^[0-9]{{8}}_[0-9]{{6}}$',
+        unix_seconds(try_to_timestamp({tag}, '{TAG_TIME_FORMAT}')), null)"""
+    version = f"case f when 'timestamp' then {stamp} when 'other' then null else {number} end"
+    name = "if(f = 'other' or v is not null, f, concat(f, '_malformed'))"
+    ranked = f"named_struct('rank', map({ranks})[{name}], 'version', v)"
+    return F.expr(let_sql("f", form, let_sql("v", version, ranked)))
 
 
 def metadata_json(**fields: Column) -> Column:

@@ -62,7 +62,7 @@ def complete_cadences(df: DataFrame, n_obs: int) -> DataFrame:
 
 def parse_cadence_files(files: DataFrame, path: str = "path") -> DataFrame:
     """``cadence_0007_obs_3.npy`` -> ``(cadence_id, obs)``; other names are dropped."""
-    name = F.element_at(F.split(F.col(path), "/"), -1)
+    name = F.col(path)
     return files.where(name.rlike(CADENCE_FILE_PATTERN)).select(
         F.col(path),
         F.regexp_extract(name, CADENCE_FILE_PATTERN, 1).cast("bigint").alias("cadence_id"),

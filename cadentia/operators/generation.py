@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadentia.functions import arrays, kernels
-from cadentia.functions.arrays import let
-from cadentia.functions.hashing import uniform
+from cadentia.functions.hashing import let_sql, uniform_sql
 from cadentia.geometry import Geometry
 from cadentia.operators.clean import explode_observations
 from cadentia.operators.indexing import dense_index, row_count
@@ -32,12 +31,13 @@ BACKGROUND_DRAW, SNR_DRAW, FIRST_TRACK_DRAW, DRAWS_PER_TRACK = 0, 1, 10, 5
 FWHM_PER_SIGMA = 2.0 * math.sqrt(2.0 * math.log(2.0))
 
 FIRST_CANDIDATES = 32
-ALL_CANDIDATES = 65536
+MORE_CANDIDATES = 65536
 
 TRACK_TYPE = (
-    "struct<start_bin:bigint,direction:int,slope_pixel:double,"
+    "struct<start_bin:bigint,direction:bigint,slope_pixel:double,"
     "drift_hz_s:double,width_hz:double,intercept:double>"
 )
+PAIR_TYPE = f"struct<draw_no:bigint,rfi:{TRACK_TYPE},eti:{TRACK_TYPE}>"
 
 
 def class_plan(samples: DataFrame, n: Column, chunk_size: int) -> DataFrame:
@@ -71,87 +71,54 @@ def class_plan(samples: DataFrame, n: Column, chunk_size: int) -> DataFrame:
     )
 
 
-def set_seed(seed: int) -> Column:
+def set_seed_sql(seed: int) -> str:
     """A seed of its own for each training set."""
-    return (
-        F.when(F.col("split_set") == "concatenated", seed * 3)
-        .when(F.col("split_set") == "true", seed * 3 + 1)
-        .otherwise(seed * 3 + 2)
-        .cast("bigint")
-    )
+    numbers = " ".join(f"when '{name}' then {i}" for i, name in enumerate(SPLIT_SETS))
+    return f"({seed * len(SPLIT_SETS)}L + case split_set {numbers} end)"
 
 
-def draw_track(
-    id_: Column, seed: Column, first_draw: Column | int, geo: Geometry, par: Injection = Injection()
-) -> Column:
-    """Parameters of one drifting track (``TRACK_TYPE``).
+def track_sql(id_: str, seed: str, first_draw: str | int, geo: Geometry, par: Injection = Injection()) -> str:
+    """Parameters of one drifting track, as a struct.
 
     The track leaves the band after the cadence's last row; slope noise is added in
     physical units only, so ``slope_pixel`` and ``intercept`` stay noise-free.
     """
     total, width = geo.stacked_rows, geo.width
-    draw = lambda k: uniform(id_, first_draw + k, seed)
-    drawn = F.struct(
-        (F.floor(draw(0) * (width - 1)) + 1).cast("bigint").alias("start"),
-        F.when(draw(1) < 0.5, -1).otherwise(1).alias("dir"),
-        (draw(2) * par.slope_noise).alias("noise"),
-        (draw(3) * par.width_hz).alias("base_width"),
-    )
-
-    def with_slope(d: Column) -> Column:
-        span = F.when(d["dir"] > 0, d["start"]).otherwise(d["start"] - width)
-        slope = F.lit(float(total)) / span
-        return F.struct(d.alias("d"), slope.alias("slope"))
-
-    def with_drift(s: Column) -> Column:
-        d = s["d"]
-        physical = s["slope"] * (geo.time_resolution_s / geo.freq_resolution_hz)
-        drift = F.lit(-1.0) / (physical + d["dir"] * d["noise"])
-        return F.struct(s.alias("s"), drift.alias("drift"))
-
-    def finished(t: Column) -> Column:
-        s, d = t["s"], t["s"]["d"]
-        return F.struct(
-            d["start"].alias("start_bin"),
-            d["dir"].alias("direction"),
-            s["slope"].alias("slope_pixel"),
-            t["drift"].alias("drift_hz_s"),
-            (d["base_width"] + F.abs(t["drift"]) * par.width_per_drift).alias("width_hz"),
-            (F.lit(float(total)) - s["slope"] * d["start"]).alias("intercept"),
-        )
-
-    return let(drawn, lambda d: let(with_slope(d), lambda s: let(with_drift(s), finished))).cast(TRACK_TYPE)
-
-
-def tracks_apart(first: Column, second: Column, geo: Geometry, *, reversed_axis: bool = False) -> Column:
+    u = lambda k: uniform_sql(id_, f"{first_draw} + {k}", seed)
+    drawn = f"""named_struct(
+        'start', cast(floor({u(0)} * {width - 1}) + 1 as bigint),
+        'dir', if({u(1)} < 0.5D, -1L, 1L),
+        'noise', {u(2)} * {par.slope_noise}D,
+        'base', {u(3)} * {par.width_hz}D)"""
+    slope = f"{float(total)}D / if(d.dir > 0, d.start, d.start - {width}L)"
+    drift = f"-1D / (s * {geo.time_resolution_s / geo.freq_resolution_hz!r}D + d.dir * d.noise)"
+    track = f"""named_struct(
+        'start_bin', d.start,
+        'direction', d.dir,
+        'slope_pixel', s,
+        'drift_hz_s', r,
+        'width_hz', d.base + abs(r) * {par.width_per_drift}D,
+        'intercept', {float(total)}D - s * d.start)"""
+    return let_sql("d", drawn, let_sql("s", slope, let_sql("r", drift, track)))
+
+
+def apart_sql(first: str, second: str, geo: Geometry, *, reversed_axis: bool = False) -> str:
     """True if the two tracks do not cross while on target.
 
     ``y = slope * x + intercept`` runs from the last row to the first, so the row of
     the crossing is ``rows - y``; ``reversed_axis`` applies the ON ranges to ``y``
     itself. Equal slopes count as crossing here: such a pair is redrawn.
     """
-    x = F.try_divide(
-        second["intercept"] - first["intercept"], first["slope_pixel"] - second["slope_pixel"]
-    )
-
-    def outside(y: Column) -> Column:
-        row = y if reversed_axis else F.lit(float(geo.stacked_rows)) - y
-        clear = F.lit(True)
-        for lo, hi in geo.on_row_ranges():
-            clear = clear & ~row.between(lo, hi)
-        return clear
+    x = f"try_divide({second}.intercept - {first}.intercept, {first}.slope_pixel - {second}.slope_pixel)"
+    y = f"{first}.slope_pixel * {x} + {first}.intercept"
+    row = y if reversed_axis else f"{float(geo.stacked_rows)}D - ({y})"
+    clear = " and ".join(f"not y between {lo} and {hi}" for lo, hi in geo.on_row_ranges())
+    return f"coalesce({let_sql('y', row, clear)}, false)"
 
-    return F.coalesce(let(first["slope_pixel"] * x + first["intercept"], outside), F.lit(False))
 
-
-def draw_track_pair(
-    id_: Column,
-    seed: Column,
-    geo: Geometry,
-    par: Injection = Injection(),
-    *,
-    reversed_axis: bool = False,
-) -> Column:
+def track_pair_sql(
+    id_: str, seed: str, geo: Geometry, par: Injection = Injection(), *, reversed_axis: bool = False
+) -> str:
     """First candidate pair ``(draw_no, rfi, eti)`` that does not cross while on target.
 
     Both tracks are redrawn together. The fold draws nothing more once a pair is
@@ -159,31 +126,19 @@ def draw_track_pair(
     first, and a sample without one in 65536 (a chance of 0 in double precision)
     is an error, never a dropped row.
     """
-    pair_type = f"struct<draw_no:int,rfi:{TRACK_TYPE},eti:{TRACK_TYPE}>"
-
-    def candidate(k: Column) -> Column:
-        first = F.lit(FIRST_TRACK_DRAW) + k * (2 * DRAWS_PER_TRACK)
-        pair = F.struct(
-            k.alias("draw_no"),
-            draw_track(id_, seed, first, geo, par).alias("rfi"),
-            draw_track(id_, seed, first + DRAWS_PER_TRACK, geo, par).alias("eti"),
-        ).cast(pair_type)
-        return let(
-            pair, lambda p: F.when(tracks_apart(p["rfi"], p["eti"], geo, reversed_axis=reversed_axis), p)
-        )
+    start = lambda j: f"{FIRST_TRACK_DRAW + j * DRAWS_PER_TRACK} + k * {2 * DRAWS_PER_TRACK}"
+    pair = f"""named_struct('draw_no', cast(k as bigint),
+        'rfi', {track_sql(id_, seed, start(0), geo, par)},
+        'eti', {track_sql(id_, seed, start(1), geo, par)})"""
+    apart = apart_sql("p.rfi", "p.eti", geo, reversed_axis=reversed_axis)
+    candidate = let_sql("p", pair, f"if({apart}, p, null)")
 
-    def search(lo: int, hi: int) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(lo), F.lit(hi - 1)),
-            F.lit(None).cast(pair_type),
-            lambda found, k: F.coalesce(found, candidate(k)),
-        )
+    def search(lo: int, n: int) -> str:
+        ks = f"sequence({lo}, {lo + n - 1})"
+        return f"aggregate({ks}, cast(null as {PAIR_TYPE}), (found, k) -> coalesce(found, {candidate}))"
 
-    return F.coalesce(
-        search(0, FIRST_CANDIDATES),
-        search(FIRST_CANDIDATES, ALL_CANDIDATES),
-        F.raise_error(F.lit("no pair of tracks without a crossing")).cast(pair_type),
-    )
+    fault = f"cast(raise_error('no pair of tracks without a crossing') as {PAIR_TYPE})"
+    return f"coalesce({search(0, FIRST_CANDIDATES)}, {search(FIRST_CANDIDATES, MORE_CANDIDATES)}, {fault})"
 
 
 def draw_params(
@@ -194,38 +149,48 @@ def draw_params(
     ``track1`` goes into all observations, or only the ON ones for ``true_single``;
     ``track2`` is the ON-only second track of ``true_double``.
     """
-    idx, kind = F.col("sample_idx"), F.col("class")
-    base = F.col("snr_base") if "snr_base" in plan.columns else F.lit(par.snr_base)
-    span = F.col("snr_range") if "snr_range" in plan.columns else F.lit(par.snr_range)
-    single = draw_track(idx, F.col("_seed"), FIRST_TRACK_DRAW, geo, par)
-    pair = draw_track_pair(idx, F.col("_seed"), geo, par, reversed_axis=reversed_axis)
-    pair_type = f"struct<draw_no:int,rfi:{TRACK_TYPE},eti:{TRACK_TYPE}>"
-    drawn = F.when(kind == CLASSES[3], pair).when(
-        kind != CLASSES[0],
-        F.struct(
-            F.lit(0).alias("draw_no"), single.alias("rfi"), F.lit(None).cast(TRACK_TYPE).alias("eti")
-        ).cast(pair_type),
-    )
+    base = "snr_base" if "snr_base" in plan.columns else f"{float(par.snr_base)}D"
+    span = "snr_range" if "snr_range" in plan.columns else f"{float(par.snr_range)}D"
+    single = track_sql("sample_idx", "_seed", FIRST_TRACK_DRAW, geo, par)
+    pair = track_pair_sql("sample_idx", "_seed", geo, par, reversed_axis=reversed_axis)
+    tracks = f"""case
+        when class = '{CLASSES[3]}' then {pair}
+        when class <> '{CLASSES[0]}' then cast(
+            named_struct('draw_no', 0L, 'rfi', {single}, 'eti', cast(null as {TRACK_TYPE})) as {PAIR_TYPE})
+        end"""
     return (
-        plan.withColumn("_seed", set_seed(seed))
-        .withColumn("background_u", uniform(idx, BACKGROUND_DRAW, F.col("_seed")))
-        .withColumn("snr", uniform(idx, SNR_DRAW, F.col("_seed")) * span + base)
-        .withColumn("_t", drawn)
-        .select("*", F.col("_t.rfi").alias("track1"), F.col("_t.eti").alias("track2"))
+        plan.selectExpr("*", f"{set_seed_sql(seed)} as _seed")
+        .selectExpr(
+            "*",
+            f"{uniform_sql('sample_idx', BACKGROUND_DRAW, '_seed')} as background_u",
+            f"{uniform_sql('sample_idx', SNR_DRAW, '_seed')} * {span} + {base} as snr",
+            f"{tracks} as _t",
+        )
+        .selectExpr("*", "_t.rfi as track1", "_t.eti as track2")
         .drop("_t", "_seed")
     )
 
 
-def sample_backgrounds(params: DataFrame, keys: DataFrame) -> DataFrame:
+def sample_backgrounds(params: DataFrame, backgrounds: DataFrame) -> DataFrame:
     """Sampling with replacement: ``int(n * u)`` as the dense index of the background.
 
-    ``keys`` is ``(background_idx, …)``. An equi-join on uniform indexes, so no side
-    is skewed; the planner broadcasts whichever side measures small enough.
+    Reads only the key columns of ``backgrounds``. An equi-join on uniform indexes,
+    so no side is skewed; the planner broadcasts whichever side measures small enough.
     """
     picked = params.withColumn(
-        "background_idx", F.floor(F.col("background_u") * row_count(keys)).cast("bigint")
+        "background_idx", F.floor(F.col("background_u") * row_count(backgrounds)).cast("bigint")
     )
-    return picked.join(keys, "background_idx")
+    return picked.join(index_backgrounds(backgrounds), "background_idx")
+
+
+def store_backgrounds(backgrounds: DataFrame, path: str) -> DataFrame:
+    """Write the assembled backgrounds once and read them back.
+
+    They are used several times per round (count, keys, payload) and in every round;
+    without the table each use would load and validate the raw observations again.
+    """
+    backgrounds.write.mode("overwrite").parquet(path)
+    return backgrounds.sparkSession.read.parquet(path)
 
 
 def index_backgrounds(cadences: DataFrame) -> DataFrame:
@@ -239,30 +204,23 @@ def index_backgrounds(cadences: DataFrame) -> DataFrame:
     return keys.select("cadence_id", "background_idx")
 
 
-def add_track(cells: Column, track: Column, snr: Column, geo: Geometry) -> Column:
+def add_track_sql(cells: str, track: str, snr: str, geo: Geometry) -> str:
     """Adds a linear track with a Gaussian profile in frequency, constant in time.
 
-    ``cells`` are the stacked rows of a whole cadence. The level is set by the
+    ``cells`` names the stacked rows of a whole cadence. The level is set by the
     standard deviation of the cells it is added to.
     """
     rate = geo.time_resolution_s / geo.freq_resolution_hz
-    width = geo.width
-
-    def drawn(c: Column) -> Column:
-        shape = F.struct(
-            track["start_bin"].cast("double").alias("start"),
-            (track["drift_hz_s"] * rate).alias("step"),
-            (track["width_hz"] / (FWHM_PER_SIGMA * geo.freq_resolution_hz)).alias("sigma"),
-            (snr * arrays.std_pop(c) / math.sqrt(geo.stacked_rows)).alias("level"),
-        )
-
-        def cell(s: Column, x: Column, i: Column) -> Column:
-            offset = (i % width) - (s["start"] + s["step"] * F.floor(i / F.lit(width)))
-            return x + s["level"] * F.exp(-(offset * offset) / (F.lit(2.0) * s["sigma"] * s["sigma"]))
-
-        return let(shape, lambda s: F.transform(c, lambda x, i: cell(s, x, i)))
-
-    return let(cells, drawn)
+    add = lambda f: f"aggregate({cells}, 0D, (acc, x) -> acc + {f}) / size({cells})"
+    level = let_sql("mean", add("x"), f"sqrt({add('(x - mean) * (x - mean)')})")
+    shape = f"""named_struct(
+        'start', double({track}.start_bin),
+        'step', {track}.drift_hz_s * {rate!r}D,
+        'sigma', {track}.width_hz / {FWHM_PER_SIGMA * geo.freq_resolution_hz!r}D,
+        'level', {snr} * {level} / {math.sqrt(geo.stacked_rows)!r}D)"""
+    offset = f"(i % {geo.width}) - (g.start + g.step * (i div {geo.width}))"
+    profile = let_sql("o", offset, "exp(-(o * o) / (2D * g.sigma * g.sigma))")
+    return let_sql("g", shape, f"transform({cells}, (x, i) -> x + g.level * {profile})")
 
 
 def splice_on_off(on_source: DataFrame, off_source: DataFrame) -> DataFrame:
@@ -273,28 +231,21 @@ def splice_on_off(on_source: DataFrame, off_source: DataFrame) -> DataFrame:
 def _build_expr(geo: Geometry) -> Column:
     n = geo.cells_per_obs
 
-    def augmented(cells: Column, track: str) -> Column:
-        return F.when(F.col(track).isNull(), cells).otherwise(
-            add_track(cells, F.col(track), F.col("snr") * _range(track), geo)
-        )
-
-    def _range(track: str) -> Column:
-        return F.col("dynamic_range") if track == "track2" else F.lit(1.0)
-
-    def spliced(base: Column, first: Column, second: Column) -> Column:
-        off = F.when(F.col("class") == CLASSES[2], base).otherwise(first)
-        return F.transform(
-            arrays.steps(geo.n_obs),
-            lambda o: arrays.log_norm(F.slice(F.when(o % 2 == 0, second).otherwise(off), o * n + 1, n)),
-        )
-
-    return let(
-        F.flatten("obs_cells"),
-        lambda base: let(
-            augmented(base, "track1"),
-            lambda first: let(augmented(first, "track2"), lambda second: spliced(base, first, second)),
+    def augmented(cells: str, track: str, snr: str) -> str:
+        return f"if({track} is null, {cells}, {add_track_sql(cells, track, snr, geo)})"
+
+    source = f"if(o % 2 = 0, two, if(class = '{CLASSES[2]}', base, one))"
+    spliced = f"transform(sequence(0, {geo.n_obs - 1}), o -> slice({source}, o * {n} + 1, {n}))"
+    built = let_sql(
+        "base",
+        "flatten(obs_cells)",
+        let_sql(
+            "one",
+            augmented("base", "track1", "snr"),
+            let_sql("two", augmented("one", "track2", "snr * dynamic_range"), spliced),
         ),
     )
+    return F.transform(F.expr(built), arrays.log_norm)
 
 
 def _build_kernel(geo: Geometry):
@@ -342,11 +293,11 @@ def build_samples(
 ) -> DataFrame:
     """Parameters + assembled backgrounds -> log-normalised observations.
 
-    ``backgrounds`` has ``cadence_id, obs_cells, source_file, row_idx``. Two joins
-    (slim keys, then payload); augmentation, splice and normalisation are row-local
-    because a cadence travels as one row.
+    ``backgrounds`` is a stored table ``cadence_id, obs_cells, source_file, row_idx``.
+    Two joins (slim keys, then payload); augmentation, splice and normalisation are
+    row-local because a cadence travels as one row.
     """
-    picked = sample_backgrounds(params, index_backgrounds(backgrounds))
+    picked = sample_backgrounds(params, backgrounds)
     rows = picked.join(backgrounds.select("cadence_id", "obs_cells"), "cadence_id").withColumn(
         "dynamic_range", F.lit(par.dynamic_range)
     )

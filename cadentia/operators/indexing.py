@@ -100,7 +100,7 @@ def epoch_shuffle(
     The key is a hash of ``(id, epoch, seed)``; as it is uniform, so are the blocks
     it is ranked in, whatever the ids look like.
     """
-    keyed = df.withColumn("_key", hashed_int(F.col(id_), epoch, seed))
+    keyed = df.withColumn("_key", hashed_int(id_, epoch, seed))
     return dense_index(
         keyed, "_key", tie=[id_], block_size=-(-PRIME // blocks), into=into
     ).drop("_key")

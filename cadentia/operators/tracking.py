@@ -101,7 +101,7 @@ def plateau(
 
 def parse_artifacts(registry: DataFrame, path: str = "path") -> DataFrame:
     """``vae_encoder_<tag>.keras`` -> ``(kind, tag)``; other files are left out."""
-    name = F.element_at(F.split(F.col(path), "/"), -1)
+    name = F.col(path)
     return registry.where(name.rlike(ARTIFACT_PATTERN)).select(
         "*",
         F.regexp_extract(name, ARTIFACT_PATTERN, 1).alias("kind"),
@@ -126,7 +126,7 @@ def latest_tag(pairs: DataFrame, keys: tuple[str, ...] = ("family",)) -> DataFra
     A maximum over a sort key, combined map-side, instead of a ranking window. A
     family with no recognised tag has no row.
     """
-    ranked = pairs.withColumn("_r", tag_rank(F.col("tag"))).where(F.col("_r.rank") < TAG_RANKS["other"])
+    ranked = pairs.withColumn("_r", tag_rank("tag"))
     order = F.struct(-F.col("_r.rank"), F.coalesce(F.col("_r.version"), F.lit(0)), F.col("tag"))
     best = F.max_by(F.struct("tag", "_r"), order)
     return ranked.groupBy(*keys).agg(best.alias("_b")).select(
@@ -134,7 +134,7 @@ def latest_tag(pairs: DataFrame, keys: tuple[str, ...] = ("family",)) -> DataFra
         F.col("_b.tag").alias("tag"),
         F.col("_b._r.rank").cast("bigint").alias("rank"),
         F.col("_b._r.version").alias("version"),
-    )
+    ).where(F.col("rank") < TAG_RANKS["other"])
 
 
 def weight_drift(weights: DataFrame, threshold: float = 0.2) -> DataFrame:

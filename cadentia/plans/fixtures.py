@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadentia.functions.hashing import let_sql
 from cadentia.geometry import Geometry
 
 # 64 embedding values as 4 time rows of 16 channels
@@ -174,30 +175,23 @@ def process_samples(spark, sf_dir) -> DataFrame:
 
 def registry(spark, sf_dir) -> DataFrame:
     """Model artifacts: every event saved one file, in ten forms of tag, per user's family."""
-    return (
-        table(spark, sf_dir, "events")
-        .selectExpr("*", "cast(get_json_object(props, '$.k') as bigint) as k")
-        .selectExpr(
-            "concat('family_', user_id) as family",
-            """case k div 10
-                 when 0 then concat('final_v', k % 10)
-                 when 1 then concat('round_', lpad(string(k % 10), 2, '0'))
-                 when 2 then concat('round_', lpad(string(k % 10 + 10), 2, '0'))
-                 when 3 then concat('2024010', k % 9 + 1, '_120000')
-                 when 4 then concat('2024990', k % 10, '_120000')
-                 when 5 then concat('test_v', k % 10)
-                 when 6 then concat('test_x', k % 10)
-                 when 7 then concat('final_x', k % 10)
-                 when 8 then concat('round_x', k % 10)
-                 else concat('misc', k % 10) end as tag""",
-            "event_type",
-        )
-        .selectExpr(
-            "family",
-            """case when event_type in ('view', 'click') then concat('vae_encoder_', tag, '.keras')
-                    when event_type in ('error', 'signup') then concat('vae_decoder_', tag, '.keras')
-                    else concat('random_forest_', tag, '.joblib') end as path""",
-        )
+    tag = let_sql(
+        "k",
+        "cast(get_json_object(props, '$.k') as bigint)",
+        """concat(
+            get(array('final_v', 'round_0', 'round_1', '2024010', '2024990',
+                      'test_v', 'test_x', 'final_x', 'round_x', 'misc'), int(k div 10)),
+            k % 10,
+            if(k div 10 in (3, 4), '_120000', ''))""",
+    )
+    return table(spark, sf_dir, "events").selectExpr(
+        "concat('family_', user_id) as family",
+        f"""concat(
+            case when event_type in ('view', 'click') then 'vae_encoder_'
+                 when event_type in ('error', 'signup') then 'vae_decoder_'
+                 else 'random_forest_' end,
+            {tag},
+            if(event_type = 'purchase', '.joblib', '.keras')) as path""",
     )
 
 

@@ -1,7 +1,7 @@
 """Registered queries: one per operator, each over whole tables.
 
-Doubles are rounded to 6 places (rates to 12) and integers are BIGINT, so that
-results compare by value with another SQL engine.
+Doubles are rounded (to 6 places, or to more where 6 could fall on an exact tie) and
+integers are BIGINT, so that results compare by value with another SQL engine.
 """
 
 from __future__ import annotations
@@ -43,12 +43,12 @@ def query(fn):
     return fn
 
 
-def r6(c: Column | str) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+def r6(c: Column | str, places: int = 6) -> Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, places)
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: r6(c) for c in columns})
+def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
+    return df.withColumns({c: r6(c, places) for c in columns})
 
 
 def digest(cells: str = "cells") -> list[Column]:
@@ -238,15 +238,19 @@ def _plan(spark, sf_dir, kind: str | None = None) -> DataFrame:
     return samples.withColumn("split_set", F.lit("concatenated")).withColumn("class", F.lit(kind))
 
 
+def _backgrounds(spark, sf_dir) -> DataFrame:
+    return generation.store_backgrounds(fx.backgrounds(spark, sf_dir), scratch_dir(spark, "backgrounds"))
+
+
 def _batch(spark, sf_dir) -> DataFrame:
-    return generation.generate_batch(fx.samples(spark, sf_dir), fx.backgrounds(spark, sf_dir), FULL, seed=SEED)
+    return generation.generate_batch(fx.samples(spark, sf_dir), _backgrounds(spark, sf_dir), FULL, seed=SEED)
 
 
 @query
 def sample_backgrounds(spark, sf_dir):
     params = generation.draw_params(_plan(spark, sf_dir, "false_no_signal"), FULL, seed=SEED)
-    keys = generation.index_backgrounds(fx.backgrounds(spark, sf_dir))
-    return generation.sample_backgrounds(params, keys).select("sample_idx", "background_idx", "cadence_id")
+    picked = generation.sample_backgrounds(params, _backgrounds(spark, sf_dir))
+    return picked.select("sample_idx", "background_idx", "cadence_id")
 
 
 @query
@@ -296,10 +300,10 @@ def latent_pairs(spark, sf_dir):
 def track_nonintersect(spark, sf_dir):
     """First pair of tracks that do not cross while on target, per event."""
     ids = fx.table(spark, sf_dir, "events").select(F.col("event_id").alias("sample_idx"))
-    pair = generation.draw_track_pair(F.col("sample_idx"), F.lit(SEED), FULL)
-    return ids.withColumn("pair", pair).select(
+    pair = generation.track_pair_sql("sample_idx", str(SEED), FULL)
+    return ids.withColumn("pair", F.expr(pair)).select(
         "sample_idx",
-        F.col("pair.draw_no").cast("bigint").alias("draw_no"),
+        F.col("pair.draw_no").alias("draw_no"),
         F.col("pair.rfi.start_bin").alias("rfi_start"),
         F.col("pair.eti.start_bin").alias("eti_start"),
         r6("pair.rfi.slope_pixel").alias("rfi_slope"),
@@ -404,7 +408,7 @@ def total_loss(spark, sf_dir):
 
 @query
 def epoch_losses(spark, sf_dir):
-    return rounded(tracking.epoch_losses(fx.loss_steps(spark, sf_dir)), "loss")
+    return rounded(tracking.epoch_losses(fx.loss_steps(spark, sf_dir)), "loss", places=9)
 
 
 @query
@@ -444,7 +448,8 @@ def weight_drift(spark, sf_dir):
 @query
 def process_rollup(spark, sf_dir):
     rolled = telemetry.process_rollup(fx.process_samples(spark, sf_dir), cores=8, ram_bytes=64e9)
-    return rounded(rolled, "cpu_percent", "ram_percent", "ram_bytes", "ram_gb")
+    rolled = rounded(rolled, "ram_percent", places=10)
+    return rounded(rolled, "cpu_percent", "ram_gb").withColumn("ram_bytes", F.round("ram_bytes", 3))
 
 
 # --- ordered operators -----------------------------------------------------------
@@ -538,15 +543,14 @@ SERIES_START = 1704067200.0  # 2024-01-01 00:00:00 UTC
 
 @query
 def telemetry_series(spark, sf_dir):
-    series = telemetry.telemetry_series(fx.telemetry(spark, sf_dir), SERIES_START)
-    return rounded(series, "minutes")
+    return telemetry.telemetry_series(fx.telemetry(spark, sf_dir), SERIES_START)
 
 
 @query
 def device_metric_pivot(spark, sf_dir):
     series = telemetry.telemetry_series(fx.telemetry(spark, sf_dir), SERIES_START)
     hourly = series.withColumn("minutes", F.floor(F.col("minutes") / 360) * 360)
-    return rounded(telemetry.device_metric_pivot(hourly), "utilization", "memory")
+    return rounded(telemetry.device_metric_pivot(hourly), "utilization", "memory", places=10)
 
 
 # --- sorts, limits, set operations -----------------------------------------------
@@ -610,7 +614,7 @@ def injection_params(spark, sf_dir):
         r6("background_u").alias("background_u"),
         r6("snr").alias("snr"),
         F.col("track1.start_bin").alias("start_bin"),
-        F.col("track1.direction").cast("bigint").alias("direction"),
+        F.col("track1.direction").alias("direction"),
         *[r6(f"track1.{c}").alias(c) for c in ("slope_pixel", "drift_hz_s", "width_hz", "intercept")],
     )
 
@@ -624,12 +628,12 @@ def class_plan(spark, sf_dir):
 def augment_tracks(spark, sf_dir):
     """One track through all six observations of each valid cadence, not normalised."""
     whole = fx.backgrounds(spark, sf_dir)
-    plan = whole.select("cadence_id", "obs_cells").withColumn("_seed", F.lit(SEED).cast("bigint"))
-    track = generation.draw_track(F.col("cadence_id"), F.col("_seed"), generation.FIRST_TRACK_DRAW, FULL)
-    tracked = plan.withColumn("track", track).withColumn(
-        "snr", uniform(F.col("cadence_id"), generation.SNR_DRAW, F.col("_seed")) * 40.0 + 10.0
+    track = generation.track_sql("cadence_id", str(SEED), generation.FIRST_TRACK_DRAW, FULL)
+    snr = uniform("cadence_id", generation.SNR_DRAW, SEED) * 40.0 + 10.0
+    tracked = whole.select(
+        "cadence_id", F.flatten("obs_cells").alias("cells"), F.expr(track).alias("track"), snr.alias("snr")
     )
-    stacked = generation.add_track(F.flatten("obs_cells"), F.col("track"), F.col("snr"), FULL)
+    stacked = F.expr(generation.add_track_sql("cells", "track", "snr", FULL))
     return tracked.select("cadence_id", F.posexplode(stacked).alias("cell", "v")).select(
         "cadence_id", F.col("cell").cast("bigint").alias("cell"), r6("v").alias("v")
     )
@@ -637,7 +641,7 @@ def augment_tracks(spark, sf_dir):
 
 def _generated(spark, sf_dir, kind: str) -> DataFrame:
     params = generation.draw_params(_plan(spark, sf_dir, kind), FULL, seed=SEED)
-    built = generation.build_samples(params, fx.backgrounds(spark, sf_dir), FULL)
+    built = generation.build_samples(params, _backgrounds(spark, sf_dir), FULL)
     return built.select("class", "sample_idx", "background_idx", "obs", *digest())
 
 
@@ -646,7 +650,7 @@ def gen_false(spark, sf_dir):
     """Background alone, and with a track in all observations: both for every sample."""
     both = [_plan(spark, sf_dir, kind) for kind in generation.CLASSES[:2]]
     params = generation.draw_params(tracking.union_all(both), FULL, seed=SEED)
-    built = generation.build_samples(params, fx.backgrounds(spark, sf_dir), FULL)
+    built = generation.build_samples(params, _backgrounds(spark, sf_dir), FULL)
     return built.select("class", "sample_idx", "background_idx", "obs", *digest())
 
 
@@ -767,7 +771,7 @@ def pattern_string(spark, sf_dir):
 
 @query
 def tag_parse(spark, sf_dir):
-    tags = tracking.parse_artifacts(fx.registry(spark, sf_dir)).withColumn("r", text.tag_rank(F.col("tag")))
+    tags = tracking.parse_artifacts(fx.registry(spark, sf_dir)).withColumn("r", text.tag_rank("tag"))
     return tags.groupBy(
         "tag",
         F.col("r.rank").cast("bigint").alias("rank"),
