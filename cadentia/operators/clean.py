@@ -14,8 +14,7 @@ from cadentia.functions import arrays
 from cadentia.functions.text import CADENCE_FILE_PATTERN
 from cadentia.geometry import Geometry
 from cadentia.operators.indexing import dense_index
-
-BROADCAST_ROWS = 1_000_000
+from cadentia.session import materialise
 
 RowRange = tuple[int | None, int | None]
 
@@ -76,12 +75,16 @@ def complete_cadence_files(files: DataFrame, n_obs: int, path: str = "path") ->
     return parsed.join(complete_cadences(parsed, n_obs), "cadence_id", "left_semi")
 
 
-def cadence_flags(obs: DataFrame, n_obs: int) -> DataFrame:
-    """One slim row per cadence: seen observations, any NaN, any Inf, largest cell."""
+def cadence_flags(obs: DataFrame, n_obs: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One slim row per cadence: seen observations, any NaN, any Inf, largest cell.
+
+    ``carry`` names columns that are the same in all rows of a cadence.
+    """
     cells = F.col("cells")
     per_row = obs.select(
         "cadence_id",
         "obs",
+        *carry,
         arrays.has_nan(cells).alias("_nan"),
         arrays.has_inf(cells).alias("_inf"),
         F.array_max(cells).cast("double").alias("_top"),
@@ -91,37 +94,23 @@ def cadence_flags(obs: DataFrame, n_obs: int) -> DataFrame:
         F.bool_or("_nan").alias("has_nan"),
         F.bool_or("_inf").alias("has_inf"),
         F.max("_top").alias("top"),
+        *[F.min(c).alias(c) for c in carry],
     )
 
 
-def invalid(flags: str = "") -> Column:
+def invalid() -> Column:
     """True for a cadence to drop whole: NaN, Inf, nothing above zero, or incomplete."""
-    c = lambda name: F.col(f"{flags}{name}")
-    return ~c("complete") | c("has_nan") | c("has_inf") | (c("top") <= 0)
+    return ~F.col("complete") | F.col("has_nan") | F.col("has_inf") | (F.col("top") <= 0)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only if the table, counted first, is small; else unchanged.
-
-    The counted rows stay persisted, so they are not computed again by the join;
-    blocks lost with an executor are recomputed from the lineage.
-    """
-    kept = df.persist()
-    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
-
-
-def valid_cadences(obs: DataFrame, n_obs: int, *, broadcast_rejects: bool = False) -> DataFrame:
+def valid_cadences(obs: DataFrame, n_obs: int) -> DataFrame:
     """Observations of complete, finite cadences with something above zero.
 
-    Rejects are few, so the payload is anti-joined with them instead of being
-    shuffled by cadence. ``broadcast_rejects`` counts them first (one extra pass
-    over the flags) to keep the wide side in place even where the planner cannot
-    tell how few there are.
+    Rejects are few, so their ids are stored and the payload is anti-joined with them
+    where it lies. Only if they outgrow the broadcast threshold is it shuffled.
     """
     rejects = cadence_flags(obs, n_obs).where(invalid()).select("cadence_id")
-    if broadcast_rejects:
-        rejects = checked_broadcast(rejects)
-    return obs.join(rejects, "cadence_id", "left_anti")
+    return obs.join(materialise(rejects, "rejects"), "cadence_id", "left_anti")
 
 
 def guard_report(obs: DataFrame, cells_per_obs: int) -> DataFrame:
@@ -172,9 +161,13 @@ def assemble_cadences(
 
 
 def explode_observations(cadences: DataFrame, value: str = "obs_cells") -> DataFrame:
-    """Back to one row per observation."""
+    """Back to one row per observation.
+
+    The outer form keeps the planner from adding a non-empty filter below, which
+    would compute the array a second time.
+    """
     rest = [c for c in cadences.columns if c != value]
-    return cadences.select(*rest, F.posexplode(value).alias("obs", "cells")).withColumn(
+    return cadences.select(*rest, F.posexplode_outer(value).alias("obs", "cells")).withColumn(
         "obs", F.col("obs").cast("bigint")
     )
 
@@ -187,14 +180,9 @@ def limit_cadences(
     A sorted limit would move all kept payload through one task. Here only slim keys
     are numbered, and the payload is semi-joined with the chosen ids.
     """
-    keys = (
-        cadence_flags(obs, geo.n_obs)
-        .where(~invalid())
-        .select("cadence_id")
-        .join(obs.where(F.col("obs") == 0).select("cadence_id", file, row), "cadence_id")
-    )
+    keys = cadence_flags(obs, geo.n_obs, carry=(file, row)).where(~invalid()).select("cadence_id", file, row)
     chosen = dense_index(keys, row, major=[file]).where(F.col("idx") < n).select("cadence_id")
-    return obs.join(chosen, "cadence_id", "left_semi")
+    return obs.join(materialise(chosen, "chosen"), "cadence_id", "left_semi")
 
 
 def load_backgrounds(obs: DataFrame, geo: Geometry, *, engine: str | None = None) -> DataFrame:

@@ -59,7 +59,7 @@ def latent_pairs(latents: DataFrame, n_obs: int) -> DataFrame:
         )
         for a, b in _pairs(n_obs)
     ]
-    return cadence_latents(latents, n_obs).select("cadence_id", F.explode(F.array(*pairs)).alias("_p")).select(
+    return cadence_latents(latents, n_obs).select("cadence_id", F.explode_outer(F.array(*pairs)).alias("_p")).select(
         "cadence_id", "_p.*"
     )
 
@@ -82,7 +82,7 @@ def pair_means(latents: DataFrame, n_obs: int, measure, into: str) -> DataFrame:
             for a, b in _pairs(n_obs)
         ]
     )
-    return row.select(F.inline(listed))
+    return row.select(F.inline_outer(listed))
 
 
 def pair_distance(latents: DataFrame, n_obs: int) -> DataFrame:

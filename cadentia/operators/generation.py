@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadentia.functions import arrays, kernels
@@ -183,16 +183,6 @@ def sample_backgrounds(params: DataFrame, backgrounds: DataFrame) -> DataFrame:
     return picked.join(index_backgrounds(backgrounds), "background_idx")
 
 
-def store_backgrounds(backgrounds: DataFrame, path: str) -> DataFrame:
-    """Write the assembled backgrounds once and read them back.
-
-    They are used several times per round (count, keys, payload) and in every round;
-    without the table each use would load and validate the raw observations again.
-    """
-    backgrounds.write.mode("overwrite").parquet(path)
-    return backgrounds.sparkSession.read.parquet(path)
-
-
 def index_backgrounds(cadences: DataFrame) -> DataFrame:
     """Dense ``background_idx`` in file order, ranked on the keys alone."""
     keys = dense_index(
@@ -248,41 +238,64 @@ def _build_expr(geo: Geometry) -> Column:
     return F.transform(F.expr(built), arrays.log_norm)
 
 
+KERNEL_CELLS = 1 << 20
+TASK_BYTES = 256 << 20
+
+
 def _build_kernel(geo: Geometry):
-    """The same sample construction on Arrow batches, a few rows of numpy at a time."""
-    n_obs, rows, width = geo.n_obs, geo.stacked_rows, geo.width
-    rate, resolution = geo.time_resolution_s / geo.freq_resolution_hz, geo.freq_resolution_hz
+    """The same sample construction on Arrow batches, about a million cells at a time."""
+    rows, width, size = geo.stacked_rows, geo.width, geo.stacked_rows * geo.width
+    rate = geo.time_resolution_s / geo.freq_resolution_hz
     freq, time = np.arange(width, dtype=np.float64), np.arange(rows, dtype=np.float64)
-
-    def track_into(block: np.ndarray, track: dict, snr: float) -> np.ndarray:
-        sigma = track["width_hz"] / (FWHM_PER_SIGMA * resolution)
-        centre = track["start_bin"] + track["drift_hz_s"] * rate * time
-        level = snr * block.std() / math.sqrt(rows)
-        return block + level * np.exp(-((freq[None, :] - centre[:, None]) ** 2) / (2.0 * sigma * sigma))
+    on_rows = (np.arange(rows) // geo.time_bins % 2 == 0)[:, None]
+
+    def with_track(block: np.ndarray, track: pa.StructArray, snr: np.ndarray) -> np.ndarray:
+        """Adds each row's track to its cells; rows without a track stay as they are."""
+        has = np.flatnonzero(~track.is_null().to_numpy(zero_copy_only=False))
+        if not len(has):
+            return block
+        start, drift, width_hz = (
+            track.field(name).to_numpy(zero_copy_only=False).astype(np.float64)[has][:, None, None]
+            for name in ("start_bin", "drift_hz_s", "width_hz")
+        )
+        sigma = width_hz / (FWHM_PER_SIGMA * geo.freq_resolution_hz)
+        offset = freq - (start + drift * rate * time[:, None])
+        level = snr[has] * block[has].std(axis=(1, 2)) / math.sqrt(rows)
+        out = block.copy()
+        out[has] += level[:, None, None] * np.exp(-(offset * offset) / (2.0 * sigma * sigma))
+        return out
 
     @F.arrow_udf("array<array<double>>")
     def build(
         cells: pa.Array, kind: pa.Array, snr: pa.Array, second: pa.Array, one: pa.Array, two: pa.Array
     ) -> pa.Array:
-        out = []
-        kinds, snrs, seconds = kind.to_pylist(), snr.to_pylist(), second.to_pylist()
-        tracks = list(zip(one.to_pylist(), two.to_pylist()))
-        for i, (t1, t2) in enumerate(tracks):
-            base = kernels.to_matrix(cells.slice(i, 1)).reshape(rows, width).astype(np.float64)
-            first = track_into(base, t1, snrs[i]) if t1 else base
-            on = track_into(first, t2, snrs[i] * seconds[i]) if t2 else first
-            off = base if kinds[i] == CLASSES[2] else first
-            chosen = np.where((np.arange(rows) // geo.time_bins % 2 == 0)[:, None], on, off)
-            out.append(kernels.log_norm_matrix(chosen.reshape(n_obs, -1)))
-        if not out:
+        step = max(1, KERNEL_CELLS // size)
+        parts = []
+        for lo in range(0, len(cells), step):
+            base = kernels.to_matrix(cells.slice(lo, step)).astype(np.float64).reshape(-1, rows, width)
+            snrs = snr.slice(lo, step).to_numpy(zero_copy_only=False)
+            factor = second.slice(lo, step).to_numpy(zero_copy_only=False)
+            first = with_track(base, one.slice(lo, step), snrs)
+            on = with_track(first, two.slice(lo, step), snrs * factor)
+            on_only = np.array([k == CLASSES[2] for k in kind.slice(lo, step).to_pylist()])
+            off = np.where(on_only[:, None, None], base, first)
+            chosen = np.where(on_rows, on, off).reshape(-1, geo.cells_per_obs)
+            parts.append(kernels.log_norm_matrix(chosen))
+        if not parts:
             return pa.array([], pa.list_(pa.list_(pa.float64())))
-        flat = kernels.to_lists(np.concatenate(out), pa.float64())
-        offsets = pa.array(np.arange(len(out) + 1) * n_obs, pa.int32())
+        flat = kernels.to_lists(np.concatenate(parts), pa.float64())
+        offsets = pa.array(np.arange(len(cells) + 1) * geo.n_obs, pa.int32())
         return pa.ListArray.from_arrays(offsets, flat)
 
     return build
 
 
+def generation_partitions(spark: SparkSession, n_rows: int, geo: Geometry) -> int:
+    """At most ``TASK_BYTES`` of generated cells per task, and no idle cores."""
+    row_bytes = geo.n_obs * geo.cells_per_obs * 8
+    return max(spark.sparkContext.defaultParallelism, -(-n_rows * row_bytes // TASK_BYTES))
+
+
 def build_samples(
     params: DataFrame,
     backgrounds: DataFrame,
@@ -290,17 +303,25 @@ def build_samples(
     *,
     par: Injection = Injection(),
     engine: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Parameters + assembled backgrounds -> log-normalised observations.
 
-    ``backgrounds`` is a stored table ``cadence_id, obs_cells, source_file, row_idx``.
-    Two joins (slim keys, then payload); augmentation, splice and normalisation are
+    ``backgrounds`` is a stored table ``cadence_id, obs_cells, source_file, row_idx``:
+    it is read several times per round (count, keys, payload) and in every round, and
+    without the table each would load and validate the raw observations again. Two joins (slim keys, then payload); augmentation, splice and normalisation are
     row-local because a cadence travels as one row.
+
+    A sample is a few bytes before the payload join and hundreds of KB after it, so
+    sizes measured before the join say nothing about the work behind it.
+    ``partitions`` fixes the parallelism: slim rows are spread by background (drawn
+    uniformly, so evenly) and merged with the payload, which is shuffled once.
     """
     picked = sample_backgrounds(params, backgrounds)
-    rows = picked.join(backgrounds.select("cadence_id", "obs_cells"), "cadence_id").withColumn(
-        "dynamic_range", F.lit(par.dynamic_range)
-    )
+    payload = backgrounds.select("cadence_id", "obs_cells")
+    if partitions:
+        picked, payload = picked.repartition(partitions, "cadence_id"), payload.hint("merge")
+    rows = picked.join(payload, "cadence_id").withColumn("dynamic_range", F.lit(par.dynamic_range))
     if geo.wide if engine is None else engine == "arrow":
         built = _build_kernel(geo)(
             F.flatten("obs_cells"), F.col("class"), F.col("snr"), F.col("dynamic_range"),
@@ -328,8 +349,10 @@ def generate_batch(
     ``augmenters`` maps a class to a DataFrame function applied to its finished
     observations, for user-defined generation.
     """
-    plan = class_plan(samples, row_count(samples), par.chunk_size)
-    built = build_samples(draw_params(plan, geo, seed=seed, par=par), backgrounds, geo, par=par, engine=engine)
+    n = samples.count()
+    params = draw_params(class_plan(samples, F.lit(n), par.chunk_size), geo, seed=seed, par=par)
+    parts = generation_partitions(samples.sparkSession, n * len(SPLIT_SETS), geo)
+    built = build_samples(params, backgrounds, geo, par=par, engine=engine, partitions=parts)
     for kind, fn in (augmenters or {}).items():
         built = built.where(F.col("class") != kind).unionByName(fn(built.where(F.col("class") == kind)))
     return built

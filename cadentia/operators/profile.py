@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadentia.functions.arrays import array_sum
+from cadentia.session import materialise
 
 SAMPLE_ROWS = 50
 FLOAT_BYTES = {"float32": 4, "float64": 8}
@@ -30,16 +31,17 @@ def sample_rows(files: DataFrame, max_rows: int = SAMPLE_ROWS) -> DataFrame:
 def file_profile(rows: DataFrame, max_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Extremes and mean of a few evenly spaced rows of each file, and its full size.
 
-    ``rows`` has ``file, row_idx, shape, dtype, cells``. The sampled positions join on
-    ``(file, row_idx)``, so a file with a third of all rows is still spread out; the
-    mean is the mean of row means.
+    ``rows`` has ``file, row_idx, shape, dtype, cells``. The sampled positions, a few
+    per file, are stored and joined on ``(file, row_idx)``: the cells stay where they
+    are, and a file with a third of all rows is still spread out. The mean is the mean
+    of row means.
     """
     files = rows.groupBy("file").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("shape").alias("shape"), F.min("dtype").alias("dtype")
     )
-    sampled = rows.select("file", "row_idx", "cells").join(
-        sample_rows(files, max_rows), ["file", "row_idx"], "left_semi"
-    )
+    files = materialise(files, "files")
+    positions = materialise(sample_rows(files, max_rows), "positions")
+    sampled = rows.select("file", "row_idx", "cells").join(positions, ["file", "row_idx"], "left_semi")
     stats = (
         sampled.select(
             "file",

@@ -53,7 +53,7 @@ def overlap_snippets(obs: DataFrame, geo: Geometry, size: int, overlap: float =
 def cell_view(obs: DataFrame, geo: Geometry) -> DataFrame:
     """One row per cell ``(…, t, f, v)``. For inspection; operators stay on arrays."""
     rest = [c for c in obs.columns if c != "cells"]
-    cells = obs.select(*rest, F.posexplode("cells").alias("_i", "v"))
+    cells = obs.select(*rest, F.posexplode_outer("cells").alias("_i", "v"))
     return cells.select(
         *rest,
         F.floor(F.col("_i") / F.lit(geo.width)).alias("t"),

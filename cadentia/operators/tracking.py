@@ -90,7 +90,7 @@ def plateau(
 
     states = F.aggregate("_epochs", F.array(start), fold)
     steps = F.arrays_zip(F.col("_epochs").alias("e"), F.slice(states, F.lit(2), F.size("_epochs")).alias("s"))
-    return ordered.select(*keys, F.explode(steps).alias("_x")).select(
+    return ordered.select(*keys, F.explode_outer(steps).alias("_x")).select(
         *keys,
         F.col("_x.e.epoch").alias("epoch"),
         F.col("_x.e.loss").alias("val_loss"),

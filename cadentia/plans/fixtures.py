@@ -7,6 +7,11 @@ rows of spectrogram files. Whole tables, no subsets.
 
 from __future__ import annotations
 
+import io
+
+import numpy as np
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +60,31 @@ def observations(spark, sf_dir) -> DataFrame:
     )
 
 
+NPY_ROWS = 120
+
+
+def write_npy(spark, sf_dir, folder: str) -> list[str]:
+    """Embeddings as ``.npy`` files of up to 120 observations each, written by the tasks."""
+    root = folder if "://" in folder else f"file://{folder}"
+
+    def write(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("vec_id")
+        cells = np.stack(rows["embedding"].to_numpy()).astype(np.float32)
+        buffer = io.BytesIO()
+        np.save(buffer, cells.reshape(-1, OBS_GEOMETRY.time_bins, OBS_GEOMETRY.width))
+        system, base = fs.FileSystem.from_uri(root)
+        system.create_dir(base, recursive=True)
+        with system.open_output_stream(f"{base}/part_{key[0]:05d}.npy") as out:
+            out.write(buffer.getvalue())
+        return rows.assign(path=f"{root}/part_{key[0]:05d}.npy")[["path"]].head(1)
+
+    chunked = table(spark, sf_dir, "embeddings").select(
+        F.expr(f"vec_id div {NPY_ROWS}").alias("part"), "vec_id", "embedding"
+    )
+    written = chunked.groupBy("part").applyInPandas(write, "path string")
+    return sorted(r["path"] for r in written.collect())
+
+
 def backgrounds(spark, sf_dir) -> DataFrame:
     """Valid cadences at full width, one row each."""
     from cadentia.operators.clean import load_backgrounds

@@ -153,6 +153,12 @@ SELECT source_file, count(*) // 64 AS observations, count(*) AS cells,
   count(*) FILTER (WHERE bad) // 64 AS bad_observations, {r('sum(v) FILTER (WHERE NOT bad)')} AS total
 FROM flagged GROUP BY source_file"""
 
+ORACLES["scan_npy"] = f"""
+SELECT printf('part_%05d.npy', vec_id // 120) AS source_file, vec_id % 120 AS row_idx, '[4, 16]' AS shape,
+  'float32' AS dtype, {DIGEST}
+FROM (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+GROUP BY vec_id"""
+
 ORACLES["scan_missing_ok"] = """
 SELECT CAST(label AS BIGINT) AS label, count(*) AS vectors FROM embeddings GROUP BY label"""
 

@@ -25,9 +25,9 @@ from cadentia.operators import (
     tracking,
 )
 from cadentia.plans import fixtures as fx
-from cadentia.session import scratch_dir
+from cadentia.session import materialise, scratch_dir
 from cadentia.settings import Curriculum, ForestParams, Plateau
-from cadentia.sources import tables
+from cadentia.sources import npy, tables
 from cadentia.streaming import plateau as stream_state
 from cadentia.streaming import telemetry as streams
 
@@ -53,7 +53,7 @@ def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 
 def digest(cells: str = "cells") -> list[Column]:
     """Size, extremes, sum and position-weighted sum of an array."""
-    c = F.col(cells)
+    c = F.col(cells).cast("array<double>")
     return [
         F.size(c).cast("bigint").alias("n_cells"),
         r6(F.array_min(c)).alias("lo"),
@@ -84,6 +84,15 @@ def scan_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def scan_npy(spark, sf_dir):
+    """The embeddings stored as ``.npy`` files and scanned by row range."""
+    folder = scratch_dir(spark, "npy")
+    files = fx.write_npy(spark, sf_dir, folder)
+    rows = npy.read_npy(spark, files, rows_per_split=50)
+    return rows.select("source_file", "row_idx", "shape", "dtype", *digest())
+
+
 @query
 def scan_missing_ok(spark, sf_dir):
     paths = [f"{sf_dir}/{name}.parquet" for name in ("absent_before", "embeddings", "absent_after")]
@@ -239,7 +248,7 @@ def _plan(spark, sf_dir, kind: str | None = None) -> DataFrame:
 
 
 def _backgrounds(spark, sf_dir) -> DataFrame:
-    return generation.store_backgrounds(fx.backgrounds(spark, sf_dir), scratch_dir(spark, "backgrounds"))
+    return materialise(fx.backgrounds(spark, sf_dir), "backgrounds")
 
 
 def _batch(spark, sf_dir) -> DataFrame:
@@ -470,7 +479,7 @@ def overlap_snippets(spark, sf_dir):
     """Every snippet of every valid observation, cell by cell."""
     obs = clean.valid_cadences(fx.observations(spark, sf_dir), fx.N_OBS)
     cut = spectral.overlap_snippets(obs, FULL, SNIPPET, OVERLAP)
-    cells = cut.select("cadence_id", "obs", "start_index", F.posexplode("cells").alias("cell", "v"))
+    cells = cut.select("cadence_id", "obs", "start_index", F.posexplode_outer("cells").alias("cell", "v"))
     return cells.select("cadence_id", "obs", "start_index", F.col("cell").cast("bigint").alias("cell"), r6("v").alias("v"))
 
 
@@ -634,14 +643,20 @@ def augment_tracks(spark, sf_dir):
         "cadence_id", F.flatten("obs_cells").alias("cells"), F.expr(track).alias("track"), snr.alias("snr")
     )
     stacked = F.expr(generation.add_track_sql("cells", "track", "snr", FULL))
-    return tracked.select("cadence_id", F.posexplode(stacked).alias("cell", "v")).select(
+    return tracked.select("cadence_id", F.posexplode_outer(stacked).alias("cell", "v")).select(
         "cadence_id", F.col("cell").cast("bigint").alias("cell"), r6("v").alias("v")
     )
 
 
 def _generated(spark, sf_dir, kind: str) -> DataFrame:
     params = generation.draw_params(_plan(spark, sf_dir, kind), FULL, seed=SEED)
-    built = generation.build_samples(params, _backgrounds(spark, sf_dir), FULL)
+    return _built(spark, sf_dir, params)
+
+
+def _built(spark, sf_dir, params: DataFrame) -> DataFrame:
+    samples = fx.samples(spark, sf_dir).count()
+    parts = generation.generation_partitions(spark, 2 * samples, FULL)
+    built = generation.build_samples(params, _backgrounds(spark, sf_dir), FULL, partitions=parts)
     return built.select("class", "sample_idx", "background_idx", "obs", *digest())
 
 
@@ -650,8 +665,7 @@ def gen_false(spark, sf_dir):
     """Background alone, and with a track in all observations: both for every sample."""
     both = [_plan(spark, sf_dir, kind) for kind in generation.CLASSES[:2]]
     params = generation.draw_params(tracking.union_all(both), FULL, seed=SEED)
-    built = generation.build_samples(params, _backgrounds(spark, sf_dir), FULL)
-    return built.select("class", "sample_idx", "background_idx", "obs", *digest())
+    return _built(spark, sf_dir, params)
 
 
 @query
@@ -677,7 +691,7 @@ def generate_batch(spark, sf_dir):
 @query
 def cadence_features(spark, sf_dir):
     whole = features.cadence_features(fx.latents(spark, sf_dir), fx.N_OBS)
-    cells = whole.select("cadence_id", F.posexplode("features").alias("feature", "v"))
+    cells = whole.select("cadence_id", F.posexplode_outer("features").alias("feature", "v"))
     return cells.select("cadence_id", F.col("feature").cast("bigint").alias("feature"), r6("v").alias("v"))
 
 
@@ -740,7 +754,7 @@ def band_scan(spark, sf_dir):
 @query
 def reparam_sample(spark, sf_dir):
     drawn = features.reparam_sample(fx.latents(spark, sf_dir))
-    cells = drawn.select("cadence_id", "obs", F.posexplode("sample").alias("dim", "v"))
+    cells = drawn.select("cadence_id", "obs", F.posexplode_outer("sample").alias("dim", "v"))
     return cells.select("cadence_id", "obs", F.col("dim").cast("bigint").alias("dim"), r6("v").alias("v"))
 
 

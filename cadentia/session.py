@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -41,3 +41,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="cadentia-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the scratch folder and read it back.
+
+    Cuts the lineage, survives lost executors, and gives the planner the table's true
+    size: it then broadcasts it in a join only if it is below the session's threshold,
+    before the other, wide side has been shuffled for nothing.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

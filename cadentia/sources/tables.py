@@ -54,16 +54,16 @@ def read_existing(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     Paths are resolved on their own, so a missing or unreadable one is skipped; files
     that vanish or turn out damaged during the scan are skipped by the reader.
     """
+    reader = spark.read.option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
     good = []
     for path in paths:
         try:
-            spark.read.parquet(path).schema  # noqa: B018  (resolves the path)
+            reader.parquet(path)
             good.append(path)
         except PySparkException:
             continue
     if not good:
         raise FileNotFoundError("none of the given files could be read")
-    reader = spark.read.option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
     return reader.parquet(*good)
 
 
