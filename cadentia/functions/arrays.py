@@ -109,12 +109,13 @@ def time_row_slices(cells: Column, time_bins: int, width: int, start: Column, si
     )
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    return array_sum(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)))
+def squared_distance_sql(a: str, b: str) -> str:
+    """SQL text, as one plan holds it once per observation pair."""
+    return f"aggregate(zip_with({a}, {b}, (x, y) -> (x - y) * (x - y)), 0D, (acc, d) -> acc + d)"
 
 
-def inverse_distance(a: Column, b: Column) -> Column:
-    return F.lit(1.0) / (squared_distance(a, b) + DISTANCE_EPS)
+def inverse_distance_sql(a: str, b: str) -> str:
+    return f"(1D / ({squared_distance_sql(a, b)} + {DISTANCE_EPS!r}D))"
 
 
 def kl_term(mean: Column, log_var: Column) -> Column:

@@ -64,3 +64,20 @@ def log_norm_kernel():
         return to_lists(log_norm_matrix(matrix), pa.float64())
 
     return log_norm
+
+
+def load_kernel(n_obs: int, factor: int):
+    """Whole cadence -> its downsampled observations, or null if it is not valid."""
+
+    @F.arrow_udf("array<array<float>>")
+    def load(cells: pa.Array) -> pa.Array:
+        matrix = to_matrix(cells)
+        if not len(matrix):
+            return pa.array([], pa.list_(pa.list_(pa.float32())))
+        valid = np.isfinite(matrix).all(axis=1) & (matrix.max(axis=1) > 0)
+        means = matrix[valid].reshape(valid.sum() * n_obs, -1, factor).mean(axis=2, dtype=np.float64)
+        flat = to_lists(means.astype(np.float32), pa.float32())
+        ends = np.concatenate([[0], np.cumsum(valid * n_obs)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array(~valid))
+
+    return load

@@ -29,6 +29,7 @@ def fit_forest(labelled: DataFrame, par: ForestParams = ForestParams()) -> Pipel
         featureSubsetStrategy=par.feature_subset,
         bootstrap=par.bootstrap,
         maxDepth=par.max_depth,
+        maxMemoryInMB=par.aggregation_mb,
         seed=par.seed,
     )
     return Pipeline(stages=[forest]).fit(_vectors(labelled))

@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadentia.functions import arrays
+from cadentia.functions import arrays, kernels
 from cadentia.functions.text import CADENCE_FILE_PATTERN
 from cadentia.geometry import Geometry
 from cadentia.operators.indexing import dense_index
@@ -185,6 +185,35 @@ def limit_cadences(
     return obs.join(materialise(chosen, "chosen"), "cadence_id", "left_semi")
 
 
+def load_cadence_rows(rows: DataFrame, geo: Geometry, *, engine: str | None = None) -> DataFrame:
+    """Rows that are whole cadences -> valid, downsampled ones. No shuffle at all.
+
+    ``cells`` holds the observations one after the other, as a background file stores
+    them; the result has ``source_file, row_idx, obs_cells``.
+    """
+    cells = F.col("cells")
+    if geo.wide if engine is None else engine == "arrow":
+        loaded = kernels.load_kernel(geo.n_obs, geo.factor)(cells)
+    else:
+        n = geo.cells_per_obs
+        ok = ~arrays.has_nan(cells) & ~arrays.has_inf(cells) & (F.array_max(cells) > 0)
+        means = F.transform(
+            arrays.steps(geo.n_obs),
+            lambda o: arrays.block_mean(F.slice(cells, o * n + 1, n), n // geo.factor, geo.factor),
+        )
+        loaded = F.when(ok, means).cast("array<array<float>>")
+    return rows.select("source_file", "row_idx", loaded.alias("obs_cells")).where(
+        F.col("obs_cells").isNotNull()
+    )
+
+
+def first_cadences(cadences: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of a stored cadence table in file order, by its slim keys."""
+    keys = dense_index(cadences.select("source_file", "row_idx"), "row_idx", major=["source_file"])
+    chosen = materialise(keys.where(F.col("idx") < n).drop("idx"), "chosen")
+    return cadences.join(chosen, ["source_file", "row_idx"], "left_semi")
+
+
 def load_backgrounds(obs: DataFrame, geo: Geometry, *, engine: str | None = None) -> DataFrame:
     """Validate, downsample and assemble in one shuffle of already reduced rows.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -48,71 +49,58 @@ def latent_pairs(latents: DataFrame, n_obs: int) -> DataFrame:
     The pairs are a fixed list over one assembled row (15 for six observations), so
     there is no self-join; pairs of one kind weigh 2.
     """
-    z = lambda i: F.get("zs", F.lit(i))
-    pairs = [
-        F.struct(
-            F.lit(a).cast("bigint").alias("obs_a"),
-            F.lit(b).cast("bigint").alias("obs_b"),
-            F.lit("same" if _same(a, b) else "cross").alias("kind"),
-            F.lit(2 if _same(a, b) else 1).cast("bigint").alias("weight"),
-            arrays.squared_distance(z(a), z(b)).alias("distance"),
-        )
+    listed = ", ".join(
+        f"""named_struct('obs_a', {a}L, 'obs_b', {b}L,
+            'kind', '{"same" if _same(a, b) else "cross"}',
+            'weight', {2 if _same(a, b) else 1}L,
+            'distance', {arrays.squared_distance_sql(f"zs[{a}]", f"zs[{b}]")})"""
         for a, b in _pairs(n_obs)
-    ]
-    return cadence_latents(latents, n_obs).select("cadence_id", F.explode_outer(F.array(*pairs)).alias("_p")).select(
-        "cadence_id", "_p.*"
     )
+    return cadence_latents(latents, n_obs).selectExpr("cadence_id", f"inline_outer(array({listed}))")
 
 
-def _pair_means(n_obs: int, measure) -> list[Column]:
-    z = lambda i: F.get("zs", F.lit(i))
-    return [F.avg(measure(z(a), z(b))).alias(f"_m{a}_{b}") for a, b in _pairs(n_obs)]
+Measure = Callable[[str, str], str]
 
 
-def pair_means(latents: DataFrame, n_obs: int, measure, into: str) -> DataFrame:
+def pair_means(latents: DataFrame, n_obs: int, measure: Measure, into: str) -> DataFrame:
     """Mean of ``measure`` per observation pair: one global aggregate, then 15 rows."""
-    row = cadence_latents(latents, n_obs).agg(*_pair_means(n_obs, measure))
-    listed = F.array(
-        *[
-            F.struct(
-                F.lit(a).cast("bigint").alias("obs_a"),
-                F.lit(b).cast("bigint").alias("obs_b"),
-                F.col(f"_m{a}_{b}").alias(into),
-            )
-            for a, b in _pairs(n_obs)
-        ]
+    means = [
+        F.expr(f"avg({measure(f'zs[{a}]', f'zs[{b}]')})").alias(f"_m{a}_{b}") for a, b in _pairs(n_obs)
+    ]
+    listed = ", ".join(
+        f"named_struct('obs_a', {a}L, 'obs_b', {b}L, '{into}', _m{a}_{b})" for a, b in _pairs(n_obs)
     )
-    return row.select(F.inline_outer(listed))
+    return cadence_latents(latents, n_obs).agg(*means).selectExpr(f"inline_outer(array({listed}))")
 
 
 def pair_distance(latents: DataFrame, n_obs: int) -> DataFrame:
-    return pair_means(latents, n_obs, arrays.squared_distance, "mean_distance")
+    return pair_means(latents, n_obs, arrays.squared_distance_sql, "mean_distance")
 
 
 def pair_inverse_distance(latents: DataFrame, n_obs: int) -> DataFrame:
-    return pair_means(latents, n_obs, arrays.inverse_distance, "mean_inverse_distance")
+    return pair_means(latents, n_obs, arrays.inverse_distance_sql, "mean_inverse_distance")
 
 
-def _total(n_obs: int, cross_measure) -> Column:
-    """Pair means summed: same-kind pairs twice, ON-OFF pairs once."""
-    z = lambda i: F.get("zs", F.lit(i))
-    total = F.lit(0.0)
-    for a, b in _pairs(n_obs):
-        if _same(a, b):
-            total = total + F.avg(arrays.squared_distance(z(a), z(b))) * 2.0
-        else:
-            total = total + F.avg(cross_measure(z(a), z(b)))
-    return total
+def _total(n_obs: int, cross: Measure) -> Column:
+    """Pair means of ``zs`` summed: same-kind pairs twice, ON-OFF pairs once."""
+    terms = [
+        f"2D * avg({arrays.squared_distance_sql(f'zs[{a}]', f'zs[{b}]')})"
+        if _same(a, b)
+        else f"avg({cross(f'zs[{a}]', f'zs[{b}]')})"
+        for a, b in _pairs(n_obs)
+    ]
+    return F.expr(" + ".join(terms))
 
 
-def separation_true(cadences: DataFrame, n_obs: int) -> Column:
-    """Signal set: ON and OFF each close together, and far from one another."""
-    return _total(n_obs, arrays.inverse_distance)
+def separation_true(n_obs: int) -> Column:
+    """Aggregate over assembled latents of a signal set: ON and OFF each close
+    together, and far from one another."""
+    return _total(n_obs, arrays.inverse_distance_sql)
 
 
-def separation_false(cadences: DataFrame, n_obs: int) -> Column:
-    """Background set: all observations close together."""
-    return _total(n_obs, arrays.squared_distance)
+def separation_false(n_obs: int) -> Column:
+    """Aggregate over assembled latents of a background set: all close together."""
+    return _total(n_obs, arrays.squared_distance_sql)
 
 
 def kl_divergence(latents: DataFrame, mean: str = "z", log_var: str = "log_var") -> DataFrame:

@@ -185,13 +185,8 @@ def sample_backgrounds(params: DataFrame, backgrounds: DataFrame) -> DataFrame:
 
 def index_backgrounds(cadences: DataFrame) -> DataFrame:
     """Dense ``background_idx`` in file order, ranked on the keys alone."""
-    keys = dense_index(
-        cadences.select("cadence_id", "source_file", "row_idx"),
-        "row_idx",
-        major=["source_file"],
-        into="background_idx",
-    )
-    return keys.select("cadence_id", "background_idx")
+    keys = cadences.drop("obs_cells")
+    return dense_index(keys, "row_idx", major=["source_file"], into="background_idx")
 
 
 def add_track_sql(cells: str, track: str, snr: str, geo: Geometry) -> str:
@@ -228,7 +223,7 @@ def _build_expr(geo: Geometry) -> Column:
     spliced = f"transform(sequence(0, {geo.n_obs - 1}), o -> slice({source}, o * {n} + 1, {n}))"
     built = let_sql(
         "base",
-        "flatten(obs_cells)",
+        "cast(flatten(obs_cells) as array<double>)",
         let_sql(
             "one",
             augmented("base", "track1", "snr"),
@@ -307,8 +302,7 @@ def build_samples(
 ) -> DataFrame:
     """Parameters + assembled backgrounds -> log-normalised observations.
 
-    ``backgrounds`` is a stored table ``cadence_id, obs_cells, source_file, row_idx``:
-    it is read several times per round (count, keys, payload) and in every round, and
+    ``backgrounds`` is a stored table ``source_file, row_idx, obs_cells``: it is read several times per round (count, keys, payload) and in every round, and
     without the table each would load and validate the raw observations again. Two joins (slim keys, then payload); augmentation, splice and normalisation are
     row-local because a cadence travels as one row.
 
@@ -318,10 +312,11 @@ def build_samples(
     uniformly, so evenly) and merged with the payload, which is shuffled once.
     """
     picked = sample_backgrounds(params, backgrounds)
-    payload = backgrounds.select("cadence_id", "obs_cells")
+    key = ["source_file", "row_idx"]
+    payload = backgrounds.select(*key, "obs_cells")
     if partitions:
-        picked, payload = picked.repartition(partitions, "cadence_id"), payload.hint("merge")
-    rows = picked.join(payload, "cadence_id").withColumn("dynamic_range", F.lit(par.dynamic_range))
+        picked, payload = picked.repartition(partitions, *key), payload.hint("merge")
+    rows = picked.join(payload, key).withColumn("dynamic_range", F.lit(par.dynamic_range))
     if geo.wide if engine is None else engine == "arrow":
         built = _build_kernel(geo)(
             F.flatten("obs_cells"), F.col("class"), F.col("snr"), F.col("dynamic_range"),

@@ -272,7 +272,7 @@ def onoff_splice(spark, sf_dir):
 
 @query
 def aligned_triples(spark, sf_dir):
-    batch = _batch(spark, sf_dir)
+    batch = materialise(_batch(spark, sf_dir), "batch")
     part = lambda name: batch.where(F.col("split_set") == name)
     rows = generation.aligned_triples(part("concatenated"), part("true"), part("false"))
     return rows.select(
@@ -373,14 +373,14 @@ def _cadence_latents(spark, sf_dir) -> DataFrame:
 @query
 def separation_true(spark, sf_dir):
     return _cadence_latents(spark, sf_dir).groupBy("is_true").agg(
-        r6(features.separation_true(None, fx.N_OBS)).alias("separation")
+        r6(features.separation_true(fx.N_OBS)).alias("separation")
     )
 
 
 @query
 def separation_false(spark, sf_dir):
     return _cadence_latents(spark, sf_dir).groupBy("is_true").agg(
-        r6(features.separation_false(None, fx.N_OBS)).alias("separation")
+        r6(features.separation_false(fx.N_OBS)).alias("separation")
     )
 
 
@@ -407,8 +407,8 @@ def reconstruction_bce(spark, sf_dir):
 @query
 def total_loss(spark, sf_dir):
     whole = _cadence_latents(spark, sf_dir)
-    true = whole.where("is_true").agg(features.separation_true(None, fx.N_OBS).alias("true_loss"))
-    false = whole.where("not is_true").agg(features.separation_false(None, fx.N_OBS).alias("false_loss"))
+    true = whole.where("is_true").agg(features.separation_true(fx.N_OBS).alias("true_loss"))
+    false = whole.where("not is_true").agg(features.separation_false(fx.N_OBS).alias("false_loss"))
     losses = features.composite_loss(
         _reconstruction(spark, sf_dir), features.kl_divergence(fx.latents(spark, sf_dir)), true, false
     )
@@ -836,7 +836,7 @@ def stream_dedup(spark, sf_dir):
     """Two hosts' overlapping streams, each row kept once."""
     root = scratch_dir(spark, "dedup")
     both = _event_stream(spark, sf_dir, TIMED_COLUMNS).unionByName(_event_stream(spark, sf_dir, TIMED_COLUMNS))
-    once = streams.dedup(both, ("ts", "resource_type", "resource_name", "tag"))
+    once = streams.dedup(both, ("ts", "resource_type", "resource_name", "tag"), spread=4)
     streams.drain(streams.ingest(once, f"{root}/data", f"{root}/checkpoint", once=True))
     stored = spark.read.schema(once.schema).parquet(f"{root}/data")
     return rounded(stored, "ts_unix").select("id", "ts_unix", "resource_type", "resource_name", "value", "tag")

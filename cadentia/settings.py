@@ -69,6 +69,8 @@ class ForestParams:
     bootstrap: bool = True
     seed: int = 11
     max_depth: int = 10
+    # room for more nodes per pass over the data, so fewer passes
+    aggregation_mb: int = 1024
 
 
 @dataclass(frozen=True)

@@ -1,14 +1,16 @@
-"""Spectrogram ``.npy`` files as a Spark data source.
+"""Spectrogram ``.npy`` files as Spark data sources.
 
-``spark.read.format("spectrogram_npy")`` splits every file by row range, so a task
-reads only the bytes of its own rows; nothing passes through the driver but the
-file headers. Paths may be local (a folder mounted on every executor) or URIs.
+``spectrogram_npy`` splits every file by row range, ``spectrogram_snippets`` by
+channel range, so a task reads only the bytes of its own rows or snippets and no
+observation is ever held whole. Only file headers pass through the driver. Paths may
+be local (a folder mounted on every executor) or URIs.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-FORMAT = "spectrogram_npy"
-SCHEMA = "source_file string, row_idx bigint, shape string, dtype string, cells array<float>"
+BATCH_BYTES = 32 << 20
 
 
 def _open(path: str):
@@ -39,6 +40,27 @@ def _header(path: str) -> tuple[tuple[int, ...], np.dtype, int]:
         return shape, dtype, f.tell()
 
 
+def _readable(paths: list[str]) -> list[tuple[str, tuple[int, ...]]]:
+    """Path and shape of each file; absent and unreadable ones are skipped."""
+
+    def shape_of(path: str):
+        try:
+            return path, _header(path)[0]
+        except (OSError, ValueError):
+            return None
+
+    with ThreadPoolExecutor(32) as pool:
+        found = [f for f in pool.map(shape_of, paths) if f]
+    if not found:
+        raise FileNotFoundError("none of the given files could be read")
+    return found
+
+
+def _list_array(matrix: np.ndarray) -> pa.Array:
+    offsets = pa.array(np.arange(len(matrix) + 1) * matrix.shape[1], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(matrix.astype(np.float32).ravel()))
+
+
 class RowRange(InputPartition):
     def __init__(self, path: str, lo: int, hi: int):
         self.path, self.lo, self.hi = path, lo, hi
@@ -53,14 +75,9 @@ class SpectrogramReader(DataSourceReader):
         self.rows_per_split = int(options.get("rowsPerSplit", "64"))
 
     def partitions(self) -> list[RowRange]:
-        """Row ranges after subset and cap; absent and unreadable files are skipped."""
-        splits, readable = [], 0
-        for path in self.paths:
-            try:
-                shape, _, _ = _header(path)
-            except (OSError, ValueError):
-                continue
-            readable += 1
+        """Row ranges after subset and cap."""
+        splits = []
+        for path, shape in _readable(self.paths):
             lo, hi = self.subsets.get(path.rsplit("/", 1)[-1], (None, None))
             lo, hi = lo or 0, min(shape[0], hi if hi is not None else shape[0])
             if self.rows_per_file is not None:
@@ -69,8 +86,6 @@ class SpectrogramReader(DataSourceReader):
                 RowRange(path, start, min(start + self.rows_per_split, hi))
                 for start in range(lo, hi, self.rows_per_split)
             ]
-        if not readable:
-            raise FileNotFoundError("none of the given files could be read")
         return splits
 
     def read(self, split: RowRange) -> Iterator[pa.RecordBatch]:
@@ -79,20 +94,19 @@ class SpectrogramReader(DataSourceReader):
         system, inner = _open(split.path)
         name = split.path.rsplit("/", 1)[-1]
         row_bytes = per_row * dtype.itemsize
-        rows_per_batch = max(1, (32 << 20) // row_bytes)
+        rows_per_batch = max(1, BATCH_BYTES // row_bytes)
         with system.open_input_file(inner) as f:
             for lo in range(split.lo, split.hi, rows_per_batch):
                 n = min(rows_per_batch, split.hi - lo)
                 f.seek(start + lo * row_bytes)
-                cells = np.frombuffer(f.read(n * row_bytes), dtype).astype(np.float32)
-                offsets = pa.array(np.arange(n + 1) * per_row, pa.int32())
+                cells = np.frombuffer(f.read(n * row_bytes), dtype).reshape(n, per_row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([name] * n),
                         pa.array(np.arange(lo, lo + n)),
                         pa.array([str(list(shape[1:]))] * n),
                         pa.array([dtype.name] * n),
-                        pa.ListArray.from_arrays(offsets, pa.array(cells)),
+                        _list_array(cells),
                     ],
                     names=["source_file", "row_idx", "shape", "dtype", "cells"],
                 )
@@ -101,10 +115,10 @@ class SpectrogramReader(DataSourceReader):
 class SpectrogramSource(DataSource):
     @classmethod
     def name(cls) -> str:
-        return FORMAT
+        return "spectrogram_npy"
 
     def schema(self) -> str:
-        return SCHEMA
+        return "source_file string, row_idx bigint, shape string, dtype string, cells array<float>"
 
     def reader(self, schema) -> SpectrogramReader:
         return SpectrogramReader(self.options)
@@ -120,12 +134,12 @@ def read_npy(
 ) -> DataFrame:
     """One row per first-axis entry of each file, ``cells`` flattened row-major.
 
-    A row of a background file is a whole cadence; a row of an observation file one
-    time bin. ``subsets`` and ``rows_per_file`` prune before anything is read.
+    A row of a background file is a whole cadence. ``subsets`` and ``rows_per_file``
+    prune before anything is read.
     """
     spark.dataSource.register(SpectrogramSource)
     reader = (
-        spark.read.format(FORMAT)
+        spark.read.format("spectrogram_npy")
         .option("paths", json.dumps(list(paths)))
         .option("subsets", json.dumps(dict(subsets or {})))
         .option("rowsPerSplit", rows_per_split)
@@ -133,3 +147,86 @@ def read_npy(
     if rows_per_file is not None:
         reader = reader.option("rowsPerFile", rows_per_file)
     return reader.load()
+
+
+class ChannelRange(InputPartition):
+    def __init__(self, path: str, starts: range):
+        self.path, self.starts = path, starts
+
+
+class SnippetReader(DataSourceReader):
+    """Snippets of ``(time, channel)`` files; a start counts downsampled channels."""
+
+    def __init__(self, options: Mapping[str, str]):
+        self.paths = json.loads(options["paths"])
+        self.size, self.step = int(options["size"]), int(options["step"])
+        self.factor = int(options["factor"])
+        self.per_split = int(options.get("snippetsPerSplit", "64"))
+
+    def partitions(self) -> list[ChannelRange]:
+        splits = []
+        for path, shape in _readable(self.paths):
+            starts = range(0, shape[-1] // self.factor - self.size + 1, self.step)
+            splits += [
+                ChannelRange(path, starts[i : i + self.per_split])
+                for i in range(0, len(starts), self.per_split)
+            ]
+        return splits
+
+    def read(self, split: ChannelRange) -> Iterator[pa.RecordBatch]:
+        shape, dtype, start = _header(split.path)
+        width, time_bins = shape[-1], int(np.prod(shape[:-1]))
+        system, inner = _open(split.path)
+        with system.open_input_file(inner) as f:
+            snippet_bytes = time_bins * self.size * self.factor * dtype.itemsize
+            per_batch = max(1, BATCH_BYTES // snippet_bytes)
+            for i in range(0, len(split.starts), per_batch):
+                starts = split.starts[i : i + per_batch]
+                lo, hi = starts[0] * self.factor, (starts[-1] + self.size) * self.factor
+                block = np.empty((time_bins, hi - lo), dtype)
+                for t in range(time_bins):
+                    f.seek(start + (t * width + lo) * dtype.itemsize)
+                    block[t] = np.frombuffer(f.read((hi - lo) * dtype.itemsize), dtype)
+                means = block.reshape(time_bins, -1, self.factor).mean(axis=2, dtype=np.float64)
+                cut = [means[:, s - starts[0] : s - starts[0] + self.size].ravel() for s in starts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([split.path] * len(cut)), pa.array(list(starts)), _list_array(np.stack(cut))],
+                    names=["path", "start_index", "cells"],
+                )
+
+
+class SnippetSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "spectrogram_snippets"
+
+    def schema(self) -> str:
+        return "path string, start_index bigint, cells array<float>"
+
+    def reader(self, schema) -> SnippetReader:
+        return SnippetReader(self.options)
+
+
+def read_snippets(
+    spark: SparkSession,
+    paths: list[str],
+    *,
+    size: int,
+    overlap: float = 0.5,
+    factor: int = 1,
+    snippets_per_split: int = 64,
+) -> DataFrame:
+    """Downsampled, overlapping snippets of observation files, cut while reading.
+
+    A file has one row per time bin and any number of channels, far more than fit
+    one row; a task reads only the channels its snippets cover.
+    """
+    step = int(size * (1 - overlap))
+    if step < 1:
+        raise ValueError("overlap leaves no step between snippets")
+    spark.dataSource.register(SnippetSource)
+    reader = spark.read.format("spectrogram_snippets").option("paths", json.dumps(list(paths)))
+    options = {"size": size, "step": step, "factor": factor, "snippetsPerSplit": snippets_per_split}
+    for key, value in options.items():
+        reader = reader.option(key, value)
+    return reader.load()

@@ -68,10 +68,12 @@ def read_existing(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
 
 
 def write_detections(detections: DataFrame, path: str) -> None:
-    """Detections as CSV with a header, and the confident ones beside them if there are any."""
-    report = detections.select(*REPORT_COLUMNS)
-    report.write.mode("overwrite").option("header", True).csv(path)
-    confident = high_confidence(report)
+    """Detections as CSV with a header, and the confident ones beside them if there are any.
+
+    The second file is filtered from the first, so the scan behind it runs only once.
+    """
+    detections.select(*REPORT_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
+    confident = high_confidence(read_detections(detections.sparkSession, path))
     if not confident.isEmpty():
         confident.write.mode("overwrite").option("header", True).csv(high_confidence_path(path))
 

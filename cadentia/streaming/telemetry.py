@@ -115,7 +115,18 @@ def latest(spark: SparkSession, path: str, schema, keys: tuple[str, ...]) -> Dat
     )
 
 
-def dedup(stream: DataFrame, keys: tuple[str, ...], *, delay: str = "10 minutes") -> DataFrame:
-    """First row of each key among stores that overlap, with state for ``delay`` only."""
-    return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))
+def dedup(
+    stream: DataFrame, keys: tuple[str, ...], *, delay: str = "10 minutes", spread: int = 0
+) -> DataFrame:
+    """First row of each key among stores that overlap, with state for ``delay`` only.
+
+    A key whose copies are a large part of the stream would all go to one task. With
+    ``spread`` they are first thinned out in up to that many tasks, by the input
+    partition they came in, and the few that are left then meet under the key itself.
+    """
+    timed = stream.withWatermark("ts", delay)
+    if spread:
+        salted = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(spread)))
+        timed = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return timed.dropDuplicatesWithinWatermark(list(keys))
 

@@ -38,7 +38,7 @@ def test_separations_match_the_pairwise_definition(spark):
     on, off = (0, 2, 4), (1, 3, 5)
     same = sum(pair_mean(near, a, b) for kind in (on, off) for a in kind for b in kind if a != b)
     whole = features.cadence_latents(latents(spark), 6)
-    got = whole.agg(features.separation_true(whole, 6).alias("t"), features.separation_false(whole, 6).alias("f"))
+    got = whole.agg(features.separation_true(6).alias("t"), features.separation_false(6).alias("f"))
     t, f = got.first()
     assert t == pytest.approx(same + sum(pair_mean(far, a, b) for a in on for b in off))
     assert f == pytest.approx(same + sum(pair_mean(near, a, b) for a in on for b in off))

@@ -95,8 +95,7 @@ def test_tracks_go_where_the_class_says(spark, backgrounds):
         r["cadence_id"]: np.array(r["obs_cells"]).reshape(FULL.stacked_rows, FULL.width)
         for r in backgrounds.collect()
     }
-    by_index = {r[0]: r[1] for r in generation.index_backgrounds(backgrounds).collect()}
-    order = {idx: cid for cid, idx in by_index.items()}
+    order = {r["background_idx"]: r["cadence_id"] for r in generation.index_backgrounds(backgrounds).collect()}
     plan = generation.class_plan(samples(spark), F.lit(120), 100)
     params = generation.draw_params(plan, FULL, seed=3, par=PAR).where("split_set = 'concatenated'").collect()
     got = cells_of(batch(spark, backgrounds))

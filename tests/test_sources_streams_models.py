@@ -120,10 +120,11 @@ def test_stream_series_equals_batch(spark, split_events, tmp_path):
     assert key(stored) == key(batch)
 
 
-def test_stream_dedup_across_batches(spark, split_events, tmp_path):
+@pytest.mark.parametrize("spread", [0, 4])
+def test_stream_dedup_across_batches(spark, split_events, tmp_path, spread):
     folder, events = split_events
     cast = lambda: one_file_at_a_time(spark, folder, events.schema)
-    once = streams.dedup(cast().unionByName(cast()), ("ts", "event_id"), delay="1 hour")
+    once = streams.dedup(cast().unionByName(cast()), ("ts", "event_id"), delay="1 hour", spread=spread)
     streams.drain(streams.ingest(once, str(tmp_path / "out"), str(tmp_path / "cp"), once=True))
     assert rows(spark.read.parquet(str(tmp_path / "out")), "event_id") == rows(events, "event_id")
 
