@@ -35,11 +35,20 @@ def is_inf(x: Column) -> Column:
 
 
 def has_nan(xs: Column) -> Column:
-    return F.exists(xs, F.isnan)
+    """NaN sorts above every number, so the compiled ``array_max`` finds it."""
+    return F.coalesce(F.isnan(F.array_max(xs)), F.lit(False))
 
 
 def has_inf(xs: Column) -> Column:
-    return F.exists(xs, is_inf)
+    """From the extremes; only a row whose maximum is NaN is searched cell by cell."""
+    extremes = (F.array_max(xs) == math.inf) | (F.array_min(xs) == -math.inf)
+    return F.when(has_nan(xs), F.exists(xs, is_inf)).otherwise(F.coalesce(extremes, F.lit(False)))
+
+
+def not_finite(xs: Column) -> Column:
+    """Any NaN or infinity."""
+    finite = (F.array_max(xs) < math.inf) & (F.array_min(xs) > -math.inf)
+    return F.coalesce(~finite, F.lit(False))
 
 
 def block_mean(cells: Column, n_out: int, factor: int) -> Column:

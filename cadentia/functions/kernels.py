@@ -66,6 +66,15 @@ def log_norm_kernel():
     return log_norm
 
 
+def valid_means(matrix: np.ndarray, n_obs: int, factor: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows (whole cadences) are valid, and the block means of those that are,
+    one row per observation."""
+    valid = np.isfinite(matrix).all(axis=1) & (matrix.max(axis=1) > 0)
+    shape = (valid.sum() * n_obs, matrix.shape[1] // n_obs // factor, factor)
+    means = matrix[valid].reshape(shape).mean(axis=2, dtype=np.float64)
+    return valid, means.astype(np.float32)
+
+
 def load_kernel(n_obs: int, factor: int):
     """Whole cadence -> its downsampled observations, or null if it is not valid."""
 
@@ -74,10 +83,20 @@ def load_kernel(n_obs: int, factor: int):
         matrix = to_matrix(cells)
         if not len(matrix):
             return pa.array([], pa.list_(pa.list_(pa.float32())))
-        valid = np.isfinite(matrix).all(axis=1) & (matrix.max(axis=1) > 0)
-        means = matrix[valid].reshape(valid.sum() * n_obs, -1, factor).mean(axis=2, dtype=np.float64)
-        flat = to_lists(means.astype(np.float32), pa.float32())
+        valid, means = valid_means(matrix, n_obs, factor)
+        flat = to_lists(means, pa.float32())
         ends = np.concatenate([[0], np.cumsum(valid * n_obs)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array(~valid))
 
     return load
+
+
+def row_sum_kernel():
+    """Sum of each row's cells."""
+
+    @F.arrow_udf("double")
+    def row_sum(cells: pa.Array) -> pa.Array:
+        matrix = to_matrix(cells)
+        return pa.array(matrix.sum(axis=1, dtype=np.float64) if len(matrix) else [], pa.float64())
+
+    return row_sum

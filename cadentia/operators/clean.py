@@ -196,7 +196,7 @@ def load_cadence_rows(rows: DataFrame, geo: Geometry, *, engine: str | None = No
         loaded = kernels.load_kernel(geo.n_obs, geo.factor)(cells)
     else:
         n = geo.cells_per_obs
-        ok = ~arrays.has_nan(cells) & ~arrays.has_inf(cells) & (F.array_max(cells) > 0)
+        ok = ~arrays.not_finite(cells) & (F.array_max(cells) > 0)
         means = F.transform(
             arrays.steps(geo.n_obs),
             lambda o: arrays.block_mean(F.slice(cells, o * n + 1, n), n // geo.factor, geo.factor),
@@ -223,7 +223,7 @@ def load_backgrounds(obs: DataFrame, geo: Geometry, *, engine: str | None = None
 
     cells = F.col("cells")
     flagged = obs.withColumn(
-        "_bad", arrays.has_nan(cells) | arrays.has_inf(cells)
+        "_bad", arrays.not_finite(cells)
     ).withColumn("_top", F.array_max(cells))
     small = downsample(flagged, geo, engine=engine)
     carried = (

@@ -234,10 +234,12 @@ def _build_expr(geo: Geometry) -> Column:
 
 
 KERNEL_CELLS = 1 << 20
-TASK_BYTES = 256 << 20
+TASK_BYTES = 64 << 20
+# exp() below this is too small to show beside the logarithm's 1e-10, and slow (denormal)
+EXPONENT_FLOOR = -700.0
 
 
-def _build_kernel(geo: Geometry):
+def _build_kernel(geo: Geometry, precision: str):
     """The same sample construction on Arrow batches, about a million cells at a time."""
     rows, width, size = geo.stacked_rows, geo.width, geo.stacked_rows * geo.width
     rate = geo.time_resolution_s / geo.freq_resolution_hz
@@ -254,13 +256,19 @@ def _build_kernel(geo: Geometry):
             for name in ("start_bin", "drift_hz_s", "width_hz")
         )
         sigma = width_hz / (FWHM_PER_SIGMA * geo.freq_resolution_hz)
-        offset = freq - (start + drift * rate * time[:, None])
+        profile = freq - (start + drift * rate * time[:, None])
+        profile *= profile
+        profile /= -2.0 * sigma * sigma
+        np.exp(np.maximum(profile, EXPONENT_FLOOR, out=profile), out=profile)
         level = snr[has] * block[has].std(axis=(1, 2)) / math.sqrt(rows)
+        profile *= level[:, None, None]
         out = block.copy()
-        out[has] += level[:, None, None] * np.exp(-(offset * offset) / (2.0 * sigma * sigma))
+        out[has] += profile
         return out
 
-    @F.arrow_udf("array<array<double>>")
+    value = pa.float32() if precision == "float" else pa.float64()
+
+    @F.arrow_udf(f"array<array<{precision}>>")
     def build(
         cells: pa.Array, kind: pa.Array, snr: pa.Array, second: pa.Array, one: pa.Array, two: pa.Array
     ) -> pa.Array:
@@ -275,10 +283,10 @@ def _build_kernel(geo: Geometry):
             on_only = np.array([k == CLASSES[2] for k in kind.slice(lo, step).to_pylist()])
             off = np.where(on_only[:, None, None], base, first)
             chosen = np.where(on_rows, on, off).reshape(-1, geo.cells_per_obs)
-            parts.append(kernels.log_norm_matrix(chosen))
+            parts.append(kernels.log_norm_matrix(chosen).astype(value.to_pandas_dtype(), copy=False))
         if not parts:
-            return pa.array([], pa.list_(pa.list_(pa.float64())))
-        flat = kernels.to_lists(np.concatenate(parts), pa.float64())
+            return pa.array([], pa.list_(pa.list_(value)))
+        flat = kernels.to_lists(np.concatenate(parts), value)
         offsets = pa.array(np.arange(len(cells) + 1) * geo.n_obs, pa.int32())
         return pa.ListArray.from_arrays(offsets, flat)
 
@@ -299,6 +307,7 @@ def build_samples(
     par: Injection = Injection(),
     engine: str | None = None,
     partitions: int | None = None,
+    precision: str = "double",
 ) -> DataFrame:
     """Parameters + assembled backgrounds -> log-normalised observations.
 
@@ -317,13 +326,15 @@ def build_samples(
     if partitions:
         picked, payload = picked.repartition(partitions, *key), payload.hint("merge")
     rows = picked.join(payload, key).withColumn("dynamic_range", F.lit(par.dynamic_range))
+    if precision not in ("float", "double"):
+        raise ValueError("precision is float or double")
     if geo.wide if engine is None else engine == "arrow":
-        built = _build_kernel(geo)(
+        built = _build_kernel(geo, precision)(
             F.flatten("obs_cells"), F.col("class"), F.col("snr"), F.col("dynamic_range"),
             F.col("track1"), F.col("track2"),
         )
     else:
-        built = _build_expr(geo)
+        built = _build_expr(geo).cast(f"array<array<{precision}>>")
     keep = [c for c in ("split_set", "round_idx", "chunk") if c in params.columns]
     finished = rows.select(*keep, "class", "sample_idx", "background_idx", built.alias("obs_cells"))
     return explode_observations(finished)
@@ -337,6 +348,7 @@ def generate_batch(
     seed: int,
     par: Injection = Injection(),
     engine: str | None = None,
+    precision: str = "double",
     augmenters: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
 ) -> DataFrame:
     """The balanced ``concatenated`` / ``true`` / ``false`` sets as one long table.
@@ -347,17 +359,23 @@ def generate_batch(
     n = samples.count()
     params = draw_params(class_plan(samples, F.lit(n), par.chunk_size), geo, seed=seed, par=par)
     parts = generation_partitions(samples.sparkSession, n * len(SPLIT_SETS), geo)
-    built = build_samples(params, backgrounds, geo, par=par, engine=engine, partitions=parts)
+    built = build_samples(
+        params, backgrounds, geo, par=par, engine=engine, partitions=parts, precision=precision
+    )
     for kind, fn in (augmenters or {}).items():
         built = built.where(F.col("class") != kind).unionByName(fn(built.where(F.col("class") == kind)))
     return built
 
 
 def write_batch(batch: DataFrame, path: str) -> None:
-    """Generated rows in float precision, one folder per set."""
+    """Generated rows in float precision, one folder per set.
+
+    Cells hardly repeat, so building a dictionary of them would only cost time.
+    """
     stored = batch.withColumn("cells", F.col("cells").cast("array<float>"))
     by = [c for c in ("round_idx", "split_set") if c in batch.columns]
-    stored.write.mode("overwrite").partitionBy(*by).parquet(path)
+    writer = stored.write.mode("overwrite").partitionBy(*by)
+    writer.option("parquet.enable.dictionary#cells.list.element", "false").parquet(path)
 
 
 def aligned_triples(main: DataFrame, true: DataFrame, false: DataFrame, by=("sample_idx", "obs")) -> DataFrame:

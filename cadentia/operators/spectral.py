@@ -79,19 +79,21 @@ def dataset_summary(cadences: DataFrame, value: str = "obs_cells") -> DataFrame:
     )
 
 
-def range_check(samples: DataFrame, by: str = "split_set") -> DataFrame:
+def range_check(samples: DataFrame, by: str = "split_set", *, engine: str = "expr") -> DataFrame:
     """Per set: extremes, mean, NaN and Inf rows, and whether all cells lie in [0, 1].
 
-    NaN is tested on its own: it compares as greater than every number.
+    NaN is tested on its own: it compares as greater than every number. Wide rows are
+    summed faster with ``engine="arrow"``.
     """
     c = F.col("cells")
+    total = kernels.row_sum_kernel()(c) if engine == "arrow" else arrays.array_sum(c)
     per_row = samples.select(
         by,
         arrays.has_nan(c).alias("_nan"),
         arrays.has_inf(c).alias("_inf"),
         F.array_min(c).alias("_lo"),
         F.array_max(c).alias("_hi"),
-        arrays.array_sum(c).alias("_sum"),
+        total.alias("_sum"),
         F.size(c).cast("bigint").alias("_n"),
     )
     stats = per_row.groupBy(by).agg(

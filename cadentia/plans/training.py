@@ -14,7 +14,7 @@ from cadentia.ml import embed, forest
 from cadentia.operators import clean, features, generation, indexing
 from cadentia.session import materialise
 from cadentia.settings import Curriculum, ForestParams, Injection, LoadLimits, SplitSizes
-from cadentia.sources.npy import read_npy
+from cadentia.sources.npy import read_backgrounds
 
 
 def load_background_files(
@@ -27,11 +27,14 @@ def load_background_files(
 ) -> DataFrame:
     """Background files -> stored table of valid, downsampled cadences.
 
-    Subset and cap prune before reading; validity and block mean are row-local, so
-    the raw cells are read once and never shuffled. The target counts valid rows.
+    Subset and cap prune before reading; the reader drops invalid cadences and takes
+    the block mean, so raw cells never leave the task that reads them. The target
+    counts valid rows.
     """
-    rows = read_npy(spark, paths, subsets=subsets, rows_per_file=limits.rows_per_file)
-    stored = materialise(clean.load_cadence_rows(rows, geo), "cadences")
+    rows = read_backgrounds(
+        spark, paths, n_obs=geo.n_obs, factor=geo.factor, subsets=subsets, rows_per_file=limits.rows_per_file
+    )
+    stored = materialise(rows, "cadences")
     if stored.isEmpty():
         raise ValueError("no valid background was loaded")
     return clean.first_cadences(stored, limits.target)
@@ -53,7 +56,9 @@ def training_round(
         F.col("id").alias("sample_idx"), F.lit(round_idx).cast("bigint").alias("round_idx")
     )
     staged = generation.with_difficulty(samples, schedule, cur)
-    return generation.generate_batch(staged, backgrounds, geo, seed=seed * cur.total_rounds + round_idx, par=par)
+    return generation.generate_batch(
+        staged, backgrounds, geo, seed=seed * cur.total_rounds + round_idx, par=par, precision="float"
+    )
 
 
 def train_and_validation(batch: DataFrame, n_samples: int, sizes: SplitSizes = SplitSizes()) -> DataFrame:

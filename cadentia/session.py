@@ -15,6 +15,9 @@ DEFAULTS = {
     # a raw observation is 256 KB: bound Arrow batches by bytes, not by row count
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a few folders per task (sets, tables) are written side by side, without sorting
+    # the wide rows by folder first
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     # do not capture a Python call site for every column expression
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

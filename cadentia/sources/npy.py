@@ -18,6 +18,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from cadentia.functions.kernels import valid_means
+
 BATCH_BYTES = 32 << 20
 
 
@@ -88,28 +90,61 @@ class SpectrogramReader(DataSourceReader):
             ]
         return splits
 
-    def read(self, split: RowRange) -> Iterator[pa.RecordBatch]:
+    def blocks(self, split: RowRange) -> Iterator[tuple[int, np.ndarray, tuple[int, ...]]]:
+        """First row, cells of some consecutive rows, and the shape of one row."""
         shape, dtype, start = _header(split.path)
         per_row = int(np.prod(shape[1:]))
-        system, inner = _open(split.path)
-        name = split.path.rsplit("/", 1)[-1]
         row_bytes = per_row * dtype.itemsize
-        rows_per_batch = max(1, BATCH_BYTES // row_bytes)
+        rows = max(1, BATCH_BYTES // row_bytes)
+        system, inner = _open(split.path)
         with system.open_input_file(inner) as f:
-            for lo in range(split.lo, split.hi, rows_per_batch):
-                n = min(rows_per_batch, split.hi - lo)
+            for lo in range(split.lo, split.hi, rows):
+                n = min(rows, split.hi - lo)
                 f.seek(start + lo * row_bytes)
-                cells = np.frombuffer(f.read(n * row_bytes), dtype).reshape(n, per_row)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * n),
-                        pa.array(np.arange(lo, lo + n)),
-                        pa.array([str(list(shape[1:]))] * n),
-                        pa.array([dtype.name] * n),
-                        _list_array(cells),
-                    ],
-                    names=["source_file", "row_idx", "shape", "dtype", "cells"],
-                )
+                yield lo, np.frombuffer(f.read(n * row_bytes), dtype).reshape(n, per_row), shape[1:]
+
+    def read(self, split: RowRange) -> Iterator[pa.RecordBatch]:
+        name = split.path.rsplit("/", 1)[-1]
+        for lo, cells, row_shape in self.blocks(split):
+            n = len(cells)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([name] * n),
+                    pa.array(np.arange(lo, lo + n)),
+                    pa.array([str(list(row_shape))] * n),
+                    pa.array([cells.dtype.name] * n),
+                    _list_array(cells),
+                ],
+                names=["source_file", "row_idx", "shape", "dtype", "cells"],
+            )
+
+
+class BackgroundReader(SpectrogramReader):
+    """Rows are whole cadences; yields the valid ones, downsampled.
+
+    The reduction happens before a row leaves the reader: an eighth of the cells
+    (by the default factor) reaches Spark, and none of an invalid cadence.
+    """
+
+    def __init__(self, options: Mapping[str, str]):
+        super().__init__(options)
+        self.n_obs, self.factor = int(options["nObs"]), int(options["factor"])
+
+    def read(self, split: RowRange) -> Iterator[pa.RecordBatch]:
+        name, n_obs, factor = split.path.rsplit("/", 1)[-1], self.n_obs, self.factor
+        for lo, cells, row_shape in self.blocks(split):
+            if row_shape[0] != n_obs or row_shape[-1] % factor:
+                raise ValueError(f"{split.path}: a row of shape {row_shape} is not a cadence")
+            valid, means = valid_means(cells, n_obs, factor)
+            offsets = pa.array(np.arange(valid.sum() + 1) * n_obs, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([name] * int(valid.sum())),
+                    pa.array(lo + np.flatnonzero(valid)),
+                    pa.ListArray.from_arrays(offsets, _list_array(means)),
+                ],
+                names=["source_file", "row_idx", "obs_cells"],
+            )
 
 
 class SpectrogramSource(DataSource):
@@ -124,29 +159,70 @@ class SpectrogramSource(DataSource):
         return SpectrogramReader(self.options)
 
 
+class BackgroundSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "spectrogram_backgrounds"
+
+    def schema(self) -> str:
+        return "source_file string, row_idx bigint, obs_cells array<array<float>>"
+
+    def reader(self, schema) -> BackgroundReader:
+        return BackgroundReader(self.options)
+
+
+def _load(spark: SparkSession, source: type[DataSource], paths: list[str], options: dict) -> DataFrame:
+    spark.dataSource.register(source)
+    reader = spark.read.format(source.name()).option("paths", json.dumps(list(paths)))
+    for key, value in options.items():
+        if value is not None:
+            reader = reader.option(key, value)
+    return reader.load()
+
+
+RowRanges = Mapping[str, tuple[int | None, int | None]]
+
+
 def read_npy(
     spark: SparkSession,
     paths: list[str],
     *,
-    subsets: Mapping[str, tuple[int | None, int | None]] | None = None,
+    subsets: RowRanges | None = None,
     rows_per_file: int | None = None,
     rows_per_split: int = 64,
 ) -> DataFrame:
     """One row per first-axis entry of each file, ``cells`` flattened row-major.
 
-    A row of a background file is a whole cadence. ``subsets`` and ``rows_per_file``
-    prune before anything is read.
+    ``subsets`` (half-open row ranges by file name) and ``rows_per_file``, applied
+    after them, prune before anything is read.
     """
-    spark.dataSource.register(SpectrogramSource)
-    reader = (
-        spark.read.format("spectrogram_npy")
-        .option("paths", json.dumps(list(paths)))
-        .option("subsets", json.dumps(dict(subsets or {})))
-        .option("rowsPerSplit", rows_per_split)
-    )
-    if rows_per_file is not None:
-        reader = reader.option("rowsPerFile", rows_per_file)
-    return reader.load()
+    options = {
+        "subsets": json.dumps(dict(subsets or {})),
+        "rowsPerFile": rows_per_file,
+        "rowsPerSplit": rows_per_split,
+    }
+    return _load(spark, SpectrogramSource, paths, options)
+
+
+def read_backgrounds(
+    spark: SparkSession,
+    paths: list[str],
+    *,
+    n_obs: int,
+    factor: int,
+    subsets: RowRanges | None = None,
+    rows_per_file: int | None = None,
+    rows_per_split: int = 64,
+) -> DataFrame:
+    """Valid cadences of background files, downsampled while reading."""
+    options = {
+        "subsets": json.dumps(dict(subsets or {})),
+        "rowsPerFile": rows_per_file,
+        "rowsPerSplit": rows_per_split,
+        "nObs": n_obs,
+        "factor": factor,
+    }
+    return _load(spark, BackgroundSource, paths, options)
 
 
 class ChannelRange(InputPartition):
@@ -224,9 +300,5 @@ def read_snippets(
     step = int(size * (1 - overlap))
     if step < 1:
         raise ValueError("overlap leaves no step between snippets")
-    spark.dataSource.register(SnippetSource)
-    reader = spark.read.format("spectrogram_snippets").option("paths", json.dumps(list(paths)))
     options = {"size": size, "step": step, "factor": factor, "snippetsPerSplit": snippets_per_split}
-    for key, value in options.items():
-        reader = reader.option(key, value)
-    return reader.load()
+    return _load(spark, SnippetSource, paths, options)

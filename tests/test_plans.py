@@ -57,6 +57,8 @@ def test_nothing_valid_is_an_error(spark, tmp_path):
     np.save(tmp_path / "z.npy", np.zeros((3, 6, 4, 32), np.float32))
     with pytest.raises(ValueError):
         training.load_background_files(spark, [str(tmp_path / "z.npy")], RAW)
+    for engine in ("expr", "arrow"):
+        assert clean.load_cadence_rows(read_npy(spark, [str(tmp_path / "z.npy")]), RAW, engine=engine).count() == 0
 
 
 def test_train_and_evaluate(spark, background_files):
