@@ -17,18 +17,25 @@ from pyspark.sql import functions as F
 PRIME = 2147483647
 
 
-def hashed_int_sql(id_: str, draw: str | int, seed: str | int) -> str:
-    """Integer in ``[0, PRIME)``."""
-    x1 = f"(({id_}) * 48271L + ({draw}) * 69621L + ({seed}) * 16807L + 12345L) % {PRIME}L"
-    x2 = f"(a * a + ({draw}) * 7919L + 1L) % {PRIME}L"
-    x3 = f"(b * 48271L + a) % {PRIME}L"
-    x4 = f"(c * c + c + ({draw})) % {PRIME}L"
-    return let_sql("a", x1, let_sql("b", x2, let_sql("c", x3, x4)))
-
-
-def uniform_sql(id_: str, draw: str | int, seed: str | int) -> str:
+def hashed_int_sql(id_: str, draw: str | int, seed: str | int, *, bind: bool = False) -> str:
+    """Integer in ``[0, PRIME)``.
+
+    As a column this is plain arithmetic, which compiles; inside a lambda, where
+    everything is interpreted, ``bind`` keeps a step that is used twice from being
+    computed twice.
+    """
+    x1 = f"((({id_}) * 48271L + ({draw}) * 69621L + ({seed}) * 16807L + 12345L) % {PRIME}L)"
+    x2 = lambda a: f"(({a} * {a} + ({draw}) * 7919L + 1L) % {PRIME}L)"
+    x3 = lambda a, b: f"(({b} * 48271L + {a}) % {PRIME}L)"
+    x4 = lambda c: f"(({c} * {c} + {c} + ({draw})) % {PRIME}L)"
+    if bind:
+        return let_sql("a", x1, let_sql("b", x2("a"), let_sql("c", x3("a", "b"), x4("c"))))
+    return x4(x3(x1, x2(x1)))
+
+
+def uniform_sql(id_: str, draw: str | int, seed: str | int, *, bind: bool = False) -> str:
     """Double in ``[0, 1)``."""
-    return f"({hashed_int_sql(id_, draw, seed)} / {PRIME}D)"
+    return f"({hashed_int_sql(id_, draw, seed, bind=bind)} / {PRIME}D)"
 
 
 def let_sql(name: str, value: str, body: str) -> str:

@@ -77,29 +77,52 @@ def set_seed_sql(seed: int) -> str:
     return f"({seed * len(SPLIT_SETS)}L + case split_set {numbers} end)"
 
 
-def track_sql(id_: str, seed: str, first_draw: str | int, geo: Geometry, par: Injection = Injection()) -> str:
-    """Parameters of one drifting track, as a struct.
+def _track_terms(u: Callable[[int], str], geo: Geometry, par: Injection) -> tuple[dict, str, str, dict]:
+    """SQL of a track's four draws, of its slope ``s``, drift ``r`` and final fields.
 
     The track leaves the band after the cadence's last row; slope noise is added in
     physical units only, so ``slope_pixel`` and ``intercept`` stay noise-free.
     """
     total, width = geo.stacked_rows, geo.width
-    u = lambda k: uniform_sql(id_, f"{first_draw} + {k}", seed)
-    drawn = f"""named_struct(
-        'start', cast(floor({u(0)} * {width - 1}) + 1 as bigint),
-        'dir', if({u(1)} < 0.5D, -1L, 1L),
-        'noise', {u(2)} * {par.slope_noise}D,
-        'base', {u(3)} * {par.width_hz}D)"""
+    drawn = {
+        "start": f"cast(floor({u(0)} * {width - 1}) + 1 as bigint)",
+        "dir": f"if({u(1)} < 0.5D, -1L, 1L)",
+        "noise": f"{u(2)} * {par.slope_noise}D",
+        "base": f"{u(3)} * {par.width_hz}D",
+    }
     slope = f"{float(total)}D / if(d.dir > 0, d.start, d.start - {width}L)"
     drift = f"-1D / (s * {geo.time_resolution_s / geo.freq_resolution_hz!r}D + d.dir * d.noise)"
-    track = f"""named_struct(
-        'start_bin', d.start,
-        'direction', d.dir,
-        'slope_pixel', s,
-        'drift_hz_s', r,
-        'width_hz', d.base + abs(r) * {par.width_per_drift}D,
-        'intercept', {float(total)}D - s * d.start)"""
-    return let_sql("d", drawn, let_sql("s", slope, let_sql("r", drift, track)))
+    fields = {
+        "start_bin": "d.start",
+        "direction": "d.dir",
+        "slope_pixel": "s",
+        "drift_hz_s": "r",
+        "width_hz": f"d.base + abs(r) * {par.width_per_drift}D",
+        "intercept": f"{float(total)}D - s * d.start",
+    }
+    return drawn, slope, drift, fields
+
+
+def _struct_sql(fields: dict[str, str]) -> str:
+    return f"named_struct({', '.join(f'{name!r}, {value}' for name, value in fields.items())})"
+
+
+def track_sql(id_: str, seed: str, first_draw: str | int, geo: Geometry, par: Injection = Injection()) -> str:
+    """Parameters of one drifting track as one expression, for use inside lambdas."""
+    u = lambda k: uniform_sql(id_, f"{first_draw} + {k}", seed, bind=True)
+    drawn, slope, drift, fields = _track_terms(u, geo, par)
+    return let_sql("d", _struct_sql(drawn), let_sql("s", slope, let_sql("r", drift, _struct_sql(fields))))
+
+
+def with_track(
+    df: DataFrame, id_: str, seed: str, geo: Geometry, par: Injection = Injection(), *, into: str
+) -> DataFrame:
+    """The same track as a column, built up in steps so that all of it compiles."""
+    u = lambda k: uniform_sql(id_, FIRST_TRACK_DRAW + k, seed)
+    drawn, slope, drift, fields = _track_terms(u, geo, par)
+    steps = df.selectExpr("*", f"{_struct_sql(drawn)} as d")
+    steps = steps.selectExpr("*", f"{slope} as s").selectExpr("*", f"{drift} as r")
+    return steps.selectExpr(*df.columns, f"{_struct_sql(fields)} as {into}")
 
 
 def apart_sql(first: str, second: str, geo: Geometry, *, reversed_axis: bool = False) -> str:
@@ -151,15 +174,15 @@ def draw_params(
     """
     base = "snr_base" if "snr_base" in plan.columns else f"{float(par.snr_base)}D"
     span = "snr_range" if "snr_range" in plan.columns else f"{float(par.snr_range)}D"
-    single = track_sql("sample_idx", "_seed", FIRST_TRACK_DRAW, geo, par)
     pair = track_pair_sql("sample_idx", "_seed", geo, par, reversed_axis=reversed_axis)
     tracks = f"""case
         when class = '{CLASSES[3]}' then {pair}
         when class <> '{CLASSES[0]}' then cast(
-            named_struct('draw_no', 0L, 'rfi', {single}, 'eti', cast(null as {TRACK_TYPE})) as {PAIR_TYPE})
+            named_struct('draw_no', 0L, 'rfi', _single, 'eti', cast(null as {TRACK_TYPE})) as {PAIR_TYPE})
         end"""
+    seeded = plan.selectExpr("*", f"{set_seed_sql(seed)} as _seed")
     return (
-        plan.selectExpr("*", f"{set_seed_sql(seed)} as _seed")
+        with_track(seeded, "sample_idx", "_seed", geo, par, into="_single")
         .selectExpr(
             "*",
             f"{uniform_sql('sample_idx', BACKGROUND_DRAW, '_seed')} as background_u",
@@ -167,7 +190,7 @@ def draw_params(
             f"{tracks} as _t",
         )
         .selectExpr("*", "_t.rfi as track1", "_t.eti as track2")
-        .drop("_t", "_seed")
+        .drop("_t", "_seed", "_single")
     )
 
 

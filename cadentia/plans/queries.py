@@ -637,11 +637,9 @@ def class_plan(spark, sf_dir):
 def augment_tracks(spark, sf_dir):
     """One track through all six observations of each valid cadence, not normalised."""
     whole = fx.backgrounds(spark, sf_dir)
-    track = generation.track_sql("cadence_id", str(SEED), generation.FIRST_TRACK_DRAW, FULL)
     snr = uniform("cadence_id", generation.SNR_DRAW, SEED) * 40.0 + 10.0
-    tracked = whole.select(
-        "cadence_id", F.flatten("obs_cells").alias("cells"), F.expr(track).alias("track"), snr.alias("snr")
-    )
+    stacks = whole.select("cadence_id", F.flatten("obs_cells").alias("cells"), snr.alias("snr"))
+    tracked = generation.with_track(stacks, "cadence_id", str(SEED), FULL, into="track")
     stacked = F.expr(generation.add_track_sql("cells", "track", "snr", FULL))
     return tracked.select("cadence_id", F.posexplode_outer(stacked).alias("cell", "v")).select(
         "cadence_id", F.col("cell").cast("bigint").alias("cell"), r6("v").alias("v")
