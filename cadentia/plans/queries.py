@@ -796,7 +796,7 @@ def tag_parse(spark, sf_dir):
 
 def _event_stream(spark, sf_dir, columns: tuple[str, ...]) -> DataFrame:
     schema = fx.table(spark, sf_dir, "events").schema
-    return streams.read_stream(spark, sf_dir, schema, glob="events.parquet").selectExpr(*columns)
+    return streams.read_stream(spark, f"{sf_dir}/events*.parquet", schema).selectExpr(*columns)
 
 
 @query

@@ -12,14 +12,9 @@ from cadentia.sources.tables import routed
 LIMITS = IngestLimits()
 
 
-def read_stream(spark: SparkSession, folder: str, schema, *, glob: str = "*.parquet") -> DataFrame:
-    """Parquet files arriving in a folder."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", 1000)
-        .parquet(folder)
-    )
+def read_stream(spark: SparkSession, path: str, schema, *, files_per_batch: int = 1000) -> DataFrame:
+    """Parquet files arriving in a folder, or in all that match a pattern."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def _start(writer, *, once: bool) -> StreamingQuery:
