@@ -19,9 +19,12 @@ def _vectors(df: DataFrame) -> DataFrame:
 def fit_forest(labelled: DataFrame, par: ForestParams = ForestParams()) -> PipelineModel:
     """``labelled`` has ``features`` and ``label``.
 
-    Rows are bagged by seed, so no shuffle of the table is needed. Spark limits the
-    depth to 30; deeper trees have to be compared by quality, not tree by tree.
+    The slim feature rows are spread over all cores once, as growing the trees passes
+    over them level by level. Spark limits the depth to 30; deeper trees have to be
+    compared by quality, not tree by tree.
     """
+    cores = labelled.sparkSession.sparkContext.defaultParallelism
+    rows = _vectors(labelled).select("feature_vector", "label").repartition(cores)
     forest = RandomForestClassifier(
         featuresCol="feature_vector",
         labelCol="label",
@@ -32,7 +35,7 @@ def fit_forest(labelled: DataFrame, par: ForestParams = ForestParams()) -> Pipel
         maxMemoryInMB=par.aggregation_mb,
         seed=par.seed,
     )
-    return Pipeline(stages=[forest]).fit(_vectors(labelled))
+    return Pipeline(stages=[forest]).fit(rows)
 
 
 def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
