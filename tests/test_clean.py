@@ -2,7 +2,6 @@ import math
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from cadentia.geometry import Geometry
 from cadentia.operators import clean, spectral
