@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from cadentia.llm.mixing import op7_mixing
 from cadentia.llm.near_dup import op2_minhash_near_dedup
+from cadentia.llm.token_counts import op6_token_counts
+from cadentia.llm.warc import op10_warc_revisits
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op6_token_counts": op6_token_counts,
+    "op7_mixing": op7_mixing,
+    "op10_warc_revisits": op10_warc_revisits,
 }
 
 #: Words of a whole text, A-Z lower-cased, as a list column ``w``.
@@ -34,5 +40,14 @@ reach(doc_id, seen) AS (
 least AS (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
+""",
+    "op10_warc_revisits": """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+last AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS held FROM payloads),
+marked AS (SELECT *, coalesce(payload_bytes >= 1000 AND page_id < held, false) AS again FROM last)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN again THEN held END AS refers_to
+FROM marked
 """,
 }
