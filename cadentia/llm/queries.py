@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cadentia.llm.mixing import op7_mixing
 from cadentia.llm.near_dup import op2_minhash_near_dedup
+from cadentia.llm.rules import op8_quality_rules
 from cadentia.llm.token_counts import op6_token_counts
 from cadentia.llm.warc import op10_warc_revisits
 
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
+    "op8_quality_rules": op8_quality_rules,
     "op10_warc_revisits": op10_warc_revisits,
 }
 
