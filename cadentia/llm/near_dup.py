@@ -33,6 +33,8 @@ LEAST = 85
 LEAST_AGREEING = 39
 #: Classes of one bucket that meet in one task.
 BLOCK = 512
+#: Bits of the map of candidate ids, 8 MB at most.
+MAP_BITS = 1 << 26
 #: Stands for a null doc_id inside the operator; larger than any other, so it names no mixed component.
 _NO_ID = (1 << 63) - 1
 
@@ -61,17 +63,33 @@ def sketches(docs: DataFrame) -> DataFrame:
     return slim.mapInPandas(sketch, _SKETCH)
 
 
-def _bands() -> Column:
-    """Array of ``(band, bucket)``: the bucket is the band's slice of the signature."""
+def _buckets() -> Column:
+    """One key per band: a hash of the band's slice of the signature, the band in its last four bits."""
     width = 4 * ROWS
     return F.array(
         *[
-            F.struct(F.lit(i).alias("band"), F.substring("signature", i * width + 1, width).alias("bucket"))
+            F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)).bitwiseAND(F.lit(~(BANDS - 1))).bitwiseOR(F.lit(i))
             for i in range(BANDS)
         ]
     )
 
 
+def _marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is, or by its hash may be, a wanted one.
+
+    The wanted ids set bits in a map of ``MAP_BITS``, at most ``MAP_BITS / 8`` bytes whatever
+    their number, which is broadcast: so few texts move in the join that follows.
+    """
+    place = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(MAP_BITS)) + 1
+    bits = wanted.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = docs.withColumn("part", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "part")
+    return met.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*docs.columns)
+
+
 def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(id, fp1, shingles)`` of the wanted ids, the sets as sorted arrays."""
 
@@ -91,7 +109,8 @@ def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 )
 
     slim = docs.select(F.coalesce(F.col("doc_id"), F.lit(_NO_ID)).alias("id"), "text")
-    return slim.join(wanted, "id", "left_semi").mapInPandas(sets_of, "id long, fp1 long, shingles array<long>")
+    exact = _marked(slim, wanted).join(wanted, "id", "left_semi").distinct()
+    return exact.mapInPandas(sets_of, "id long, fp1 long, shingles array<long>")
 
 
 def _similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -102,13 +121,13 @@ def _similar(a: np.ndarray, b: np.ndarray) -> bool:
 def _star_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Confirmed links of each class with the smallest class of every bucket it lies in."""
     buckets = (
-        members.groupBy("band", "bucket")
+        members.groupBy("bucket")
         .agg(F.min(F.struct("id", "fp1")).alias("least"), F.count("*").alias("n"))
         .filter("n > 1")
         .drop("n")
     )
     pairs = (
-        members.join(buckets, ["band", "bucket"])
+        members.join(buckets, "bucket")
         .filter("id <> least.id")
         .select(F.col("least.id").alias("a"), F.col("least.fp1").alias("fa"), F.col("id").alias("b"), F.col("fp1").alias("fb"))
         .distinct()
@@ -162,12 +181,12 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
     """Confirmed links between classes of one bucket that the stars left in different components."""
     placed = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = (
-        placed.groupBy("band", "bucket")
+        placed.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter("low <> high")
-        .select("band", "bucket")
+        .select("bucket")
     )
-    apart = materialise(placed.join(split, ["band", "bucket"]), "apart")
+    apart = materialise(placed.join(split, "bucket"), "apart")
     ids = apart.select("id", "fp1").distinct()
     # a link shares at least 85 % of either set: shingles found in no other class of these can't be in it
     loose = sets.join(ids, ["id", "fp1"]).select("id", "fp1", F.explode("shingles").alias("shingle"))
@@ -182,27 +201,27 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
     )
     able = materialise(able.join(sets, ["id", "fp1"]), "able")
     met = apart.join(able.select("id", "fp1"), ["id", "fp1"])
-    sizes = met.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    sizes = met.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
     sizes = sizes.filter("low <> high").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    sizes = materialise(sizes.select("band", "bucket", "blocks", "n"), "sizes")
+    sizes = materialise(sizes.select("bucket", "blocks", "n"), "sizes")
     # small buckets share a task: an own group for each would cost more than its pairs
     tasks = (sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) // (4 * BLOCK) + 1
     sizes = sizes.drop("n")
     mine = F.pmod(F.xxhash64("id", "fp1"), F.col("blocks")).cast("int")
     dealt = (
-        met.join(sizes, ["band", "bucket"])
+        met.join(sizes, "bucket")
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "band", "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+            "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
             "mine", "component", "id", "fp1",
         )
-        .withColumn("task", F.pmod(F.xxhash64("band", "bucket", "i", "j"), F.lit(tasks)))
+        .withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks)))
     )
 
     def confirm(rows: pd.DataFrame) -> pd.DataFrame:
-        blocks = rows.groupby(["band", "bucket", "i", "j"], sort=False).indices
-        found = [pair for (band, _, i, j), at in blocks.items() for pair in confirm_block(rows.iloc[at], band, i, j)]
+        blocks = rows.groupby(["bucket", "i", "j"], sort=False).indices
+        found = [pair for (key, i, j), at in blocks.items() for pair in confirm_block(rows.iloc[at], key % BANDS, i, j)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     def confirm_block(rows: pd.DataFrame, band: int, i: int, j: int) -> list[tuple[int, int]]:
@@ -243,10 +262,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("id").alias("id"), F.first("signature").alias("signature"))
     )
     classes = materialise(classes, "classes")
-    band = classes.select("id", "fp1", F.explode(_bands()).alias("b")).select("id", "fp1", "b.*")
-    crowded = band.groupBy("band", "bucket").count().filter("count > 1").drop("count")
-    members = materialise(band.join(crowded, ["band", "bucket"]), "members")
-    sets = materialise(shingle_table(docs, members.select("id").distinct()).dropDuplicates(["id", "fp1"]), "sets")
+    band = classes.select("id", "fp1", F.explode(_buckets()).alias("bucket"))
+    crowded = band.groupBy("bucket").count().filter("count > 1").drop("count")
+    members = materialise(band.join(crowded, "bucket"), "members")
+    sets = materialise(shingle_table(docs, materialise(members.select("id").distinct(), "wanted")), "sets")
 
     stars = materialise(_star_links(members, sets), "links")
     rest = materialise(_residual_links(members, components(stars), classes, sets), "links")
