@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadentia.llm import shingles as S
@@ -283,5 +283,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates, that of the smallest doc_id; all columns kept.
+
+    Of rows that repeat a doc_id and a text one stays. Rows without a doc_id stay if nothing
+    with one is linked with them, one for each text.
+    """
+    kept = near_duplicates(docs).filter("kept").select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("_dedup_id")).distinct()
+    keyed = docs.withColumn("_dedup_id", F.coalesce("doc_id", F.lit(_NO_ID)))
+    joined = keyed.join(materialise(kept, "kept"), "_dedup_id")
+    again = Window.partitionBy("_dedup_id", F.xxhash64("text")).orderBy(F.lit(0))  # within the join's partitions
+    first = joined.withColumn("_dedup_nth", F.row_number().over(again)).filter("_dedup_nth = 1")
+    return first.select(*docs.columns)
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

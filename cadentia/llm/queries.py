@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from cadentia.llm.mixing import op7_mixing
 from cadentia.llm.near_dup import op2_minhash_near_dedup
+from cadentia.llm.pieces import op5_sentencepiece
+from cadentia.llm.pii import op9_pii_pseudonyms
 from cadentia.llm.rules import op8_quality_rules
 from cadentia.llm.token_counts import op6_token_counts
+from cadentia.llm.toxicity import op4_toxicity
 from cadentia.llm.warc import op10_warc_revisits
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_pii_pseudonyms": op9_pii_pseudonyms,
     "op10_warc_revisits": op10_warc_revisits,
 }
 

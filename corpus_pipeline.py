@@ -1,8 +1,55 @@
-"""Stages of a training-data pipeline over ``documents``."""
+"""A training corpus from ``documents``, stage by stage, each on all that the one before it kept."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cadentia.llm import mixing, near_dup, pieces, pii, rules
+from cadentia.session import materialise
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base test and the learned decision list keep."""
+    return rules.clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dup.deduplicated(docs)
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced in the text."""
+    return pii.pseudonymised(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document: what a training run reads."""
+    ids = docs.select("doc_id", "lang", "source", pieces.encode("text").alias("ids"))
+    return ids.withColumn("n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("pseudonyms", pseudonyms),
+    ("mix", mix),
+    ("encode", encode),
+]
+
+#: The rules are learned and the pieces come from a Viterbi search: SQL can't state the rows.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, lang, source, ids, n_tokens`` of the finished corpus, a row per copy that is taken."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
