@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cadentia.llm.mixing import op7_mixing
 from cadentia.llm.near_dup import op2_minhash_near_dedup
+from cadentia.llm.neighbours import op3_collision_counting
 from cadentia.llm.pieces import op5_sentencepiece
 from cadentia.llm.pii import op9_pii_pseudonyms
 from cadentia.llm.rules import op8_quality_rules
@@ -13,6 +14,7 @@ from cadentia.llm.warc import op10_warc_revisits
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_collision_counting": op3_collision_counting,
     "op4_toxicity": op4_toxicity,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_token_counts": op6_token_counts,
