@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -22,10 +23,13 @@ MARKER = "▁"
 #: What the library subtracts from the least score for a character without a piece.
 UNKNOWN_PENALTY = 10.0
 #: Bytes of text cut and encoded together.
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 20
 #: Different parts that a worker remembers; beyond that it starts anew. Bounds memory, not results.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+#: Rows decoded together.
+DECODED_ROWS = 256
 _NO_SCORE = -np.inf
+_MARKER = MARKER.encode()
 
 
 class DoubleArray:
@@ -132,28 +136,27 @@ class Pieces:
             self.score = -np.log(rank + 2.0)
         # pieces that only spell out single characters may carry a score far below all others
         self.unknown_score = self.score.min() - UNKNOWN_PENALTY if len(normal) else -UNKNOWN_PENALTY
-        self.trie = DoubleArray([names[i].encode() for i in normal])
+        self.trie = DoubleArray([self.written[i] for i in normal])
         # a marker behind another character begins a new part, if no piece holds one there; so
         # does a line end that is in no piece
         local = not any(MARKER in names[i].lstrip(MARKER) for i in normal)
         line = not any("\n" in names[i] for i in normal)
-        self.cut = (
-            re.compile(f"\n|{MARKER}*[^{MARKER}\n]+|{MARKER}+" if line else f"{MARKER}*[^{MARKER}]+|{MARKER}+")
-            if local
-            else re.compile("(?s).+")
-        )
+        if local:
+            self.cut = re.compile(rb"\n| *[^ \n]+| +" if line else rb" *[^ ]+| +")
+        else:
+            self.cut = re.compile(rb"(?s).+")
 
-    def parts(self, text: str) -> list[str]:
-        marked = text.replace(" ", MARKER)
-        return self.cut.findall(MARKER + marked if self.prefix and text else marked)
+    def parts(self, text: bytes) -> list[bytes]:
+        """The text in parts that are encoded alone; spaces stand for markers."""
+        marked = text.replace(_MARKER, b" ")
+        return self.cut.findall(b" " + marked if self.prefix and text else marked)
 
-    def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_parts(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of every part, one after another, and how many each has."""
-        raw = [p.encode() for p in parts]
         data = np.frombuffer(b"".join(raw), np.uint8)
         size = np.array([len(r) for r in raw], np.int64)
         first = np.cumsum(size) - size
-        owner = np.repeat(np.arange(len(parts)), size)
+        owner = np.repeat(np.arange(len(raw)), size)
         starts = np.flatnonzero((data & 0xC0) != 0x80)  # characters
         next_ = np.append(starts[1:], len(data))
         place, end, value = self.trie.matches(data, starts, (first + size)[owner[starts]])
@@ -174,6 +177,8 @@ class Pieces:
         Equal scores keep the path that came first, whose last piece begins first.
         """
         step = begin - first[owner[begin]]
+        if len(step) and step.max() < 1 << 16:
+            step = step.astype(np.uint16)  # sorted by radix
         order = np.argsort(step, kind="stable")
         cuts = np.searchsorted(step[order], np.arange(int(step.max()) + 2)) if len(step) else []
         # the end of a part is not the start of the next one
@@ -226,23 +231,23 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[bytes, int] = {}
         self.ids, self.first, self.size = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and how many each has."""
         if len(self.place) > REMEMBERED:
             self._forget()
         cut = [self.pieces.parts(t) if t else [] for t in texts]
-        new = list({p for parts in cut for p in parts}.difference(self.place))
+        new = list(set(chain.from_iterable(cut)).difference(self.place))
         if new:
             ids, size = self.pieces.encode_parts(new)
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
             self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
             self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, ids])
         known = self.place.__getitem__
-        where = np.fromiter((known(p) for parts in cut for p in parts), np.int64)
         n = np.array([len(parts) for parts in cut], np.int64)
+        where = np.fromiter(map(known, chain.from_iterable(cut)), np.int64, int(n.sum()))
         width = self.size[where]
         per_text = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(n)])]
         return _gather(self.ids, self.first[where], width), np.diff(per_text)
@@ -250,21 +255,21 @@ class Encoder:
 
 def _gather(values: np.ndarray, first: np.ndarray, width: np.ndarray) -> np.ndarray:
     """``values[first:first + width]`` of every row, one after another."""
-    at = np.repeat(first - (np.cumsum(width) - width), width)
-    at += np.arange(len(at))
+    at = np.repeat((first - (np.cumsum(width) - width)).astype(np.int32), width)
+    at += np.arange(len(at), dtype=np.int32)
     return values[at]
 
 
-def _decode(pieces: Pieces, ids: np.ndarray, size: np.ndarray) -> list[str]:
+def _decode(pieces: Pieces, ids: np.ndarray, size: np.ndarray) -> list[bytes]:
     table = np.frombuffer(b"".join(pieces.written), np.uint8)
     width = np.array([len(w) for w in pieces.written], np.int64)
     first = np.cumsum(width) - width
-    data = _gather(table, first[ids], width[ids]).tobytes()
-    cuts = np.concatenate([[0], np.cumsum(width[ids])])[np.concatenate([[0], np.cumsum(size)])].tolist()
+    width = width[ids]
+    data = _gather(table, first[ids], width).tobytes()
+    cuts = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(size)])].tolist()
     lead = 1 if pieces.prefix else 0
     return [
-        data[a + lead if data[a : a + lead] == b" " else a : b].decode(errors="replace")
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+        data[a + lead if data[a : a + lead] == b" " else a : b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)
     ]
 
 
@@ -278,9 +283,10 @@ def _encoder(vocabulary: str, scores: str) -> Encoder:
     return Encoder(_pieces(vocabulary, scores))
 
 
-def _by_bytes(texts: list[str]) -> Iterator[list[str]]:
+def _by_bytes(batch: pa.Array) -> Iterator[list[bytes | None]]:
     out, total = [], 0
-    for text in texts:
+    for item in batch.cast(pa.binary()):
+        text = item.as_py()
         out.append(text)
         total += len(text or "")
         if total >= BATCH_BYTES:
@@ -300,14 +306,33 @@ def encode(text: Column | str, vocabulary: str = VOCABULARY, scores: str = "auto
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(vocabulary, scores)
         for batch in batches:
-            found = [encoder.encode(texts) for texts in _by_bytes(batch.to_pylist())]
-            size = np.concatenate([[0], *[s for _, s in found]])
-            flat = np.concatenate([np.empty(0, np.int32), *[i for i, _ in found]])
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum(size), pa.int32()), pa.array(flat, pa.int32()))
+            yield _lists([encoder.encode(texts) for texts in _by_bytes(batch)])
 
     return ids(F.col(text) if isinstance(text, str) else text)
 
 
+def _lists(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+    size = np.concatenate([[0], *[s for _, s in found]])
+    flat = np.concatenate([np.empty(0, np.int32), *[i for i, _ in found]])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(size), pa.int32()), pa.array(flat, pa.int32()))
+
+
+def _checked(text: Column | str, vocabulary: str, scores: str) -> Column:
+    """Struct of the ids of a text and whether they decode to it: both in one visit to the worker."""
+
+    @F.arrow_udf("struct<ids: array<int>, round_trip: boolean>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = _encoder(vocabulary, scores)
+        for batch in batches:
+            found, same = [], []
+            for texts in _by_bytes(batch):
+                found.append(encoder.encode(texts))
+                same += [a == (b or b"") for a, b in zip(_decode(encoder.pieces, *found[-1]), texts, strict=True)]
+            yield pa.StructArray.from_arrays([_lists(found), pa.array(same, pa.bool_())], ["ids", "round_trip"])
+
+    return both(F.col(text) if isinstance(text, str) else text)
+
+
 def decode(ids: Column | str, vocabulary: str = VOCABULARY) -> Column:
     """The text of a column of piece ids: markers become spaces, byte pieces their bytes.
 
@@ -319,11 +344,13 @@ def decode(ids: Column | str, vocabulary: str = VOCABULARY) -> Column:
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = _pieces(vocabulary, "auto")
         for batch in batches:
-            size = np.array([len(x) if x is not None else 0 for x in batch.to_pylist()], np.int64) if batch.null_count else (
-                np.diff(batch.offsets.to_numpy())
-            )
-            flat = batch.flatten().to_numpy(zero_copy_only=False)
-            yield pa.array(_decode(pieces, flat, size), pa.string())
+            out: list[str] = []
+            for at in range(0, len(batch), DECODED_ROWS):
+                part = batch.slice(at, DECODED_ROWS)
+                size = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                found = _decode(pieces, part.flatten().to_numpy(zero_copy_only=False), size)
+                out += [raw.decode(errors="replace") for raw in found]
+            yield pa.array(out, pa.string())
 
     return text(F.col(ids) if isinstance(ids, str) else ids)
 
@@ -334,14 +361,8 @@ def encoded(docs: DataFrame, vocabulary: str = VOCABULARY, scores: str = "auto")
     ``round_trip`` says that decoding gives the text again (a null one as empty). Repeated rows
     and null ids are kept as they are; other columns are not looked at.
     """
-    found = docs.select("doc_id", "text", encode("text", vocabulary, scores).alias("ids"))
-    found = found.withColumn("decoded", decode("ids", vocabulary))
-    return found.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
-    )
+    found = docs.select("doc_id", _checked("text", vocabulary, scores).alias("found"))
+    return found.select("doc_id", F.size("found.ids").cast("long").alias("n_tokens"), "found.ids", "found.round_trip")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
