@@ -23,9 +23,9 @@ WEIGHTS = (3, 1, 2)
 SHARE, MOST_COPIES = 1.5, 2
 SEED = 20240607
 #: Documents of a source that are paired in one block, and residuals of blocks in one of the next level.
-BLOCK, FAN_IN = 4096, 64
+BLOCK, FAN_IN = 1024, 64
 #: Blocks per task: many small sources share one.
-BLOCKS_PER_TASK = 16
+BLOCKS_PER_TASK = 4
 
 def size_of(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cadentia.llm.extraction import op1_html_extraction
 from cadentia.llm.mixing import op7_mixing
 from cadentia.llm.near_dup import op2_minhash_near_dedup
 from cadentia.llm.neighbours import op3_collision_counting
@@ -13,6 +14,7 @@ from cadentia.llm.toxicity import op4_toxicity
 from cadentia.llm.warc import op10_warc_revisits
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_collision_counting": op3_collision_counting,
     "op4_toxicity": op4_toxicity,
