@@ -1,13 +1,8 @@
-import random
-
 import pytest
 
-LONG_WORDS = 30_000
-
+from llm.prose import prose
 
-def prose(seed: int, n: int) -> str:
-    r = random.Random(seed)
-    return " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 8))) for _ in range(n))
+LONG_WORDS = 30_000
 
 
 @pytest.fixture(scope="session")
