@@ -27,13 +27,13 @@ WINDOW = 16
 #: words, or one repeated, say less than a full window.
 LEAST_GRAMS = 256
 #: Labelled rows of either class that the model is fitted on, and the longest of them in bytes.
-SAMPLE, SAMPLE_BYTES = 2000, 100_000
+SAMPLE, SAMPLE_BYTES = 1500, 20_000
 PASSES, RATE, DECAY = 90, 0.06, 2e-6
 #: Windows of a text that training looks at, the most toxic ones, chosen again every few passes.
 DECIDING, CHOICE = 2, 5
 THRESHOLD = 0.7
 SEED = 7
-_BATCH = 1 << 20
+_BATCH = 1 << 18
 _CODE = mix64(np.arange(1, 257, dtype=np.uint64))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -159,13 +159,19 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = SEED) -> Model:
             chosen = _deciding(random.random(len(owner)), owner, 4 * DECIDING)
         elif step % CHOICE == 0:
             per_gram = embedding @ (softmax[:, 1] - softmax[:, 0])
-            total = np.concatenate([[0.0], np.cumsum(per_gram[grams])])
-            chosen = _deciding(np.diff(total[cuts]) / width, owner, DECIDING)
+            logit = np.empty(len(owner))
+            for a in range(0, len(owner), 4096):  # a slice of windows at a time bounds memory
+                b = min(a + 4096, len(owner))
+                total = np.concatenate([[0.0], np.cumsum(per_gram[grams[cuts[a] : cuts[b]]])])
+                logit[a:b] = np.diff(total[cuts[a : b + 1] - cuts[a]]) / width[a:b]
+            chosen = _deciding(logit, owner, DECIDING)
         if step == 1 or step % CHOICE == 0:
             ids, first = _rows_of(grams, cuts, chosen)
         n = np.diff(first)
-        mean = np.add.reduceat(np.vstack([embedding[ids], np.zeros((1, DIMENSIONS))]), first[:-1], axis=0)
-        mean = np.where(n[:, None] > 0, mean, 0.0) / np.maximum(n, LEAST_GRAMS)[:, None]
+        mean = np.empty((len(n), DIMENSIONS))
+        for d in range(DIMENSIONS):
+            mean[:, d] = np.diff(np.concatenate([[0.0], np.cumsum(embedding[:, d][ids])])[first])
+        mean /= np.maximum(n, LEAST_GRAMS)[:, None]
         scores = mean @ softmax + bias
         scores -= scores.max(axis=1, keepdims=True)
         p = np.exp(scores)
@@ -175,9 +181,8 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = SEED) -> Model:
         loss[np.arange(len(chosen)), toxic[owner[chosen]].astype(int)] -= 1.0
         loss *= (balance[owner[chosen]] / share[owner[chosen]])[:, None] * len(texts)
         pull = loss @ softmax.T / np.maximum(n, LEAST_GRAMS)[:, None]
-        spread = np.repeat(pull, n, axis=0)
         grads = [
-            np.stack([np.bincount(ids, weights=spread[:, d], minlength=buckets) for d in range(DIMENSIONS)], axis=1),
+            np.stack([np.bincount(ids, np.repeat(pull[:, d], n), buckets) for d in range(DIMENSIONS)], axis=1),
             mean.T @ loss,
             loss.sum(axis=0),
         ]
