@@ -45,11 +45,6 @@ class Geometry:
         """Time rows of the whole cadence when its observations are stacked."""
         return self.n_obs * self.time_bins
 
-    @property
-    def wide(self) -> bool:
-        """Rows this long are cheaper in an Arrow kernel than in interpreted lambdas."""
-        return self.cells_per_obs >= 2048
-
     def downsampled(self) -> Geometry:
         """Shape after the block mean (resolutions stay those of the raw grid)."""
         return replace(self, width=self.out_width, factor=1)

@@ -193,7 +193,7 @@ def load_cadence_rows(rows: DataFrame, geo: Geometry, *, engine: str | None = No
     them; the result has ``source_file, row_idx, obs_cells``.
     """
     cells = F.col("cells")
-    if geo.wide if engine is None else engine == "arrow":
+    if engine == "arrow":
         loaded = kernels.load_kernel(geo.n_obs, geo.factor)(cells)
     else:
         n = geo.cells_per_obs

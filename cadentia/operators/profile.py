@@ -28,42 +28,35 @@ def sample_rows(files: DataFrame, max_rows: int = SAMPLE_ROWS) -> DataFrame:
     )
 
 
-def file_profile(rows: DataFrame, max_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Extremes and mean of a few evenly spaced rows of each file, and its full size.
+def file_profile(rows: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Extremes and mean of all rows of each file, and its full size, in one aggregation.
 
-    ``rows`` has ``file, row_idx, shape, dtype, cells``. The sampled positions, a few
-    per file, are stored and joined on ``(file, row_idx)``: the cells stay where they
-    are, and a file with a third of all rows is still spread out. The mean is the mean
-    of row means.
+    ``rows`` has ``file, shape, dtype, cells``. The mean is the mean of row means. With
+    ``max_rows`` only so many evenly spaced rows of each file are looked at (``rows``
+    then needs ``row_idx``): their positions, a few per file, are joined on ``(file,
+    row_idx)``, so the cells stay where they are.
     """
-    files = rows.groupBy("file").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("shape").alias("shape"), F.min("dtype").alias("dtype")
-    )
-    files = materialise(files, "files")
-    positions = materialise(sample_rows(files, max_rows), "positions")
-    sampled = rows.select("file", "row_idx", "cells").join(positions, ["file", "row_idx"], "left_semi")
-    stats = (
-        sampled.select(
-            "file",
-            F.array_min("cells").alias("_lo"),
-            F.array_max("cells").alias("_hi"),
-            (array_sum(F.col("cells")) / F.size("cells")).alias("_mean"),
-        )
-        .groupBy("file")
-        .agg(
-            F.count(F.lit(1)).alias("sampled_rows"),
-            F.min("_lo").alias("sample_min"),
-            F.max("_hi").alias("sample_max"),
-            F.avg("_mean").alias("sample_mean"),
-        )
+    whole = (F.count(F.lit(1)).alias("n_rows"), F.min("shape").alias("shape"), F.min("dtype").alias("dtype"))
+    of_cells = (
+        F.count(F.lit(1)).alias("sampled_rows"),
+        F.min(F.array_min("cells")).alias("sample_min"),
+        F.max(F.array_max("cells")).alias("sample_max"),
+        F.avg(array_sum(F.col("cells")) / F.size("cells")).alias("sample_mean"),
     )
+    if max_rows is None:
+        profiles = rows.groupBy("file").agg(*whole, *of_cells)
+    else:
+        files = materialise(rows.groupBy("file").agg(*whole), "files")
+        positions = materialise(sample_rows(files, max_rows), "positions")
+        sampled = rows.join(positions, ["file", "row_idx"], "left_semi")
+        profiles = files.join(sampled.groupBy("file").agg(*of_cells), "file")
     per_row = F.aggregate(
         F.transform(F.split(F.regexp_replace("shape", r"[\[\] ]", ""), ","), lambda s: s.cast("bigint")),
         F.lit(1).cast("bigint"),
         lambda a, b: a * b,
     )
     item = F.when(F.col("dtype") == "float64", FLOAT_BYTES["float64"]).otherwise(FLOAT_BYTES["float32"])
-    return files.join(stats, "file").withColumn("expected_bytes", F.col("n_rows") * per_row * item)
+    return profiles.withColumn("expected_bytes", F.col("n_rows") * per_row * item)
 
 
 def profile_consistency(profiles: DataFrame) -> DataFrame:

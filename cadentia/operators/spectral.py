@@ -9,17 +9,18 @@ from cadentia.functions import arrays, kernels
 from cadentia.geometry import Geometry
 
 
-def _use_arrow(geo: Geometry, engine: str | None) -> bool:
+def _use_arrow(engine: str | None) -> bool:
+    """Expressions unless the caller asks for the kernel; never by the size of a row."""
     if engine not in (None, "expr", "arrow"):
         raise ValueError(f"unknown engine {engine!r}")
-    return geo.wide if engine is None else engine == "arrow"
+    return engine == "arrow"
 
 
 def downsample(obs: DataFrame, geo: Geometry, *, engine: str | None = None) -> DataFrame:
     """Block mean along frequency, per time row."""
     if geo.factor == 1:
         return obs
-    if _use_arrow(geo, engine):
+    if _use_arrow(engine):
         return obs.withColumn("cells", kernels.block_mean_kernel(geo.factor)(F.col("cells")))
     n_out = geo.cells_per_obs // geo.factor
     return obs.withColumn("cells", arrays.block_mean(F.col("cells"), n_out, geo.factor))
@@ -27,7 +28,7 @@ def downsample(obs: DataFrame, geo: Geometry, *, engine: str | None = None) -> D
 
 def log_normalise(obs: DataFrame, geo: Geometry, *, engine: str | None = None) -> DataFrame:
     """Each observation to [0, 1] on a log scale."""
-    if _use_arrow(geo, engine):
+    if _use_arrow(engine):
         return obs.withColumn("cells", kernels.log_norm_kernel()(F.col("cells")))
     return obs.withColumn("cells", arrays.log_norm(F.col("cells")))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,57 +47,35 @@ def plateau(
 
     An epoch improves if its loss is below ``best * (1 - min_improvement)``; after
     ``patience`` epochs without one the rate shrinks, down to a floor at which the
-    state freezes. A round is a fold over its epochs in order. It is bounded by
-    ``epochs_per_round``: an epoch outside that range or given twice is an error.
+    state freezes. A round is a run over its epochs in order, of slim rows and in linear
+    time; rounds run side by side. An epoch below 0 or given twice is an error.
     """
-    epoch = F.col("epoch")
-    in_range = F.when((epoch >= 0) & (epoch < par.epochs_per_round), F.col("val_loss")).otherwise(
-        F.raise_error(F.lit("epoch lies outside the round")).cast("double")
-    )
-    # one row per epoch first, so that no round can gather more than its epochs
     unique = (
-        losses.select(*keys, "epoch", in_range.alias("_loss"))
+        losses.select(*keys, F.col("epoch").cast("bigint").alias("epoch"), F.col("val_loss").cast("double").alias("val_loss"))
         .groupBy(*keys, "epoch")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_loss").alias("_loss"))
-        .withColumn(
-            "_loss",
-            F.when(F.col("_n") == 1, F.col("_loss")).otherwise(
-                F.raise_error(F.lit("an epoch has two losses")).cast("double")
-            ),
-        )
-    )
-    ordered = unique.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("epoch", F.col("_loss").alias("loss")))).alias("_epochs")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("val_loss").alias("val_loss"))
     )
-    state = "struct<best:double,misses:int,lr:double>"
-    start = F.struct(
-        F.lit(float("inf")).alias("best"), F.lit(0).alias("misses"), F.lit(par.base_lr).alias("lr")
-    ).cast(state)
-
-    def step(s: Column, loss: Column) -> Column:
-        better = loss < s["best"] * (1 - par.min_improvement)
-        misses = F.when(better, 0).otherwise(s["misses"] + 1)
-        shrink = misses >= par.patience
-        lower = F.greatest(s["lr"] * (1 - par.reduction), F.lit(par.min_lr))
-        moved = F.struct(
-            F.when(better, loss).otherwise(s["best"]).alias("best"),
-            F.when(shrink, 0).otherwise(misses).alias("misses"),
-            F.when(shrink, lower).otherwise(s["lr"]).alias("lr"),
-        ).cast(state)
-        return F.when(s["lr"] <= par.min_lr, s).otherwise(moved)
-
-    def fold(acc: Column, e: Column) -> Column:
-        return F.concat(acc, F.array(step(F.element_at(acc, -1), e["loss"])))
-
-    states = F.aggregate("_epochs", F.array(start), fold)
-    steps = F.arrays_zip(F.col("_epochs").alias("e"), F.slice(states, F.lit(2), F.size("_epochs")).alias("s"))
-    return ordered.select(*keys, F.explode_outer(steps).alias("_x")).select(
-        *keys,
-        F.col("_x.e.epoch").alias("epoch"),
-        F.col("_x.e.loss").alias("val_loss"),
-        F.col("_x.s.misses").cast("bigint").alias("misses"),
-        F.col("_x.s.lr").alias("lr"),
+    fault = F.when(F.col("epoch") < 0, F.lit("epoch lies outside the round")).when(
+        F.col("_n") > 1, F.lit("an epoch has two losses")
     )
+    checked = unique.withColumn(
+        "val_loss", F.when(fault.isNull(), F.col("val_loss")).otherwise(F.raise_error(fault).cast("double"))
+    ).drop("_n")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("epoch")
+        best, misses, lr, trace = float("inf"), 0, par.base_lr, []
+        for loss in rows["val_loss"].to_numpy():
+            if lr > par.min_lr:
+                better = loss < best * (1 - par.min_improvement)
+                best, misses = (loss, 0) if better else (best, misses + 1)
+                if misses >= par.patience:
+                    lr, misses = max(lr * (1 - par.reduction), par.min_lr), 0
+            trace.append((misses, lr))
+        return rows.assign(misses=[m for m, _ in trace], lr=[r for _, r in trace])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in checked.schema)
+    return checked.groupBy(*keys).applyInPandas(run, f"{schema}, misses bigint, lr double")
 
 
 def parse_artifacts(registry: DataFrame, path: str = "path") -> DataFrame:

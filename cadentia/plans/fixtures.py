@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from cadentia.functions.hashing import let_sql
 from cadentia.geometry import Geometry
 from cadentia.operators.clean import load_backgrounds
-from cadentia.operators.indexing import dense_index
 
 # 64 embedding values as 4 time rows of 16 channels
 OBS_GEOMETRY = Geometry(n_obs=6, time_bins=4, width=16, factor=4)
@@ -102,9 +101,9 @@ def latents(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "embeddings").selectExpr(
         "vec_id div 6 as cadence_id",
         "vec_id % 6 as obs",
-        "cast(slice(embedding, 1, 8) as array<double>) as z",
-        "cast(slice(embedding, 9, 8) as array<double>) as log_var",
-        "cast(slice(embedding, 17, 8) as array<double>) as eps",
+        "cast(embedding as array<double>) as z",
+        "cast(reverse(embedding) as array<double>) as log_var",
+        "cast(concat(slice(embedding, 33, 32), slice(embedding, 1, 32)) as array<double>) as eps",
         "label",
     )
 
@@ -237,15 +236,15 @@ def weights(spark, sf_dir) -> DataFrame:
 
 
 def file_rows(spark, sf_dir) -> DataFrame:
-    """Rows of four files, one per language; the rank inside a file is its row number."""
-    docs = table(spark, sf_dir, "documents").selectExpr(
+    """Rows of four files, one per language; a row's cells are the sizes of its text."""
+    return table(spark, sf_dir, "documents").selectExpr(
         "lang as file",
         "doc_id",
         "if(lang = 'fr', '[6, 16, 512]', '[6, 16, 4096]') as shape",
         "if(lang = 'es', 'float64', 'float32') as dtype",
-        "array(double(n_chars), double(doc_id)) as cells",
-    )
-    return dense_index(docs, "doc_id", major=["file"], restart=True, into="row_idx").drop("doc_id")
+        """array(double(coalesce(char_length(text), 0)), double(coalesce(octet_length(text), 0)),
+            double(n_chars), double(doc_id)) as cells""",
+    ).drop("doc_id")
 
 
 def predictions(spark, sf_dir) -> DataFrame:

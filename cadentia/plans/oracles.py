@@ -90,9 +90,9 @@ DIGEST = f"""count(*) AS n_cells, {r('min(v)')} AS lo, {r('max(v)')} AS hi, {r('
 
 LATENTS = """z AS (
   SELECT vec_id // 6 AS cadence_id, vec_id % 6 AS obs, label, d,
-    CAST(embedding[d + 1] AS DOUBLE) AS m, CAST(embedding[d + 9] AS DOUBLE) AS lv,
-    CAST(embedding[d + 17] AS DOUBLE) AS e
-  FROM embeddings, (SELECT CAST(range AS BIGINT) AS d FROM range(8)))""", """whole AS (
+    CAST(embedding[d + 1] AS DOUBLE) AS m, CAST(embedding[64 - d] AS DOUBLE) AS lv,
+    CAST(embedding[(d + 32) % 64 + 1] AS DOUBLE) AS e
+  FROM embeddings, (SELECT CAST(range AS BIGINT) AS d FROM range(64)))""", """whole AS (
   SELECT cadence_id, max(CASE WHEN obs = 0 THEN label END) < 5 AS is_true FROM z
   GROUP BY cadence_id HAVING count(DISTINCT obs) = 6)""", """pairs AS (
   SELECT a.cadence_id, a.obs AS obs_a, b.obs AS obs_b, any_value(w.is_true) AS is_true,
@@ -174,7 +174,7 @@ ORACLES["scan_file_cap"] = with_(_OBS, """sub AS (
   SELECT * FROM o WHERE (source_file = 'file_0' AND row_idx >= 5 AND row_idx < 20)
     OR (source_file = 'file_1' AND row_idx < 15) OR (source_file = 'file_2' AND row_idx >= 10))""") + """
 SELECT source_file, row_idx, cadence_id, obs FROM (
-  SELECT *, dense_rank() OVER (PARTITION BY source_file ORDER BY row_idx) AS n FROM sub) WHERE n <= 12"""
+  SELECT *, dense_rank() OVER (PARTITION BY source_file ORDER BY row_idx) AS n FROM sub) WHERE n <= (SELECT count(DISTINCT cadence_id) // 7 FROM o)"""
 
 ORACLES["complete_cadences"] = """
 SELECT printf('/cadences/cadence_%04d_obs_%d.npy', vec_id // 6, vec_id % 6) AS path,
@@ -233,7 +233,7 @@ UNION ALL SELECT event_id // 40 AS epoch, 'learning_rate' AS series, {r('min(val
 
 ORACLES["utilisation_pct"] = f"""
 SELECT event_id AS id, {r('CASE WHEN event_id % 3 > 0 THEN value / ((event_id % 3) * 500) * 100 ELSE 0 END')} AS percent
-FROM events WHERE event_type = 'view'"""
+FROM events"""
 
 # --- joins ---------------------------------------------------------------------------
 
@@ -315,22 +315,15 @@ SELECT (SELECT count(*) FROM events) AS system_resources_row_count,
   (SELECT {r('min(epoch_us(ts)) / 1e6')} FROM events) AS min_timestamp,
   (SELECT {r('max(epoch_us(ts)) / 1e6')} FROM events) AS max_timestamp"""
 
-_PROFILE = """ranks AS (
-  SELECT lang AS file, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS row_idx,
-    CAST(n_chars AS DOUBLE) AS a, CAST(doc_id AS DOUBLE) AS b FROM documents)""", """sizes AS (
-  SELECT file, count(*) AS n_rows, least(count(*), 50) AS m,
-    CASE WHEN file = 'fr' THEN '[6, 16, 512]' ELSE '[6, 16, 4096]' END AS shape,
-    CASE WHEN file = 'es' THEN 'float64' ELSE 'float32' END AS dtype FROM ranks GROUP BY file)""", """picks AS (
-  SELECT DISTINCT file, CASE WHEN m = 1 THEN 0 WHEN k = m - 1 THEN n_rows - 1
-    ELSE CAST(floor(k * (CAST(n_rows - 1 AS DOUBLE) / (m - 1))) AS BIGINT) END AS row_idx
-  FROM sizes, (SELECT range AS k FROM range(50)) WHERE k < m)""", """profiles AS (
-  SELECT s.file, any_value(n_rows) AS n_rows, any_value(shape) AS shape, any_value(dtype) AS dtype,
-    count(*) AS sampled_rows, min(least(a, b)) AS sample_min, max(greatest(a, b)) AS sample_max,
-    avg((a + b) / 2) AS sample_mean,
-    CAST(any_value(n_rows) * 96 * CASE WHEN any_value(shape) = '[6, 16, 512]' THEN 512 ELSE 4096 END
-      * CASE WHEN any_value(dtype) = 'float64' THEN 8 ELSE 4 END AS BIGINT) AS expected_bytes
-  FROM sizes s JOIN picks p ON s.file = p.file JOIN ranks r ON r.file = p.file AND r.row_idx = p.row_idx
-  GROUP BY s.file)"""
+_PROFILE = ("""cells AS (
+  SELECT lang AS file, CAST(coalesce(length(text), 0) AS DOUBLE) AS a, CAST(coalesce(strlen(text), 0) AS DOUBLE) AS b,
+    CAST(n_chars AS DOUBLE) AS c, CAST(doc_id AS DOUBLE) AS d FROM documents)""", """profiles AS (
+  SELECT file, count(*) AS n_rows, CASE WHEN file = 'fr' THEN '[6, 16, 512]' ELSE '[6, 16, 4096]' END AS shape,
+    CASE WHEN file = 'es' THEN 'float64' ELSE 'float32' END AS dtype, count(*) AS sampled_rows,
+    min(least(a, b, c, d)) AS sample_min, max(greatest(a, b, c, d)) AS sample_max, avg((a + b + c + d) / 4) AS sample_mean,
+    CAST(count(*) * 96 * CASE WHEN file = 'fr' THEN 512 ELSE 4096 END * CASE WHEN file = 'es' THEN 8 ELSE 4 END
+      AS BIGINT) AS expected_bytes
+  FROM cells GROUP BY file)""")
 ORACLES["file_profile"] = with_(*_PROFILE) + f"""
 SELECT file, n_rows, shape, dtype, sampled_rows, {r('sample_min')} AS sample_min, {r('sample_max')} AS sample_max,
   {r('sample_mean')} AS sample_mean, expected_bytes FROM profiles"""
@@ -376,7 +369,7 @@ ORACLES["batch_assign"] = with_(_EVENT_INDEX) + """
 SELECT event_id, idx, idx // 2048 AS step, (idx % 2048) // 128 AS micro_step FROM e"""
 
 ORACLES["epoch_shuffle"] = f"""
-SELECT event_id, row_number() OVER (ORDER BY {hashed('event_id', 3, 11)}, event_id) - 1 AS shuffle_pos FROM events"""
+SELECT event_id, row_number() OVER (ORDER BY {hashed('event_id', 3, 11)}, {hashed('event_id', 3, 12)}, event_id) - 1 AS shuffle_pos FROM events"""
 
 _PROGRESS = "((event_id % 20) / CAST(19 AS DOUBLE))"
 ORACLES["difficulty_schedule"] = f"""
@@ -428,7 +421,7 @@ ORACLES["detections_ranked"] = ORACLES["combine_bands"] = (
 
 ORACLES["target_limit"] = with_(CELLS, VALID, _OBS) + """
 SELECT cadence_id, obs, source_file, row_idx FROM o
-WHERE cadence_id IN (SELECT cadence_id FROM valid ORDER BY source_file, row_idx LIMIT 40)"""
+WHERE cadence_id IN (SELECT cadence_id FROM valid ORDER BY source_file, row_idx LIMIT (SELECT count(DISTINCT cadence_id) // 2 FROM o))"""
 
 ORACLES["labelled_union"] = with_(*LATENTS[:2]) + f"""
 SELECT cadence_id, CASE WHEN is_true THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, {r('sum(m)')} AS total
@@ -595,7 +588,7 @@ SELECT cadence_id, i AS cell, {r(f'v + snr * s / sqrt(24) * {profile(1)}')} AS v
 # --- features, models, scoring -------------------------------------------------------
 
 ORACLES["cadence_features"] = with_(*LATENTS[:2]) + f"""
-SELECT cadence_id, obs * 8 + d AS feature, {r('m')} AS v FROM z WHERE cadence_id IN (SELECT cadence_id FROM whole)"""
+SELECT cadence_id, obs * 64 + d AS feature, {r('m')} AS v FROM z WHERE cadence_id IN (SELECT cadence_id FROM whole)"""
 
 ORACLES["batch_score"] = f"""
 SELECT vec_id, {r('sum(CAST(x AS DOUBLE) * i) / 64')} AS p FROM (

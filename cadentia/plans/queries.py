@@ -112,7 +112,10 @@ def scan_row_subset(spark, sf_dir):
 
 @query
 def scan_file_cap(spark, sf_dir):
-    kept = clean.row_subset(fx.observations(spark, sf_dir), SUBSETS, rows_per_file=12)
+    """The cap is the operator's feature; here it follows the size of the table."""
+    obs = fx.observations(spark, sf_dir)
+    cap = obs.select("cadence_id").distinct().count() // 7
+    kept = clean.row_subset(obs, SUBSETS, rows_per_file=cap)
     return kept.select("source_file", "row_idx", "cadence_id", "obs")
 
 
@@ -231,9 +234,8 @@ def history_long(spark, sf_dir):
 
 @query
 def utilisation_pct(spark, sf_dir):
-    gpu = fx.telemetry(spark, sf_dir).where(F.col("resource_type") == "gpu")
     total = (F.col("id") % 3) * 500
-    return gpu.select("id", r6(telemetry.percent_of(F.col("value"), total)).alias("percent"))
+    return fx.telemetry(spark, sf_dir).select("id", r6(telemetry.percent_of(F.col("value"), total)).alias("percent"))
 
 
 # --- joins -----------------------------------------------------------------------
@@ -572,7 +574,10 @@ def detections_ranked(spark, sf_dir):
 
 @query
 def target_limit(spark, sf_dir):
-    kept = clean.limit_cadences(fx.observations(spark, sf_dir), 40, GEO)
+    """The first half of the cadences: a limit that follows the size of the table."""
+    obs = fx.observations(spark, sf_dir)
+    half = obs.select("cadence_id").distinct().count() // 2
+    kept = clean.limit_cadences(obs, half, GEO)
     return kept.select("cadence_id", "obs", "source_file", "row_idx")
 
 
@@ -819,30 +824,46 @@ def stream_route(spark, sf_dir):
 TIMED_COLUMNS = tuple("cast(ts as timestamp) as ts" if c == "ts" else c for c in fx.TELEMETRY_COLUMNS)
 
 
+def _newest_first(spark, sf_dir, columns: tuple[str, ...], root: str) -> DataFrame:
+    """The events as a stream of files, the newest first and one to a micro-batch."""
+    rows = fx.table(spark, sf_dir, "events").selectExpr(*columns)
+    whole = fx.table(spark, sf_dir, "events")
+    last = whole.agg(F.max("event_id")).first()[0] or 0
+    arrival = F.floor((last - F.col("event_id")) * ARRIVALS / F.lit(last + 1)).cast("int")
+    folder = f"{root}/arrivals"
+    whole.withColumn("arrival", arrival).repartition("arrival").write.partitionBy("arrival").parquet(folder)
+    stream = streams.read_stream(spark, f"{folder}/arrival=*", whole.schema, files_per_batch=1)
+    return stream.selectExpr(*columns).select(*rows.columns)
+
+
+ARRIVALS = 3
+
+
 @query
 def stream_series(spark, sf_dir):
     root = scratch_dir(spark, "series")
-    series = streams.metric_series(_event_stream(spark, sf_dir, TIMED_COLUMNS))
-    streams.drain(streams.upsert(series, f"{root}/data", f"{root}/checkpoint", once=True))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.schema)
-    keys = ("window_start", "resource_type", "resource_name")
-    return rounded(streams.latest(spark, f"{root}/data", schema, keys), "mean_value", "max_value")
+    rows = _newest_first(spark, sf_dir, TIMED_COLUMNS, root)
+    streams.drain(streams.write_series(rows, f"{root}/data", f"{root}/checkpoint", once=True))
+    return rounded(streams.metric_series(spark, f"{root}/data"), "mean_value", "max_value")
 
 
 @query
 def stream_dedup(spark, sf_dir):
-    """Two hosts' overlapping streams, each row kept once."""
+    """Two hosts' overlapping streams, the newest rows first, each kept once."""
     root = scratch_dir(spark, "dedup")
-    both = _event_stream(spark, sf_dir, TIMED_COLUMNS).unionByName(_event_stream(spark, sf_dir, TIMED_COLUMNS))
-    once = streams.dedup(both, ("ts", "resource_type", "resource_name", "tag"), spread=4)
-    streams.drain(streams.ingest(once, f"{root}/data", f"{root}/checkpoint", once=True))
-    stored = spark.read.schema(once.schema).parquet(f"{root}/data")
+    both = _newest_first(spark, sf_dir, TIMED_COLUMNS, f"{root}/a").unionByName(
+        _event_stream(spark, sf_dir, TIMED_COLUMNS)
+    )
+    keys = ("ts", "resource_type", "resource_name", "tag")
+    streams.drain(streams.dedup(both, f"{root}/data", f"{root}/checkpoint", keys, once=True))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in both.schema)
+    stored = streams.deduplicated(spark, f"{root}/data", schema)
     return rounded(stored, "ts_unix").select("id", "ts_unix", "resource_type", "resource_name", "value", "tag")
 
 
 @query
 def stream_plateau(spark, sf_dir):
     root = scratch_dir(spark, "plateau")
-    rows = stream_state.stream_plateau(_event_stream(spark, sf_dir, fx.LOSS_COLUMNS), Plateau())
-    streams.drain(streams.ingest(rows, f"{root}/data", f"{root}/checkpoint", once=True))
-    return spark.read.schema(rows.schema).parquet(f"{root}/data").withColumn("lr", F.round("lr", 12))
+    rows = _newest_first(spark, sf_dir, fx.LOSS_COLUMNS, root)
+    streams.drain(stream_state.write_plateau(rows, f"{root}/data", f"{root}/checkpoint", once=True))
+    return stream_state.stream_plateau(spark, f"{root}/data").withColumn("lr", F.round("lr", 12))

@@ -19,13 +19,15 @@ class DetectionRule:
 
 @dataclass(frozen=True)
 class LoadLimits:
+    """What a caller may leave out of a load; by default everything is loaded."""
+
     chunk_size: int = 5000
-    chunks_per_file: int = 1
-    target: int = 15000
+    chunks_per_file: int | None = None
+    target: int | None = None
 
     @property
-    def rows_per_file(self) -> int:
-        return self.chunk_size * self.chunks_per_file
+    def rows_per_file(self) -> int | None:
+        return None if self.chunks_per_file is None else self.chunk_size * self.chunks_per_file
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,6 @@ class Plateau:
     min_improvement: float = 0.001
     patience: int = 3
     reduction: float = 0.2
-    epochs_per_round: int = 100
 
 
 @dataclass(frozen=True)
@@ -68,7 +69,7 @@ class ForestParams:
     feature_subset: str = "sqrt"
     bootstrap: bool = True
     seed: int = 11
-    max_depth: int = 10
+    max_depth: int = 30
     # room for more nodes per pass over the data, so fewer passes
     aggregation_mb: int = 1024
 
@@ -89,4 +90,3 @@ class Injection:
 @dataclass(frozen=True)
 class IngestLimits:
     interval_seconds: float = 5.0
-    rows_per_flush: int = 100

@@ -1,54 +1,43 @@
-"""The plateau rule as streaming state, one state per training round."""
+"""The plateau rule over losses that arrive as a stream, in any order."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
+from cadentia.operators.tracking import plateau
 from cadentia.settings import Plateau
+from cadentia.streaming.telemetry import _ddl, _per_batch, _stored
 
+KEYS = ("tag", "round")
 OUTPUT = "tag string, round bigint, epoch bigint, val_loss double, misses bigint, lr double"
-STATE = "best double, misses bigint, lr double"
 
 
-def stream_plateau(losses: DataFrame, par: Plateau = Plateau()) -> DataFrame:
-    """Learning rate after each epoch as its loss arrives (``tag, round, epoch, val_loss``).
+def write_plateau(
+    losses: DataFrame, path: str, checkpoint: str, par: Plateau = Plateau(), *, once: bool = False
+) -> StreamingQuery:
+    """Stores each batch's losses (``tag, round, epoch, val_loss``) and follows the rounds it touches anew.
 
-    The state of a round is three numbers. Epochs of one micro-batch are taken in
-    order; a round has at most ``epochs_per_round`` of them.
+    The stored losses are the state, so an epoch may come before those that precede it. The
+    rule itself is the batch operator's.
     """
 
-    def advance(
-        key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        best, misses, lr = state.get if state.exists else (float("inf"), 0, par.base_lr)
-        parts, rows = [], 0
-        for chunk in chunks:
-            parts.append(chunk)
-            rows += len(chunk)
-            if rows > par.epochs_per_round:
-                raise ValueError(f"round {key} has more than {par.epochs_per_round} epochs")
-        epochs = pd.concat(parts).sort_values("epoch")
-        trace = []
-        for loss in epochs["val_loss"]:
-            if lr > par.min_lr:
-                if loss < best * (1 - par.min_improvement):
-                    best, misses = loss, 0
-                else:
-                    misses += 1
-                if misses >= par.patience:
-                    lr, misses = max(lr * (1 - par.reduction), par.min_lr), 0
-            trace.append((misses, lr))
-        state.update((float(best), int(misses), float(lr)))
-        yield epochs[["tag", "round", "epoch", "val_loss"]].assign(
-            misses=[m for m, _ in trace], lr=[r for _, r in trace]
-        )
-
-    rows = losses.select("tag", "round", "epoch", F.col("val_loss").cast("double"))
-    return rows.groupBy("tag", "round").applyInPandasWithState(
-        advance, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.select(*KEYS, "epoch", F.col("val_loss").cast("double").alias("val_loss"))
+        rows.write.mode("overwrite").parquet(f"{path}/losses/batch_id={batch_id}")
+        stored = _stored(spark, f"{path}/losses", _ddl(rows, "batch_id bigint")).where(F.col("batch_id") <= batch_id)
+        touched = stored.where(F.col("batch_id") == batch_id).select(*KEYS).distinct()
+        followed = plateau(stored.join(touched, list(KEYS), "left_semi").drop("batch_id"), par)
+        followed.write.mode("overwrite").parquet(f"{path}/trace/batch_id={batch_id}")
+
+    return _per_batch(losses, write, checkpoint, once)
+
+
+def stream_plateau(spark: SparkSession, path: str) -> DataFrame:
+    """Learning rate after each epoch that has arrived so far: the newest trace of every round."""
+    traces = _stored(spark, f"{path}/trace", f"{OUTPUT}, batch_id bigint")
+    rest = [c for c in traces.columns if c not in (*KEYS, "epoch", "batch_id")]
+    newest = traces.groupBy(*KEYS, "epoch").agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
+    return newest.select(*KEYS, "epoch", "_row.*")

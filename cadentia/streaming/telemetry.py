@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -60,68 +62,85 @@ def route(stream: DataFrame, path: str, checkpoint: str, *, once: bool = False)
     return _start(writer, once=once)
 
 
-def metric_series(stream: DataFrame, *, window: str = "1 minute", delay: str = "10 minutes") -> DataFrame:
-    """Mean, maximum and count per minute, type and name. ``ts`` is a TIMESTAMP."""
-    return (
-        stream.withWatermark("ts", delay)
-        .groupBy(F.window("ts", window).alias("_w"), "resource_type", "resource_name")
-        .agg(
-            F.avg("value").alias("mean_value"),
-            F.max("value").alias("max_value"),
-            F.count(F.lit(1)).alias("samples"),
-        )
-        .select(
-            F.unix_timestamp("_w.start").alias("window_start"),
-            "resource_type",
-            "resource_name",
-            "mean_value",
-            "max_value",
-            "samples",
-        )
-    )
+def _per_batch(stream: DataFrame, write, checkpoint: str, once: bool) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _start(writer, once=once)
+
 
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What earlier batches wrote below ``path``; nothing, before the first of them."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
-def upsert(stream: DataFrame, path: str, checkpoint: str, *, once: bool = False) -> StreamingQuery:
-    """Changed rows of an aggregate, one folder per batch; read with :func:`latest`.
 
-    In update mode windows still open when the stream ends are written too, while the
-    watermark keeps the state bounded.
+def _ddl(df: DataFrame, *more: str) -> str:
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), *more])
+
+
+SERIES_KEYS = ("window_start", "resource_type", "resource_name")
+
+
+def write_series(
+    stream: DataFrame, path: str, checkpoint: str, *, seconds: int = 60, once: bool = False
+) -> StreamingQuery:
+    """Partial sums per window, type and name, a set of them for each micro-batch.
+
+    Partials merge in any order, so there is no watermark, no state, and no row is too late.
+    A batch that runs again overwrites its own partials. ``stream`` has a TIMESTAMP ``ts``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        start = F.expr(f"unix_timestamp(ts) - pmod(unix_timestamp(ts), {seconds})")
+        partial = batch.groupBy(start.alias("window_start"), "resource_type", "resource_name").agg(
+            F.sum("value").alias("total"), F.max("value").alias("max_value"), F.count("value").alias("samples")
+        )
+        partial.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    writer = (
-        stream.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-    )
-    return _start(writer, once=once)
+    return _per_batch(stream, write, checkpoint, once)
 
 
-def latest(spark: SparkSession, path: str, schema, keys: tuple[str, ...]) -> DataFrame:
-    """The newest version of each key written by :func:`upsert`."""
-    stored = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
-    rest = [c for c in stored.columns if c not in (*keys, "batch_id")]
-    return (
-        stored.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), "batch_id").alias("_row"))
-        .select(*keys, "_row.*")
+def metric_series(spark: SparkSession, path: str) -> DataFrame:
+    """Mean, maximum and count per window, type and name of all partials written so far."""
+    schema = "window_start bigint, resource_type string, resource_name string, total double, max_value double, samples bigint"
+    merged = _stored(spark, path, schema).groupBy(*SERIES_KEYS).agg(
+        F.sum("total").alias("total"), F.max("max_value").alias("max_value"), F.sum("samples").alias("samples")
     )
+    return merged.select(*SERIES_KEYS, (F.col("total") / F.col("samples")).alias("mean_value"), "max_value", "samples")
 
 
 def dedup(
-    stream: DataFrame, keys: tuple[str, ...], *, delay: str = "10 minutes", spread: int = 0
-) -> DataFrame:
-    """First row of each key among stores that overlap, with state for ``delay`` only.
+    stream: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...], *, ts: str = "ts", once: bool = False
+) -> StreamingQuery:
+    """Rows whose key is new, appended to a table by day; ``keys`` contain the time ``ts``.
 
-    A key whose copies are a large part of the stream would all go to one task. With
-    ``spread`` they are first thinned out in up to that many tasks, by the input
-    partition they came in, and the few that are left then meet under the key itself.
+    A batch is compared with the stored keys of its own days only, however late it is: the
+    table is the state. Copies inside a batch are thinned out in the tasks before they meet.
+    Null keys are equal. A batch that runs again overwrites what it wrote.
     """
-    timed = stream.withWatermark("ts", delay)
-    if spread:
-        salted = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(spread)))
-        timed = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
-    return timed.dropDuplicatesWithinWatermark(list(keys))
+    if ts not in keys:
+        raise ValueError("copies must share their time, by which the table is partitioned")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        dated = batch.dropDuplicates(list(keys)).withColumn("day", F.to_date(ts))
+        earlier = _stored(spark, path, _ddl(dated, "batch_id bigint")).where(F.col("batch_id") < batch_id)
+        days = dated.select(F.col("day").alias("_day")).distinct()
+        earlier = earlier.join(F.broadcast(days), F.col("day").eqNullSafe(F.col("_day")), "left_semi")
+        seen = earlier.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        fresh = dated.join(seen, same, "left_anti").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        (
+            fresh.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch_id")
+            .parquet(path)
+        )
+
+    return _per_batch(stream, write, checkpoint, once)
+
 
+def deduplicated(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table that :func:`dedup` keeps."""
+    return _stored(spark, path, f"{schema}, day date, batch_id bigint").drop("day", "batch_id")

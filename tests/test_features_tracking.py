@@ -100,7 +100,7 @@ def test_plateau_matches_a_sequential_run(spark):
 
 def test_plateau_rejects_a_round_that_is_not_one(spark):
     schema = "tag string, round bigint, epoch bigint, val_loss double"
-    for data in ([("t", 0, 100, 1.0)], [("t", 0, 1, 1.0), ("t", 0, 1, 2.0)]):
+    for data in ([("t", 0, -1, 1.0)], [("t", 0, 1, 1.0), ("t", 0, 1, 2.0)]):
         with pytest.raises(PySparkException):
             tracking.plateau(spark.createDataFrame(data, schema)).collect()
 
@@ -195,7 +195,9 @@ def test_sample_positions_match_numpy(spark):
 
 def test_profile_samples_rows_and_sums_sizes(spark):
     df = spark.range(200).selectExpr("'a' as file", "id as row_idx", "'[2, 3]' as shape", "'float32' as dtype", "array(double(id), -1D) as cells")
-    got = profile.file_profile(df).first()
+    every = profile.file_profile(df).first()
+    assert (every["sampled_rows"], every["sample_mean"]) == (200, pytest.approx(np.mean([(i - 1) / 2 for i in range(200)])))
+    got = profile.file_profile(df, max_rows=50).first()
     idx = np.linspace(0, 199, 50, dtype=int)
     assert (got["n_rows"], got["sampled_rows"], got["sample_min"], got["sample_max"]) == (200, 50, -1.0, 199.0)
     assert got["sample_mean"] == pytest.approx(np.mean((idx - 1) / 2)) and got["expected_bytes"] == 200 * 6 * 4

@@ -106,27 +106,28 @@ def one_file_at_a_time(spark, folder, schema):
 
 def test_stream_series_equals_batch(spark, split_events, tmp_path):
     folder, events = split_events
-    source = one_file_at_a_time(spark, folder, events.schema)
     shape = lambda df: df.selectExpr("ts", "event_type as resource_type", "'n' as resource_name", "value")
-    series = streams.metric_series(shape(source), window="1 day")
-    streams.drain(streams.upsert(series, str(tmp_path / "out"), str(tmp_path / "cp"), once=True))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in series.schema)
-    keys = ("window_start", "resource_type", "resource_name")
-    stored = streams.latest(spark, str(tmp_path / "out"), schema, keys)
+    out = str(tmp_path / "out")
+    for checkpoint in ("cp", "lost"):  # the second replays all batches over what they wrote
+        source = shape(one_file_at_a_time(spark, folder, events.schema))
+        streams.drain(streams.write_series(source, out, str(tmp_path / checkpoint), seconds=86400, once=True))
+    keys = streams.SERIES_KEYS
     batch = shape(events).groupBy(
         F.unix_timestamp(F.date_trunc("day", "ts")).alias("window_start"), "resource_type", "resource_name"
     ).agg(F.avg("value").alias("mean_value"), F.max("value").alias("max_value"), F.count("*").alias("samples"))
     key = lambda df: {tuple(r[k] for k in keys): (round(r["mean_value"], 9), r["max_value"], r["samples"]) for r in df.collect()}
-    assert key(stored) == key(batch)
+    assert key(streams.metric_series(spark, out)) == key(batch)
+    assert streams.metric_series(spark, str(tmp_path / "nothing yet")).collect() == []
 
 
-@pytest.mark.parametrize("spread", [0, 4])
-def test_stream_dedup_across_batches(spark, split_events, tmp_path, spread):
+def test_stream_dedup_across_batches(spark, split_events, tmp_path):
     folder, events = split_events
     cast = lambda: one_file_at_a_time(spark, folder, events.schema)
-    once = streams.dedup(cast().unionByName(cast()), ("ts", "event_id"), delay="1 hour", spread=spread)
-    streams.drain(streams.ingest(once, str(tmp_path / "out"), str(tmp_path / "cp"), once=True))
-    assert rows(spark.read.parquet(str(tmp_path / "out")), "event_id") == rows(events, "event_id")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
+    out = str(tmp_path / "out")
+    for checkpoint in ("cp", "lost"):
+        streams.drain(streams.dedup(cast().unionByName(cast()), out, str(tmp_path / checkpoint), ("ts", "event_id"), once=True))
+        assert rows(streams.deduplicated(spark, out, schema), "event_id") == rows(events, "event_id")
 
 
 def test_stream_route_is_idempotent_per_batch(spark, split_events, tmp_path):
@@ -141,14 +142,16 @@ def test_stream_route_is_idempotent_per_batch(spark, split_events, tmp_path):
     assert len(rows(spark.read.parquet(out), "table", "timestamp", "value")) == 1000
 
 
-def test_stream_plateau_equals_the_batch_fold(spark, split_events, tmp_path):
+def test_stream_plateau_equals_the_batch_run_in_any_order(spark, split_events, tmp_path):
     folder, events = split_events
     par = Plateau(min_lr=4e-4)
-    losses = lambda df: df.selectExpr("'run' as tag", "event_id div 100 as round", "event_id % 100 as epoch", "value as val_loss")
-    out = stream_state.stream_plateau(losses(one_file_at_a_time(spark, folder, events.schema)), par)
-    streams.drain(streams.ingest(out, str(tmp_path / "out"), str(tmp_path / "cp"), once=True))
+    # the four files hold parts of every round, the newest epochs first
+    losses = lambda df: df.selectExpr("'run' as tag", "event_id % 7 as round", "1000 - event_id as epoch", "value as val_loss")
+    out = str(tmp_path / "out")
+    stream = losses(one_file_at_a_time(spark, folder, events.schema))
+    streams.drain(stream_state.write_plateau(stream, out, str(tmp_path / "cp"), par, once=True))
     key = lambda df: {(r["round"], r["epoch"]): (r["misses"], round(r["lr"], 12)) for r in df.collect()}
-    assert key(spark.read.parquet(str(tmp_path / "out"))) == key(tracking.plateau(losses(events), par))
+    assert key(stream_state.stream_plateau(spark, out)) == key(tracking.plateau(losses(events), par))
 
 
 # --- models -----------------------------------------------------------------------
