@@ -5,7 +5,7 @@ An observation table has one row per ``(cadence_id, obs)`` with flat ``cells``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -208,9 +208,17 @@ def load_cadence_rows(rows: DataFrame, geo: Geometry, *, engine: str | None = No
     )
 
 
-def first_cadences(cadences: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows of a stored cadence table in file order, by its slim keys."""
-    keys = dense_index(cadences.select("source_file", "row_idx"), "row_idx", major=["source_file"])
+def first_cadences(cadences: DataFrame, n: int, files: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` rows of a stored cadence table in file order, by its slim keys.
+
+    The order of the files is the listed one, or that of their names without a list.
+    """
+    keys = cadences.select("source_file", "row_idx")
+    major = "source_file"
+    if files is not None:
+        listed = cadences.sparkSession.createDataFrame([(f, i) for i, f in enumerate(files)], "source_file string, _file_no int")
+        keys, major = keys.join(listed, "source_file"), "_file_no"
+    keys = dense_index(keys, "row_idx", major=[major]).drop("_file_no")
     chosen = materialise(keys.where(F.col("idx") < n).drop("idx"), "chosen")
     return cadences.join(chosen, ["source_file", "row_idx"], "left_semi")
 

@@ -15,7 +15,7 @@ from cadentia.ml import embed, forest
 from cadentia.operators import cadence, clean
 from cadentia.settings import DetectionRule
 from cadentia.sources import tables
-from cadentia.sources.npy import read_snippets
+from cadentia.sources.npy import headers, read_snippets
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -33,9 +33,16 @@ def observation_scorer(embedding: PCAModel, model: PipelineModel) -> Scorer:
 def cadence_snippets(
     spark: SparkSession, paths: list[str], geo: Geometry, *, overlap: float = 0.5
 ) -> DataFrame:
-    """Snippets of all complete cadences among the files; the cadence number is the band."""
-    listing = spark.createDataFrame([(p,) for p in paths], "path string")
-    complete = [r["path"] for r in clean.complete_cadence_files(listing, geo.n_obs).select("path").collect()]
+    """Snippets of all complete cadences among the files; the cadence number is the band.
+
+    A cadence is complete if all its files can be read and have one shape: a damaged OFF
+    observation must not pass for one without a signal. ``headers`` tells what is skipped.
+    """
+    listing = headers(spark, paths).where("fault IS NULL")
+    shapes = clean.parse_cadence_files(listing).join(listing, "path").groupBy("cadence_id")
+    uneven = shapes.agg(F.count_distinct("shape").alias("shapes")).where("shapes > 1")
+    whole = clean.complete_cadence_files(listing, geo.n_obs).join(uneven, "cadence_id", "left_anti")
+    complete = [r["path"] for r in whole.select("path").collect()]
     if not complete:
         raise FileNotFoundError("no complete cadence among the files")
     cut = read_snippets(spark, sorted(complete), size=geo.out_width, overlap=overlap, factor=geo.factor)

@@ -11,13 +11,13 @@ import io
 
 import numpy as np
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadentia.functions.hashing import let_sql
 from cadentia.geometry import Geometry
 from cadentia.operators.clean import load_backgrounds
+from cadentia.sources.npy import open_system, qualified
 
 # 64 embedding values as 4 time rows of 16 channels
 OBS_GEOMETRY = Geometry(n_obs=6, time_bins=4, width=16, factor=4)
@@ -66,14 +66,14 @@ NPY_ROWS = 120
 
 def write_npy(spark, sf_dir, folder: str) -> list[str]:
     """Embeddings as ``.npy`` files of up to 120 observations each, written by the tasks."""
-    root = folder if "://" in folder else f"file://{folder}"
+    root = qualified(spark, folder)
 
     def write(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id")
         cells = np.stack(rows["embedding"].to_numpy()).astype(np.float32)
         buffer = io.BytesIO()
         np.save(buffer, cells.reshape(-1, OBS_GEOMETRY.time_bins, OBS_GEOMETRY.width))
-        system, base = fs.FileSystem.from_uri(root)
+        system, base = open_system(root)
         system.create_dir(base, recursive=True)
         with system.open_output_stream(f"{base}/part_{key[0]:05d}.npy") as out:
             out.write(buffer.getvalue())

@@ -557,18 +557,20 @@ ORACLES["generate_batch"] = generated(PLAN) + f"""
 SELECT split_set, class, sample_idx, background_idx, obs, {DIGEST} FROM generated
 GROUP BY split_set, class, sample_idx, background_idx, obs"""
 
-ORACLES["norm_range_check"] = generated(PLAN) + f"""
+SETS = """sets AS (
+  SELECT 'concatenated' AS split_set, cadence_id AS sample_idx, obs, v FROM normed
+  UNION ALL SELECT 'true', cadence_id, obs, v * v FROM normed
+  UNION ALL SELECT 'false', cadence_id, obs, 1 - v FROM normed)"""
+
+ORACLES["norm_range_check"] = with_(CELLS, VALID, GOOD, NORMED, SETS) + f"""
 SELECT split_set, count(*) // 64 AS rows, CAST(0 AS BIGINT) + count(*) FILTER (WHERE isnan(v)) AS nan_rows,
   count(*) FILTER (WHERE isinf(v)) AS inf_rows, {r('min(v)')} AS min_value, {r('max(v)')} AS max_value,
-  {r('avg(v)')} AS mean_value, bool_and(v >= 0 AND v <= 1) AS in_range FROM generated GROUP BY split_set"""
+  {r('avg(v)')} AS mean_value, bool_and(v >= 0 AND v <= 1) AS in_range FROM sets GROUP BY split_set"""
 
-ORACLES["aligned_triples"] = generated(PLAN) + f"""
-, sums AS (SELECT split_set, sample_idx, obs, sum(v) AS s FROM generated GROUP BY 1, 2, 3)
-SELECT m.sample_idx, m.obs, {r('m.s')} AS main_total, {r('t.s')} AS true_total, {r('f.s')} AS false_total,
-  {r('m.s')} AS target_total
-FROM sums m JOIN sums t ON m.sample_idx = t.sample_idx AND m.obs = t.obs
-  JOIN sums f ON m.sample_idx = f.sample_idx AND m.obs = f.obs
-WHERE m.split_set = 'concatenated' AND t.split_set = 'true' AND f.split_set = 'false'"""
+ORACLES["aligned_triples"] = with_(CELLS, VALID, GOOD, NORMED) + f"""
+SELECT cadence_id AS sample_idx, obs, {r('sum(v)')} AS main_total, {r('sum(v * v)')} AS true_total,
+  {r('sum(1 - v)')} AS false_total, {r('sum(v)')} AS target_total
+FROM normed GROUP BY cadence_id, obs"""
 
 ORACLES["onoff_splice"] = with_(CELLS, VALID, GOOD, NORMED, """spliced AS (
   SELECT cadence_id, obs, i, v FROM normed WHERE obs IN (0, 2, 4)
@@ -602,6 +604,16 @@ SELECT band, {REPORT} FROM found"""
 ORACLES["reparam_sample"] = with_(LATENTS[0]) + f"""
 SELECT cadence_id, obs, d AS dim, {r('m + exp(lv / 2) * e')} AS v FROM z"""
 
+ORACLES["model_roundtrip"] = "SELECT vec_id, TRUE AS equal FROM embeddings"
+ORACLES["rf_fit"] = f"""
+SELECT max(len(embedding)) AS features, CAST(1 AS DOUBLE) AS total_importance, TRUE AS non_negative,
+  {r('1 / CAST(max(len(embedding)) AS DOUBLE)')} AS mean_importance, TRUE AS spread FROM embeddings"""
+ORACLES["rf_score"] = """
+SELECT vec_id, CASE WHEN label < 5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label, vec_id % 5 = 0 AS held_out,
+  TRUE AS in_range, TRUE AS consistent FROM embeddings"""
+ORACLES["embed_observations"] = with_(CELLS, VALID, GOOD) + """
+SELECT cadence_id, obs, CAST(8 AS BIGINT) AS dims, TRUE AS finite, TRUE AS orthonormal FROM good GROUP BY cadence_id, obs"""
+
 # --- text ----------------------------------------------------------------------------
 
 ORACLES["metadata_json"] = """

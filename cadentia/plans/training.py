@@ -14,7 +14,7 @@ from cadentia.ml import embed, forest
 from cadentia.operators import clean, features, generation, indexing
 from cadentia.session import materialise
 from cadentia.settings import Curriculum, ForestParams, Injection, LoadLimits, SplitSizes
-from cadentia.sources.npy import read_backgrounds
+from cadentia.sources.npy import qualified, read_backgrounds
 
 
 def load_background_files(
@@ -37,7 +37,9 @@ def load_background_files(
     stored = materialise(rows, "cadences")
     if stored.isEmpty():
         raise ValueError("no valid background was loaded")
-    return stored if limits.target is None else clean.first_cadences(stored, limits.target)
+    return stored if limits.target is None else clean.first_cadences(
+        stored, limits.target, [qualified(spark, p) for p in paths]
+    )
 
 
 def training_round(

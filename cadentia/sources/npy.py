@@ -13,6 +13,7 @@ from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -21,17 +22,28 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from cadentia.functions.kernels import valid_means
 
 BATCH_BYTES = 32 << 20
+#: Bytes of a file that a task reads, by default and counting four for a cell.
+SPLIT_BYTES = 128 << 20
 
 
-def _open(path: str):
-    system, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    return system, inner
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark itself resolves it: one without a scheme lies on the default file system."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given).toUri().toString()
+
+
+def open_system(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and inner path of a qualified path."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def _header(path: str) -> tuple[tuple[int, ...], np.dtype, int]:
     """Shape, dtype and the byte the data starts at."""
-    system, inner = _open(path)
+    system, inner = open_system(path)
     with system.open_input_file(inner) as f:
+        size = f.size()
         version = np.lib.format.read_magic(f)
         read = (
             np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
@@ -39,17 +51,44 @@ def _header(path: str) -> tuple[tuple[int, ...], np.dtype, int]:
         shape, fortran, dtype = read(f)
         if fortran or dtype.hasobject or len(shape) < 2:
             raise ValueError(f"{path}: expected a row-major numeric array of rows")
+        if size < f.tell() + int(np.prod(shape)) * dtype.itemsize:
+            raise ValueError(f"{path}: the data behind the header are cut off")
         return shape, dtype, f.tell()
 
 
+def _shape(path: str) -> tuple[tuple[int, ...] | None, str | None]:
+    """Shape of a file, or why it is skipped: it is absent, no such array, or cut off.
+
+    Anything else, a refused permission or a network fault, is an error.
+    """
+    try:
+        return _header(path)[0], None
+    except FileNotFoundError:
+        return None, "absent"
+    except ValueError as fault:
+        return None, str(fault)
+
+
+def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, shape, fault`` of every listed file, looked at in the tasks: what is skipped and why."""
+
+    def look(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [_shape(p) for p in part["path"]]
+            yield pd.DataFrame(
+                {"path": part["path"], "shape": [str(list(s)) if s else None for s, _ in found], "fault": [f for _, f in found]}
+            )
+
+    listed = spark.createDataFrame([(qualified(spark, p),) for p in paths], "path string")
+    return listed.mapInPandas(look, "path string, shape string, fault string")
+
+
 def _readable(paths: list[str]) -> list[tuple[str, tuple[int, ...]]]:
-    """Path and shape of each file; absent and unreadable ones are skipped."""
+    """Path and shape of each file; see :func:`headers` for those that are skipped."""
 
     def shape_of(path: str):
-        try:
-            return path, _header(path)[0]
-        except (OSError, ValueError):
-            return None
+        shape, _ = _shape(path)
+        return (path, shape) if shape else None
 
     with ThreadPoolExecutor(32) as pool:
         found = [f for f in pool.map(shape_of, paths) if f]
@@ -74,20 +113,20 @@ class SpectrogramReader(DataSourceReader):
         self.subsets = json.loads(options.get("subsets", "{}"))
         cap = options.get("rowsPerFile")
         self.rows_per_file = int(cap) if cap else None
-        self.rows_per_split = int(options.get("rowsPerSplit", "64"))
+        given = options.get("rowsPerSplit")
+        self.rows_per_split = int(given) if given else None
 
     def partitions(self) -> list[RowRange]:
         """Row ranges after subset and cap."""
         splits = []
         for path, shape in _readable(self.paths):
-            lo, hi = self.subsets.get(path.rsplit("/", 1)[-1], (None, None))
+            known = (path, open_system(path)[1], path.rsplit("/", 1)[-1])
+            lo, hi = next((self.subsets[k] for k in known if k in self.subsets), (None, None))
             lo, hi = lo or 0, min(shape[0], hi if hi is not None else shape[0])
             if self.rows_per_file is not None:
                 hi = min(hi, lo + self.rows_per_file)
-            splits += [
-                RowRange(path, start, min(start + self.rows_per_split, hi))
-                for start in range(lo, hi, self.rows_per_split)
-            ]
+            step = self.rows_per_split or max(1, SPLIT_BYTES // (4 * int(np.prod(shape[1:]))))
+            splits += [RowRange(path, start, min(start + step, hi)) for start in range(lo, hi, step)]
         return splits
 
     def blocks(self, split: RowRange) -> Iterator[tuple[int, np.ndarray, tuple[int, ...]]]:
@@ -96,7 +135,7 @@ class SpectrogramReader(DataSourceReader):
         per_row = int(np.prod(shape[1:]))
         row_bytes = per_row * dtype.itemsize
         rows = max(1, BATCH_BYTES // row_bytes)
-        system, inner = _open(split.path)
+        system, inner = open_system(split.path)
         with system.open_input_file(inner) as f:
             for lo in range(split.lo, split.hi, rows):
                 n = min(rows, split.hi - lo)
@@ -104,7 +143,7 @@ class SpectrogramReader(DataSourceReader):
                 yield lo, np.frombuffer(f.read(n * row_bytes), dtype).reshape(n, per_row), shape[1:]
 
     def read(self, split: RowRange) -> Iterator[pa.RecordBatch]:
-        name = split.path.rsplit("/", 1)[-1]
+        name = split.path  # the whole path: two folders may hold one file name
         for lo, cells, row_shape in self.blocks(split):
             n = len(cells)
             yield pa.RecordBatch.from_arrays(
@@ -131,7 +170,7 @@ class BackgroundReader(SpectrogramReader):
         self.n_obs, self.factor = int(options["nObs"]), int(options["factor"])
 
     def read(self, split: RowRange) -> Iterator[pa.RecordBatch]:
-        name, n_obs, factor = split.path.rsplit("/", 1)[-1], self.n_obs, self.factor
+        name, n_obs, factor = split.path, self.n_obs, self.factor
         for lo, cells, row_shape in self.blocks(split):
             if row_shape[0] != n_obs or row_shape[-1] % factor:
                 raise ValueError(f"{split.path}: a row of shape {row_shape} is not a cadence")
@@ -173,7 +212,8 @@ class BackgroundSource(DataSource):
 
 def _load(spark: SparkSession, source: type[DataSource], paths: list[str], options: dict) -> DataFrame:
     spark.dataSource.register(source)
-    reader = spark.read.format(source.name()).option("paths", json.dumps(list(paths)))
+    resolved = [qualified(spark, p) for p in paths]
+    reader = spark.read.format(source.name()).option("paths", json.dumps(resolved))
     for key, value in options.items():
         if value is not None:
             reader = reader.option(key, value)
@@ -189,11 +229,11 @@ def read_npy(
     *,
     subsets: RowRanges | None = None,
     rows_per_file: int | None = None,
-    rows_per_split: int = 64,
+    rows_per_split: int | None = None,
 ) -> DataFrame:
     """One row per first-axis entry of each file, ``cells`` flattened row-major.
 
-    ``subsets`` (half-open row ranges by file name) and ``rows_per_file``, applied
+    ``source_file`` is the whole path. ``subsets`` (half-open row ranges by path or file name) and ``rows_per_file``, applied
     after them, prune before anything is read.
     """
     options = {
@@ -212,7 +252,7 @@ def read_backgrounds(
     factor: int,
     subsets: RowRanges | None = None,
     rows_per_file: int | None = None,
-    rows_per_split: int = 64,
+    rows_per_split: int | None = None,
 ) -> DataFrame:
     """Valid cadences of background files, downsampled while reading."""
     options = {
@@ -252,7 +292,7 @@ class SnippetReader(DataSourceReader):
     def read(self, split: ChannelRange) -> Iterator[pa.RecordBatch]:
         shape, dtype, start = _header(split.path)
         width, time_bins = shape[-1], int(np.prod(shape[:-1]))
-        system, inner = _open(split.path)
+        system, inner = open_system(split.path)
         with system.open_input_file(inner) as f:
             snippet_bytes = time_bins * self.size * self.factor * dtype.itemsize
             per_batch = max(1, BATCH_BYTES // snippet_bytes)

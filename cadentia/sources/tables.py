@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ REQUIRED = {
     "training_losses": ("timestamp", "model_name", "loss_name", "value"),
 }
 REJECTS = "_rejects"
+#: What Spark says of a path that is absent, empty, or not a Parquet file.
+SKIPPED = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file")
 
 REPORT_SCHEMA = (
     "frequency_MHz double, confidence double, classification string, "
@@ -49,19 +52,20 @@ def columns_of(table: str) -> list[str]:
 
 
 def read_existing(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Parquet files that exist and can be read; an error only if none can.
+    """Parquet files that exist and are such files; an error if none is, or if one breaks during the scan.
 
-    Paths are resolved on their own, so a missing or unreadable one is skipped; files
-    that vanish or turn out damaged during the scan are skipped by the reader.
+    Only "absent" and "no Parquet" are skipped. A refused permission, a network fault or
+    damage behind a good footer fails: fewer rows without a word would be worse.
     """
-    reader = spark.read.option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
+    reader = spark.read
     good = []
     for path in paths:
         try:
             reader.parquet(path)
             good.append(path)
-        except PySparkException:
-            continue
+        except (PySparkException, Py4JJavaError) as fault:
+            if not any(known in str(fault) for known in SKIPPED):
+                raise
     if not good:
         raise FileNotFoundError("none of the given files could be read")
     return reader.parquet(*good)

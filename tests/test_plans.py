@@ -1,4 +1,5 @@
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from cadentia.plans import detection, fixtures, training
 from cadentia.plans.queries import QUERIES
 from cadentia.settings import ForestParams, Injection, LoadLimits, SplitSizes
 from cadentia.sources import tables
-from cadentia.sources.npy import read_npy, read_snippets
+from cadentia.sources.npy import headers, read_npy, read_snippets
 from conftest import SF, plan, rows
 
 RAW = Geometry(n_obs=6, time_bins=4, width=32, factor=2)
@@ -36,7 +37,7 @@ def test_loading_files(spark, background_files):
     paths, data = background_files
     limits = LoadLimits(chunk_size=10, chunks_per_file=2, target=25)
     loaded = training.load_background_files(spark, paths, RAW, subsets={"a.npy": (2, None)}, limits=limits)
-    got = {(r["source_file"], r["row_idx"]): np.array(r["obs_cells"]) for r in loaded.collect()}
+    got = {(r["source_file"].rsplit("/", 1)[-1], r["row_idx"]): np.array(r["obs_cells"]) for r in loaded.collect()}
     valid_a = [("a.npy", i) for i in range(2, 22) if i not in (3, 5, 7)]
     valid_b = [("b.npy", i) for i in range(12) if i not in (3, 5, 7)]
     assert set(got) == set((valid_a + valid_b)[:25])
@@ -45,6 +46,19 @@ def test_loading_files(spark, background_files):
         np.testing.assert_allclose(cells, want, rtol=1e-6)
 
 
+def test_nothing_is_left_out_by_default_and_listed_order_counts(spark, background_files, tmp_path):
+    paths, data = background_files
+    (tmp_path / "other").mkdir()
+    np.save(tmp_path / "other" / "a.npy", data["a.npy"])  # a second file of one name
+    listed = [str(tmp_path / "other" / "a.npy"), paths[2], paths[0]]
+    loaded = training.load_background_files(spark, listed, RAW)
+    keys = [(r["source_file"], r["row_idx"]) for r in loaded.select("source_file", "row_idx").collect()]
+    assert len(keys) == len(set(keys)) == 2 * (len(data["a.npy"]) - 3) + len(data["b.npy"]) - 3
+    first = training.load_background_files(spark, listed, RAW, limits=LoadLimits(target=len(data["a.npy"])))
+    of = {r[0] for r in first.select("source_file").distinct().collect()}
+    assert {f.rsplit("/", 2)[-2:][1] for f in of} == {"a.npy", "b.npy"} and not any(f.endswith(paths[0]) for f in of)
+
+
 def test_both_engines_load_the_same(spark, background_files):
     paths, _ = background_files
     raw = read_npy(spark, paths)
@@ -125,6 +139,21 @@ def test_inference_end_to_end(spark, observation_files, tmp_path):
         detection.run_inference(spark, observation_files[-5:], mean_scorer, out, RAW)
 
 
+def test_damaged_off_observations_make_no_candidate(spark, observation_files, tmp_path):
+    """Band 1 is bright everywhere; without its OFF files it would look like a signal."""
+    folder = tmp_path / "obs"
+    folder.mkdir()
+    for path in observation_files:
+        raw = Path(path).read_bytes()
+        off = "cadence_0001" in path and int(path[-5]) % 2
+        (folder / Path(path).name).write_bytes(raw[: len(raw) // 2] if off else raw)
+    paths = sorted(str(p) for p in folder.iterdir())
+    counts = rows(detection.run_inference(spark, paths, mean_scorer, str(tmp_path / "found.csv"), RAW))
+    assert counts == [("ETI_candidate", 1)]  # band 0 alone
+    skipped = {Path(r["path"]).name for r in headers(spark, paths).where("fault IS NOT NULL").collect()}
+    assert skipped == {f"cadence_0001_obs_{i}.npy" for i in (1, 3, 5)}
+
+
 MODELS = {"rf_fit", "rf_score", "model_roundtrip", "embed_observations"}
 
 
