@@ -214,10 +214,15 @@ def train(sample: list[str], seed: int = SEED) -> Extractor:
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Extractor:
-    """Trains on passages of the at most ``sample`` pages of the smallest hashes."""
-    usable = pages.filter(F.char_length("html").between(1, SAMPLE_CHARS))
-    rows = usable.select("html", F.xxhash64("page_id", F.lit(SEED)).alias("h")).orderBy("h", "html").limit(sample).collect()
-    return train([r[0] for r in rows])
+    """Trains on passages of the at most ``sample`` pages of the smallest hashes.
+
+    Only ids are sorted; of rows that repeat an id the least text is taken, null ids none.
+    """
+    usable = pages.filter(F.char_length("html").between(1, SAMPLE_CHARS)).filter("page_id IS NOT NULL")
+    order = F.xxhash64("page_id", F.lit(SEED))
+    chosen = usable.select("page_id").distinct().orderBy(order, "page_id").limit(sample)
+    rows = usable.join(F.broadcast(chosen), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).collect()
+    return train([r.html for r in sorted(rows)])
 
 
 def extracted(pages: DataFrame, extractor: Extractor) -> DataFrame:
