@@ -219,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     """Trains on at most ``sample`` rows of either label, those of the smallest hashes.
 
     Rows that are held out, without a label, without a text or with one of over
-    ``SAMPLE_BYTES`` are not learned from.
+    ``SAMPLE_BYTES`` are not learned from; of rows that repeat a doc_id the least text is.
     """
     known = labels.filter(F.col(label).isin(0, 1)).filter("doc_id IS NOT NULL").filter(~held_out())
     known = known.groupBy("doc_id").agg(F.max(label).alias("toxic"))
@@ -231,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     )
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = rows.filter((F.octet_length("text") > 0) & (F.octet_length("text") <= SAMPLE_BYTES))
-    found = rows.orderBy(order, "doc_id", "text").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    found = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).toPandas().sort_values("doc_id")
     return train(found["text"].tolist(), found["toxic"].to_numpy() == 1)
 
 
