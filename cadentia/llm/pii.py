@@ -39,10 +39,12 @@ PATTERN = re.compile(
       | [0-9]{2}/[0-9]{2}/[0-9]{4} | [0-9]{2}\.[0-9]{2}\.[0-9]{4} ) (?![\w/-]|\.[0-9]) )
   | (?P<ip> (?<![\w.]) [0-9]{1,3}(?:\.[0-9]{1,3}){3} (?!\w|\.[0-9]) )
   | (?P<ssn> (?<![\w-]) [0-9]{3}-[0-9]{2}-[0-9]{4} (?![\w-]) )
-  | (?P<phone> (?<![\w+]) \+[0-9]{1,3} [ .-]? (?:\([0-9]{1,4}\)[ .-]?)? [0-9]{1,4} (?:[ .-]?[0-9]{2,4}){1,5} (?![0-9])
+  | (?P<phone> (?<![\w+]) \+1 [ .-]? (?:\([0-9]{3}\)|[0-9]{3}) [ .-]? [0-9]{3} [ .-]? [0-9]{4} (?![0-9])
+      | (?<![\w+]) \+[0-9]{1,3} [ .-]? (?:\([0-9]{1,4}\)[ .-]?)? [0-9]{1,4} (?:[ .-]?[0-9]{2,4}){1,5} (?![0-9])
       | (?<![\w(]) \([2-9][0-9]{2}\)[ ]?[0-9]{3}-[0-9]{4} (?!\w)
       | (?<![\w.-]) [2-9][0-9]{2}[.-][2-9][0-9]{2}[.-][0-9]{4} (?![\w-]|\.[0-9]) )
-  | (?P<card> (?<![\w.-]) [0-9](?:[ -]?[0-9]){12,18} (?![\w-]) )
+  | (?P<card> (?<![\w.-]) (?: [0-9]{13,19} | [0-9]{4}(?P<gap>[ -])[0-9]{4}(?:(?P=gap)[0-9]{4}){2}
+      | [0-9]{4}[ -][0-9]{6}[ -][0-9]{5} ) (?![\w-]) )
     """,
     re.VERBOSE,
 )
@@ -241,17 +243,17 @@ def replace(text: str, key: bytes) -> tuple[str, int]:
     """A text with its values replaced, and how many there were."""
     if not _WORTH.search(text):
         return text, 0
-    count = 0
-
-    def fresh(found: re.Match) -> str:
-        nonlocal count
-        new = pseudonym(found.lastgroup, found.group(), key)
-        if new is None:
-            return found.group()
+    out, kept, at, count = [], 0, 0, 0
+    while found := PATTERN.search(text, at):
+        kind = next(k for k, v in found.groupdict().items() if v is not None and k in _KINDS)
+        new = pseudonym(kind, found.group(), key)
+        if new is None:  # another value may begin inside
+            at = found.start() + 1
+            continue
+        out += [text[kept : found.start()], new]
+        kept = at = found.end()
         count += 1
-        return new
-
-    return PATTERN.sub(fresh, text), count
+    return "".join([*out, text[kept:]]), count
 
 
 def pseudonyms(text: Column | str, key: bytes = KEY) -> Column:

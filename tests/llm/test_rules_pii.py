@@ -99,6 +99,14 @@ def test_values_get_another_valid_value_of_their_format(value):
     assert pii.replace(text, b"other key")[0] != new
 
 
+def test_neighbouring_values_do_not_hide_each_other():
+    values = ["+1 (269) 555-3296", "4041894974608795", "42.144.35.254", "+1 (988) 555-2485", "4111 1111 1111 1111", "2024-02-29"]
+    for a in values:
+        for b in values:
+            new, n = pii.replace(f"x {a} {b} y", b"key")
+            assert n == 2 and a not in new and b not in new, (a, b, new)
+
+
 @pytest.mark.parametrize("text", CLEAN)
 def test_clean_text_stays(text):
     assert pii.replace(text, b"key") == (text, 0)
