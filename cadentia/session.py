@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,7 +48,31 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="cadentia-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if owner := _OWNER.get():
+        _OWNED.setdefault(owner, []).append(path)
+    return path
+
+
+_OWNER: ContextVar[str | None] = ContextVar("owner", default=None)
+_OWNED: dict[str, list[str]] = {}
+
+
+@contextmanager
+def owned_scratch(owner: str) -> Iterator[None]:
+    """Folders made inside belong to ``owner``, who drops them when nothing reads them any more."""
+    token = _OWNER.set(owner)
+    try:
+        yield
+    finally:
+        _OWNER.reset(token)
+
+
+def drop_scratch(spark: SparkSession, owner: str) -> None:
+    """Deletes the scratch folders that belong to ``owner``."""
+    for path in _OWNED.pop(owner, []):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
