@@ -186,7 +186,10 @@ def mixed(docs: DataFrame, seed: int = SEED, **shares) -> DataFrame:
     taken = materialise(taken.filter("_mix_taken > 0"), "copies")
     keyed = docs.withColumn("_mix_key", F.struct("doc_id", "source", size_of("text").alias("size")))
     n, total = F.col("_mix_n"), F.col("_mix_taken")
-    nth = F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(0)))  # the join's own partitions
+    if taken.filter(n > 1).isEmpty():
+        nth = F.lit(1)
+    else:  # rows that repeat are told apart by a number
+        nth = F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(0)))
     times = F.floor(total / n).cast("int") + (nth <= total % n).cast("int")
     drawn = keyed.join(taken, "_mix_key").withColumn("_mix_times", times).filter("_mix_times > 0")
     return drawn.withColumn("_mix_times", F.explode(F.sequence(F.lit(1), "_mix_times"))).select(*docs.columns)
