@@ -184,6 +184,8 @@ FROM embeddings WHERE vec_id // 6 IN (SELECT vec_id // 6 FROM embeddings GROUP B
 ORACLES["detections_csv_roundtrip"] = detections(BAND_SCORES) + f" SELECT {REPORT} FROM found"
 ORACLES["high_confidence"] = detections(SCORES) + f" SELECT band, {REPORT} FROM found WHERE confidence > 0.9"
 
+ORACLES["high_confidence_sink"] = detections(SCORES) + f" SELECT {REPORT} FROM found WHERE confidence > 0.9"
+
 ORACLES["telemetry_route"] = ORACLES["stream_route"] = f"""
 WITH q AS (
   SELECT CASE WHEN CAST(json_extract_string(props, '$.k') AS INT) >= 95 THEN '_rejects'

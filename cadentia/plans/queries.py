@@ -143,6 +143,14 @@ def high_confidence(spark, sf_dir):
     return rounded(cadence.high_confidence(_detections(spark, sf_dir)), "frequency_MHz", "confidence")
 
 
+@query
+def high_confidence_sink(spark, sf_dir):
+    """The second report, written beside the first only if a detection is confident enough."""
+    path = scratch_dir(spark, "report") + ".csv"
+    tables.write_detections(_detections(spark, sf_dir), path)
+    return rounded(tables.read_detections(spark, tables.high_confidence_path(path)), "frequency_MHz", "confidence")
+
+
 @query
 def telemetry_route(spark, sf_dir):
     path = scratch_dir(spark, "routed")
@@ -165,11 +173,12 @@ def _route_summary(stored: DataFrame) -> DataFrame:
 
 @query
 def model_roundtrip(spark, sf_dir):
-    """Is each score of the stored and re-read model that of the one in memory?"""
+    """Is each score of the stored model, found again by the newest tag, that of the one in memory?"""
     model, folder = _forest(spark, sf_dir)
     data = _labelled_vectors(spark, sf_dir)
     before = forest.forest_scores(model, data).select("vec_id", F.col("p").alias("p_before"))
-    after = forest.forest_scores(forest.load_model(folder, TAG), data).select("vec_id", F.col("p").alias("p_after"))
+    again = forest.load_latest(fx.registry(spark, sf_dir), folder)
+    after = forest.forest_scores(again, data).select("vec_id", F.col("p").alias("p_after"))
     return before.join(after, "vec_id").select("vec_id", (F.col("p_before") == F.col("p_after")).alias("equal"))
 
 
@@ -718,7 +727,6 @@ def _labelled_vectors(spark, sf_dir) -> DataFrame:
     )
 
 
-TAG = "final_v1"
 #: A tenth of the default size: with 1000 trees of depth 30 the fit alone outlasts all other queries.
 FOREST = ForestParams(n_trees=100, max_depth=10)
 _FITS: dict = {}
@@ -730,7 +738,8 @@ def _forest(spark, sf_dir):
     if key not in _FITS:
         train = _labelled_vectors(spark, sf_dir).where("vec_id % 5 <> 0")
         model, folder = forest.fit_forest(train, FOREST), scratch_dir(spark, "models")
-        forest.save_model(model, folder, TAG)
+        pairs = tracking.artifact_pairs(tracking.parse_artifacts(fx.registry(spark, sf_dir)), keys=())
+        forest.save_model(model, folder, tracking.latest_tag(pairs, keys=()).first()["tag"])
         _FITS[key] = model, folder
     return _FITS[key]
 
