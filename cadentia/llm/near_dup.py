@@ -81,13 +81,21 @@ def _marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     their number, which is broadcast: so few texts move in the join that follows.
     """
     place = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(MAP_BITS)) + 1
-    bits = wanted.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+    met = docs.withColumn("part", F.bitmap_bucket_number(place)).join(F.broadcast(_bit_map(wanted)), "part")
+    return met.filter(_bit("bits", place)).select(*docs.columns)
+
+
+def _bit_map(wanted: DataFrame) -> DataFrame:
+    place = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(MAP_BITS)) + 1
+    return wanted.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
+
+
+def _bit(bits: str, place: Column) -> Column:
     at = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    met = docs.withColumn("part", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "part")
-    return met.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*docs.columns)
+    byte = F.conv(F.hex(F.substring(bits, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, (at % 8).cast("int")) == 1
 
 
 def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -289,12 +297,21 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     Of rows that repeat a doc_id and a text one stays. Rows without a doc_id stay if nothing
     with one is linked with them, one for each text.
     """
-    kept = near_duplicates(docs).filter("kept").select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("_dedup_id")).distinct()
+    found = near_duplicates(docs).groupBy(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"))
+    found = found.agg(F.bool_or("kept").alias("_dedup_kept"), F.count("*").alias("n"))
+    special = materialise(found.filter("not _dedup_kept or n > 1").select("id", "_dedup_kept"), "special")
+    # all others stay where they lie; only rows that go, or may come twice, move to be joined
+    place = F.pmod(F.xxhash64(F.col("_dedup_id"), F.lit(1)), F.lit(MAP_BITS)) + 1
     keyed = docs.withColumn("_dedup_id", F.coalesce("doc_id", F.lit(_NO_ID)))
-    joined = keyed.join(materialise(kept, "kept"), "_dedup_id")
-    again = Window.partitionBy("_dedup_id", F.xxhash64("text")).orderBy(F.lit(0))  # within the join's partitions
-    first = joined.withColumn("_dedup_nth", F.row_number().over(again)).filter("_dedup_nth = 1")
-    return first.select(*docs.columns)
+    keyed = keyed.withColumn("_dedup_part", F.bitmap_bucket_number(place)).join(
+        F.broadcast(_bit_map(special).toDF("_dedup_part", "_dedup_bits")), "_dedup_part", "left"
+    )
+    maybe = F.coalesce(_bit("_dedup_bits", place), F.lit(False))
+    rest = keyed.filter(maybe).drop("_dedup_part", "_dedup_bits")
+    rest = rest.join(special.withColumnRenamed("id", "_dedup_id"), "_dedup_id", "left").filter("coalesce(_dedup_kept, true)")
+    again = Window.partitionBy("_dedup_id", F.xxhash64("text")).orderBy(F.lit(0))
+    first = rest.withColumn("_dedup_nth", F.row_number().over(again)).filter("_dedup_nth = 1")
+    return keyed.filter(~maybe).select(*docs.columns).union(first.select(*docs.columns))
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
