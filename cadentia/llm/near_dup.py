@@ -1,8 +1,9 @@
 """Near-duplicate documents by circulant MinHash, banding and exact Jaccard verification.
 
 1. Every text becomes a signature of 64 coordinates, made by two permutations of which one
-   is turned (``shingles.circulant_minhash``), cut into 16 bands of 4. Two documents at the
-   least similarity of 0.85 meet in no band with probability (1 - 0.85^4)^16 = 8e-6.
+   is turned (``shingles.circulant_minhash``), cut into bands by the least similarity asked for:
+   16 of 4 at 0.85, where two documents meet in no band with probability (1 - 0.85^4)^16 = 8e-6,
+   and 21 of 3 at 0.80, where it is (1 - 0.80^3)^21 = 3e-7.
 2. Equal sets are one *class*, so copies never make pairs.
 3. Classes that share a band bucket are first compared with the bucket's smallest class only
    (a star, not all pairs) and the links confirmed on the full sets.
@@ -16,6 +17,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -25,12 +28,13 @@ from pyspark.sql import functions as F
 from cadentia.llm import shingles as S
 from cadentia.session import materialise
 
-COORDINATES, ROWS = 64, 4
-BANDS = COORDINATES // ROWS
-#: Links: ``100 * intersection >= LEAST * union``.
+COORDINATES = 64
+#: Links of the query: ``100 * intersection >= LEAST * union``. Callers may ask for another least similarity.
 LEAST = 85
-#: Signature agreement below this is never verified: at a similarity of 0.85 it has probability 1e-7.
-LEAST_AGREEING = 39
+#: How likely a pair at the least similarity may be to meet in no band, and to agree in too few coordinates.
+MISSED, DISAGREEING = 1e-5, 1e-6
+#: Low bits of a bucket that name its band.
+BAND_BITS = 6
 #: Classes of one bucket that meet in one task.
 BLOCK = 512
 #: Bits of the map of candidate ids, 8 MB at most.
@@ -38,6 +42,33 @@ MAP_BITS = 1 << 26
 #: Stands for a null doc_id inside the operator; larger than any other, so it names no mixed component.
 _NO_ID = (1 << 63) - 1
 
+@dataclass(frozen=True)
+class Banding:
+    """What a least similarity of ``least`` per cent asks of signatures."""
+
+    least: int
+    rows: int
+    bands: int
+    agreeing: int  # coordinates; a pair of fewer is never verified
+
+
+def banding(least: int) -> Banding:
+    """The longest bands that miss a pair at the least similarity with probability ``MISSED`` at most."""
+    if not 0 < least <= 100:
+        raise ValueError(f"a least similarity of {least} per cent")
+    s = least / 100
+    fitting = [r for r in range(1, COORDINATES + 1) if (1 - s**r) ** (COORDINATES // r) <= MISSED]
+    if not fitting:
+        raise ValueError(f"{COORDINATES} coordinates are too few for a least similarity of {least} per cent")
+    fewer, agreeing = 0.0, 0
+    while agreeing < COORDINATES:
+        fewer += comb(COORDINATES, agreeing) * s**agreeing * (1 - s) ** (COORDINATES - agreeing)
+        if fewer > DISAGREEING:
+            break
+        agreeing += 1
+    return Banding(least, fitting[-1], COORDINATES // fitting[-1], agreeing)
+
+
 _SKETCH = "id long, n_shingles long, fp1 long, fp2 long, signature binary"
 
 
@@ -63,13 +94,14 @@ def sketches(docs: DataFrame) -> DataFrame:
     return slim.mapInPandas(sketch, _SKETCH)
 
 
-def _buckets() -> Column:
-    """One key per band: a hash of the band's slice of the signature, the band in its last four bits."""
-    width = 4 * ROWS
+def _buckets(cut: Banding) -> Column:
+    """One key per band: a hash of the band's slice of the signature, the band in its low bits."""
+    width = 4 * cut.rows
+    high = F.lit(~((1 << BAND_BITS) - 1))
     return F.array(
         *[
-            F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)).bitwiseAND(F.lit(~(BANDS - 1))).bitwiseOR(F.lit(i))
-            for i in range(BANDS)
+            F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)).bitwiseAND(high).bitwiseOR(F.lit(i))
+            for i in range(cut.bands)
         ]
     )
 
@@ -121,12 +153,12 @@ def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return exact.mapInPandas(sets_of, "id long, fp1 long, shingles array<long>")
 
 
-def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+def _similar(a: np.ndarray, b: np.ndarray, least: int) -> bool:
     both = S.common(a.view(np.uint64), b.view(np.uint64))
-    return 100 * both >= LEAST * (len(a) + len(b) - both)
+    return 100 * both >= least * (len(a) + len(b) - both)
 
 
-def _star_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _star_links(members: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
     """Confirmed links of each class with the smallest class of every bucket it lies in."""
     buckets = (
         members.groupBy("bucket")
@@ -143,7 +175,7 @@ def _star_links(members: DataFrame, sets: DataFrame) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([_similar(a, b) for a, b in zip(x, y, strict=True)], dtype=bool)
+        return pd.Series([_similar(a, b, cut.least) for a, b in zip(x, y, strict=True)], dtype=bool)
 
     left = sets.select(F.col("id").alias("a"), F.col("fp1").alias("fa"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("id").alias("b"), F.col("fp1").alias("fb"), F.col("shingles").alias("set_b"))
@@ -185,7 +217,7 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), digest).first())
 
 
-def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
     """Confirmed links between classes of one bucket that the stars left in different components."""
     placed = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = (
@@ -196,7 +228,7 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
     )
     apart = materialise(placed.join(split, "bucket"), "apart")
     ids = apart.select("id", "fp1").distinct()
-    # a link shares at least 85 % of either set: shingles found in no other class of these can't be in it
+    # a link shares the least similarity of either set: shingles found in no other class of these can't be in it
     loose = sets.join(ids, ["id", "fp1"]).select("id", "fp1", F.explode("shingles").alias("shingle"))
     seen = loose.groupBy("shingle").agg(F.count("*").alias("n"), F.min(F.struct("id", "fp1")).alias("only")).filter("n = 1")
     alone = seen.groupBy(F.col("only.id").alias("id"), F.col("only.fp1").alias("fp1")).agg(F.count("*").alias("alone"))
@@ -204,7 +236,7 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
         classes.join(ids, ["id", "fp1"])
         .join(alone, ["id", "fp1"], "left")
         .withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
-        .filter(100 * F.col("shared") >= LEAST * F.col("n_shingles"))
+        .filter(100 * F.col("shared") >= cut.least * F.col("n_shingles"))
         .select("id", "fp1", "signature", "shared")
     )
     able = materialise(able.join(sets, ["id", "fp1"]), "able")
@@ -229,7 +261,7 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
 
     def confirm(rows: pd.DataFrame) -> pd.DataFrame:
         blocks = rows.groupby(["bucket", "i", "j"], sort=False).indices
-        found = [pair for (key, i, j), at in blocks.items() for pair in confirm_block(rows.iloc[at], key % BANDS, i, j)]
+        found = [pair for (key, i, j), at in blocks.items() for pair in confirm_block(rows.iloc[at], key % (1 << BAND_BITS), i, j)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     def confirm_block(rows: pd.DataFrame, band: int, i: int, j: int) -> list[tuple[int, int]]:
@@ -241,28 +273,29 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
         for x in np.flatnonzero(mine == i):
             other = component != component[x]
             other &= (mine == j) if i != j else (np.arange(len(rows)) > x)
-            other &= 100 * np.minimum(n, n[x]) >= LEAST * np.maximum(n, n[x])
-            other &= (100 + LEAST) * np.minimum(shared, shared[x]) >= LEAST * (n + n[x])
+            other &= 100 * np.minimum(n, n[x]) >= cut.least * np.maximum(n, n[x])
+            other &= (100 + cut.least) * np.minimum(shared, shared[x]) >= cut.least * (n + n[x])
             y = np.flatnonzero(other)
             equal = signature[y] == signature[x]
             # a pair belongs to the first band it shares
-            earlier = equal[:, : band * ROWS].reshape(len(y), band, ROWS).all(axis=2).any(axis=1)
-            y = y[~earlier & (equal.sum(axis=1) >= LEAST_AGREEING)]
-            found += [(ids_[x], ids_[z]) for z in y if _similar(sets_[x], sets_[z])]
+            earlier = equal[:, : band * cut.rows].reshape(len(y), band, cut.rows).all(axis=2).any(axis=1)
+            y = y[~earlier & (equal.sum(axis=1) >= cut.agreeing)]
+            found += [(ids_[x], ids_[z]) for z in y if _similar(sets_[x], sets_[z], cut.least)]
         return found
 
     return dealt.join(able, ["id", "fp1"]).groupBy("task").applyInPandas(confirm, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text, ...)``.
 
-    ``component_id`` is the smallest doc_id reachable over links of similarity 0.85 and more,
-    the document itself included; ``kept`` says that it is the document's own. Texts that are
+    ``component_id`` is the smallest doc_id reachable over links of similarity ``least`` per
+    cent and more, the document itself included; ``kept`` says that it is the document's own. Texts that are
     null, empty or white space have no shingles and are linked with nothing. Rows that repeat
     a doc_id are the same document to a component; a null doc_id counts as larger than any
     other. Other columns are not looked at.
     """
+    cut = banding(least)
     sketch = materialise(sketches(docs), "sketches")
     classes = (
         sketch.filter("n_shingles > 0")
@@ -270,13 +303,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("id").alias("id"), F.first("signature").alias("signature"))
     )
     classes = materialise(classes, "classes")
-    band = classes.select("id", "fp1", F.explode(_buckets()).alias("bucket"))
+    band = classes.select("id", "fp1", F.explode(_buckets(cut)).alias("bucket"))
     crowded = band.groupBy("bucket").count().filter("count > 1").drop("count")
     members = materialise(band.join(crowded, "bucket"), "members")
     sets = materialise(shingle_table(docs, materialise(members.select("id").distinct(), "wanted")), "sets")
 
-    stars = materialise(_star_links(members, sets), "links")
-    rest = materialise(_residual_links(members, components(stars), classes, sets), "links")
+    stars = materialise(_star_links(members, sets, cut), "links")
+    rest = materialise(_residual_links(members, components(stars), classes, sets, cut), "links")
     component = components(stars.union(rest))
 
     per_class = (
@@ -291,13 +324,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """One row of ``docs`` for each group of near-duplicates, that of the smallest doc_id; all columns kept.
 
     Of rows that repeat a doc_id and a text one stays. Rows without a doc_id stay if nothing
     with one is linked with them, one for each text.
     """
-    found = near_duplicates(docs).groupBy(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"))
+    found = near_duplicates(docs, least).groupBy(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"))
     found = found.agg(F.bool_or("kept").alias("_dedup_kept"), F.count("*").alias("n"))
     special = materialise(found.filter("not _dedup_kept or n > 1").select("id", "_dedup_kept"), "special")
     # all others stay where they lie; only rows that go, or may come twice, move to be joined

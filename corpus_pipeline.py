@@ -35,8 +35,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @_tidy
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near_dup.deduplicated(docs)
+    """One document of each group of near-duplicates: 0.8 and more of their five-word shingles shared."""
+    return near_dup.deduplicated(docs, least=80)
 
 
 @_tidy

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from cadentia.llm import near_dup
 from cadentia.llm import shingles as S
 
@@ -66,6 +67,24 @@ def test_chains_and_a_large_group_match_brute_force(spark, monkeypatch):
     assert _got(near_dup.near_duplicates(docs)) == brute(rows)
 
 
+@pytest.mark.parametrize(("least", "rows", "bands", "agreeing"), [(85, 4, 16, 39), (80, 3, 21, 34)])
+def test_bands_follow_from_the_least_similarity(least, rows, bands, agreeing):
+    assert near_dup.banding(least) == near_dup.Banding(least, rows, bands, agreeing)
+    assert (1 - (least / 100) ** rows) ** bands <= 1e-5
+
+
+def test_the_pipeline_takes_copies_from_080(spark):
+    words = [[f"w{i}x{j}" for j in range(400)] for i in range(40)]
+    rows = []
+    for i, text in enumerate(words):  # eight scattered edits: 356 of 436 shingles shared, 0.817
+        other = [f"new{j}" if j % 48 == 20 and j < 390 else w for j, w in enumerate(text)]
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_dup.deduplicated(docs).count() == 80  # the query's 0.85 is not reached
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 80, 2))
+
+
 def test_empty_table(empty):
     assert near_dup.near_duplicates(empty).collect() == []
     assert near_dup.deduplicated(empty).collect() == []
