@@ -4,7 +4,8 @@
    is turned (``shingles.circulant_minhash``), cut into bands by the least similarity asked for:
    16 of 4 at 0.85, where two documents meet in no band with probability (1 - 0.85^4)^16 = 8e-6,
    and 21 of 3 at 0.80, where it is (1 - 0.80^3)^21 = 3e-7.
-2. Equal sets are one *class*, so copies never make pairs.
+2. Equal sets are one *class*, so copies never make pairs. The set's fingerprint names the
+   class; ids play no part until the smallest one of each component is looked up at the end.
 3. Classes that share a band bucket are first compared with the bucket's smallest class only
    (a star, not all pairs) and the links confirmed on the full sets.
 4. What the stars left apart inside a bucket is compared across components: first classes of
@@ -39,9 +40,6 @@ BAND_BITS = 6
 BLOCK = 512
 #: Bits of the map of candidate ids, 8 MB at most.
 MAP_BITS = 1 << 26
-#: Stands for a null doc_id inside the operator; larger than any other, so it names no mixed component.
-_NO_ID = (1 << 63) - 1
-
 @dataclass(frozen=True)
 class Banding:
     """What a least similarity of ``least`` per cent asks of signatures."""
@@ -69,11 +67,20 @@ def banding(least: int) -> Banding:
     return Banding(least, fitting[-1], COORDINATES // fitting[-1], agreeing)
 
 
-_SKETCH = "id long, n_shingles long, fp1 long, fp2 long, signature binary"
+_SKETCH = "row long, named boolean, n_shingles long, fp1 long, fp2 long, signature binary"
+
+
+def _row() -> Column:
+    """What finds a row again: its doc_id, or a hash of its text if it has none."""
+    return F.coalesce("doc_id", F.xxhash64("text"))
+
+
+def _named() -> Column:
+    return F.col("doc_id").isNotNull()
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """One row per document: its id, set size, 128-bit fingerprint of the set, and signature."""
+    """One row per document: its key, set size, 128-bit fingerprint of the set, and signature."""
 
     def sketch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -82,7 +89,8 @@ def sketches(docs: DataFrame) -> DataFrame:
             prints = [S.set_fingerprint(s) for s in sets]
             yield pd.DataFrame(
                 {
-                    "id": part["id"],
+                    "row": part["row"],
+                    "named": part["named"],
                     "n_shingles": [len(s) for s in sets],
                     "fp1": [p[0] for p in prints],
                     "fp2": [p[1] for p in prints],
@@ -90,8 +98,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 }
             )
 
-    slim = docs.select(F.coalesce(F.col("doc_id"), F.lit(_NO_ID)).alias("id"), "text")
-    return slim.mapInPandas(sketch, _SKETCH)
+    return docs.select(_row().alias("row"), _named().alias("named"), "text").mapInPandas(sketch, _SKETCH)
 
 
 def _buckets(cut: Banding) -> Column:
@@ -107,18 +114,18 @@ def _buckets(cut: Banding) -> Column:
 
 
 def _marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is, or by its hash may be, a wanted one.
+    """The rows of ``docs`` whose key is, or by its hash may be, a wanted one.
 
-    The wanted ids set bits in a map of ``MAP_BITS``, at most ``MAP_BITS / 8`` bytes whatever
+    The wanted keys set bits in a map of ``MAP_BITS``, at most ``MAP_BITS / 8`` bytes whatever
     their number, which is broadcast: so few texts move in the join that follows.
     """
-    place = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(MAP_BITS)) + 1
+    place = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(MAP_BITS)) + 1
     met = docs.withColumn("part", F.bitmap_bucket_number(place)).join(F.broadcast(_bit_map(wanted)), "part")
     return met.filter(_bit("bits", place)).select(*docs.columns)
 
 
 def _bit_map(wanted: DataFrame) -> DataFrame:
-    place = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(MAP_BITS)) + 1
+    place = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(MAP_BITS)) + 1
     return wanted.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
@@ -131,7 +138,7 @@ def _bit(bits: str, place: Column) -> Column:
 
 
 def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(id, fp1, shingles)`` of the wanted ids, the sets as sorted arrays."""
+    """``(fp1, shingles)`` of the wanted ``(row, named, fp1)``, the sets as sorted arrays."""
 
     def sets_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -140,17 +147,15 @@ def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets = S.shingle_sets(texts)
                 rows = part.iloc[at : at + len(texts)]
                 at += len(texts)
-                yield pd.DataFrame(
-                    {
-                        "id": rows["id"],
-                        "fp1": [S.set_fingerprint(s)[0] for s in sets],
-                        "shingles": [s.view(np.int64) for s in sets],
-                    }
-                )
+                found = pd.DataFrame({"fp1": [S.set_fingerprint(s)[0] for s in sets], "shingles": [s.view(np.int64) for s in sets]})
+                # a doc_id that repeats brings texts of other classes
+                yield found[found["fp1"].to_numpy() == rows["fp1"].to_numpy()]
 
-    slim = docs.select(F.coalesce(F.col("doc_id"), F.lit(_NO_ID)).alias("id"), "text")
-    exact = _marked(slim, wanted).join(wanted, "id", "left_semi").distinct()
-    return exact.mapInPandas(sets_of, "id long, fp1 long, shingles array<long>")
+    slim = docs.select(_row().alias("row"), _named().alias("named"), "text")
+    named = _marked(slim.filter("named"), wanted)
+    unnamed = _marked(slim.filter("not named"), wanted).distinct()  # many copies may share one text
+    exact = named.union(unnamed).join(wanted, ["row", "named"]).select("row", "fp1", "text").distinct()
+    return exact.select("fp1", "text").mapInPandas(sets_of, "fp1 long, shingles array<long>")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, least: int) -> bool:
@@ -160,26 +165,23 @@ def _similar(a: np.ndarray, b: np.ndarray, least: int) -> bool:
 
 def _star_links(members: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
     """Confirmed links of each class with the smallest class of every bucket it lies in."""
-    buckets = (
-        members.groupBy("bucket")
-        .agg(F.min(F.struct("id", "fp1")).alias("least"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .drop("n")
-    )
-    pairs = (
-        members.join(buckets, "bucket")
-        .filter("id <> least.id")
-        .select(F.col("least.id").alias("a"), F.col("least.fp1").alias("fa"), F.col("id").alias("b"), F.col("fp1").alias("fb"))
-        .distinct()
-    )
+    buckets = members.groupBy("bucket").agg(F.min("fp1").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    pairs = members.join(buckets, "bucket").filter("fp1 <> a").select("a", F.col("fp1").alias("b")).distinct()
 
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([_similar(a, b, cut.least) for a, b in zip(x, y, strict=True)], dtype=bool)
 
-    left = sets.select(F.col("id").alias("a"), F.col("fp1").alias("fa"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("fp1").alias("fb"), F.col("shingles").alias("set_b"))
-    return pairs.join(right, ["b", "fb"]).join(left, ["a", "fa"]).filter(linked("set_a", "set_b")).select("a", "b")
+    left = sets.select(F.col("fp1").alias("a"), F.col("shingles").alias("set_a"))
+    right = sets.select(F.col("fp1").alias("b"), F.col("shingles").alias("set_b"))
+    return pairs.join(right, "b").join(left, "a").filter(linked("set_a", "set_b")).select("a", "b")
+
+
+def _links_by_id(sketch: DataFrame) -> DataFrame:
+    """Links between the classes that share a doc_id."""
+    rows = sketch.filter("named and n_shingles > 0").select("row", "fp1")
+    several = rows.groupBy("row").agg(F.min("fp1").alias("a"), F.max("fp1").alias("b")).filter("a <> b").drop("b")
+    return rows.join(materialise(several, "several"), "row").filter("fp1 <> a").select("a", F.col("fp1").alias("b")).distinct()
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -219,7 +221,7 @@ def _state(edges: DataFrame) -> tuple:
 
 def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
     """Confirmed links between classes of one bucket that the stars left in different components."""
-    placed = members.join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = members.join(component, "fp1", "left").withColumn("component", F.coalesce("component", "fp1"))
     split = (
         placed.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -227,34 +229,34 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
         .select("bucket")
     )
     apart = materialise(placed.join(split, "bucket"), "apart")
-    ids = apart.select("id", "fp1").distinct()
+    ids = apart.select("fp1").distinct()
     # a link shares the least similarity of either set: shingles found in no other class of these can't be in it
-    loose = sets.join(ids, ["id", "fp1"]).select("id", "fp1", F.explode("shingles").alias("shingle"))
-    seen = loose.groupBy("shingle").agg(F.count("*").alias("n"), F.min(F.struct("id", "fp1")).alias("only")).filter("n = 1")
-    alone = seen.groupBy(F.col("only.id").alias("id"), F.col("only.fp1").alias("fp1")).agg(F.count("*").alias("alone"))
+    loose = sets.join(ids, "fp1").select("fp1", F.explode("shingles").alias("shingle"))
+    seen = loose.groupBy("shingle").agg(F.count("*").alias("n"), F.min("fp1").alias("fp1")).filter("n = 1")
+    alone = seen.groupBy("fp1").agg(F.count("*").alias("alone"))
     able = (
-        classes.join(ids, ["id", "fp1"])
-        .join(alone, ["id", "fp1"], "left")
+        classes.join(ids, "fp1")
+        .join(alone, "fp1", "left")
         .withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
         .filter(100 * F.col("shared") >= cut.least * F.col("n_shingles"))
-        .select("id", "fp1", "signature", "shared")
+        .select("fp1", "signature", "shared")
     )
-    able = materialise(able.join(sets, ["id", "fp1"]), "able")
-    met = apart.join(able.select("id", "fp1"), ["id", "fp1"])
+    able = materialise(able.join(sets, "fp1"), "able")
+    met = apart.join(able.select("fp1"), "fp1")
     sizes = met.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
     sizes = sizes.filter("low <> high").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     sizes = materialise(sizes.select("bucket", "blocks", "n"), "sizes")
     # small buckets share a task: an own group for each would cost more than its pairs
     tasks = (sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) // (4 * BLOCK) + 1
     sizes = sizes.drop("n")
-    mine = F.pmod(F.xxhash64("id", "fp1"), F.col("blocks")).cast("int")
+    mine = F.pmod(F.xxhash64("fp1"), F.col("blocks")).cast("int")
     dealt = (
         met.join(sizes, "bucket")
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-            "mine", "component", "id", "fp1",
+            "mine", "component", "fp1",
         )
         .withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks)))
     )
@@ -267,7 +269,7 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
     def confirm_block(rows: pd.DataFrame, band: int, i: int, j: int) -> list[tuple[int, int]]:
         signature = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), COORDINATES)
         mine, component = rows["mine"].to_numpy(), rows["component"].to_numpy()
-        sets_, ids_ = rows["shingles"].tolist(), rows["id"].to_numpy()
+        sets_, ids_ = rows["shingles"].tolist(), rows["fp1"].to_numpy()
         n, shared = np.array([len(s) for s in sets_]), rows["shared"].to_numpy()
         found = []
         for x in np.flatnonzero(mine == i):
@@ -283,66 +285,92 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
             found += [(ids_[x], ids_[z]) for z in y if _similar(sets_[x], sets_[z], cut.least)]
         return found
 
-    return dealt.join(able, ["id", "fp1"]).groupBy("task").applyInPandas(confirm, "a long, b long")
+    return dealt.join(able, "fp1").groupBy("task").applyInPandas(confirm, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text, ...)``.
+def _placed(docs: DataFrame, least: int) -> DataFrame:
+    """Every row's key, its ``doc_id``, ``n_shingles``, ``component_id``, and ``alone``.
 
-    ``component_id`` is the smallest doc_id reachable over links of similarity ``least`` per
-    cent and more, the document itself included; ``kept`` says that it is the document's own. Texts that are
-    null, empty or white space have no shingles and are linked with nothing. Rows that repeat
-    a doc_id are the same document to a component; a null doc_id counts as larger than any
-    other. Other columns are not looked at.
+    ``alone`` says of a row without a doc_id that it stands for its component, which has none.
     """
     cut = banding(least)
     sketch = materialise(sketches(docs), "sketches")
+    own = F.when(F.col("named"), F.col("row"))
     classes = (
         sketch.filter("n_shingles > 0")
         .groupBy("fp1", "fp2", "n_shingles")
-        .agg(F.min("id").alias("id"), F.first("signature").alias("signature"))
-    )
+        .agg(
+            F.min(own).alias("id"), F.min(F.when(~F.col("named"), F.col("row"))).alias("unnamed"),
+            F.first("signature").alias("signature"),
+        )
+    )
     classes = materialise(classes, "classes")
-    band = classes.select("id", "fp1", F.explode(_buckets(cut)).alias("bucket"))
+    band = classes.select("fp1", F.explode(_buckets(cut)).alias("bucket"))
     crowded = band.groupBy("bucket").count().filter("count > 1").drop("count")
     members = materialise(band.join(crowded, "bucket"), "members")
-    sets = materialise(shingle_table(docs, materialise(members.select("id").distinct(), "wanted")), "sets")
-
-    stars = materialise(_star_links(members, sets, cut), "links")
-    rest = materialise(_residual_links(members, components(stars), classes, sets, cut), "links")
-    component = components(stars.union(rest))
+    found_at = classes.select(F.coalesce("id", "unnamed").alias("row"), F.col("id").isNotNull().alias("named"), "fp1")
+    wanted = materialise(found_at.join(members.select("fp1").distinct(), "fp1"), "wanted")
+    sets = materialise(shingle_table(docs, wanted), "sets")
+
+    stars = materialise(_star_links(members, sets, cut).union(_links_by_id(sketch)), "links")
+    rest = materialise(_residual_links(members, components(stars).toDF("fp1", "component"), classes, sets, cut), "links")
+    # (class, component), with the component's smallest doc_id
+    component = components(stars.union(rest)).toDF("fp1", "component")
+    component = component.union(component.select("component", "component").distinct())  # its least class too
+    linked = classes.select("fp1", "id").join(component, "fp1")
+    linked = materialise(linked, "linked")
+    smallest = materialise(linked.groupBy("component").agg(F.min("id").alias("smallest")), "smallest")
+    linked = linked.drop("id").join(smallest, "component")
 
     per_class = (
-        classes.join(component, "id", "left")
-        .select("fp1", "fp2", "n_shingles", F.coalesce("component", "id").alias("component"))
-    )
-    per_row = sketch.join(per_class, ["fp1", "fp2", "n_shingles"], "left")
-    own = F.nullif(F.col("id"), F.lit(_NO_ID))
-    least = F.nullif(F.coalesce("component", "id"), F.lit(_NO_ID))
-    return per_row.select(
-        own.alias("doc_id"), "n_shingles", least.alias("component_id"), own.eqNullSafe(least).alias("kept")
-    )
+        classes.join(linked, "fp1", "left")
+        .select(
+            "fp1", "fp2", "n_shingles", F.coalesce("smallest", "id").alias("component_id"),
+            F.when(F.coalesce("component", "fp1") == F.col("fp1"), F.col("unnamed")).alias("first_unnamed"),
+        )
+    )
+    empty = F.col("n_shingles") == 0
+    return sketch.join(per_class, ["fp1", "fp2", "n_shingles"], "left").select(
+        "row", "named", own.alias("doc_id"), "n_shingles",
+        F.when(empty, own).otherwise(F.col("component_id")).alias("component_id"),
+        (~F.col("named") & (empty | F.col("component_id").isNull() & F.col("first_unnamed").eqNullSafe(F.col("row")))).alias("alone"),
+    )
+
+
+def near_duplicates(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text, ...)``.
+
+    ``component_id`` is the smallest doc_id reachable over links of similarity ``least`` per
+    cent and more, the document itself included; ``kept`` says that it is the document's own.
+    Texts that are null, empty or white space have no shingles and are linked with nothing.
+    Rows that repeat a doc_id are the same document to a component; rows without one are
+    documents of their own, and a component of such rows alone has no id. Other columns are
+    not looked at.
+    """
+    placed = _placed(docs, least)
+    return placed.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """One row of ``docs`` for each group of near-duplicates, that of the smallest doc_id; all columns kept.
 
-    Of rows that repeat a doc_id and a text one stays. Rows without a doc_id stay if nothing
-    with one is linked with them, one for each text.
+    Of rows that repeat a doc_id and a text one stays. Of rows without a doc_id one stays for each
+    group that has none at all, and one for each text without words.
     """
-    found = near_duplicates(docs, least).groupBy(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"))
-    found = found.agg(F.bool_or("kept").alias("_dedup_kept"), F.count("*").alias("n"))
-    special = materialise(found.filter("not _dedup_kept or n > 1").select("id", "_dedup_kept"), "special")
+    kept = F.when(F.col("named"), F.col("doc_id") == F.col("component_id")).otherwise(F.col("alone"))
+    found = _placed(docs, least).groupBy("row", "named").agg(F.bool_or(kept).alias("_dedup_kept"), F.count("*").alias("n"))
+    special = materialise(found.filter("not _dedup_kept or n > 1").select("row", "named", "_dedup_kept"), "special")
     # all others stay where they lie; only rows that go, or may come twice, move to be joined
-    place = F.pmod(F.xxhash64(F.col("_dedup_id"), F.lit(1)), F.lit(MAP_BITS)) + 1
-    keyed = docs.withColumn("_dedup_id", F.coalesce("doc_id", F.lit(_NO_ID)))
+    place = F.pmod(F.xxhash64(F.col("_dedup_row"), F.lit(1)), F.lit(MAP_BITS)) + 1
+    keyed = docs.withColumn("_dedup_row", _row()).withColumn("_dedup_named", _named())
     keyed = keyed.withColumn("_dedup_part", F.bitmap_bucket_number(place)).join(
         F.broadcast(_bit_map(special).toDF("_dedup_part", "_dedup_bits")), "_dedup_part", "left"
     )
     maybe = F.coalesce(_bit("_dedup_bits", place), F.lit(False))
     rest = keyed.filter(maybe).drop("_dedup_part", "_dedup_bits")
-    rest = rest.join(special.withColumnRenamed("id", "_dedup_id"), "_dedup_id", "left").filter("coalesce(_dedup_kept, true)")
-    again = Window.partitionBy("_dedup_id", F.xxhash64("text")).orderBy(F.lit(0))
+    special = special.withColumnsRenamed({"row": "_dedup_row", "named": "_dedup_named"})
+    rest = rest.join(special, ["_dedup_row", "_dedup_named"], "left").filter("coalesce(_dedup_kept, true)")
+    again = Window.partitionBy("_dedup_row", "_dedup_named", F.xxhash64("text")).orderBy(F.lit(0))
     first = rest.withColumn("_dedup_nth", F.row_number().over(again)).filter("_dedup_nth = 1")
     return keyed.filter(~maybe).select(*docs.columns).union(first.select(*docs.columns))
 

@@ -97,6 +97,25 @@ def test_one_document_of_each_group_stays_with_its_columns(clashing, messy_rows)
     assert ids == [1, 4, 5, 6, 7, 8, 10, 11, 12, 13, 14]  # 2 and 3 are 1 again, 9 is 8, 10 came twice
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark):
+    def edited(text, *places):
+        return " ".join("changed" if i in places else w for i, w in enumerate(text.split()))
+
+    a, b, c, d, e = (" ".join(f"{name}{i}" for i in range(200)) for name in "abcde")
+    rows = [
+        (5, a), (None, edited(a, 100)), (9, b), (None, edited(b, 100)),  # near copies of 5 and of 9
+        (None, c), (None, edited(c, 100)), (None, c.upper()), (None, c),  # near and exact copies of one another
+        (None, d), (None, None), (None, ""),
+        (7, e), (7, edited(c, 20, 60, 100, 140, 180)), (8, edited(e, 100)),  # one doc_id, two texts
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert _got(near_dup.near_duplicates(docs)) == brute(rows)
+    kept = [tuple(r) for r in near_dup.deduplicated(docs).collect()]
+    assert sorted(d for d, _ in kept if d is not None) == [5, 7, 7, 9]
+    unnamed = [t for d, t in kept if d is None]
+    assert sorted(str(t)[:1] for t in unnamed) == ["", "N", "c", "d"] or sorted(str(t)[:1] for t in unnamed) == ["", "C", "N", "d"]
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(5, 5)]
     found = near_dup.components(spark.createDataFrame(links, "a long, b long"))
