@@ -48,6 +48,24 @@ PATTERN = re.compile(
     """,
     re.VERBOSE,
 )
+#: Characters of an IBAN by country.
+_IBAN_LENGTH = {
+    country: int(length)
+    for length, countries in (
+        line.split(":")
+        for line in """15:NO 16:BE 18:DK,FI,FK,FO,GL,NL 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA
+        23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM
+        28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU""".split()
+    )
+    for country in countries.split(",")
+}
+#: Least and most digits behind a country's calling code, where they are nearly fixed.
+_NATIONAL = {
+    "7": (10, 10), "20": (9, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9), "36": (8, 9),
+    "40": (9, 9), "41": (9, 9), "44": (9, 10), "45": (8, 8), "47": (8, 8), "48": (9, 9), "52": (10, 10), "55": (10, 11), "61": (9, 9),
+    "65": (8, 8), "66": (8, 9), "81": (9, 10), "82": (8, 10), "84": (9, 10), "86": (10, 11), "90": (10, 10), "91": (10, 10),
+    "92": (9, 10), "351": (9, 9), "380": (9, 9), "420": (9, 9), "421": (9, 9), "852": (8, 8), "971": (8, 9), "972": (8, 9),
+}
 _WORTH = re.compile(r"[0-9@]")
 
 
@@ -233,6 +251,42 @@ _KINDS = {
 }
 
 
+def _digits_end(text: str, n: int) -> int:
+    """Where the ``n``-th letter or digit ends; -1 unless a group ends there as well."""
+    for at, c in enumerate(text):
+        n -= c.isalnum()
+        if n == 0:
+            return at + 1 if at + 1 == len(text) or not text[at + 1].isalnum() else -1
+    return -1
+
+
+def _ends(kind: str, text: str) -> Iterator[int]:
+    """Where a value that was found may end, the likeliest first: a match may have run into what follows it."""
+    if kind not in ("iban", "phone"):
+        yield len(text)
+        return
+    groups = [m.start() for m in re.finditer(r"(?<=[A-Za-z0-9])[ .-]", text)]
+    if kind == "iban":
+        country = _IBAN_LENGTH.get(text[:2])
+        if country and (end := _digits_end(text, country)) > 0:
+            yield end
+        yield len(text)
+        if not country:
+            yield from reversed(groups)
+        return
+    ends = [len(text), *sorted(groups, key=lambda e: (text[e] == " ", e), reverse=True)]  # at blanks first
+    if text.startswith("+") and not text.startswith("+1"):
+        code = next((text[1 : 1 + n] for n in (1, 2, 3) if text[1 : 1 + n] in _NATIONAL), None)
+        # six digits in one group, nine with the code, are a subscriber's whole number
+        block = next((m.end() for m in re.finditer(r"\+[0-9]{9,}|[0-9]{6,}", text) if text[m.end() : m.end() + 1] == " "), None)
+        if code:
+            low, high = _NATIONAL[code]
+            yield from (e for e in ends if low <= len(_plain(text[:e].replace("(0)", ""))) - len(code) <= high)
+        elif block:
+            yield block
+    yield from ends
+
+
 @lru_cache(maxsize=100_000)
 def pseudonym(kind: str, text: str, key: bytes) -> str | None:
     """The pseudonym of one value; null if it isn't a valid value of its kind."""
@@ -246,12 +300,15 @@ def replace(text: str, key: bytes) -> tuple[str, int]:
     out, kept, at, count = [], 0, 0, 0
     while found := PATTERN.search(text, at):
         kind = next(k for k, v in found.groupdict().items() if v is not None and k in _KINDS)
-        new = pseudonym(kind, found.group(), key)
-        if new is None:  # another value may begin inside
-            at = found.start() + 1
+        value, start = found.group(), found.start()
+        for end in _ends(kind, value):
+            if (new := pseudonym(kind, value[:end], key)) is not None:
+                break
+        else:  # another value may begin inside
+            at = start + 1
             continue
-        out += [text[kept : found.start()], new]
-        kept = at = found.end()
+        out += [text[kept:start], new]
+        kept = at = start + end
         count += 1
     return "".join([*out, text[kept:]]), count
 
