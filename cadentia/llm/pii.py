@@ -30,10 +30,10 @@ PATTERN = re.compile(
     r"""
     (?P<email> (?<![\w.+%-]) [A-Za-z0-9][A-Za-z0-9._%+-]{0,63} @ (?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+ [A-Za-z]{2,24} (?![A-Za-z0-9-]) )
   | (?P<secret> (?<![A-Za-z0-9]) AKIA[0-9A-Z]{16} (?![A-Za-z0-9])
-      | (?<= token\ =\ ") [A-Za-z0-9]{16,} (?=")
-      | (?<= password=) [A-Za-z0-9]{6,}
-      | (?<= secret=) [A-Za-z0-9]{6,}
-      | (?<= api_key=) [A-Za-z0-9]{6,} )
+      | (?P<name> (?i: password | passwd | passphrase | pwd | api[_ -]?key | access[_ -]?key | secret(?:[_ -]?key)? | token ) )
+        ["']? [ \t]* (?P<sign> => | := | [:=](?!=) ) [ \t]*
+        (?: "(?P<double>[^"\n]{6,})" | '(?P<single>[^'\n]{6,})' | (?P<bare> (?:
+          (?! [&,;]\w+[=:] | [.,;:!?)\]}]*(?:\s|\Z) | ["'](?!\w) | </?\w ) \S ){6,} ) ) )
   | (?P<iban> (?<![A-Za-z0-9]) [A-Z]{2}[0-9]{2} (?:\ ?[A-Z0-9]{4}){2,7} (?:\ ?[A-Z0-9]{1,3})? (?![A-Za-z0-9]) )
   | (?P<date> (?<![\w./-]) (?: [0-9]{4}-[0-9]{2}-[0-9]{2} | [0-9]{4}/[0-9]{2}/[0-9]{2}
       | [0-9]{2}/[0-9]{2}/[0-9]{4} | [0-9]{2}\.[0-9]{2}\.[0-9]{4} ) (?![\w/-]|\.[0-9]) )
@@ -66,7 +66,9 @@ _NATIONAL = {
     "65": (8, 8), "66": (8, 9), "81": (9, 10), "82": (8, 10), "84": (9, 10), "86": (10, 11), "90": (10, 10), "91": (10, 10),
     "92": (9, 10), "351": (9, 9), "380": (9, 9), "420": (9, 9), "421": (9, 9), "852": (8, 8), "971": (8, 9), "972": (8, 9),
 }
-_WORTH = re.compile(r"[0-9@]")
+_WORTH = re.compile(r"[0-9@]|(?i:passw|passphrase|pwd|key|secret|token)")
+#: Characters of a secret that are permuted together.
+_PIECE = 64
 
 
 class Permutation:
@@ -152,9 +154,21 @@ def _secret(text: str, turn: Permutation) -> str | None:
             x, place = divmod(x, 36)
             digits = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"[place] + digits
         return "AKIA" + digits
-    if re.fullmatch(r"[0-9a-f]+", text):
+    if re.fullmatch(r"[0-9a-f]+", text) and len(text) <= 16 * _PIECE:
         return f"{turn(int(text, 16), 16 ** len(text), 'hex'):0{len(text)}x}"
-    return _by_class(text, "secret", turn)
+    new = "".join(_by_class(text[i : i + _PIECE], "secret", turn) for i in range(0, len(text), _PIECE))
+    return new if new != text else None
+
+
+def _assigned(found: re.Match) -> str | None:
+    """The group of a secret's value; null if it is more likely a word of a sentence or of a program."""
+    group = next(g for g in ("double", "single", "bare") if found[g] is not None)
+    name, value = found["name"].lower(), found[group]
+    if name == "token" and len(value) < 16 and not re.search("[0-9]", value):
+        return None
+    if name in ("secret", "token") and group == "bare" and found["sign"] == ":" and re.fullmatch("[A-Z]?[a-z]+", value):
+        return None
+    return group
 
 
 def _check_digit(payload: str) -> str:
@@ -300,12 +314,16 @@ def replace(text: str, key: bytes) -> tuple[str, int]:
     out, kept, at, count = [], 0, 0, 0
     while found := PATTERN.search(text, at):
         kind = next(k for k, v in found.groupdict().items() if v is not None and k in _KINDS)
-        value, start = found.group(), found.start()
+        group = _assigned(found) if found["name"] is not None else kind
+        if group is None:
+            at = found.start() + 1
+            continue
+        value, start = found[group], found.start(group)
         for end in _ends(kind, value):
             if (new := pseudonym(kind, value[:end], key)) is not None:
                 break
         else:  # another value may begin inside
-            at = start + 1
+            at = found.start() + 1
             continue
         out += [text[kept:start], new]
         kept = at = start + end

@@ -126,6 +126,30 @@ def test_values_do_not_run_into_what_follows(value, next_):
         assert text == f"see {alone} {next_}"
 
 
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("password=hunterabc", "hunterabc"), ("the password: hunterabc.", "hunterabc"), ("Password = 'hunterabc'", "hunterabc"),
+        ("password=abcdef-ghijkl, then", "abcdef-ghijkl"), ("api_key = abcdefgh", "abcdefgh"), ("API-KEY: abcdefgh", "abcdefgh"),
+        ("db_password=abcdefgh", "abcdefgh"), ('{"secret": "abcdefgh"}', "abcdefgh"), ('token = "abcdefghijklmnop"', "abcdefghijklmnop"),
+        ("token=abcdefghijklmnop", "abcdefghijklmnop"), ("token:abc123xyz", "abc123xyz"), ("secret=abcdef&user=me", "abcdef"),
+        ('password="two words"', "two words"), ("password=" + "ab-" * 5000 + "z", "ab-" * 5000 + "z"), ("password=bob@mail.example.com", "bob@mail.example.com"),
+    ],
+)
+def test_assigned_secrets_are_replaced_whole(text, value):
+    new, n = pii.replace(text, b"key")
+    before, _, after = text.partition(value)
+    found = new.removeprefix(before).removesuffix(after)
+    assert n == 1 and before + found + after == new and len(found) == len(value)
+    assert all(part not in found for part in re.findall("[A-Za-z]{5,}", value))
+    assert pii.replace(f"{text} 7", b"key")[0] == f"{new} 7"  # a digit elsewhere changes nothing
+
+
+@pytest.mark.parametrize("text", ["the secret: nobody knew", "token = lexer.next", "a password is asked for", "if password == stored", "tokens: many"])
+def test_words_about_secrets_stay(text):
+    assert pii.replace(text, b"key") == (text, 0)
+
+
 @pytest.mark.parametrize("text", CLEAN)
 def test_clean_text_stays(text):
     assert pii.replace(text, b"key") == (text, 0)
