@@ -16,6 +16,8 @@ BLOCK = set(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot "
     "th thead tr ul option select textarea button legend caption".split()
 )
+#: What may stand in a head, whose end tag may be left out; anything else ends it.
+_IN_HEAD = set("head title meta link base style script noscript template".split())
 #: A start tag ends the open elements named here, unless one of the limits lies between.
 _ENDS = {tag: ({"p"}, {"table", "td", "th", "button"}) for tag in BLOCK - {"option", "legend", "caption", "body", "html"}}
 _ENDS |= {
@@ -80,7 +82,19 @@ class _Builder(HTMLParser):
             self.open.append((tag, n, True))
         return n
 
+    def _end_head(self, tag: str) -> None:
+        """Closes an open head before what can't stand in it; a body closes it whatever is still open inside."""
+        if not self.silent or tag in _IN_HEAD or tag == "html":
+            return
+        if self.open[-1][0] == "head":
+            self._close(len(self.open) - 1)
+        elif tag == "body":
+            at = next((i for i, o in enumerate(self.open) if o[0] == "head"), 0)
+            if at:
+                self._close(at)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._end_head(tag)
         if tag == "br" or tag == "hr":
             self.page.runs.append((self.open[-1][1], "\n"))
         if tag in VOID:
@@ -141,6 +155,8 @@ class _Builder(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head("")
         if self.silent:
             return
         page, node = self.page, self.open[-1][1]

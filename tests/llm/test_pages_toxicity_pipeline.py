@@ -44,6 +44,21 @@ def test_layouts_that_were_not_learned_from(extractor):
     assert good >= 0.9 * 120
 
 
+@pytest.mark.parametrize("after", ["<body><p>", "<body class=x><article><p>", "<p>", "<article>", "<div>", "<br>", "<span>", "", "<noscript><p>no</p></noscript><p>"])
+def test_a_head_without_its_end_tag(after):
+    page = dom.parse(f"<!DOCTYPE html><html><head><meta charset=utf-8><title>T</title><script>var t;</script>{after}one two</html>")
+    assert page.text([True] * len(page.tag)) == "one two"
+
+
+def test_layouts_without_an_end_tag_of_the_head(extractor):
+    layouts = extraction._Layouts([prose(i, 30) for i in range(50)], seed=7)
+    for _ in range(60):
+        marked = layouts.page().replace(extraction._MARK, "")
+        short = marked.replace("</head>", "")
+        assert short != marked and dom.parse(short) == dom.parse(marked)
+        assert extractor.texts([short]) == extractor.texts([marked])
+
+
 def test_references_white_space_and_forgotten_end_tags(extractor):
     body = f"<article><h1>A &amp; B</h1><p>{prose(1, 40)}&nbsp;caf&eacute;<br>\n\t next <b>in</b>line<p>{prose(2, 30)} &am"
     got = extractor.texts([f"<body><nav><ul><li><a href=/>Home</a><li><a href=/x>More</a></ul></nav>{body}"])[0]
