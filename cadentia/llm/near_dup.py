@@ -165,7 +165,8 @@ def _similar(a: np.ndarray, b: np.ndarray, least: int) -> bool:
 
 def _star_links(members: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
     """Confirmed links of each class with the smallest class of every bucket it lies in."""
-    buckets = members.groupBy("bucket").agg(F.min("fp1").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    buckets = members.groupBy("bucket").agg(F.min(F.struct("order", "fp1")).alias("least"), F.count("*").alias("n"))
+    buckets = buckets.filter("n > 1").select("bucket", F.col("least.fp1").alias("a"))
     pairs = members.join(buckets, "bucket").filter("fp1 <> a").select("a", F.col("fp1").alias("b")).distinct()
 
     @F.pandas_udf("boolean")
@@ -305,7 +306,9 @@ def _placed(docs: DataFrame, least: int) -> DataFrame:
         )
     )
     classes = materialise(classes, "classes")
-    band = classes.select("fp1", F.explode(_buckets(cut)).alias("bucket"))
+    # an original comes before its copies, as a rule, so stars are centred on the smallest doc_id
+    order = F.coalesce("id", F.lit((1 << 63) - 1)).alias("order")
+    band = classes.select("fp1", order, F.explode(_buckets(cut)).alias("bucket"))
     crowded = band.groupBy("bucket").count().filter("count > 1").drop("count")
     members = materialise(band.join(crowded, "bucket"), "members")
     found_at = classes.select(F.coalesce("id", "unnamed").alias("row"), F.col("id").isNotNull().alias("named"), "fp1")
