@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from cadentia.llm.bpe import op11_byte_bpe
 from cadentia.llm.extraction import op1_html_extraction
 from cadentia.llm.mixing import op7_mixing
 from cadentia.llm.near_dup import op2_minhash_near_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_byte_bpe": op11_byte_bpe,
 }
 
 #: Words of a whole text, A-Z lower-cased, as a list column ``w``.
