@@ -12,6 +12,7 @@ from cadentia.llm.pii import op9_pii_pseudonyms
 from cadentia.llm.rules import op8_quality_rules
 from cadentia.llm.token_counts import op6_token_counts
 from cadentia.llm.toxicity import op4_toxicity
+from cadentia.llm.turns import op12_turn_repair
 from cadentia.llm.warc import op10_warc_revisits
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_pii_pseudonyms": op9_pii_pseudonyms,
     "op10_warc_revisits": op10_warc_revisits,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_turn_repair": op12_turn_repair,
 }
 
 #: Words of a whole text, A-Z lower-cased, as a list column ``w``.
