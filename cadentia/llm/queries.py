@@ -7,6 +7,7 @@ from cadentia.llm.extraction import op1_html_extraction
 from cadentia.llm.mixing import op7_mixing
 from cadentia.llm.near_dup import op2_minhash_near_dedup
 from cadentia.llm.neighbours import op3_collision_counting
+from cadentia.llm.phrases import op13_collocations
 from cadentia.llm.pieces import op5_sentencepiece
 from cadentia.llm.pii import op9_pii_pseudonyms
 from cadentia.llm.rules import op8_quality_rules
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_warc_revisits": op10_warc_revisits,
     "op11_byte_bpe": op11_byte_bpe,
     "op12_turn_repair": op12_turn_repair,
+    "op13_collocations": op13_collocations,
 }
 
 #: Words of a whole text, A-Z lower-cased, as a list column ``w``.
@@ -65,5 +67,33 @@ marked AS (SELECT *, coalesce(payload_bytes >= 1000 AND page_id < held, false) A
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN again THEN held END AS refers_to
 FROM marked
+""",
+    "op13_collocations": """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+f1 AS (SELECT lang, w[i] AS x, count(*) AS n FROM places GROUP BY ALL),
+f2 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS n FROM places WHERE i < len(w) GROUP BY ALL HAVING count(*) >= 10),
+f3 AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS n FROM places WHERE i + 1 < len(w)
+    GROUP BY ALL HAVING count(*) >= 10),
+inside AS (SELECT lang, x, y, n FROM f3 UNION ALL SELECT lang, y, z, n FROM f3),
+longer AS (SELECT lang, x, y, max(n) AS most FROM inside GROUP BY ALL),
+cuts AS (
+    SELECT lang, x || ' ' || y AS phrase, f2.n AS a, 1 AS k, p.n AS l, q.n AS r
+    FROM f2 JOIN f1 p USING (lang, x) JOIN f1 q ON q.lang = f2.lang AND q.x = f2.y LEFT JOIN longer USING (lang, x, y)
+    WHERE 100 * coalesce(most, 0) < 50 * f2.n
+    UNION ALL
+    SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || z, f3.n, 1, p.n, q.n
+    FROM f3 JOIN f1 p ON p.lang = f3.lang AND p.x = f3.x JOIN f2 q ON q.lang = f3.lang AND q.x = f3.y AND q.y = z
+    UNION ALL
+    SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || z, f3.n, 2, p.n, q.n
+    FROM f3 JOIN f2 p ON p.lang = f3.lang AND p.x = f3.x AND p.y = f3.y JOIN f1 q ON q.lang = f3.lang AND q.x = z),
+scored AS (SELECT *, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest),
+totals AS (SELECT lang, sum(n)::BIGINT AS n FROM f1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }
