@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,42 +42,76 @@ def epoch_losses(steps: DataFrame, losses: tuple[str, ...] = ("loss",)) -> DataF
     )
 
 
+class PlateauFold:
+    """The rule's state along the epochs of a round."""
+
+    __slots__ = ("par", "best", "misses", "lr")
+
+    def __init__(self, par: Plateau, best: float | None = None, misses: int | None = None, lr: float | None = None):
+        self.par = par
+        self.best = math.inf if best is None else best
+        self.misses = misses or 0
+        self.lr = par.base_lr if lr is None else lr
+
+    def step(self, loss: float | None) -> tuple[int, float]:
+        """Misses and rate after one more epoch."""
+        par = self.par
+        if self.lr > par.min_lr:
+            if loss is not None and loss < self.best * (1 - par.min_improvement):
+                self.best, self.misses = loss, 0
+            else:
+                self.misses += 1
+            if self.misses >= par.patience:
+                self.lr, self.misses = max(self.lr * (1 - par.reduction), par.min_lr), 0
+        return self.misses, self.lr
+
+
 def plateau(
-    losses: DataFrame, par: Plateau = Plateau(), keys: tuple[str, ...] = ("tag", "round")
+    losses: DataFrame, par: Plateau = Plateau(), keys: tuple[str, ...] = ("tag", "round"), start: DataFrame | None = None
 ) -> DataFrame:
     """Learning rate and miss count after each epoch of every round.
 
     An epoch improves if its loss is below ``best * (1 - min_improvement)``; after
     ``patience`` epochs without one the rate shrinks, down to a floor at which the
-    state freezes. A round is a run over its epochs in order, of slim rows and in linear
-    time; rounds run side by side. An epoch below 0 or given twice is an error.
+    state freezes. An epoch below 0 or given twice is an error.
+
+    A segmented scan: rounds share tasks, and each task passes once over its rows in order,
+    with one round's state carried along, so many short rounds cost no more than their rows
+    and a long one needs no more memory. ``start(keys, best, misses, lr)`` has the state
+    that a round goes on from.
     """
-    unique = (
-        losses.select(*keys, F.col("epoch").cast("bigint").alias("epoch"), F.col("val_loss").cast("double").alias("val_loss"))
-        .groupBy(*keys, "epoch")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("val_loss").alias("val_loss"))
-    )
-    fault = F.when(F.col("epoch") < 0, F.lit("epoch lies outside the round")).when(
-        F.col("_n") > 1, F.lit("an epoch has two losses")
-    )
-    checked = unique.withColumn(
-        "val_loss", F.when(fault.isNull(), F.col("val_loss")).otherwise(F.raise_error(fault).cast("double"))
-    ).drop("_n")
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("epoch")
-        best, misses, lr, trace = float("inf"), 0, par.base_lr, []
-        for loss in rows["val_loss"].to_numpy():
-            if lr > par.min_lr:
-                better = loss < best * (1 - par.min_improvement)
-                best, misses = (loss, 0) if better else (best, misses + 1)
-                if misses >= par.patience:
-                    lr, misses = max(lr * (1 - par.reduction), par.min_lr), 0
-            trace.append((misses, lr))
-        return rows.assign(misses=[m for m, _ in trace], lr=[r for _, r in trace])
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in checked.schema)
-    return checked.groupBy(*keys).applyInPandas(run, f"{schema}, misses bigint, lr double")
+    slim = losses.select(*keys, F.col("epoch").cast("bigint").alias("epoch"), F.col("val_loss").cast("double").alias("val_loss"))
+    state = ["best", "misses", "lr"]
+    if start is not None:
+        slim = slim.join(start.select(*keys, *[F.col(c).alias(f"_{c}") for c in state]), list(keys), "left")
+    else:
+        slim = slim.select("*", *[F.lit(None).cast(t).alias(f"_{c}") for c, t in zip(state, ("double", "bigint", "double"), strict=True)])
+    ordered = slim.repartition(*keys).sortWithinPartitions(*keys, "epoch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold, now, last = None, None, -1
+        for batch in batches:
+            cells = [batch.column(c).to_pylist() for c in (*keys, "epoch", "val_loss", "_best", "_misses", "_lr")]
+            misses, rates = [], []
+            for *key, epoch, loss, best, missed, lr in zip(*cells, strict=True):
+                if key != now:
+                    now, last, fold = key, -1, PlateauFold(par, best, missed, lr)
+                if epoch is None or epoch < 0:
+                    raise ValueError("epoch lies outside the round")
+                if epoch == last:
+                    raise ValueError("an epoch has two losses")
+                last = epoch
+                m, r = fold.step(loss)
+                misses.append(m)
+                rates.append(r)
+            kept = [batch.column(c) for c in (*keys, "epoch", "val_loss")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(misses, pa.int64()), pa.array(rates, pa.float64())], [*keys, "epoch", "val_loss", "misses", "lr"]
+            )
+
+    kinds = dict(ordered.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in (*keys, "epoch", "val_loss"))
+    return ordered.mapInArrow(run, f"{schema}, misses bigint, lr double")
 
 
 def parse_artifacts(registry: DataFrame, path: str = "path") -> DataFrame:

@@ -906,7 +906,7 @@ def stream_series(spark, sf_dir):
     root = scratch_dir(spark, "series")
     rows = _newest_first(spark, sf_dir, TIMED_COLUMNS, root)
     streams.drain(streams.write_series(rows, f"{root}/data", f"{root}/checkpoint", once=True))
-    return rounded(streams.metric_series(spark, f"{root}/data"), "mean_value", "max_value")
+    return rounded(streams.metric_series(spark, f"{root}/data", f"{root}/checkpoint"), "mean_value", "max_value")
 
 
 @query

@@ -13,7 +13,7 @@ from cadentia.settings import ForestParams, Plateau
 from cadentia.sources import npy, tables
 from cadentia.streaming import plateau as stream_state
 from cadentia.streaming import telemetry as streams
-from conftest import SF, rows
+from conftest import SF, plan, rows
 
 # --- sources ---------------------------------------------------------------------
 
@@ -105,20 +105,75 @@ def one_file_at_a_time(spark, folder, schema):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
-def test_stream_series_equals_batch(spark, split_events, tmp_path):
-    folder, events = split_events
-    shape = lambda df: df.selectExpr("ts", "event_type as resource_type", "'n' as resource_name", "value")
-    out = str(tmp_path / "out")
-    for checkpoint in ("cp", "lost"):  # the second replays all batches over what they wrote
-        source = shape(one_file_at_a_time(spark, folder, events.schema))
-        streams.drain(streams.write_series(source, out, str(tmp_path / checkpoint), seconds=86400, once=True))
-    keys = streams.SERIES_KEYS
-    batch = shape(events).groupBy(
-        F.unix_timestamp(F.date_trunc("day", "ts")).alias("window_start"), "resource_type", "resource_name"
+def arriving(spark, events, tmp_path, order, parts=6):
+    """The events in ``parts`` files of consecutive time, put into a folder one after another in ``order``."""
+    folder = tmp_path / "arriving"
+    folder.mkdir(exist_ok=True)
+    cut = np.linspace(0, 1000, parts + 1).astype(int)
+
+    def put(numbers):
+        for n in numbers:
+            lo, hi = int(cut[n]), int(cut[n + 1])
+            part = events.where((F.col("event_id") >= lo) & (F.col("event_id") < hi)).coalesce(1)
+            part.write.mode("append").parquet(str(folder))
+
+    return str(folder), put, order
+
+
+ORDERS = [(0, 1, 2, 3, 4, 5), (5, 4, 3, 2, 1, 0), (2, 5, 0, 4, 1, 3)]
+
+
+def series_shape(df):
+    return df.selectExpr("ts", "event_type as resource_type", "'n' as resource_name", "value")
+
+
+def series_of(df, keys=streams.SERIES_KEYS):
+    return {tuple(r[k] for k in keys): (round(r["mean_value"], 9), r["max_value"], r["samples"]) for r in df.collect()}
+
+
+@pytest.mark.parametrize("order", ORDERS)
+@pytest.mark.parametrize("delay", [0, 86400, 10**9])
+def test_stream_series_equals_batch_in_any_order_and_after_restarts(spark, split_events, tmp_path, order, delay):
+    _, events = split_events
+    folder, put, order = arriving(spark, events, tmp_path, order)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    for part in (order[:2], order[2:3], order[3:]):  # each run goes on from the checkpoint of the one before
+        put(part)
+        source = series_shape(one_file_at_a_time(spark, folder, events.schema))
+        streams.drain(streams.write_series(source, out, checkpoint, seconds=3600, delay=delay, once=True))
+    batch = series_shape(events).groupBy(
+        F.unix_timestamp(F.date_trunc("hour", "ts")).alias("window_start"), "resource_type", "resource_name"
     ).agg(F.avg("value").alias("mean_value"), F.max("value").alias("max_value"), F.count("*").alias("samples"))
-    key = lambda df: {tuple(r[k] for k in keys): (round(r["mean_value"], 9), r["max_value"], r["samples"]) for r in df.collect()}
-    assert key(streams.metric_series(spark, out)) == key(batch)
-    assert streams.metric_series(spark, str(tmp_path / "nothing yet")).collect() == []
+    assert series_of(streams.metric_series(spark, out, checkpoint, seconds=3600)) == series_of(batch)
+
+
+def test_stream_series_stores_a_window_once(spark, split_events, tmp_path):
+    """What is stored grows with the windows: none is written again by a later batch, and no batch leaves empty files."""
+    _, events = split_events
+    folder, put, _ = arriving(spark, events, tmp_path, None)
+    put(range(6))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    source = series_shape(one_file_at_a_time(spark, folder, events.schema))
+    streams.drain(streams.write_series(source, out, checkpoint, seconds=3600, delay=0, once=True))
+    closed = spark.read.parquet(f"{out}/closed")
+    assert closed.count() == closed.select(*streams.SERIES_KEYS).distinct().count() > 0
+    written = {r[0] for r in closed.select("batch_id").distinct().collect()}
+    assert {int(p.name.split("=")[1]) for p in (tmp_path / "out" / "closed").iterdir() if "=" in p.name} == written
+    assert streams.metric_series(spark, str(tmp_path / "nothing yet"), str(tmp_path / "none")).collect() == []
+
+
+@pytest.mark.parametrize("order", ORDERS)
+@pytest.mark.parametrize("delay", [0, 86400, 10**9])
+def test_stream_dedup_equals_batch_in_any_order_and_after_restarts(spark, split_events, tmp_path, order, delay):
+    _, events = split_events
+    folder, put, order = arriving(spark, events, tmp_path, order)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    for part in (order[:2], order[1:4], order[3:]):  # some files come twice
+        put(part)
+        stream = one_file_at_a_time(spark, folder, events.schema)
+        streams.drain(streams.dedup(stream, out, checkpoint, ("ts", "event_id"), delay=delay, once=True))
+    assert rows(streams.deduplicated(spark, out, schema), "event_id") == rows(events, "event_id")
 
 
 def test_stream_dedup_across_batches(spark, split_events, tmp_path):
@@ -131,6 +186,30 @@ def test_stream_dedup_across_batches(spark, split_events, tmp_path):
         assert rows(streams.deduplicated(spark, out, schema), "event_id") == rows(events, "event_id")
 
 
+def test_stream_dedup_keeps_rows_without_a_time(spark, split_events, tmp_path):
+    _, events = split_events
+    folder = str(tmp_path / "in2")
+    for _ in range(2):
+        events.limit(3).withColumn("ts", F.lit(None).cast("timestamp")).coalesce(1).write.mode("append").parquet(folder)
+    out = str(tmp_path / "out")
+    streams.drain(streams.dedup(one_file_at_a_time(spark, folder, events.schema), out, str(tmp_path / "cp"), ("ts", "event_id"), once=True))
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_late_rows_are_looked_up_in_their_own_days_only(spark, tmp_path):
+    days = spark.range(20).selectExpr("id", "date_add(date'2024-01-01', cast(id as int)) as day", "0L as batch_id")
+    path = str(tmp_path / "table")
+    days.write.partitionBy("day", "batch_id").parquet(path)
+    late = days.where("id in (3, 7)").drop("batch_id")
+    found = streams.stored_days(spark, path, late, 1)
+    text = plan(found)
+    assert "PartitionFilters" in text and "2024-01-04" in text and "2024-01-08" in text
+    assert rows(found, "id") == [(3,), (7,)]
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    found.collect()
+    assert scan.metrics().apply("numFiles").value() in (0, 2) and streams.stored_days(spark, path, late, 0).count() == 0
+
+
 def test_stream_route_is_idempotent_per_batch(spark, split_events, tmp_path):
     folder, events = split_events
     queue = one_file_at_a_time(spark, folder, events.schema).selectExpr(*fx.QUEUE_COLUMNS)
@@ -143,16 +222,56 @@ def test_stream_route_is_idempotent_per_batch(spark, split_events, tmp_path):
     assert len(rows(spark.read.parquet(out), "table", "timestamp", "value")) == 1000
 
 
-def test_stream_plateau_equals_the_batch_run_in_any_order(spark, split_events, tmp_path):
-    folder, events = split_events
+@pytest.mark.parametrize("order", ORDERS)
+@pytest.mark.parametrize("gaps", [False, True])
+def test_stream_plateau_equals_the_batch_run_in_any_order_and_after_restarts(spark, split_events, tmp_path, order, gaps):
+    _, events = split_events
+    folder, put, order = arriving(spark, events, tmp_path, order)
     par = Plateau(min_lr=4e-4)
-    # the four files hold parts of every round, the newest epochs first
-    losses = lambda df: df.selectExpr("'run' as tag", "event_id % 7 as round", "1000 - event_id as epoch", "value as val_loss")
-    out = str(tmp_path / "out")
-    stream = losses(one_file_at_a_time(spark, folder, events.schema))
-    streams.drain(stream_state.write_plateau(stream, out, str(tmp_path / "cp"), par, once=True))
+    # files hold parts of every round; with gaps, most epochs wait for others that never come
+    epoch = "event_id" if gaps else "event_id div 7"
+    losses = lambda df: df.selectExpr("'run' as tag", "event_id % 7 as round", f"{epoch} as epoch", "value as val_loss")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
     key = lambda df: {(r["round"], r["epoch"]): (r["misses"], round(r["lr"], 12)) for r in df.collect()}
-    assert key(stream_state.stream_plateau(spark, out)) == key(tracking.plateau(losses(events), par))
+    arrived = []
+    for part in (order[:2], order[2:3], order[3:]):
+        put(part)
+        arrived += part
+        stream = losses(one_file_at_a_time(spark, folder, events.schema))
+        streams.drain(stream_state.write_plateau(stream, out, checkpoint, par, once=True))
+    assert key(stream_state.stream_plateau(spark, out, par)) == key(tracking.plateau(losses(events), par))
+
+
+def test_stream_plateau_settles_each_epoch_once(spark, split_events, tmp_path):
+    _, events = split_events
+    folder, put, _ = arriving(spark, events, tmp_path, None)
+    put((0, 1, 2, 3, 4, 5))
+    losses = one_file_at_a_time(spark, folder, events.schema).selectExpr("'run' as tag", "0L as round", "event_id as epoch", "value as val_loss")
+    out = str(tmp_path / "out")
+    streams.drain(stream_state.write_plateau(losses, out, str(tmp_path / "cp"), once=True))
+    trace = spark.read.parquet(out)
+    assert trace.where("settled").count() == 1000 == trace.where("settled").select("epoch").distinct().count()
+
+
+def test_stream_plateau_rejects_an_epoch_that_comes_again(spark, split_events, tmp_path):
+    folder, events = split_events
+    twice = one_file_at_a_time(spark, folder, events.schema).selectExpr("'run' as tag", "0L as round", "event_id % 300 as epoch", "value as val_loss")
+    with pytest.raises(Exception, match="two losses"):
+        streams.drain(stream_state.write_plateau(twice, str(tmp_path / "out"), str(tmp_path / "cp"), once=True))
+
+
+def test_plateau_follows_a_long_round_across_batches(spark):
+    """A round that fills many Arrow batches and shares its task with short ones is one fold."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        df = spark.range(900).selectExpr("'t' as tag", "if(id < 700, 1L, id) as round", "if(id < 700, 699 - id, 0L) as epoch", "cast(pmod(id * 37, 101) as double) as val_loss")
+        got = {(r["round"], r["epoch"]): (r["misses"], r["lr"]) for r in tracking.plateau(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    fold = tracking.PlateauFold(Plateau())
+    assert [got[1, e] for e in range(700)] == [fold.step(float((699 - e) * 37 % 101)) for e in range(700)]
+    assert all(got[r, 0] == (0, 0.001) for r in range(700, 900))
 
 
 # --- models -----------------------------------------------------------------------
