@@ -4,6 +4,7 @@ Everything is DataFrame expressions. Sequential covering grows a conjunction of
 two thirds of the labelled rows, one aggregation per condition over *all* of them (counts per
 statistic and bin; the driver sees that bounded table only), and prunes it on the last third.
 Rows that a rule covers leave; the rules found become one ordered conditional expression.
+Every rule is grown on thirds of its own, so what the last third of one lacks the next one sees.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ FEATURES = {
 
 #: Bounds of the learned list.
 BINS, MOST_RULES, MOST_CONDITIONS = 32, 12, 4
+#: Splits tried in a row without a rule before the list ends.
+MOST_FAILURES = 3
 #: A rule must hold this precision on the rows it is pruned with, and cover so many of them.
 LEAST_PRECISION, LEAST_COVERED = 0.9, 5
 
@@ -141,20 +144,24 @@ def learn(stats: DataFrame, labels: DataFrame, label: str = "quality") -> list[R
     rows = materialise(
         rows.select(
             *COUNTS, "n_lines", "n_capitals", "n_digits", "n_marks",
-            (F.col("_label") == 0).alias("bad"),
-            (F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2).alias("grow"),
+            (F.col("_label") == 0).alias("bad"), F.xxhash64("doc_id").alias("row"),
         ),
         "labelled",
     )
     cuts = _cuts(rows)
     rules: list[Rule] = []
     left = F.lit(True)
-    while cuts and len(rules) < MOST_RULES:
-        rule = _prune(rows.filter(left & ~F.col("grow")), _grow(rows.filter(left & F.col("grow")), cuts))
-        if not rule:
-            break
-        rules.append(rule)
-        left &= ~_all(rule)
+    split = failures = 0
+    while cuts and len(rules) < MOST_RULES and failures < MOST_FAILURES:
+        grow = F.pmod(F.xxhash64("row", F.lit(split)), F.lit(3)) < 2
+        grown = _grow(rows.filter(left & grow), cuts)
+        # a kind too rare for its last third to tell is judged on all rows left, and then without a fault
+        rule = _prune(rows.filter(left & ~grow), grown) or _prune(rows.filter(left), grown, 1)
+        split += 1
+        if rule:
+            rules.append(rule)
+            left &= ~_all(rule)
+        failures = 0 if rule else failures + 1
     return rules
 
 
@@ -203,11 +210,12 @@ def _grow(rows: DataFrame, cuts: dict[str, list[float]]) -> Rule:
                         best, gain = Condition(f, above, c), g
         if best is None:
             break
-        rule += (best,)
+        # a closer threshold of the same kind takes the place of the earlier one
+        rule = (*(c for c in rule if (c.feature, c.above) != (best.feature, best.above)), best)
     return rule
 
 
-def _prune(rows: DataFrame, rule: Rule) -> Rule:
+def _prune(rows: DataFrame, rule: Rule, least_precision: float = LEAST_PRECISION) -> Rule:
     """The start of the rule that is worth most on rows it was not grown on, if it is good enough."""
     if not rule:
         return ()
@@ -218,7 +226,7 @@ def _prune(rows: DataFrame, rule: Rule) -> Rule:
     scored = []
     for i, r in enumerate(starts):
         p, n = found[i], found[i + len(starts)]
-        if p + n >= LEAST_COVERED and p >= LEAST_PRECISION * (p + n):
+        if p + n >= LEAST_COVERED and p >= least_precision * (p + n):
             scored.append(((p - n) / (p + n), p, -len(r), r))
     return max(scored, key=lambda s: s[:3])[-1] if scored else ()
 
