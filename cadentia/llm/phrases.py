@@ -185,8 +185,8 @@ def _grouped(lang: str, found: Words, frequent: np.ndarray, heavy: np.ndarray, g
     pair = pc.binary_join_element_wise(spelled.take(pa.array(a[order])), spelled.take(pa.array(b[order])), b" ")
     last = spelled.take(pa.array(np.where(c[order] >= 0, c[order], 0)))
     phrases = pc.if_else(pa.array(c[order] >= 0), pc.binary_join_element_wise(pair, last, b" "), pair)
-    starts = np.flatnonzero(np.diff(group[order], prepend=-1))
-    for x, y in zip(starts, [*starts[1:], len(order)], strict=True):
+    cuts = [*np.flatnonzero(np.diff(group[order], prepend=-1)), len(order)]
+    for x, y in zip(cuts[:-1], cuts[1:], strict=True):
         yield int(group[order[x]]), phrases.slice(x, y - x), counts[order[x:y]]
 
 
