@@ -1,65 +1,276 @@
-"""Random forest on cadence features (Spark ML), its scores and its storage."""
+"""Random forests grown shard by shard, stored as a table of nodes, scored as flat arrays.
+
+Rows are dealt to shards by a hash. A task holds one shard, in histogram bins, and grows whole trees of
+any depth on it, a level at a time for all its nodes; a small table is given to several tasks, each
+of which grows other trees. Bootstrap weights are Poisson draws from a hash of row and tree, so a task that runs
+again grows the same trees. The nodes of all trees are the model.
+"""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadentia.operators.cadence import predict_confidence
+from cadentia.session import materialise
 from cadentia.settings import ForestParams
 
+NODES = "tree int, node int, feature int, threshold double, left int, right int, p double, weight double, gain double"
+#: Bytes of a shard's features. At most one shard for each tree is learned from.
+SHARD_BYTES = 64 << 20
+#: Histogram bins of a feature, and cells of the histograms that are held at once.
+BINS, CELLS = 128, 1 << 22
+#: Bytes of nodes that are broadcast at once; a larger forest is scored in several passes.
+MODEL_BYTES, NODE_BYTES = 64 << 20, 36
+#: Rows times trees that a worker walks at once.
+WALKED = 1 << 20
+_GAIN = 1e-12
+
+
+@dataclass(frozen=True)
+class Forest:
+    """A fitted forest: ``nodes`` as in ``NODES``; a leaf has feature -1, and node 0 is a tree's root."""
+
+    nodes: DataFrame
+    n_features: int
+    n_trees: int
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers with good avalanche."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _uniform(x: np.ndarray) -> np.ndarray:
+    return (_mixed(x) >> np.uint64(11)).astype(float) / 2.0**53
+
+
+#: Distribution function of a Poisson draw of mean 1.
+_POISSON = np.exp(-1.0) * np.cumsum(1 / np.cumprod([1.0, *range(1, 16)]))
+
+
+def _poisson(u: np.ndarray) -> np.ndarray:
+    return np.searchsorted(_POISSON, u, side="right").astype(float)
+
+
+def _binned(x: np.ndarray, bins: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Bin numbers and, per feature, the thresholds between bins: a value goes to the first bin whose threshold is no less."""
+    out, cuts = np.empty(x.shape, np.uint8 if bins <= 256 else np.uint16), []
+    for f in range(x.shape[1]):
+        values = np.unique(x[:, f])
+        if len(values) > bins:
+            values = np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins), method="nearest"))
+        cut = values[:-1] + np.diff(values) / 2
+        cuts.append(cut)
+        out[:, f] = np.searchsorted(cut, x[:, f], side="left")
+    return out, cuts
+
+
+def _best_splits(bins, y, w, local, features, n_bins):
+    """For each node the gain, feature and bin of its best split, from histograms of its own features."""
+    m, k = features.shape
+    gain, feature, cut = np.zeros(m), np.full(m, -1), np.zeros(m, int)
+    step = max(1, CELLS // (k * n_bins))
+    for low in range(0, m, step):
+        high = min(m, low + step)
+        rows = np.flatnonzero((local >= low) & (local < high))
+        own = local[rows] - low
+        b = bins[rows[:, None], features[local[rows]]]
+        key = ((own[:, None] * k + np.arange(k)) * n_bins + b).ravel()
+        shape = (high - low, k, n_bins)
+        weight = np.bincount(key, np.repeat(w[rows], k), (high - low) * k * n_bins).reshape(shape).cumsum(axis=2)
+        ones = np.bincount(key, np.repeat(w[rows] * y[rows], k), (high - low) * k * n_bins).reshape(shape).cumsum(axis=2)
+        all_w, all_1 = weight[:, :, -1:], ones[:, :, -1:]
+        right_w, right_1 = all_w - weight, all_1 - ones
+        with np.errstate(divide="ignore", invalid="ignore"):
+            left_over = 2 * ones * (weight - ones) / weight
+            right_over = 2 * right_1 * (right_w - right_1) / right_w
+            drop = 2 * all_1 * (all_w - all_1) / all_w - left_over - right_over
+        drop[(weight <= 0) | (right_w <= 0)] = 0.0
+        flat = drop.reshape(high - low, -1)
+        best = flat.argmax(axis=1)
+        gain[low:high] = flat[np.arange(high - low), best]
+        feature[low:high] = features[np.arange(low, high), best // n_bins]
+        cut[low:high] = best % n_bins
+    return gain, feature, cut
+
 
-def _vectors(df: DataFrame) -> DataFrame:
-    return df.withColumn("feature_vector", array_to_vector(F.col("features").cast("array<double>")))
+def grow(bins: np.ndarray, cuts: list[np.ndarray], y: np.ndarray, w: np.ndarray, tree: int, par: ForestParams) -> dict[str, np.ndarray]:
+    """One tree on binned rows of weight ``w``, a level at a time; its nodes by column."""
+    kept = np.flatnonzero(w > 0)
+    bins, y, w = bins[kept], y[kept], w[kept]
+    d, n_bins = bins.shape[1], max(len(c) for c in cuts) + 1
+    tried = d if par.feature_subset == "all" else max(1, int(np.sqrt(d)))
+    draws = np.random.default_rng([par.seed, tree])
+    out: dict[str, list] = {c: [] for c in ("feature", "threshold", "left", "right", "p", "weight", "gain")}
+    local, frontier, n_nodes, depth = np.zeros(len(y), np.int64), 1, 1, 0
+    while frontier:
+        weight = np.bincount(local, w, frontier)
+        ones = np.bincount(local, w * y, frontier)
+        drawn = np.argpartition(draws.random((frontier, d)), tried - 1, axis=1)[:, :tried]
+        features = np.sort(drawn, axis=1)  # ties go to the first feature
+        gain, feature, cut = _best_splits(bins, y, w, local, features, n_bins)
+        mixed = (ones > 0) & (ones < weight)
+        stuck = np.flatnonzero(mixed & (gain <= _GAIN))
+        if len(stuck) and tried < d:  # none of its features splits the node: look at all of them
+            place = np.full(frontier, -1)
+            place[stuck] = np.arange(len(stuck))
+            rows = np.flatnonzero(place[local] >= 0)
+            every = np.tile(np.arange(d), (len(stuck), 1))
+            gain[stuck], feature[stuck], cut[stuck] = _best_splits(bins[rows], y[rows], w[rows], place[local[rows]], every, n_bins)
+        split = mixed & (gain > _GAIN) & (par.max_depth is None or depth < par.max_depth)
+        nth = np.cumsum(split) - 1
+        out["feature"].append(np.where(split, feature, -1))
+        out["threshold"].append(np.array([cuts[f][c] if s else 0.0 for f, c, s in zip(feature, cut, split, strict=True)]))
+        out["left"].append(np.where(split, n_nodes + 2 * nth, -1))
+        out["right"].append(np.where(split, n_nodes + 2 * nth + 1, -1))
+        out["p"].append(np.divide(ones, weight, out=np.zeros(frontier), where=weight > 0))
+        out["weight"].append(weight)
+        out["gain"].append(np.where(split, gain, 0.0))
+        going = split[local]
+        bins, y, w, local = bins[going], y[going], w[going], local[going]
+        goes_right = bins[np.arange(len(local)), feature[local]] > cut[local]
+        local = 2 * nth[local] + goes_right
+        frontier = 2 * int(split.sum())
+        n_nodes, depth = n_nodes + frontier, depth + 1
+    return {c: np.concatenate(v) for c, v in out.items()}
 
 
-def fit_forest(labelled: DataFrame, par: ForestParams = ForestParams()) -> PipelineModel:
-    """``labelled`` has ``features`` and ``label``.
+def _numbers(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """A list column of equal lengths as a matrix."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
-    The slim feature rows are spread over all cores once, as growing the trees passes
-    over them level by level. Spark limits the depth to 30; deeper trees have to be
-    compared by quality, not tree by tree.
+
+def fit_forest(labelled: DataFrame, par: ForestParams = ForestParams()) -> Forest:
+    """A forest on ``labelled(features, label)``; labels are 0 and 1.
+
+    Without ``max_depth`` trees grow until their leaves are pure or can't be split. A shard has up to
+    ``SHARD_BYTES`` of features; tables of more than ``par.n_trees`` shards are learned from in part.
+    Rows that are equal have draws of their own. No rows, or null or non-finite features, are an error.
     """
-    cores = labelled.sparkSession.sparkContext.defaultParallelism
-    rows = _vectors(labelled).select("feature_vector", "label").repartition(cores)
-    forest = RandomForestClassifier(
-        featuresCol="feature_vector",
-        labelCol="label",
-        numTrees=par.n_trees,
-        featureSubsetStrategy=par.feature_subset,
-        bootstrap=par.bootstrap,
-        maxDepth=par.max_depth,
-        maxMemoryInMB=par.aggregation_mb,
-        seed=par.seed,
-    )
-    return Pipeline(stages=[forest]).fit(rows)
-
-
-def importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """Importance per feature; one row per feature, as many as the model has inputs."""
-    values = model.stages[-1].featureImportances.toArray()
-    return spark.createDataFrame(
-        [(i, float(v)) for i, v in enumerate(values)], "feature bigint, importance double"
-    )
+    rows = labelled.select(F.col("features").cast("array<double>").alias("features"), F.col("label").cast("double").alias("label"))
+    first = rows.first()
+    if first is None:
+        raise ValueError("a forest needs rows")
+    d, trees = len(first.features), par.n_trees
+    parts = max(1, -(-rows.count() * d * 8 // SHARD_BYTES))
+    shards = min(trees, parts)
+    copies = min(-(-rows.sparkSession.sparkContext.defaultParallelism // shards), -(-trees // shards))
+    dealt = rows.withColumn("row", F.xxhash64("features", "label")).withColumn("shard", F.pmod("row", F.lit(parts)).cast("int"))
+    dealt = dealt.where(F.col("shard") < shards).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    kinds = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("threshold", pa.float64()), ("left", pa.int32()),
+                       ("right", pa.int32()), ("p", pa.float64()), ("weight", pa.float64()), ("gain", pa.float64())])
+
+    def grown(key: tuple, shard: pa.Table) -> pa.Table:
+        number, copy = (k.as_py() for k in key)
+        x, y = _numbers(shard["features"], d), shard["label"].to_numpy()
+        if not np.isfinite(x).all():
+            raise ValueError("features must be finite")
+        row = shard["row"].to_numpy().astype(np.uint64)
+        order = np.argsort(row, kind="stable")
+        x, y, row = x[order], y[order], row[order]
+        starts = np.flatnonzero(np.diff(row, prepend=~row[:1]))
+        nth = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
+        row = _mixed(row + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        bins, cuts = _binned(x, BINS)
+        out = []
+        for tree in range(number + shards * copy, trees, shards * copies):
+            salt = _mixed(np.array([par.seed * 1_000_003 + tree], np.uint64))
+            w = _poisson(_uniform(row ^ salt)) if par.bootstrap else np.ones(len(y))
+            nodes = grow(bins, cuts, y, w if w.any() else np.ones(len(y)), tree, par)
+            n = len(nodes["p"])
+            columns = {"tree": np.full(n, tree), "node": np.arange(n), **nodes}
+            out.append(pa.table([pa.array(columns[f.name]).cast(f.type) for f in kinds], schema=kinds))
+        return pa.concat_tables(out) if out else kinds.empty_table()
+
+    found = dealt.groupBy("shard", "copy").applyInArrow(grown, NODES)
+    return Forest(materialise(found, "forest"), d, trees)
+
+
+def importances(spark: SparkSession, model: Forest) -> DataFrame:
+    """Share of each feature in the impurity that the splits take away, the mean over all trees."""
+    whole = model.nodes.groupBy("tree").agg(F.sum("gain").alias("whole")).where("whole > 0")
+    each = model.nodes.where("feature >= 0").groupBy("tree", "feature").agg(F.sum("gain").alias("gain")).join(whole, "tree")
+    trees = whole.count()
+    share = each.groupBy(F.col("feature").cast("bigint").alias("feature")).agg((F.sum(F.col("gain") / F.col("whole")) / max(trees, 1)).alias("importance"))
+    every = spark.range(model.n_features).withColumnRenamed("id", "feature")
+    return every.join(share, "feature", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
 
 
 def importance_stats(ranked: DataFrame) -> DataFrame:
-    return ranked.agg(
-        F.avg("importance").alias("mean_importance"), F.stddev_pop("importance").alias("std_importance")
-    )
+    return ranked.agg(F.avg("importance").alias("mean_importance"), F.stddev_pop("importance").alias("std_importance"))
+
+
+class Walker:
+    """Trees as flat arrays: all rows walk all trees in step."""
+
+    def __init__(self, nodes: pa.Table):
+        nodes = nodes.sort_by([("tree", "ascending"), ("node", "ascending")])
+        tree, node = nodes["tree"].to_numpy(), nodes["node"].to_numpy()
+        self.roots = np.flatnonzero(node == 0)
+        base = self.roots[np.searchsorted(tree[self.roots], tree)]
+        self.feature, self.threshold, self.p = (nodes[c].to_numpy() for c in ("feature", "threshold", "p"))
+        self.left, self.right = (nodes[c].to_numpy() + base for c in ("left", "right"))
 
+    def total(self, x: np.ndarray) -> np.ndarray:
+        """For each row the sum of its leaves' probabilities over all trees."""
+        out = np.zeros(len(x))
+        step = max(1, WALKED // max(1, len(self.roots)))
+        for low in range(0, len(x), step):
+            rows = x[low : low + step]
+            at = np.tile(self.roots, len(rows))
+            row = np.repeat(np.arange(len(rows)), len(self.roots))
+            open_ = np.flatnonzero(self.feature[at] >= 0)
+            while len(open_):
+                here = at[open_]
+                left = rows[row[open_], self.feature[here]] <= self.threshold[here]
+                at[open_] = np.where(left, self.left[here], self.right[here])
+                open_ = open_[self.feature[at[open_]] >= 0]
+            out[low : low + step] = self.p[at].reshape(len(rows), -1).sum(axis=1)
+        return out
 
-def forest_scores(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Adds ``p``, the probability of class 1."""
-    scored = model.transform(_vectors(df))
-    p = vector_to_array("probability")[1]
-    return scored.withColumn("p", p).drop("feature_vector", "rawPrediction", "probability", "prediction")
 
+def _total(walker, d: int):
+    @F.arrow_udf("double")
+    def total(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            known = batch.is_valid().to_numpy(zero_copy_only=False)
+            found = np.zeros(len(batch))
+            found[known] = walker.value.total(_numbers(batch.drop_null(), d))
+            yield pa.array(found, mask=~known)
 
-def forest_predict(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
+    return total
+
+
+def forest_scores(model: Forest, df: DataFrame) -> DataFrame:
+    """Adds ``p``, the probability of class 1: the mean of the leaves that a row comes to.
+
+    Nodes of up to ``MODEL_BYTES`` are broadcast. A larger forest is scored so many trees at a
+    time, a pass over the rows for each, with the sums written in between. Null features give null.
+    """
+    spark, d = df.sparkSession, model.n_features
+    size = model.nodes.count() * NODE_BYTES
+    passes = max(1, -(-size // MODEL_BYTES))
+    rows = df.withColumn("p", F.lit(0.0))
+    for number in range(passes):
+        own = model.nodes.where(F.pmod("tree", F.lit(passes)) == number).select("tree", "node", "feature", "threshold", "left", "right", "p")
+        walker = spark.sparkContext.broadcast(Walker(own.toArrow()))
+        rows = rows.withColumn("p", F.col("p") + _total(walker, d)(F.col("features").cast("array<double>")))
+        if number + 1 < passes:
+            rows = materialise(rows, "scores")
+    return rows.withColumn("p", F.col("p") / model.n_trees)
+
+
+def forest_predict(model: Forest, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     return predict_confidence(forest_scores(model, df), threshold)
 
 
@@ -67,21 +278,27 @@ def model_path(folder: str, tag: str) -> str:
     return f"{folder.rstrip('/')}/random_forest_{tag}"
 
 
-def save_model(model: PipelineModel, folder: str, tag: str) -> str:
+def save_model(model: Forest, folder: str, tag: str) -> str:
+    """The table of nodes, with the model's shape beside it."""
     path = model_path(folder, tag)
-    model.write().overwrite().save(path)
+    model.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+    shape = model.nodes.sparkSession.createDataFrame([(model.n_features, model.n_trees)], "n_features int, n_trees int")
+    shape.coalesce(1).write.mode("overwrite").parquet(f"{path}/shape")
     return path
 
 
-def load_model(folder: str, tag: str) -> PipelineModel:
-    return PipelineModel.load(model_path(folder, tag))
+def load_model(spark: SparkSession, folder: str, tag: str) -> Forest:
+    path = model_path(folder, tag)
+    shape = spark.read.parquet(f"{path}/shape").first()
+    return Forest(spark.read.schema(NODES).parquet(f"{path}/nodes"), shape.n_features, shape.n_trees)
 
 
-def load_latest(registry: DataFrame, folder: str) -> PipelineModel:
+def load_latest(registry: DataFrame, folder: str) -> Forest:
     """The model of the newest tag in a registry of encoder and decoder files."""
     from cadentia.operators.tracking import artifact_pairs, latest_tag, parse_artifacts
 
     found = latest_tag(artifact_pairs(parse_artifacts(registry), keys=()), keys=()).first()
     if found is None or found["tag"] is None:
         raise FileNotFoundError("no complete model under a recognised tag")
-    return load_model(folder, found["tag"])
+    return load_model(registry.sparkSession, folder, found["tag"])
+

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import PCAModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadentia.functions.text import CADENCE_FILE_PATTERN
 from cadentia.geometry import Geometry
 from cadentia.ml import embed, forest
+from cadentia.ml.embed import Embedding
+from cadentia.ml.forest import Forest
 from cadentia.operators import cadence, clean
 from cadentia.settings import DetectionRule
 from cadentia.sources import tables
@@ -20,7 +20,7 @@ from cadentia.sources.npy import headers, read_snippets
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def observation_scorer(embedding: PCAModel, model: PipelineModel) -> Scorer:
+def observation_scorer(embedding: Embedding, model: Forest) -> Scorer:
     """Scores each snippet by a forest over its own latent."""
 
     def score(snippets: DataFrame) -> DataFrame:

@@ -606,15 +606,65 @@ SELECT band, {REPORT} FROM found"""
 ORACLES["reparam_sample"] = with_(LATENTS[0]) + f"""
 SELECT cadence_id, obs, d AS dim, {r('m + exp(lv / 2) * e')} AS v FROM z"""
 
-ORACLES["model_roundtrip"] = "SELECT vec_id, TRUE AS equal FROM embeddings"
-ORACLES["rf_fit"] = f"""
-SELECT max(len(embedding)) AS features, CAST(1 AS DOUBLE) AS total_importance, TRUE AS non_negative,
-  {r('1 / CAST(max(len(embedding)) AS DOUBLE)')} AS mean_importance, TRUE AS spread FROM embeddings"""
-ORACLES["rf_score"] = """
-SELECT vec_id, CASE WHEN label < 5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS label, vec_id % 5 = 0 AS held_out,
-  TRUE AS in_range, TRUE AS consistent FROM embeddings"""
-ORACLES["embed_observations"] = with_(CELLS, VALID, GOOD) + """
-SELECT cadence_id, obs, CAST(8 AS BIGINT) AS dims, TRUE AS finite, TRUE AS orthonormal FROM good GROUP BY cadence_id, obs"""
+# The trees are grown from hashed draws: SQL can't state what comes of them, only how one splits and how trees are walked.
+_TENTHS = """cell AS (
+  SELECT vec_id, CASE WHEN label < 5 THEN 1 ELSE 0 END AS y, generate_subscripts(embedding, 1) - 1 AS feature,
+    floor(CAST(unnest(embedding) AS DOUBLE) * 10) AS v FROM embeddings),
+per_value AS (SELECT feature, v, count(*) AS n, sum(y) AS ones FROM cell GROUP BY feature, v),
+cut AS (
+  SELECT feature, (v + lead(v) OVER f) / 2 AS threshold, sum(n) OVER f AS ln, sum(ones) OVER f AS l1,
+    sum(n) OVER (PARTITION BY feature) AS n, sum(ones) OVER (PARTITION BY feature) AS n1
+  FROM per_value WINDOW f AS (PARTITION BY feature ORDER BY v)),
+best AS (
+  SELECT *, 2.0 * n1 * (n - n1) / n - 2.0 * l1 * (ln - l1) / ln - 2.0 * (n1 - l1) * (n - ln - n1 + l1) / (n - ln) AS gain
+  FROM cut WHERE threshold IS NOT NULL ORDER BY gain DESC, feature, threshold LIMIT 1)"""
+ORACLES["forest_split"] = with_(_TENTHS) + f"""
+SELECT 0 AS node, CAST(feature AS INTEGER) AS feature, threshold, {r('n1 / CAST(n AS DOUBLE)')} AS p, CAST(n AS DOUBLE) AS weight, {r('gain')} AS gain FROM best
+UNION ALL SELECT 1, -1, 0, {r('l1 / CAST(ln AS DOUBLE)')}, ln, 0 FROM best
+UNION ALL SELECT 2, -1, 0, {r('(n1 - l1) / CAST(n - ln AS DOUBLE)')}, n - ln, 0 FROM best"""
+
+ORACLES["forest_walk"] = f"""
+WITH RECURSIVE nodes AS (
+  SELECT vec_id // 15 AS tree, vec_id % 15 AS node, vec_id * 7 % 64 AS cell, embedding[vec_id * 7 % 64 + 1] AS threshold, label / CAST(10 AS DOUBLE) AS p
+  FROM embeddings WHERE vec_id // 15 < (SELECT count(*) FROM embeddings WHERE vec_id % 15 = 14)),
+walk AS (
+  SELECT vec_id, embedding, tree, CAST(0 AS BIGINT) AS node FROM embeddings, (SELECT DISTINCT tree FROM nodes)
+  UNION ALL
+  SELECT vec_id, embedding, walk.tree, 2 * walk.node + CASE WHEN embedding[cell + 1] <= threshold THEN 1 ELSE 2 END
+  FROM walk JOIN nodes USING (tree, node) WHERE walk.node < 7)
+SELECT vec_id, {r('avg(p)')} AS p FROM walk JOIN nodes USING (tree, node) WHERE node >= 7 GROUP BY vec_id"""
+
+
+def principal(k: int, d: int, squarings: int = 18) -> list[str]:
+    """Directions ``v1..vk`` of the largest variance of ``x(cells)``: columns of a high power of the covariance, deflated one by one."""
+    out = [
+        f"mean AS (SELECT [{', '.join(f'avg(cells[{i}])' for i in range(1, d + 1))}] AS m FROM x)",
+        "centred AS (SELECT list_transform(list_zip(cells, m), lambda p: p[1] - p[2]) AS c FROM x, mean)",
+        "c1 AS (SELECT ["
+        + ", ".join("[" + ", ".join(f"sum(c[{i}] * c[{j}])" for j in range(1, d + 1)) + "]" for i in range(1, d + 1))
+        + "] AS c FROM centred)",
+    ]
+    for n in range(1, k + 1):
+        # a symmetric matrix times itself: the products of its rows
+        times = "list_transform(c, lambda a: list_transform(c, lambda b: list_dot_product(a, b)))"
+        size = "list_max(list_transform(c, lambda a: sqrt(list_dot_product(a, a))))"
+        scaled = f"list_transform(c, lambda a: list_transform(a, lambda e: e / {size}))"
+        out += [
+            f"s{n}(step, c) AS (SELECT 0, {scaled} FROM c{n} UNION ALL SELECT step + 1, {scaled} FROM (SELECT step, {times} AS c FROM s{n} WHERE step < {squarings}))",
+            f"""r{n} AS (SELECT list_transform(c, lambda a: {{'n': list_dot_product(a, a), 'a': a}}) AS rows FROM s{n} WHERE step = {squarings}),
+u{n} AS (SELECT list_transform(row.a, lambda e: e / sqrt(row.n)) AS v FROM (SELECT unnest(rows) AS row FROM r{n}) ORDER BY row.n DESC LIMIT 1),
+v{n} AS (SELECT list_transform(v, lambda e: e * sign(v[list_position(list_transform(v, lambda e: abs(e)), list_max(list_transform(v, lambda e: abs(e))))])) AS v FROM u{n}),
+l{n} AS (SELECT v, list_dot_product(v, list_transform(c, lambda a: list_dot_product(a, v))) AS l FROM v{n}, c{n}),
+c{n + 1} AS (SELECT list_transform(range(1, {d} + 1), lambda i: list_transform(range(1, {d} + 1), lambda j: c[i][j] - l * v[i] * v[j])) AS c FROM c{n}, l{n})""",
+        ]
+    return out
+
+
+_BLOCK_MEANS = """x AS (
+  SELECT cadence_id, obs, list(v ORDER BY j) AS cells FROM (
+    SELECT cadence_id, obs, i // 4 AS j, avg(v) AS v FROM good GROUP BY cadence_id, obs, i // 4) GROUP BY cadence_id, obs)"""
+ORACLES["embed_observations"] = with_(CELLS, VALID, GOOD, _BLOCK_MEANS, *principal(3, 16)).replace("WITH", "WITH RECURSIVE", 1) + f"""
+SELECT cadence_id, obs, {", ".join(f"{r(f'list_dot_product(cells, v{n}.v)', 5)} AS z{n}" for n in (1, 2, 3))} FROM x, v1, v2, v3"""
 
 # --- text ----------------------------------------------------------------------------
 

@@ -173,13 +173,14 @@ def _route_summary(stored: DataFrame) -> DataFrame:
 
 @query
 def model_roundtrip(spark, sf_dir):
-    """Is each score of the stored model, found again by the newest tag, that of the one in memory?"""
-    model, folder = _forest(spark, sf_dir)
+    """Both scores of every vector: of the model in memory, and of the stored one, found again by the newest tag."""
+    model, folder = _fitted(spark, sf_dir), scratch_dir(spark, "models")
+    pairs = tracking.artifact_pairs(tracking.parse_artifacts(fx.registry(spark, sf_dir)), keys=())
+    forest.save_model(model, folder, tracking.latest_tag(pairs, keys=()).first()["tag"])
     data = _labelled_vectors(spark, sf_dir)
-    before = forest.forest_scores(model, data).select("vec_id", F.col("p").alias("p_before"))
+    before = forest.forest_scores(model, data).withColumnRenamed("p", "p_before")
     again = forest.load_latest(fx.registry(spark, sf_dir), folder)
-    after = forest.forest_scores(again, data).select("vec_id", F.col("p").alias("p_after"))
-    return before.join(after, "vec_id").select("vec_id", (F.col("p_before") == F.col("p_after")).alias("equal"))
+    return rounded(forest.forest_scores(again, before).selectExpr("vec_id", "p_before", "p as p_after"), "p_before", "p_after", places=12)
 
 
 # --- projections and filters -----------------------------------------------------
@@ -727,66 +728,68 @@ def _labelled_vectors(spark, sf_dir) -> DataFrame:
     )
 
 
-#: A tenth of the default size: with 1000 trees of depth 30 the fit alone outlasts all other queries.
-FOREST = ForestParams(n_trees=100, max_depth=10)
-_FITS: dict = {}
-
-
-def _forest(spark, sf_dir):
-    """A forest fitted on four fifths of the vectors and stored: once per session and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITS:
-        train = _labelled_vectors(spark, sf_dir).where("vec_id % 5 <> 0")
-        model, folder = forest.fit_forest(train, FOREST), scratch_dir(spark, "models")
-        pairs = tracking.artifact_pairs(tracking.parse_artifacts(fx.registry(spark, sf_dir)), keys=())
-        forest.save_model(model, folder, tracking.latest_tag(pairs, keys=()).first()["tag"])
-        _FITS[key] = model, folder
-    return _FITS[key]
+def _fitted(spark, sf_dir) -> forest.Forest:
+    """The forest of the default size, 1000 trees of any depth, on four fifths of the vectors."""
+    return forest.fit_forest(_labelled_vectors(spark, sf_dir).where("vec_id % 5 <> 0"), ForestParams())
 
 
 @query
 def rf_fit(spark, sf_dir):
-    """What holds of the importances of any fitted forest; the values are tested by quality."""
-    ranked = forest.importances(spark, _forest(spark, sf_dir)[0])
-    stats = forest.importance_stats(ranked).select(r6("mean_importance").alias("mean_importance"), (F.col("std_importance") > 0).alias("spread"))
-    whole = ranked.agg(
-        F.count(F.lit(1)).alias("features"),
-        r6(F.sum("importance")).alias("total_importance"),
-        (F.min("importance") >= 0).alias("non_negative"),
-    )
-    return whole.select(
-        "*", stats.select("mean_importance").scalar().alias("mean_importance"), stats.select("spread").scalar().alias("spread")
-    )
+    """Every feature's importance."""
+    return rounded(forest.importances(spark, _fitted(spark, sf_dir)), "importance", places=12)
 
 
 @query
 def rf_score(spark, sf_dir):
-    """Every vector scored, with what holds of a probability, its class and its confidence."""
-    scored = forest.forest_predict(_forest(spark, sf_dir)[0], _labelled_vectors(spark, sf_dir))
-    p = F.col("p")
-    return scored.select(
-        "vec_id",
-        "label",
-        (F.col("vec_id") % 5 == 0).alias("held_out"),
-        p.between(0, 1).alias("in_range"),
-        ((F.col("prediction") == (p > 0.5).cast("int")) & (F.col("confidence") == F.greatest(p, 1 - p))).alias("consistent"),
-    )
+    """Every vector scored by a forest fitted on four fifths of them."""
+    scored = forest.forest_predict(_fitted(spark, sf_dir), _labelled_vectors(spark, sf_dir))
+    held_out = (F.col("vec_id") % 5 == 0).alias("held_out")
+    return scored.select("vec_id", "label", held_out, r6("p").alias("p"), "prediction", r6("confidence").alias("confidence"))
+
+
+@query
+def forest_split(spark, sf_dir):
+    """The first split of a tree over all vectors and features, in tenths: its threshold, gain and both leaves."""
+    tenths = F.transform("embedding", lambda x: F.floor(x * 10).cast("double"))
+    rows = fx.table(spark, sf_dir, "embeddings").select(tenths.alias("features"), F.expr("if(label < 5, 1D, 0D)").alias("label"))
+    par = ForestParams(n_trees=1, max_depth=1, bootstrap=False, feature_subset="all")
+    nodes = forest.fit_forest(rows, par).nodes
+    return rounded(nodes.selectExpr("node", "feature", "threshold", "p", "weight", "gain"), "p", "gain")
+
+
+WALK_NODES = 15
+
+
+@query
+def forest_walk(spark, sf_dir):
+    """Every vector scored by a forest given as a table: each ``WALK_NODES`` vectors are the nodes of a tree.
+
+    A node tests one cell of the vectors against its own; a leaf says its vector's label in tenths.
+    """
+    inner = WALK_NODES // 2
+    table = fx.table(spark, sf_dir, "embeddings")
+    n_trees = table.where(f"vec_id % {WALK_NODES} = {WALK_NODES - 1}").count()
+    nodes = table.selectExpr(
+        f"cast(vec_id div {WALK_NODES} as int) as tree", f"cast(vec_id % {WALK_NODES} as int) as node", "cast(vec_id * 7 % 64 as int) as cell",
+        "embedding", "label / 10D as p",
+    ).where(f"tree < {n_trees}").selectExpr(
+        "tree", "node", f"if(node < {inner}, cell, -1) as feature", "cast(embedding[cell] as double) as threshold",
+        f"if(node < {inner}, 2 * node + 1, -1) as left", f"if(node < {inner}, 2 * node + 2, -1) as right", "p", "1D as weight", "0D as gain",
+    )
+    rows = table.selectExpr("vec_id", "cast(embedding as array<double>) as features")
+    return rounded(forest.forest_scores(forest.Forest(nodes, 64, n_trees), rows).select("vec_id", "p"), "p")
+
+
+EMBEDDED = 3
 
 
 @query
 def embed_observations(spark, sf_dir):
-    """A latent per valid observation, from orthonormal components."""
+    """The latent of every valid observation along the directions of the largest variance."""
     obs = spectral.downsample(clean.valid_cadences(fx.observations(spark, sf_dir), fx.N_OBS), GEO)
-    model = embed.fit_embedding(obs, k=8)
-    components = model.pc.toArray()
-    orthonormal = bool(np.abs(components.T @ components - np.eye(8)).max() < 1e-6)
-    return embed.embed(model, obs).select(
-        "cadence_id",
-        "obs",
-        F.size("z").cast("bigint").alias("dims"),
-        (~arrays.not_finite(F.col("z"))).alias("finite"),
-        F.lit(orthonormal).alias("orthonormal"),
-    )
+    model = embed.fit_embedding(obs, k=EMBEDDED)
+    latents = embed.embed(model, obs)
+    return latents.select("cadence_id", "obs", *[r6(F.col("z")[i], 5).alias(f"z{i + 1}") for i in range(EMBEDDED)])
 
 
 def linear_model():

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import PCAModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadentia.geometry import Geometry
 from cadentia.ml import embed, forest
+from cadentia.ml.embed import Embedding
+from cadentia.ml.forest import Forest
 from cadentia.operators import clean, features, generation, indexing
 from cadentia.session import materialise
 from cadentia.settings import Curriculum, ForestParams, Injection, LoadLimits, SplitSizes
@@ -75,7 +75,7 @@ def train_and_validation(batch: DataFrame, n_samples: int, sizes: SplitSizes = S
     )
 
 
-def labelled_features(batch: DataFrame, embedding: PCAModel, n_obs: int) -> DataFrame:
+def labelled_features(batch: DataFrame, embedding: Embedding, n_obs: int) -> DataFrame:
     """Latents of the ``true`` and ``false`` sets, regrouped per cadence and labelled."""
     latents = embed.embed(embedding, batch.where(F.col("split_set") != "concatenated")).select(
         "split_set", "sample_idx", "obs", "z"
@@ -90,13 +90,13 @@ def labelled_features(batch: DataFrame, embedding: PCAModel, n_obs: int) -> Data
 
 def fit_classifier(
     batch: DataFrame, n_obs: int, *, latent_dim: int = 8, par: ForestParams = ForestParams()
-) -> tuple[PCAModel, PipelineModel]:
+) -> tuple[Embedding, Forest]:
     """Embedding from the mixed set, forest from the labelled sets of a stored batch."""
     embedding = embed.fit_embedding(batch.where(F.col("split_set") == "concatenated"), latent_dim)
     labelled = materialise(labelled_features(batch, embedding, n_obs), "features")
     return embedding, forest.fit_forest(labelled, par)
 
 
-def evaluate(labelled: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
+def evaluate(labelled: DataFrame, model: Forest, threshold: float = 0.5) -> DataFrame:
     """True and false positive rate and accuracy on labelled features."""
     return features.eval_metrics(forest.forest_predict(model, labelled, threshold))

@@ -69,9 +69,7 @@ class ForestParams:
     feature_subset: str = "sqrt"
     bootstrap: bool = True
     seed: int = 11
-    max_depth: int = 30
-    # room for more nodes per pass over the data, so fewer passes
-    aggregation_mb: int = 1024
+    max_depth: int | None = None
 
 
 @dataclass(frozen=True)

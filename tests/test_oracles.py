@@ -34,8 +34,13 @@ def test_matches_sql(spark, duck, key):
     assert got == _sorted(columns, cursor.fetchall())
 
 
-def test_every_query_has_an_oracle():
-    assert set(ORACLES) == set(QUERIES) and set(QUERIES) <= set(entry_module.queries())
+#: Grown from hashed draws, which SQL can't state; their values are tested by walks, accuracy and round trip.
+FITTED = {"rf_fit", "rf_score", "model_roundtrip"}
+
+
+def test_every_query_has_an_oracle_that_compares_values():
+    assert set(ORACLES) == set(QUERIES) - FITTED and set(QUERIES) <= set(entry_module.queries())
+    assert not [k for k, sql in ORACLES.items() if "TRUE AS" in sql]
 
 
 def test_entry_is_ranked(spark):

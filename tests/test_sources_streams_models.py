@@ -1,8 +1,12 @@
 import math
+import resource
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from cadentia.ml import embed, forest
@@ -131,8 +135,7 @@ def series_of(df, keys=streams.SERIES_KEYS):
     return {tuple(r[k] for k in keys): (round(r["mean_value"], 9), r["max_value"], r["samples"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("order", ORDERS)
-@pytest.mark.parametrize("delay", [0, 86400, 10**9])
+@pytest.mark.parametrize(("order", "delay"), [(ORDERS[0], 0), (ORDERS[1], 0), (ORDERS[2], 0), (ORDERS[2], 86400), (ORDERS[1], 10**9)])
 def test_stream_series_equals_batch_in_any_order_and_after_restarts(spark, split_events, tmp_path, order, delay):
     _, events = split_events
     folder, put, order = arriving(spark, events, tmp_path, order)
@@ -162,8 +165,7 @@ def test_stream_series_stores_a_window_once(spark, split_events, tmp_path):
     assert streams.metric_series(spark, str(tmp_path / "nothing yet"), str(tmp_path / "none")).collect() == []
 
 
-@pytest.mark.parametrize("order", ORDERS)
-@pytest.mark.parametrize("delay", [0, 86400, 10**9])
+@pytest.mark.parametrize(("order", "delay"), [(ORDERS[0], 0), (ORDERS[1], 0), (ORDERS[2], 0), (ORDERS[2], 86400), (ORDERS[1], 10**9)])
 def test_stream_dedup_equals_batch_in_any_order_and_after_restarts(spark, split_events, tmp_path, order, delay):
     _, events = split_events
     folder, put, order = arriving(spark, events, tmp_path, order)
@@ -287,12 +289,15 @@ def separable(spark):
     return spark.createDataFrame(data, "id bigint, features array<double>, label double")
 
 
+def auc(scored):
+    pos, neg = scored[scored.label == 1]["p"].to_numpy(), scored[scored.label == 0]["p"].to_numpy()
+    return ((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :])).mean()
+
+
 def test_forest_separates_and_survives_storage(spark, separable, tmp_path):
     model = forest.fit_forest(separable, ForestParams(n_trees=20, max_depth=5))
     scored = forest.forest_predict(model, separable).toPandas()
-    pos, neg = scored[scored.label == 1]["p"].to_numpy(), scored[scored.label == 0]["p"].to_numpy()
-    auc = ((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :])).mean()
-    assert auc > 0.9
+    assert auc(scored) > 0.9
     assert (scored["confidence"] >= 0.5).all()
     stats = forest.importance_stats(forest.importances(spark, model)).first()
     assert stats["mean_importance"] == pytest.approx(1 / 6)
@@ -307,6 +312,76 @@ def test_forest_separates_and_survives_storage(spark, separable, tmp_path):
         forest.load_latest(registry.limit(0), str(tmp_path))
 
 
+def test_scores_are_those_of_a_recursive_walk_in_sql(spark, separable, tmp_path):
+    """The stored table of nodes, walked by another engine."""
+    model = forest.fit_forest(separable, ForestParams(n_trees=30))
+    path = forest.save_model(model, str(tmp_path), "final_v1")
+    separable.write.parquet(str(tmp_path / "rows"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW nodes AS SELECT * FROM '{path}/nodes/*.parquet'")
+    con.execute(f"CREATE VIEW vectors AS SELECT * FROM '{tmp_path}/rows/*.parquet'")
+    want = con.execute("""
+        WITH RECURSIVE walk AS (
+          SELECT id, features, tree, 0 AS node FROM vectors, (SELECT DISTINCT tree FROM nodes)
+          UNION ALL
+          SELECT id, features, walk.tree, CASE WHEN features[feature + 1] <= threshold THEN "left" ELSE "right" END
+          FROM walk JOIN nodes USING (tree, node) WHERE feature >= 0)
+        SELECT id, avg(p) FROM walk JOIN nodes USING (tree, node) WHERE feature < 0 GROUP BY id""").fetchall()
+    got = {r["id"]: r["p"] for r in forest.forest_scores(model, separable).collect()}
+    assert len(want) == 400 and all(got[i] == pytest.approx(p, abs=1e-12) for i, p in want)
+
+
+def test_a_large_forest_is_scored_in_passes(spark, separable, monkeypatch):
+    model = forest.fit_forest(separable, ForestParams(n_trees=10, max_depth=3))
+    whole = rows(forest.forest_scores(model, separable), "id", "p")
+    monkeypatch.setattr(forest, "MODEL_BYTES", 3 * 15 * forest.NODE_BYTES)
+    monkeypatch.setattr(forest, "WALKED", 7)
+    in_passes = rows(forest.forest_scores(model, separable), "id", "p")
+    assert [i for i, _ in whole] == [i for i, _ in in_passes]
+    assert all(a == pytest.approx(b, abs=1e-12) for (_, a), (_, b) in zip(whole, in_passes, strict=True))
+
+
+def test_forest_is_as_good_as_the_library_on_rows_not_seen(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 8))
+    y = ((x[:, 0] * x[:, 1] + x[:, 2] > 0) ^ (rng.random(1500) < 0.05)).astype(float)
+    df = spark.createDataFrame([(i, [float(v) for v in a], float(b)) for i, (a, b) in enumerate(zip(x, y))], "id bigint, features array<double>, label double")
+    train, held = df.where("id % 3 > 0"), df.where("id % 3 = 0")
+    ours = auc(forest.forest_scores(forest.fit_forest(train, ForestParams(n_trees=60)), held).toPandas())
+    vectors = lambda d: d.withColumn("v", array_to_vector("features"))
+    theirs = RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=60, maxDepth=12, seed=1).fit(vectors(train))
+    p = vector_to_array("probability")[1].alias("p")
+    assert ours > auc(theirs.transform(vectors(held)).select("label", p).toPandas()) - 0.01
+
+
+def test_trees_are_pure_weighted_and_the_same_again(spark, separable, monkeypatch):
+    par = ForestParams(n_trees=12)
+    key = lambda m: sorted(map(tuple, m.nodes.collect()))
+    first = forest.fit_forest(separable, par)
+    assert key(first) == key(forest.fit_forest(separable.repartition(7), par))
+    leaves = first.nodes.where("feature < 0")
+    assert leaves.where("p not in (0, 1)").count() == 0  # grown until they are pure
+    inner = first.nodes.alias("n").join(first.nodes.alias("c"), F.expr("n.tree = c.tree and c.node in (n.left, n.right)"))
+    sums = inner.groupBy("n.tree", "n.node").agg(F.sum("c.weight").alias("below"), F.first("n.weight").alias("own"))
+    assert sums.where("abs(below - own) > 1e-9").count() == 0
+    monkeypatch.setattr(forest, "SHARD_BYTES", 400 * 6 * 8 // 4)  # four shards: trees differ in the rows they saw
+    sharded = forest.fit_forest(separable, par)
+    roots = sharded.nodes.where("node = 0")
+    assert roots.count() == 12 and roots.agg(F.max("weight")).first()[0] < 400 / 2
+    assert auc(forest.forest_scores(sharded, separable).toPandas()) > 0.9
+
+
+def test_forest_faults(spark, separable):
+    with pytest.raises(ValueError, match="rows"):
+        forest.fit_forest(separable.limit(0))
+    bad = separable.withColumn("features", F.transform("features", lambda x: F.lit(math.nan)))
+    with pytest.raises(PySparkException):
+        forest.fit_forest(bad, ForestParams(n_trees=2)).nodes.count()
+    model = forest.fit_forest(separable, ForestParams(n_trees=2))
+    none = separable.withColumn("features", F.when(F.col("id") > 5, F.col("features")))
+    assert forest.forest_scores(model, none).where("p is null").count() == 6
+
+
 def test_embedding_is_deterministic(spark):
     obs = fx.observations(spark, SF).where("cadence_id in (0, 1, 2, 4, 6, 8)")
     model = embed.fit_embedding(obs, k=4)
@@ -314,6 +389,37 @@ def test_embedding_is_deterministic(spark):
     assert one == two and all(len(r[2]) == 4 for r in one)
 
 
+@pytest.mark.parametrize(("cells", "n", "k"), [(64, 500, 8), (5, 40, 5), (300, 60, 4)])
+def test_embedding_spans_the_exact_subspace(spark, cells, n, k):
+    rng = np.random.default_rng(cells)
+    x = rng.normal(size=(n, cells)) * np.linspace(2, 1, cells) + 3
+    df = spark.createDataFrame([([float(v) for v in row],) for row in x], "cells array<double>").repartition(5)
+    model = embed.fit_embedding(df, k)
+    values, vectors = np.linalg.eigh(np.cov(x.T))
+    exact = vectors[:, ::-1][:, :k]
+    assert np.abs(model.components.T @ model.components - np.eye(k)).max() < 1e-9
+    assert np.linalg.norm(exact @ exact.T - model.components @ model.components.T) < 1e-3
+    assert np.allclose(model.variances, values[::-1][:k], rtol=1e-6) and np.allclose(model.mean, x.mean(axis=0))
+
+
+def test_embedding_of_wide_rows_holds_no_square_matrix(spark):
+    """8192 cells: the square matrix alone would be 512 MB here."""
+    wide = spark.range(64).select(F.transform(F.sequence(F.lit(1), F.lit(8192)), lambda i: F.sin(i * (F.col("id") % 5 + 1)) + F.rand(3) * 0.01).alias("cells"))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    model = embed.fit_embedding(wide, 4)
+    assert model.components.shape == (8192, 4) and model.variances[3] > 100 * model.variances[0] / 8192
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 200_000  # kB
+
+
+def test_embedding_of_null_cells_and_of_no_rows(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0], 1), (None, 2), ([2.0, 1.0, 0.0], 3), ([0.0, 0.0, 1.0], 4)], "cells array<float>, z_id int")
+    model = embed.fit_embedding(df, 2)
+    found = {r.z_id: r.z for r in embed.embed(model, df).collect()}
+    assert found[2] is None and np.allclose(found[1], np.array([1.0, 2.0, 3.0]) @ model.components)
+    with pytest.raises(ValueError, match="rows"):
+        embed.fit_embedding(df.where("z_id = 2"), 1)
+
+
 def test_batch_size_does_not_change_scores(spark):
     df = fx.table(spark, SF, "embeddings").select("vec_id", F.col("embedding").alias("cells"))
     one, two = (rows(embed.batch_score(df, linear_model, 64, batch_size=b), "vec_id", "p") for b in (7, 4048))
