@@ -20,7 +20,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -39,21 +39,28 @@ LEXICON, LONGEST = 1 << 17, 64
 #: Steps per doubling of a word's count, by which the least frequent word of the lexicon is found.
 LEVELS = 8
 #: Bytes of text encoded together, and different words counted before they leave a worker.
-BATCH_BYTES, COUNTED = 1 << 22, 1 << 18
-#: Merged words that a worker remembers; beyond that it starts anew. Bounds memory, not results.
-REMEMBERED = 1 << 17
+BATCH_BYTES, COUNTED = 1 << 22, 1 << 19
+#: Keys that a worker remembers; beyond that it starts anew. Bounds memory, not results.
+REMEMBERED = 400_000
 #: Characters of a text that are split together.
 STRETCH = 1 << 20
 #: Symbols of a word up to which its pairs are simply looked through again after each merge.
 SHORT = 40
+#: A merge is one number, its rank above the new id; a pair of ids is one number too.
+ID_BITS = 24
+ID_MASK, NO_MERGE = (1 << ID_BITS) - 1, 1 << 62
 
 #: The published split of byte-level BPE into words.
 _WORDS = regex.compile(public_tokenizers.PATTERN)
+#: The same for texts of ASCII characters, without Unicode tables.
+_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[a-zA-Z]+| ?[0-9]+| ?[^\sa-zA-Z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 #: A space that begins a word: no word reaches across the place before it.
 _BOUNDARY = re.compile(r"(?<=\S)(?= \S)")
 #: White space next to a space.
 _ODD_SPACE = re.compile(r" (?=\s)|\s(?= )")
 Key = str | tuple[str]
+#: The first character that Unicode leaves open.
+_LEAST_UNKNOWN = "\u0378"
 
 
 def _byte_names() -> list[str]:
@@ -69,7 +76,7 @@ def _unsettled(text: str) -> bool:
 
     Tables of other versions may call it a letter.
     """
-    return not text.isascii() and any(unicodedata.category(c) == "Cn" for c in set(text))
+    return max(text) >= _LEAST_UNKNOWN and any(unicodedata.category(c) == "Cn" for c in set(text))
 
 
 class Bpe:
@@ -88,7 +95,7 @@ class Bpe:
         self.path = path
         self.byte_ids = [vocabulary[n] for n in names]
         merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.merges = {(vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in enumerate(merges)}
+        self.merges = {vocabulary[a] << ID_BITS | vocabulary[b]: rank << ID_BITS | vocabulary[a + b] for rank, (a, b) in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in added}
         longest_first = sorted(self.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
@@ -131,6 +138,8 @@ class Bpe:
         return self._split(key[1:] if key.startswith(" ") else " " + key)
 
     def _split(self, text: str) -> list[str]:
+        if text.isascii():
+            return _ASCII_WORDS.findall(text)
         if not _unsettled(text):
             return _WORDS.findall(text)
         if self._library is None:
@@ -145,40 +154,37 @@ class Bpe:
         return self._merged_short(ids) if len(ids) <= SHORT else self._merged_long(ids)
 
     def _merged_short(self, ids: list[int]) -> list[int]:
-        get, none = self.merges.get, (1 << 60, -1)
-        found = [get(pair, none) for pair in zip(ids, ids[1:], strict=False)]
-        while found:
-            best = min(found)
-            if best is none:
-                break
+        get = self.merges.get
+        found = [get(a << ID_BITS | b, NO_MERGE) for a, b in zip(ids, ids[1:], strict=False)]
+        while found and (best := min(found)) < NO_MERGE:
             at = found.index(best)
-            ids[at : at + 2] = [best[1]]
-            del found[at]
+            ids[at] = new = best & ID_MASK
+            del ids[at + 1], found[at]
             if at:
-                found[at - 1] = get((ids[at - 1], ids[at]), none)
+                found[at - 1] = get(ids[at - 1] << ID_BITS | new, NO_MERGE)
             if at < len(found):
-                found[at] = get((ids[at], ids[at + 1]), none)
+                found[at] = get(new << ID_BITS | ids[at + 1], NO_MERGE)
         return ids
 
     def _merged_long(self, ids: list[int]) -> list[int]:
         """The same by a heap over a linked list, n log n for a word of n bytes."""
         n = len(ids)
-        after, before, merges = list(range(1, n + 1)), list(range(-1, n - 1)), self.merges
-        heap = [(*found, at, ids[at], ids[at + 1]) for at in range(n - 1) if (found := merges.get((ids[at], ids[at + 1])))]
+        after, before, get = list(range(1, n + 1)), list(range(-1, n - 1)), self.merges.get
+        heap = [(best, at, ids[at], ids[at + 1]) for at in range(n - 1) if (best := get(ids[at] << ID_BITS | ids[at + 1]))]
         heapq.heapify(heap)
         while heap:
-            _, new, at, left, right = heapq.heappop(heap)
+            best, at, left, right = heapq.heappop(heap)
             then = after[at]
             if ids[at] != left or then >= n or ids[then] != right:
                 continue  # one of the two has merged meanwhile
-            ids[at], ids[then] = new, -1
+            ids[at], ids[then] = new, _ = best & ID_MASK, -1
             after[at] = later = after[then]
             if later < n:
                 before[later] = at
-                if found := merges.get((new, ids[later])):
-                    heapq.heappush(heap, (*found, at, new, ids[later]))
-            if (earlier := before[at]) >= 0 and (found := merges.get((ids[earlier], new))):
-                heapq.heappush(heap, (*found, earlier, ids[earlier], new))
+                if best := get(new << ID_BITS | ids[later]):
+                    heapq.heappush(heap, (best, at, new, ids[later]))
+            if (earlier := before[at]) >= 0 and (best := get(ids[earlier] << ID_BITS | new)):
+                heapq.heappush(heap, (best, earlier, ids[earlier], new))
         return [i for i in ids if i >= 0]
 
     def decoded(self, ids: np.ndarray, size: np.ndarray) -> list[str]:
@@ -191,15 +197,24 @@ class Bpe:
 
 
 class Encoder:
-    """Encodes batches of texts: words of the lexicon by the transducer, all others by merging."""
+    """Encodes batches of texts: words of the lexicon by the transducer, all others by merging.
+
+    The ids of keys met are remembered, up to a number of keys, so only new ones are looked up.
+    """
 
     def __init__(self, bpe: Bpe, lexicon: Transducer):
         self.bpe, self.lexicon = bpe, lexicon
-        self.merged: dict[bytes, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[Key, int] = {}
+        self.ids, self.width = np.empty(0, np.int32), np.empty(0, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and how many each has."""
-        place: dict[Key, int] = {}
+        if len(self.place) > REMEMBERED:
+            self._forget()
+        place, known = self.place, len(self.place)
         number, counts = [], []
         for text in texts:
             size = 0
@@ -207,32 +222,27 @@ class Encoder:
                 number.append(np.array([place.setdefault(k, len(place)) for k in keys], np.int32))
                 size += len(keys)
             counts.append(size)
-        word_place: dict[str, int] = {}
+        self._learn(list(islice(place, known, None)))
+        return _lined_up(self.ids, self.width, np.concatenate([np.empty(0, np.int32), *number]), np.array(counts, np.int64))
+
+    def _learn(self, keys: list[Key]) -> None:
+        place: dict[str, int] = {}
         of_key, n_words = [], []
-        for key in place:
+        for key in keys:
             words = self.bpe.words(key)
-            of_key += [word_place.setdefault(w, len(word_place)) for w in words]
+            of_key += [place.setdefault(w, len(place)) for w in words]
             n_words.append(len(words))
-        ids, width = _lined_up(*self._looked_up(list(word_place)), np.array(of_key, np.int64), np.array(n_words, np.int64))
-        return _lined_up(ids, width, np.concatenate([np.empty(0, np.int32), *number]), np.array(counts, np.int64))
+        ids, width = _lined_up(*self._looked_up(list(place)), np.array(of_key, np.int64), np.array(n_words, np.int64))
+        self.ids, self.width = np.concatenate([self.ids, ids]), np.concatenate([self.width, width])
 
     def _looked_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [w.encode() for w in words]
         ids, size, known = self.lexicon.outputs(raw, LONGEST)
         if known.all():
             return ids, size
-        if len(self.merged) > REMEMBERED:
-            self.merged = {}
-        rest = np.flatnonzero(~known).tolist()
-        own = []
+        rest, own, special = np.flatnonzero(~known).tolist(), [], self.bpe.special
         for at in rest:
-            found = self.merged.get(raw[at])
-            if found is None:
-                special = self.bpe.special.get(words[at])
-                found = [special] if special is not None else self.bpe.merged(raw[at])
-                if len(raw[at]) <= LONGEST:
-                    self.merged[raw[at]] = found
-            own.append(found)
+            own.append([special[words[at]]] if words[at] in special else self.bpe.merged(raw[at]))
         # the others' ids stand behind those of the lexicon
         first = np.cumsum(size) - size
         both = np.concatenate([ids, np.fromiter(chain.from_iterable(own), np.int32)])
