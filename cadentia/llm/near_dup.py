@@ -7,7 +7,7 @@
 2. Equal sets are one *class*, so copies never make pairs. The set's fingerprint names the
    class; ids play no part until the smallest one of each component is looked up at the end.
 3. Classes that share a band bucket are first compared with the bucket's smallest class only
-   (a star, not all pairs) and the links confirmed on the full sets.
+   (a star, not all pairs). Pairs that the bounds of size and signature leave are confirmed on the full sets.
 4. What the stars left apart inside a bucket is compared across components: first classes of
    which too few shingles occur in any other such class are set aside (they can have no link),
    the rest meet in blocks of a bucket, pass the bounds of size and signature, and are confirmed
@@ -17,6 +17,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import comb
@@ -27,7 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadentia.llm import shingles as S
-from cadentia.session import materialise
+from cadentia.llm.workers import given_back
+from cadentia.session import drop_scratch, materialise, owned_scratch
 
 COORDINATES = 64
 #: Links of the query: ``100 * intersection >= LEAST * union``. Callers may ask for another least similarity.
@@ -40,6 +42,8 @@ BAND_BITS = 6
 BLOCK = 512
 #: Bits of the map of candidate ids, 8 MB at most.
 MAP_BITS = 1 << 26
+
+
 @dataclass(frozen=True)
 class Banding:
     """What a least similarity of ``least`` per cent asks of signatures."""
@@ -98,7 +102,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 }
             )
 
-    return docs.select(_row().alias("row"), _named().alias("named"), "text").mapInPandas(sketch, _SKETCH)
+    return docs.select(_row().alias("row"), _named().alias("named"), "text").mapInPandas(lambda parts: given_back(sketch(parts)), _SKETCH)
 
 
 def _buckets(cut: Banding) -> Column:
@@ -155,7 +159,7 @@ def shingle_table(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     named = _marked(slim.filter("named"), wanted)
     unnamed = _marked(slim.filter("not named"), wanted).distinct()  # many copies may share one text
     exact = named.union(unnamed).join(wanted, ["row", "named"]).select("row", "fp1", "text").distinct()
-    return exact.select("fp1", "text").mapInPandas(sets_of, "fp1 long, shingles array<long>")
+    return exact.select("fp1", "text").mapInPandas(lambda parts: given_back(sets_of(parts)), "fp1 long, shingles array<long>")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, least: int) -> bool:
@@ -163,11 +167,8 @@ def _similar(a: np.ndarray, b: np.ndarray, least: int) -> bool:
     return 100 * both >= least * (len(a) + len(b) - both)
 
 
-def _star_links(members: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
-    """Confirmed links of each class with the smallest class of every bucket it lies in."""
-    buckets = members.groupBy("bucket").agg(F.min(F.struct("order", "fp1")).alias("least"), F.count("*").alias("n"))
-    buckets = buckets.filter("n > 1").select("bucket", F.col("least.fp1").alias("a"))
-    pairs = members.join(buckets, "bucket").filter("fp1 <> a").select("a", F.col("fp1").alias("b")).distinct()
+def _confirmed(pairs: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
+    """Those of the ``(a, b)`` that are links by their full sets."""
 
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -178,6 +179,33 @@ def _star_links(members: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").filter(linked("set_a", "set_b")).select("a", "b")
 
 
+def _likely(pairs: DataFrame, classes: DataFrame, cut: Banding) -> DataFrame:
+    """Those of the ``(a, b)`` that the bounds of size and signature let be links; moves no sets."""
+
+    @F.pandas_udf("boolean")
+    def agree(x: pd.Series, y: pd.Series) -> pd.Series:
+        a, b = (np.frombuffer(b"".join(s), np.uint32).reshape(len(s), COORDINATES) for s in (x, y))
+        return pd.Series((a == b).sum(axis=1) >= cut.agreeing, dtype=bool)
+
+    side = lambda c: classes.select(F.col("fp1").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
+    met = pairs.join(side("b"), "b").join(side("a"), "a")
+    met = met.filter(100 * F.least("n_a", "n_b") >= cut.least * F.greatest("n_a", "n_b"))
+    return met.filter(agree("s_a", "s_b")).select("a", "b")
+
+
+def _star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
+    """Confirmed links of each class with the smallest class of every bucket it lies in."""
+    buckets = members.groupBy("bucket").agg(F.min(F.struct("order", "fp1")).alias("least"), F.count("*").alias("n"))
+    buckets = materialise(buckets.filter("n > 1").select("bucket", F.col("least.fp1").alias("a"), "n"), "buckets")
+    # a bucket of many members doesn't meet in one task: there are few of these, so their side is slim
+    hot = materialise(buckets.filter(F.col("n") > BLOCK).select("bucket", F.col("a").alias("hot")), "crowded")
+    tagged = members.join(hot, "bucket", "left")
+    plain = tagged.filter("hot is null").join(buckets.filter(F.col("n") <= BLOCK).select("bucket", "a"), "bucket").select("a", "fp1")
+    both = plain.union(tagged.filter("hot is not null").select("hot", "fp1"))
+    pairs = both.filter("fp1 <> a").select("a", F.col("fp1").alias("b")).distinct()
+    return _confirmed(materialise(_likely(pairs, classes, cut), "likely"), sets, cut)
+
+
 def _links_by_id(sketch: DataFrame) -> DataFrame:
     """Links between the classes that share a doc_id."""
     rows = sketch.filter("named and n_shingles > 0").select("row", "fp1")
@@ -190,10 +218,18 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     Alternating large and small stars. A round joins the edges with one row per node, so a
     node of many links is split like any skewed join, and no neighbour list is collected.
+    The edges of a round go when those of the next one are written.
     """
-    edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
+    spark, own = links.sparkSession, uuid.uuid4().hex
+
+    def written(df: DataFrame, number: int) -> DataFrame:
+        with owned_scratch(f"{own}-{number}"):
+            return materialise(df, "edges")
+
+    first = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
+    edges = written(first, 0)
     state = _state(edges)
-    for _ in range(rounds):
+    for number in range(1, rounds + 1):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -205,13 +241,16 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
             .filter("u <> v")
             .distinct()
         )
-        edges = materialise(small, "edges")
+        edges = written(small, number)
+        drop_scratch(spark, f"{own}-{number - 1}")
         before, state = state, _state(edges)
         if state == before:
             break
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    found = materialise(edges.select(F.col("u").alias("id"), F.col("v").alias("component")), "component")
+    drop_scratch(spark, f"{own}-{number}")
+    return found
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -229,7 +268,8 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
         .filter("low <> high")
         .select("bucket")
     )
-    apart = materialise(placed.join(split, "bucket"), "apart")
+    # few buckets, so this side is slim and a crowded bucket stays spread over its tasks
+    apart = materialise(placed.join(materialise(split, "split"), "bucket"), "apart")
     ids = apart.select("fp1").distinct()
     # a link shares the least similarity of either set: shingles found in no other class of these can't be in it
     loose = sets.join(ids, "fp1").select("fp1", F.explode("shingles").alias("shingle"))
@@ -240,9 +280,9 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
         .join(alone, "fp1", "left")
         .withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
         .filter(100 * F.col("shared") >= cut.least * F.col("n_shingles"))
-        .select("fp1", "signature", "shared")
+        .select("fp1", "signature", "shared", "n_shingles")
     )
-    able = materialise(able.join(sets, "fp1"), "able")
+    able = materialise(able, "able")
     met = apart.join(able.select("fp1"), "fp1")
     sizes = met.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
     sizes = sizes.filter("low <> high").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
@@ -262,16 +302,15 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
         .withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks)))
     )
 
-    def confirm(rows: pd.DataFrame) -> pd.DataFrame:
+    def likely(rows: pd.DataFrame) -> pd.DataFrame:
         blocks = rows.groupby(["bucket", "i", "j"], sort=False).indices
-        found = [pair for (key, i, j), at in blocks.items() for pair in confirm_block(rows.iloc[at], key % (1 << BAND_BITS), i, j)]
+        found = [pair for (key, i, j), at in blocks.items() for pair in likely_in_block(rows.iloc[at], key % (1 << BAND_BITS), i, j)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    def confirm_block(rows: pd.DataFrame, band: int, i: int, j: int) -> list[tuple[int, int]]:
+    def likely_in_block(rows: pd.DataFrame, band: int, i: int, j: int) -> list[tuple[int, int]]:
         signature = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), COORDINATES)
-        mine, component = rows["mine"].to_numpy(), rows["component"].to_numpy()
-        sets_, ids_ = rows["shingles"].tolist(), rows["fp1"].to_numpy()
-        n, shared = np.array([len(s) for s in sets_]), rows["shared"].to_numpy()
+        mine, component, ids_ = rows["mine"].to_numpy(), rows["component"].to_numpy(), rows["fp1"].to_numpy()
+        n, shared = rows["n_shingles"].to_numpy(), rows["shared"].to_numpy()
         found = []
         for x in np.flatnonzero(mine == i):
             other = component != component[x]
@@ -282,11 +321,11 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
             equal = signature[y] == signature[x]
             # a pair belongs to the first band it shares
             earlier = equal[:, : band * cut.rows].reshape(len(y), band, cut.rows).all(axis=2).any(axis=1)
-            y = y[~earlier & (equal.sum(axis=1) >= cut.agreeing)]
-            found += [(ids_[x], ids_[z]) for z in y if _similar(sets_[x], sets_[z], cut.least)]
+            found += [(ids_[x], ids_[z]) for z in y[~earlier & (equal.sum(axis=1) >= cut.agreeing)]]
         return found
 
-    return dealt.join(able, "fp1").groupBy("task").applyInPandas(confirm, "a long, b long")
+    pairs = dealt.join(able, "fp1").groupBy("task").applyInPandas(likely, "a long, b long")
+    return _confirmed(materialise(pairs, "likely"), sets, cut)
 
 
 def _placed(docs: DataFrame, least: int) -> DataFrame:
@@ -309,19 +348,22 @@ def _placed(docs: DataFrame, least: int) -> DataFrame:
     # an original comes before its copies, as a rule, so stars are centred on the smallest doc_id
     order = F.coalesce("id", F.lit((1 << 63) - 1)).alias("order")
     band = classes.select("fp1", order, F.explode(_buckets(cut)).alias("bucket"))
-    crowded = band.groupBy("bucket").count().filter("count > 1").drop("count")
-    members = materialise(band.join(crowded, "bucket"), "members")
-    found_at = classes.select(F.coalesce("id", "unnamed").alias("row"), F.col("id").isNotNull().alias("named"), "fp1")
-    wanted = materialise(found_at.join(members.select("fp1").distinct(), "fp1"), "wanted")
-    sets = materialise(shingle_table(docs, wanted), "sets")
-
-    stars = materialise(_star_links(members, sets, cut).union(_links_by_id(sketch)), "links")
-    rest = materialise(_residual_links(members, components(stars).toDF("fp1", "component"), classes, sets, cut), "links")
-    # (class, component), with the component's smallest doc_id
-    component = components(stars.union(rest)).toDF("fp1", "component")
+    spark, owner = docs.sparkSession, uuid.uuid4().hex
+    with owned_scratch(owner):  # goes with the last of it read
+        crowded = band.groupBy("bucket").count().filter("count > 1").drop("count")
+        members = materialise(band.join(crowded, "bucket"), "members")
+        found_at = classes.select(F.coalesce("id", "unnamed").alias("row"), F.col("id").isNotNull().alias("named"), "fp1")
+        wanted = materialise(found_at.join(members.select("fp1").distinct(), "fp1"), "wanted")
+        sets = materialise(shingle_table(docs, wanted), "sets")
+        stars = materialise(_star_links(members, classes, sets, cut).union(_links_by_id(sketch)), "links")
+        near = components(stars).toDF("fp1", "component")
+        rest = materialise(_residual_links(members, near, classes, sets, cut), "links")
+        # (class, component), with the component's smallest doc_id
+        component = components(stars.union(rest)).toDF("fp1", "component")
     component = component.union(component.select("component", "component").distinct())  # its least class too
     linked = classes.select("fp1", "id").join(component, "fp1")
     linked = materialise(linked, "linked")
+    drop_scratch(spark, owner)
     smallest = materialise(linked.groupBy("component").agg(F.min("id").alias("smallest")), "smallest")
     linked = linked.drop("id").join(smallest, "component")
 
