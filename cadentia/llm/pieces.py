@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadentia.llm.workers import given_back
+
 VOCABULARY = "piece_bpe_32k.model"
 MARKER = "▁"
 #: What the library subtracts from the least score for a character without a piece.
@@ -305,7 +307,7 @@ def encode(text: Column | str, vocabulary: str = VOCABULARY, scores: str = "auto
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(vocabulary, scores)
-        for batch in batches:
+        for batch in given_back(batches):
             yield _lists([encoder.encode(texts) for texts in _by_bytes(batch)])
 
     return ids(F.col(text) if isinstance(text, str) else text)

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadentia.llm.workers import given_back
+
 #: Stands for a secret that a deployment passes instead.
 KEY = b"replace this key"
 ROUNDS = 8
@@ -32,8 +34,8 @@ PATTERN = re.compile(
   | (?P<secret> (?<![A-Za-z0-9]) AKIA[0-9A-Z]{16} (?![A-Za-z0-9])
       | (?P<name> (?i: password | passwd | passphrase | pwd | api[_ -]?key | access[_ -]?key | secret(?:[_ -]?key)? | token ) )
         ["']? [ \t]* (?P<sign> => | := | [:=](?!=) ) [ \t]*
-        (?: "(?P<double>[^"\n]{6,})" | '(?P<single>[^'\n]{6,})' | (?P<bare> (?:
-          (?! [&,;]\w+[=:] | [.,;:!?)\]}]*(?:\s|\Z) | ["'](?!\w) | </?\w ) \S ){6,} ) ) )
+        (?: "(?P<double>[^"\n]{6,})" | '(?P<single>[^'\n]{6,})' | (?P<bare> (?! [.,;:!?)\]}]++(?:\s|\Z) ) (?:
+          (?! [&,;]\w+[=:] | (?<![.,;:!?)\]}]) [.,;:!?)\]}]++(?:\s|\Z) | ["'](?!\w) | </?\w ) \S ){6,} ) ) )
   | (?P<iban> (?<![A-Za-z0-9]) [A-Z]{2}[0-9]{2} (?:\ ?[A-Z0-9]{4}){2,7} (?:\ ?[A-Z0-9]{1,3})? (?![A-Za-z0-9]) )
   | (?P<date> (?<![\w./-]) (?: [0-9]{4}-[0-9]{2}-[0-9]{2} | [0-9]{4}/[0-9]{2}/[0-9]{2}
       | [0-9]{2}/[0-9]{2}/[0-9]{4} | [0-9]{2}\.[0-9]{2}\.[0-9]{4} ) (?![\w/-]|\.[0-9]) )
@@ -48,17 +50,29 @@ PATTERN = re.compile(
     """,
     re.VERBOSE,
 )
-#: Characters of an IBAN by country.
+#: Characters of an IBAN by country.
+# fmt: off
 _IBAN_LENGTH = {
-    country: int(length)
-    for length, countries in (
-        line.split(":")
-        for line in """15:NO 16:BE 18:DK,FI,FK,FO,GL,NL 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA
-        23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM
-        28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU""".split()
-    )
-    for country in countries.split(",")
+    "NO": 15,
+    "BE": 16,
+    "DK": 18, "FI": 18, "FK": 18, "FO": 18, "GL": 18, "NL": 18,
+    "MK": 19, "SI": 19,
+    "AT": 20, "BA": 20, "EE": 20, "KZ": 20, "LT": 20, "LU": 20, "MN": 20, "XK": 20,
+    "CH": 21, "HR": 21, "LI": 21, "LV": 21,
+    "BG": 22, "BH": 22, "CR": 22, "DE": 22, "GB": 22, "GE": 22, "IE": 22, "ME": 22, "RS": 22, "VA": 22,
+    "AE": 23, "GI": 23, "IL": 23, "IQ": 23, "OM": 23, "SO": 23, "TL": 23,
+    "AD": 24, "CZ": 24, "ES": 24, "MD": 24, "PK": 24, "RO": 24, "SA": 24, "SE": 24, "SK": 24, "TN": 24, "VG": 24,
+    "LY": 25, "PT": 25, "ST": 25,
+    "IS": 26, "TR": 26,
+    "BI": 27, "DJ": 27, "FR": 27, "GR": 27, "IT": 27, "MC": 27, "MR": 27, "SM": 27,
+    "AL": 28, "AZ": 28, "BY": 28, "CY": 28, "DO": 28, "GT": 28, "HU": 28, "LB": 28, "NI": 28, "PL": 28, "SV": 28,
+    "BR": 29, "EG": 29, "PS": 29, "QA": 29, "UA": 29,
+    "JO": 30, "KW": 30, "MU": 30, "YE": 30,
+    "MT": 31, "SC": 31,
+    "LC": 32,
+    "RU": 33,
 }
+# fmt: on
 #: Least and most digits behind a country's calling code, where they are nearly fixed.
 _NATIONAL = {
     "7": (10, 10), "20": (9, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9), "34": (9, 9), "36": (8, 9),
@@ -301,7 +315,8 @@ def _ends(kind: str, text: str) -> Iterator[int]:
     yield from ends
 
 
-@lru_cache(maxsize=100_000)
+#: Values that a worker remembers; one is a few hundred bytes.
+@lru_cache(maxsize=20_000)
 def pseudonym(kind: str, text: str, key: bytes) -> str | None:
     """The pseudonym of one value; null if it isn't a valid value of its kind."""
     return _KINDS[kind](text, Permutation(key))
@@ -336,7 +351,7 @@ def pseudonyms(text: Column | str, key: bytes = KEY) -> Column:
 
     @F.arrow_udf("struct<text: string, n: long>")
     def replaced(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in given_back(batches):
             found = [replace(t, key) if t else (t, 0) for t in batch.to_pylist()]
             texts, counts = pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())
             yield pa.StructArray.from_arrays([texts, counts], ["text", "n"])

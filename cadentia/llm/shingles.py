@@ -13,7 +13,7 @@ import numpy as np
 WIDTH = 5
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 #: Byte classes of the contract: white space is 0x20 and 0x09-0x0D, A-Z are lower-cased.
 _SPACE = np.zeros(256, bool)

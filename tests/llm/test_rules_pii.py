@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -176,3 +177,12 @@ def test_only_texts_with_values_change(spark, clashing, empty):
     long = "word " * 100_000 + "bob@mail.example.com"
     (row,) = spark.createDataFrame([(1, long, 5)], "doc_id long, text string, n_chars long").transform(pii.pseudonymised).collect()
     assert row.n_chars == len(long) and not row.text.endswith("bob@mail.example.com")
+
+
+@pytest.mark.parametrize("filler", [".", ".,", ")]", ". a", ",a", "a,", "&a", "'", '"', "</a", "=", ":", "+1 ", "@a", "1-", "DE00 "])
+def test_long_runs_take_linear_time(filler):
+    for start in ("password=", "token: ", ""):
+        text = start + filler * (1_000_000 // len(filler))
+        began = time.process_time()
+        pii.replace(text, b"k")
+        assert time.process_time() - began < 4
