@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadentia.llm import mixing, near_dup, pieces, pii, rules
+from cadentia.llm import mixing, near_dup, pieces, pii, rules, workers
 from cadentia.session import drop_scratch, materialise, owned_scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,6 +21,7 @@ def _tidy(stage: Stage) -> Stage:
     @wraps(stage)
     def tidied(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         drop_scratch(spark, _OWNER)
+        workers.small_batches(spark)
         with owned_scratch(_OWNER):
             return stage(spark, docs, sf_dir)
 
