@@ -13,9 +13,10 @@ from cadentia.ml import embed, forest
 from cadentia.ml.embed import Embedding
 from cadentia.ml.forest import Forest
 from cadentia.operators import cadence, clean
+from cadentia.session import materialise
 from cadentia.settings import DetectionRule
 from cadentia.sources import tables
-from cadentia.sources.npy import headers, read_snippets
+from cadentia.sources.npy import Paths, headers, read_snippets
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -31,7 +32,7 @@ def observation_scorer(embedding: Embedding, model: Forest) -> Scorer:
 
 
 def cadence_snippets(
-    spark: SparkSession, paths: list[str], geo: Geometry, *, overlap: float = 0.5
+    spark: SparkSession, paths: Paths, geo: Geometry, *, overlap: float = 0.5
 ) -> DataFrame:
     """Snippets of all complete cadences among the files; the cadence number is the band.
 
@@ -42,17 +43,17 @@ def cadence_snippets(
     shapes = clean.parse_cadence_files(listing).join(listing, "path").groupBy("cadence_id")
     uneven = shapes.agg(F.count_distinct("shape").alias("shapes")).where("shapes > 1")
     whole = clean.complete_cadence_files(listing, geo.n_obs).join(uneven, "cadence_id", "left_anti")
-    complete = [r["path"] for r in whole.select("path").collect()]
-    if not complete:
+    complete = materialise(whole.select("path"), "complete")
+    if complete.isEmpty():
         raise FileNotFoundError("no complete cadence among the files")
-    cut = read_snippets(spark, sorted(complete), size=geo.out_width, overlap=overlap, factor=geo.factor)
+    cut = read_snippets(spark, complete, size=geo.out_width, overlap=overlap, factor=geo.factor)
     part = lambda i: F.regexp_extract("path", CADENCE_FILE_PATTERN, i).cast("bigint")
     return cut.select(part(1).alias("band"), part(2).alias("obs"), "start_index", "cells")
 
 
 def run_inference(
     spark: SparkSession,
-    paths: list[str],
+    paths: Paths,
     scorer: Scorer,
     out: str,
     geo: Geometry = Geometry(),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cadentia.functions.hashing import let_sql
 from cadentia.geometry import Geometry
 from cadentia.operators.clean import load_backgrounds
+from cadentia.session import materialise
 from cadentia.sources.npy import open_system, qualified
 
 # 64 embedding values as 4 time rows of 16 channels
@@ -64,8 +65,8 @@ def observations(spark, sf_dir) -> DataFrame:
 NPY_ROWS = 120
 
 
-def write_npy(spark, sf_dir, folder: str) -> list[str]:
-    """Embeddings as ``.npy`` files of up to 120 observations each, written by the tasks."""
+def write_npy(spark, sf_dir, folder: str) -> DataFrame:
+    """Embeddings as ``.npy`` files of up to 120 observations each, written by the tasks; a table of their paths."""
     root = qualified(spark, folder)
 
     def write(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -82,8 +83,7 @@ def write_npy(spark, sf_dir, folder: str) -> list[str]:
     chunked = table(spark, sf_dir, "embeddings").select(
         F.expr(f"vec_id div {NPY_ROWS}").alias("part"), "vec_id", "embedding"
     )
-    written = chunked.groupBy("part").applyInPandas(write, "path string")
-    return sorted(r["path"] for r in written.collect())
+    return materialise(chunked.groupBy("part").applyInPandas(write, "path string"), "paths")
 
 
 def backgrounds(spark, sf_dir) -> DataFrame:

@@ -14,7 +14,7 @@ from cadentia.ml.forest import Forest
 from cadentia.operators import clean, features, generation, indexing
 from cadentia.session import materialise
 from cadentia.settings import Curriculum, ForestParams, Injection, LoadLimits, SplitSizes
-from cadentia.sources.npy import qualified, read_backgrounds
+from cadentia.sources.npy import headers, qualified, read_backgrounds
 
 
 def load_background_files(
@@ -29,17 +29,39 @@ def load_background_files(
 
     Subset and cap prune before reading; the reader drops invalid cadences and takes
     the block mean, so raw cells never leave the task that reads them. The target
-    counts valid rows.
+    counts valid rows, and files beyond those that it needs are not opened.
     """
-    rows = read_backgrounds(
-        spark, paths, n_obs=geo.n_obs, factor=geo.factor, subsets=subsets, rows_per_file=limits.rows_per_file
+    read = lambda files: read_backgrounds(
+        spark, files, n_obs=geo.n_obs, factor=geo.factor, subsets=subsets, rows_per_file=limits.rows_per_file
     )
-    stored = materialise(rows, "cadences")
-    if stored.isEmpty():
+    if limits.target is None:
+        stored = materialise(read(paths), "cadences")
+    else:
+        stored = _first_valid(spark, read, paths, limits.target)
+    if stored is None or stored.isEmpty():
         raise ValueError("no valid background was loaded")
-    return stored if limits.target is None else clean.first_cadences(
-        stored, limits.target, [qualified(spark, p) for p in paths]
-    )
+    return stored
+
+
+def _first_valid(spark: SparkSession, read, paths: list[str], target: int) -> DataFrame | None:
+    """The first ``target`` valid cadences in file order, from no more files than they need, or nearly so.
+
+    Files are read and stored a run of them at a time until the stored ones are enough. How many
+    files the next run has follows from the valid rows that a file had so far; the first has one.
+    """
+    stored, found, done, run = None, 0, 0, 1
+    while found < target and done < len(paths):
+        files = paths[done : done + run]
+        done += len(files)
+        if headers(spark, files).where("fault IS NULL").isEmpty():
+            run *= 2
+            continue
+        more = materialise(read(files), "cadences")
+        found += more.count()
+        stored = more if stored is None else stored.unionByName(more)
+        missing = target - found
+        run = max(1, min(2 * done, -(-missing * done // found) if found else 2 * run))
+    return None if stored is None else clean.first_cadences(stored, target, [qualified(spark, p) for p in paths[:done]])
 
 
 def training_round(

@@ -4,6 +4,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThanOrEqual
 
 from cadentia.functions import arrays
 from cadentia.geometry import Geometry
@@ -11,7 +12,7 @@ from cadentia.operators import cadence, clean, spectral
 from cadentia.plans import detection, fixtures, training
 from cadentia.plans.queries import QUERIES
 from cadentia.settings import ForestParams, Injection, LoadLimits, SplitSizes
-from cadentia.sources import tables
+from cadentia.sources import npy, tables
 from cadentia.sources.npy import headers, read_npy, read_snippets
 from conftest import SF, plan, rows
 
@@ -59,6 +60,56 @@ def test_nothing_is_left_out_by_default_and_listed_order_counts(spark, backgroun
     assert {f.rsplit("/", 2)[-2:][1] for f in of} == {"a.npy", "b.npy"} and not any(f.endswith(paths[0]) for f in of)
 
 
+def test_a_target_opens_no_more_files_than_it_needs(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(1)
+    paths = []
+    for i in range(40):
+        cells = rng.random((5, 6, 4, 32), np.float32)
+        if i % 4 == 1:
+            cells[:] = 0  # a whole file of invalid cadences
+        paths.append(str(tmp_path / f"f{i:02d}.npy"))
+        np.save(paths[-1], cells)
+    opened = []
+    real = training.read_backgrounds
+    monkeypatch.setattr(training, "read_backgrounds", lambda s, files, **k: opened.extend(files) or real(s, files, **k))
+    every = training.load_background_files(spark, paths, RAW)
+    key = lambda df: sorted((r.source_file, r.row_idx) for r in df.select("source_file", "row_idx").collect())
+    for target, most in ((1, 1), (12, 6), (33, 14), (10_000, 40)):
+        opened.clear()
+        got = training.load_background_files(spark, paths, RAW, limits=LoadLimits(target=target))
+        assert key(got) == key(every)[:target] and len(opened) == len(set(opened)) <= most
+
+
+def test_filters_prune_what_is_read(spark, tmp_path):
+    paths = []
+    for i in range(3):
+        paths.append(str(tmp_path / f"f{i}.npy"))
+        np.save(paths[-1], np.arange(20 * 2 * 3, dtype=np.float32).reshape(20, 2, 3) + i)
+    scan = read_npy(spark, paths, rows_per_split=4)
+    one = scan.where(f"source_file like '%f1.npy' and row_idx >= 5 and row_idx < 9")
+    assert sorted(r.row_idx for r in one.collect()) == [5, 6, 7, 8]
+    name = scan.select("source_file").where("source_file like '%f1.npy'").first()[0]
+    both = scan.where((F.col("source_file") == name) & F.col("row_idx").between(5, 8))
+    assert sorted(r.row_idx for r in both.collect()) == [5, 6, 7, 8]
+    assert not re.search(r"\bFilter \(", plan(both))
+    # the same ranges, as a task sees them
+    folder, parts = npy._planned(spark, paths, npy._row_ranges(None, None, 4), 1)
+    assert parts == 15
+    reader = npy.SpectrogramReader({"manifest": folder, "parts": str(parts)})
+    filters = [EqualTo(("source_file",), name), GreaterThan(("row_idx",), 4), LessThanOrEqual(("row_idx",), 8), In(("shape",), ("x",))]
+    assert list(reader.pushFilters(filters)) == filters[3:]
+    left = [(r.path, r.lo, r.hi) for part in reader.partitions() for r in reader.ranges(part)]
+    assert left == [(name, 5, 8), (name, 8, 9)]
+
+
+def test_a_table_of_paths_is_a_listing(spark, tmp_path):
+    for n in ("b", "a"):
+        np.save(tmp_path / f"{n}.npy", np.ones((3, 2, 2), np.float32))
+    table = spark.createDataFrame([(npy.qualified(spark, str(tmp_path / f"{n}.npy")),) for n in ("b", "a", "gone")], "path string")
+    assert read_npy(spark, table).count() == 6
+    assert headers(spark, table).where("fault = 'absent'").count() == 1
+
+
 def test_both_engines_load_the_same(spark, background_files):
     paths, _ = background_files
     raw = read_npy(spark, paths)
