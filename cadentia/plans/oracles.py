@@ -684,6 +684,10 @@ SELECT tag, rank, coalesce(version, -1) AS version, count(*) AS files FROM ranke
 ORACLES["stream_ingest"] = with_(TELEMETRY) + f"""
 SELECT id, {r('ts_unix')} AS ts_unix, resource_type, resource_name, value, unit, tag, metadata FROM telemetry"""
 
+ORACLES["stream_ingest_flush"] = f"""
+SELECT flush, count(*) AS rows, min(event_id) AS first_id, max(event_id) AS last_id, {r('sum(value)')} AS total FROM (
+  SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // CAST(ceil(count(*) OVER () / 8.0) AS BIGINT) AS flush FROM events) GROUP BY flush"""
+
 ORACLES["stream_series"] = with_(TELEMETRY) + f"""
 SELECT CAST(epoch(date_trunc('minute', ts)) AS BIGINT) AS window_start, resource_type, resource_name,
   {r('avg(value)')} AS mean_value, {r('max(value)')} AS max_value, count(*) AS samples FROM telemetry GROUP BY 1, 2, 3"""

@@ -28,6 +28,7 @@ from cadentia.plans import fixtures as fx
 from cadentia.session import materialise, scratch_dir
 from cadentia.settings import Curriculum, ForestParams
 from cadentia.sources import npy, tables
+from cadentia.streaming import flush
 from cadentia.streaming import plateau as stream_state
 from cadentia.streaming import telemetry as streams
 
@@ -878,6 +879,23 @@ def stream_ingest(spark, sf_dir):
     return rounded(spark.read.schema(rows.schema).parquet(f"{root}/data"), "ts_unix")
 
 
+FLUSHES = 8
+
+
+@query
+def stream_ingest_flush(spark, sf_dir):
+    """The flushes of the events, each an eighth of them: which rows went together."""
+    root, events = scratch_dir(spark, "flush"), fx.table(spark, sf_dir, "events")
+    # one file, in order, as the rows came in
+    events.coalesce(1).sortWithinPartitions("event_id").write.parquet(f"{root}/in")
+    rows = max(1, -(-events.count() // FLUSHES))
+    flush.drain_flushes(flush.ingest_in_flushes(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", rows=rows, seconds=0))
+    stored = spark.read.parquet(f"{root}/out")
+    return stored.groupBy(F.col("batch_id").cast("bigint").alias("flush")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"), r6(F.sum("value")).alias("total")
+    )
+
+
 @query
 def stream_route(spark, sf_dir):
     root = scratch_dir(spark, "route")

@@ -88,3 +88,4 @@ class Injection:
 @dataclass(frozen=True)
 class IngestLimits:
     interval_seconds: float = 5.0
+    rows: int = 100

@@ -15,6 +15,7 @@ from cadentia.plans import fixtures as fx
 from cadentia.plans.queries import linear_model
 from cadentia.settings import ForestParams, Plateau
 from cadentia.sources import npy, tables
+from cadentia.streaming import flush
 from cadentia.streaming import plateau as stream_state
 from cadentia.streaming import telemetry as streams
 from conftest import SF, plan, rows
@@ -212,6 +213,47 @@ def test_late_rows_are_looked_up_in_their_own_days_only(spark, tmp_path):
     assert scan.metrics().apply("numFiles").value() in (0, 2) and streams.stored_days(spark, path, late, 0).count() == 0
 
 
+def test_flushes_end_after_so_many_rows_and_go_on_after_a_restart(spark, split_events, tmp_path):
+    _, events = split_events
+    folder, put, _ = arriving(spark, events, tmp_path, None, parts=4)  # 250 rows a file
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    drain = lambda: flush.drain_flushes(flush.ingest_in_flushes(spark, folder, out, checkpoint, rows=120, seconds=0))
+    sizes = lambda: [r["count"] for r in spark.read.parquet(out).groupBy("batch_id").count().orderBy("batch_id").collect()]
+    put([0])
+    drain()
+    assert sizes() == [120, 120, 10]
+    put([1, 2])
+    drain()  # a new query from the checkpoint: nothing twice, nothing lost, and a flush may span files
+    assert sizes() == [120, 120, 10, 120, 120, 120, 120, 20]
+    drain()
+    put([3])
+    drain()
+    assert rows(spark.read.parquet(out).select("event_id"), "event_id") == [(i,) for i in range(1000)]
+    # a crash before the last commit: the batch runs again with the rows it had
+    last = max((p for p in (tmp_path / "cp" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    for p in (last, last.with_name(f".{last.name}.crc")):
+        p.unlink(missing_ok=True)
+    before = sizes()
+    drain()
+    assert sizes() == before
+    assert spark.read.parquet(out).count() == 1000
+
+
+def test_few_rows_wait_for_more(spark, split_events, tmp_path):
+    _, events = split_events
+    folder, put, _ = arriving(spark, events, tmp_path, None, parts=10)
+    put([0])
+    reader = flush.FlushReader({"path": npy.qualified(spark, folder), "checkpoint": npy.qualified(spark, str(tmp_path / "no")), "rows": "150", "seconds": "3600", "schema": events.schema.json()})
+    assert reader.initialOffset() == {"row": 0} and reader.latestOffset() == {"row": 0}  # 100 rows wait
+    put([1])
+    assert reader.latestOffset() == {"row": 150} and reader.latestOffset() == {"row": 150}
+    reader.seconds = 0
+    assert reader.latestOffset() == {"row": 200}
+    parts = reader.partitions({"row": 90}, {"row": 150})
+    assert [(p.lo, p.hi) for p in parts] == [(90, 100), (0, 50)]
+    assert sum(b.num_rows for p in parts for b in reader.read(p)) == 60
+
+
 def test_stream_route_is_idempotent_per_batch(spark, split_events, tmp_path):
     folder, events = split_events
     queue = one_file_at_a_time(spark, folder, events.schema).selectExpr(*fx.QUEUE_COLUMNS)
