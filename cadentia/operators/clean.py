@@ -138,9 +138,9 @@ def require_clean(obs: DataFrame, cells_per_obs: int) -> DataFrame:
 
 
 def assemble_cadences(
-    obs: DataFrame, n_obs: int, value: str = "cells", *, into: str = "obs_cells", extra: tuple = ()
+    obs: DataFrame, n_obs: int, value: str = "cells", *, into: str = "obs_cells", extra: tuple = (), strict: bool = False
 ) -> DataFrame:
-    """One row per complete cadence with its observations as an array in order.
+    """One row per complete cadence with its observations as an array in order; an incomplete one is an error if ``strict``.
 
     Each observation has its own slot in the aggregate, so the state per cadence is
     bounded by ``n_obs`` arrays whatever arrives under one id; a second row for the
@@ -155,6 +155,8 @@ def assemble_cadences(
         F.exists(numbers, lambda n: n > 1),
         F.raise_error(F.lit("a cadence has two rows for one observation")).cast("boolean"),
     ).otherwise(F.forall(numbers, lambda n: n == 1))
+    if strict:
+        once = F.when(once, True).otherwise(F.raise_error(F.lit("a cadence lacks an observation")).cast("boolean"))
     return grouped.where(once).select(
         *[c for c in grouped.columns if not c.startswith(("_v", "_n"))],
         F.array(*[F.col(f"_v{i}") for i in range(n_obs)]).alias(into),

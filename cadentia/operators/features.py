@@ -13,9 +13,9 @@ from cadentia.operators.clean import assemble_cadences
 from cadentia.settings import LossWeights
 
 
-def cadence_latents(latents: DataFrame, n_obs: int, value: str = "z", extra: tuple = ()) -> DataFrame:
-    """``zs``: the cadence's latents in observation order; incomplete cadences drop out."""
-    return assemble_cadences(latents, n_obs, value, into="zs", extra=extra)
+def cadence_latents(latents: DataFrame, n_obs: int, value: str = "z", extra: tuple = (), strict: bool = False) -> DataFrame:
+    """``zs``: the cadence's latents in observation order; incomplete cadences drop out, or fail the job if ``strict``."""
+    return assemble_cadences(latents, n_obs, value, into="zs", extra=extra, strict=strict)
 
 
 def require_complete(latents: DataFrame, n_obs: int) -> DataFrame:
@@ -25,9 +25,12 @@ def require_complete(latents: DataFrame, n_obs: int) -> DataFrame:
     return latents.agg(F.when(rows % n_obs != 0, fault).otherwise(rows / n_obs).cast("bigint").alias("cadences"))
 
 
-def cadence_features(latents: DataFrame, n_obs: int, value: str = "z", extra: tuple = ()) -> DataFrame:
-    """``features``: all latents of a cadence, concatenated in observation order."""
-    whole = cadence_latents(latents, n_obs, value, extra)
+def cadence_features(latents: DataFrame, n_obs: int, value: str = "z", extra: tuple = (), strict: bool = False) -> DataFrame:
+    """``features``: all latents of a cadence, concatenated in observation order.
+
+    What a classifier is given must be whole: with ``strict`` an incomplete cadence fails the job.
+    """
+    whole = cadence_latents(latents, n_obs, value, extra, strict)
     return whole.withColumn("features", F.flatten("zs")).drop("zs")
 
 

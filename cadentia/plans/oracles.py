@@ -213,6 +213,11 @@ ORACLES["telemetry_range"] = with_(TELEMETRY) + f"""
 SELECT id, {r('ts_unix')} AS ts_unix, resource_type, resource_name, value, tag FROM telemetry
 WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-19 23:59:59.999999'"""
 
+ORACLES["telemetry_range_stored"] = ORACLES["telemetry_range"]
+
+ORACLES["store_size"] = f"""
+SELECT CAST(sum(strlen(props) + 1) AS BIGINT) AS size_bytes, {r('sum(strlen(props) + 1) / 1048576.0')} AS size_mb FROM events"""
+
 ORACLES["threshold_predict"] = with_(SCORES) + """
 SELECT start_index, obs, CAST(p > 0.5 AS BIGINT) AS prediction FROM scores"""
 
@@ -579,6 +584,14 @@ ORACLES["onoff_splice"] = with_(CELLS, VALID, GOOD, NORMED, """spliced AS (
   UNION ALL SELECT cadence_id, obs, i, v FROM good WHERE obs IN (1, 3, 5))""") + f"""
 SELECT cadence_id, obs, {DIGEST} FROM spliced GROUP BY cadence_id, obs"""
 
+ORACLES["generate_plugged"] = with_(CELLS, VALID, GOOD, BACKGROUNDS, PLAN, """chosen AS (
+  SELECT class, sample_idx, sample_idx % (SELECT count(*) FROM bg) AS background_idx,
+    row_number() OVER (PARTITION BY class, chunk ORDER BY sample_idx) AS seen FROM plan WHERE split_set = 'true'),
+made AS (
+  SELECT class, sample_idx, background_idx, obs, i, v * CASE WHEN class LIKE 'true%' AND obs % 2 = 0 THEN 2 ELSE 1 END + seen AS v
+  FROM chosen JOIN bg USING (background_idx) JOIN good USING (cadence_id))""") + f"""
+SELECT class, sample_idx, background_idx, obs, {DIGEST} FROM made GROUP BY class, sample_idx, background_idx, obs"""
+
 _CADENCE_TRACK = track(1, "10", "cadence_id", "7")
 ORACLES["augment_tracks"] = with_(CELLS, VALID, GOOD, f"""t0 AS (
   SELECT cadence_id, {u('cadence_id', 1, 7)} * 40 + 10 AS snr, {_CADENCE_TRACK[0]} FROM valid),

@@ -6,6 +6,8 @@ integers are BIGINT, so that results compare by value with another SQL engine.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ from cadentia.operators import (
     features,
     generation,
     indexing,
+    plug,
     profile,
     spectral,
     telemetry,
@@ -149,7 +152,7 @@ def high_confidence_sink(spark, sf_dir):
     """The second report, written beside the first only if a detection is confident enough."""
     path = scratch_dir(spark, "report") + ".csv"
     tables.write_detections(_detections(spark, sf_dir), path)
-    return rounded(tables.read_detections(spark, tables.high_confidence_path(path)), "frequency_MHz", "confidence")
+    return rounded(tables.read_high_confidence(spark, path), "frequency_MHz", "confidence")
 
 
 @query
@@ -228,6 +231,16 @@ def telemetry_range(spark, sf_dir):
     return kept.select("id", r6("ts_unix").alias("ts_unix"), "resource_type", "resource_name", "value", "tag")
 
 
+@query
+def telemetry_range_stored(spark, sf_dir):
+    """The same range from a store laid out by time: days as folders, rows sorted inside."""
+    path = scratch_dir(spark, "clustered")
+    tables.write_clustered(fx.telemetry(spark, sf_dir).drop("metadata"), path)
+    lo, hi = datetime(2024, 1, 5), datetime(2024, 1, 19, 23, 59, 59, 999999)
+    kept = tables.read_clustered(spark, path, lo, hi)
+    return kept.select("id", r6("ts_unix").alias("ts_unix"), "resource_type", "resource_name", "value", "tag")
+
+
 @query
 def threshold_predict(spark, sf_dir):
     scored = cadence.threshold_predict(fx.scores(spark, sf_dir))
@@ -464,6 +477,14 @@ def table_stats(spark, sf_dir):
     return rounded(stats, "min_timestamp", "max_timestamp")
 
 
+@query
+def store_size(spark, sf_dir):
+    """Bytes on disk of a store: the events' properties as lines of text, a folder per type."""
+    path = scratch_dir(spark, "sizes")
+    fx.table(spark, sf_dir, "events").select("event_type", "props").write.partitionBy("event_type").text(path)
+    return rounded(telemetry.stored_size(spark, path), "size_mb")
+
+
 @query
 def file_profile(spark, sf_dir):
     return rounded(profile.file_profile(fx.file_rows(spark, sf_dir)), "sample_min", "sample_max", "sample_mean")
@@ -661,6 +682,33 @@ def class_plan(spark, sf_dir):
     return _plan(spark, sf_dir).select("split_set", "sample_idx", "chunk", "class")
 
 
+def on_off_generator():
+    """A user's generator: ON observations of a true sample are doubled, and numbered within the chunk."""
+    seen = 0
+
+    def generate(sample, obs):
+        nonlocal seen
+        seen += 1
+        factor = 2.0 if sample["class"].startswith("true") else 1.0
+        for number, cells in enumerate(obs):
+            yield cells * (factor if number % 2 == 0 else 1.0) + seen
+
+    return generate
+
+
+@query
+def generate_plugged(spark, sf_dir):
+    """The plan's samples made by a user's generator from given backgrounds, taken in turn."""
+    stored = _backgrounds(spark, sf_dir)
+    numbered = generation.index_backgrounds(stored).select("cadence_id", "background_idx")
+    backgrounds = stored.join(numbered, "cadence_id").select("background_idx", "obs_cells")
+    n = stored.count()
+    plan = _plan(spark, sf_dir).where("split_set = 'true'")
+    planned = plug.planned_backgrounds(plan, backgrounds, F.pmod("sample_idx", F.lit(n)))
+    made = plug.generate_with(planned, on_off_generator)
+    return made.select("class", "sample_idx", "background_idx", F.col("nth").cast("bigint").alias("obs"), *digest())
+
+
 @query
 def augment_tracks(spark, sf_dir):
     """One track through all six observations of each valid cadence, not normalised."""

@@ -105,7 +105,7 @@ def labelled_features(batch: DataFrame, embedding: Embedding, n_obs: int) -> Dat
 
     def part(name: str) -> DataFrame:
         chosen = latents.where(F.col("split_set") == name).withColumnRenamed("sample_idx", "cadence_id")
-        return features.cadence_features(chosen, n_obs)
+        return features.cadence_features(chosen, n_obs, strict=True)
 
     return features.labelled_union(part("true"), part("false"))
 

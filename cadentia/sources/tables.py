@@ -74,14 +74,33 @@ def read_existing(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
 def write_detections(detections: DataFrame, path: str) -> None:
     """Detections as CSV with a header, and the confident ones beside them if there are any.
 
-    The second file is filtered from the first, so the scan behind it runs only once.
+    The second file is filtered from the first, so the scan behind it runs only once; one of an
+    earlier run goes, so it never stands beside a report that it doesn't belong to.
     """
+    spark = detections.sparkSession
+    _folder(spark, high_confidence_path(path), delete=True)
     detections.select(*REPORT_COLUMNS).write.mode("overwrite").option("header", True).csv(path)
-    confident = high_confidence(read_detections(detections.sparkSession, path))
+    confident = high_confidence(read_detections(spark, path))
     if not confident.isEmpty():
         confident.write.mode("overwrite").option("header", True).csv(high_confidence_path(path))
 
 
+def _folder(spark: SparkSession, path: str, *, delete: bool = False) -> bool:
+    """Whether there is such a folder, which may go."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = system.exists(folder)
+    if there and delete:
+        system.delete(folder, True)
+    return there
+
+
+def read_high_confidence(spark: SparkSession, path: str) -> DataFrame:
+    """The confident detections of the report at ``path``; none if there was no second file to write."""
+    beside = high_confidence_path(path)
+    return read_detections(spark, beside) if _folder(spark, beside) else spark.createDataFrame([], REPORT_SCHEMA)
+
+
 def high_confidence_path(path: str) -> str:
     return path.replace(".csv", "_high_confidence.csv") if path.endswith(".csv") else f"{path}_high_confidence"
 
@@ -125,3 +144,26 @@ def write_routed(queue: DataFrame, path: str) -> None:
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     """One telemetry table with its own columns; the folder is pruned to it."""
     return spark.read.parquet(path).where(F.col("table") == table).select(*columns_of(table))
+
+
+def write_clustered(rows: DataFrame, path: str, ts: str = "ts", *, files_per_day: int = 1) -> None:
+    """Stores telemetry by time: a folder for each day, rows sorted inside its files.
+
+    A range of times then lies in the folders of its days and, inside them, in the row groups
+    whose bounds meet it. A hot day may be cut into several files by time of day.
+    """
+    dated = rows.withColumn("day", F.to_date(ts))
+    slot = F.floor(F.pmod(F.unix_seconds(F.col(ts).cast("timestamp")), F.lit(86400)) * files_per_day / 86400)
+    dealt = dated.repartition("day", slot).sortWithinPartitions("day", ts)
+    dealt.write.mode("overwrite").partitionBy("day").parquet(path)
+
+
+def read_clustered(spark: SparkSession, path: str, lo=None, hi=None, ts: str = "ts") -> DataFrame:
+    """Stored telemetry between two inclusive, optional bounds (Python datetimes): only their days' folders are read."""
+    rows = spark.read.parquet(path)
+    for bound, above in ((lo, True), (hi, False)):
+        if bound is not None:
+            day, at = F.lit(bound.date()), F.lit(bound).cast(rows.schema[ts].dataType)
+            rows = rows.where(F.col("day") >= day if above else F.col("day") <= day)
+            rows = rows.where(F.col(ts) >= at if above else F.col(ts) <= at)
+    return rows.drop("day")

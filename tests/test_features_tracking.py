@@ -203,3 +203,13 @@ def test_profile_samples_rows_and_sums_sizes(spark):
     assert got["sample_mean"] == pytest.approx(np.mean((idx - 1) / 2)) and got["expected_bytes"] == 200 * 6 * 4
     whole = profile.profile_consistency(profile.file_profile(df)).first().asDict()
     assert whole == {"files": 1, "shapes": 1, "dtypes": 1, "total_rows": 200, "total_bytes": 4800}
+
+
+def test_strict_features_refuse_an_incomplete_cadence(spark):
+    whole = [(c, o, [float(o), 1.0]) for c in range(3) for o in range(6)]
+    df = spark.createDataFrame(whole[:-1], "cadence_id bigint, obs bigint, z array<double>")
+    assert features.cadence_features(df, 6).count() == 2
+    with pytest.raises(PySparkException, match="lacks an observation"):
+        features.cadence_features(df, 6, strict=True).collect()
+    complete = spark.createDataFrame(whole, df.schema)
+    assert features.cadence_features(complete, 6, strict=True).count() == 3

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cadentia.functions.hashing import PRIME, uniform
 from cadentia.geometry import Geometry
-from cadentia.operators import clean, generation, indexing, spectral
+from cadentia.operators import clean, generation, indexing, plug, spectral
 from cadentia.plans import fixtures as fx
 from cadentia.session import materialise
 from cadentia.settings import Curriculum, Injection
@@ -260,3 +260,25 @@ def test_full_width_cadence_survives_both_engines(spark):
     )
     for x, y in zip(a, b):
         np.testing.assert_allclose(x[1], y[1])
+
+
+def test_a_users_generator_sees_its_chunk_in_order_and_makes_any_number_of_rows(spark):
+    planned = spark.createDataFrame(
+        [("true", "c", i // 4, i, 0, [[1.0, 2.0], [3.0, 4.0]]) for i in range(10)],
+        "split_set string, class string, chunk bigint, sample_idx bigint, background_idx bigint, obs_cells array<array<double>>",
+    ).repartition(5)
+
+    def make():
+        seen = []
+
+        def generate(sample, obs):
+            seen.append(sample["sample_idx"])
+            assert seen == sorted(seen) and len({i // 4 for i in seen}) == 1
+            for n in range(sample["sample_idx"] % 3):
+                yield obs[n] + len(seen)
+
+        return generate
+
+    made = plug.generate_with(planned, make).collect()
+    assert sorted((r.chunk, r.sample_idx, r.nth) for r in made) == sorted((i // 4, i, n) for i in range(10) for n in range(i % 3))
+    assert {tuple(r.cells) for r in made if r.sample_idx == 5} == {(3.0, 4.0), (5.0, 6.0)}

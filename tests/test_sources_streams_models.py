@@ -1,5 +1,6 @@
 import math
 import resource
+from datetime import datetime
 
 import duckdb
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from cadentia.ml import embed, forest
 from cadentia.operators import telemetry, tracking
 from cadentia.plans import fixtures as fx
-from cadentia.plans.queries import linear_model
+from cadentia.plans.queries import QUERIES, linear_model
 from cadentia.settings import ForestParams, Plateau
 from cadentia.sources import npy, tables
 from cadentia.streaming import flush
@@ -466,3 +467,43 @@ def test_batch_size_does_not_change_scores(spark):
     df = fx.table(spark, SF, "embeddings").select("vec_id", F.col("embedding").alias("cells"))
     one, two = (rows(embed.batch_score(df, linear_model, 64, batch_size=b), "vec_id", "p") for b in (7, 4048))
     assert all(a[0] == b[0] and math.isclose(a[1], b[1]) for a, b in zip(one, two)) and len(one) == 500
+
+
+# --- reports and stores -----------------------------------------------------------
+
+
+def test_a_second_report_never_outlives_its_first(spark, tmp_path):
+    path = str(tmp_path / "report.csv")
+    columns = [f.split()[0] for f in tables.REPORT_SCHEMA.split(", ")] if isinstance(tables.REPORT_SCHEMA, str) else tables.REPORT_SCHEMA.names
+    found = QUERIES["detections"](spark, SF).select(columns)
+    sure = found.withColumn("confidence", F.lit(0.99))
+    tables.write_detections(sure, path)
+    assert tables.read_high_confidence(spark, path).count() == found.count() > 0
+    tables.write_detections(found.withColumn("confidence", F.lit(0.5)), path)
+    assert tables.read_high_confidence(spark, path).count() == 0
+    assert not (tmp_path / "report_high_confidence.csv").exists()
+
+
+def test_a_range_of_a_clustered_store_reads_its_days_only(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows_ = spark.range(30 * 24).selectExpr("id", "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) as ts", "cast(id as double) as value")
+    tables.write_clustered(rows_, path)
+    lo, hi = datetime(2024, 1, 9, 22), datetime(2024, 1, 10, 3)
+    got = tables.read_clustered(spark, path, lo, hi)
+    assert rows(got, "id") == [(i,) for i in range(8 * 24 + 22, 9 * 24 + 4)]
+    text = plan(got)
+    assert "PartitionFilters" in text and "2024-01-09" in text and "PushedFilters: [" in text
+    got.collect()
+    files = [v.value() for scan in [got._jdf.queryExecution().executedPlan()] for v in [_metric(scan, "numFiles")] if v is not None]
+    assert files and files[0] <= 2
+    assert tables.read_clustered(spark, path).count() == 720 and tables.read_clustered(spark, path, lo).count() == 720 - 8 * 24 - 22
+
+
+def _metric(node, name):
+    """The first metric of that name in a plan that has run."""
+    for part in [node, *[node.children().apply(i) for i in range(node.children().size())]]:
+        if part.metrics().contains(name):
+            return part.metrics().apply(name)
+        if part is not node and (found := _metric(part, name)) is not None:
+            return found
+    return _metric(node.executedPlan(), name) if "AdaptiveSparkPlan" in node.nodeName() else None
