@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadentia.llm import boosting
-from cadentia.llm.dom import Page, features, parse
+from cadentia.llm.dom import Features, Page, parse
 
 #: Pages whose passages are laid out anew, the longest of them, and the pages made of them.
 SAMPLE, SAMPLE_CHARS, LAYOUTS = 200, 100_000, 450
@@ -30,7 +30,8 @@ SAMPLE, SAMPLE_CHARS, LAYOUTS = 200, 100_000, 450
 TOKENS = 80
 TREES, DEPTH = 36, 4
 SEED = 5
-_PAGES_AT_ONCE = 64
+#: Characters of pages parsed together, and nodes whose features are held at once.
+CHARS_AT_ONCE, NODES_AT_ONCE = 1 << 18, 4096
 
 _CONTENT = [
     "<article>{}</article>", "<article>{}</article>", "<main>{}</main>", "<main><article>{}</article></main>",
@@ -57,6 +58,15 @@ _COMMENTS = [
 ]
 _REPLY = ['<div class="comment"><p>{long}</p></div>', '<article class="comment"><b>{word}</b><p>{long}</p></article>', '<li class="comment"><p>{long}</p></li>', '<div class="reply"><span class="author">{word}</span><p>{plain}</p></div>']
 _FOOT = ["<footer>{plain}</footer>", "<footer>&copy; {plain} &middot; {plain}</footer>", "<footer>{links}{short}</footer>", '<div class="footer">{short}{links}</div>', '<div id="footer"><p>{plain}</p></div>', '<div class="copyright">{plain}</div>']
+#: Inside articles: ``@`` is a passage, ``~`` a few words, and what stands between ``%`` repeats.
+_RICH = [
+    "<table>%<tr><td>~</td><td>~</td></tr>%</table>", "<table><thead><tr><th>~</th><th>~</th></tr></thead><tbody>%<tr><td>~</td><td>~</td></tr>%</tbody></table>",
+    "<table><caption>~</caption>%<tr><th>~</th><td>~</td><td>~</td></tr>%</table>", '<table class="data">%<tr><td>~</td><td>@</td></tr>%</table>',
+    '<figure><img src="/i.png"><figcaption>~</figcaption></figure>', "<figure><figcaption>@</figcaption></figure>", '<figure class="image"><img src="/i.png"><figcaption><p>~</p></figcaption></figure>', "<figure><pre>@</pre><figcaption>~</figcaption></figure>",
+    "<dl>%<dt>~</dt><dd>@</dd>%</dl>", "<dl>%<dt>~<dd>~%</dl>", '<dl class="terms">%<dt><b>~</b></dt><dd><p>@</p></dd>%</dl>',
+    "<details><summary>~</summary><p>@</p></details>", "<details open><summary>~</summary>@</details>", "<details><summary>~</summary><ul>%<li>~</li>%</ul></details>",
+    "<ol>%<li>~</li>%</ol>", "<ol>%<li><p>@</p></li>%</ol>", "<section><h3>~</h3><p>@</p></section>", '<div class="quote"><p>@</p></div>', "<blockquote><p>@</p><cite>~</cite></blockquote>", "<pre><code>@</code></pre>", "<h3>~</h3>", "<p>~</p>",
+]
 #: Stands for kept text while a layout is labelled: each of its words ends with this character.
 _MARK = "\ue000"
 
@@ -104,11 +114,20 @@ class _Layouts:
             text = " ".join(text.split()[: self.random.randint(1, 4)])
         return " ".join(markup.escape(w) + _MARK for w in text.split())
 
+    def _rich(self, template: str) -> str:
+        """A template of what articles hold besides paragraphs: ``@`` is a kept passage, ``~`` a few kept words, ``%`` repeats its row."""
+        before, row, after = template.split("%") if "%" in template else (template, "", "")
+        filled = before + row * self.random.randint(1, 6) + after
+        short = lambda: " ".join(self._passage().split()[: self.random.randint(1, 8)])
+        return "".join(self._passage() if c == "@" else short() if c == "~" else c for c in filled)
+
     def _article(self) -> str:
         parts = [f"<h{self.random.choice([1, 1, 1, 2])}>{self._passage()[:120]}{_MARK}</h1>"] if self.random.random() < 0.85 else []
         for _ in range(self.random.choice([0, 1, 1, 2, 3, 4, 6, 9, 14])):
             text, kind = self._passage(), self.random.random()
-            if kind < 0.62:
+            if self.random.random() < 0.16:
+                parts.append(self._rich(self.random.choice(_RICH)))
+            elif kind < 0.62:
                 parts.append(f"<p>{text}</p>")
             elif kind < 0.72:
                 parts.append(f"<p><b>{text}<br>")  # end tags forgotten
@@ -174,13 +193,25 @@ class Extractor:
 
     def texts(self, pages: list[str | None]) -> list[str]:
         out: list[str] = []
-        for at in range(0, len(pages), _PAGES_AT_ONCE):
-            parsed = [parse(p) for p in pages[at : at + _PAGES_AT_ONCE]]
-            logit = np.clip(self.forest.logit(features(parsed, self.vocabulary)), -6, 6).tolist()
-            first = 0
-            for page in parsed:
-                out.append(page.text(decode(page, logit[first : first + len(page.tag)])))
-                first += len(page.tag)
+        held: list[Page] = []
+        size = 0
+        for html in pages:
+            held.append(parse(html))
+            size += len(html or "")
+            if size >= CHARS_AT_ONCE:
+                out += self._texts(held)
+                held, size = [], 0
+        return out + self._texts(held)
+
+    def _texts(self, pages: list[Page]) -> list[str]:
+        found = Features(pages, self.vocabulary)
+        slices = range(0, found.total, NODES_AT_ONCE)
+        logit = [self.forest.logit(found.rows(at, min(at + NODES_AT_ONCE, found.total))) for at in slices]
+        value = np.clip(np.concatenate([np.empty(0), *logit]), -6, 6).tolist()
+        out, first = [], 0
+        for page in pages:
+            out.append(page.text(decode(page, value[first : first + len(page.tag)])))
+            first += len(page.tag)
         return out
 
 
@@ -210,7 +241,8 @@ def train(sample: list[str], seed: int = SEED) -> Extractor:
     plain = [parse(m.replace(_MARK, "")) for m in made]
     seen = Counter(t for p in plain for tokens in p.tokens for t in set(tokens))
     vocabulary = {t: i for i, (t, n) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:TOKENS])}
-    return Extractor(vocabulary, boosting.fit(features(plain, vocabulary), label.astype(float), TREES, DEPTH))
+    found = Features(plain, vocabulary)
+    return Extractor(vocabulary, boosting.fit(found.rows(0, found.total), label.astype(float), TREES, DEPTH))
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE) -> Extractor:

@@ -2,6 +2,8 @@ import hashlib
 import html
 import random
 import re
+import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -44,6 +46,79 @@ def test_layouts_that_were_not_learned_from(extractor):
     assert good >= 0.9 * 120
 
 
+CHROME = "<nav><a href=/>Home</a> <a href=/a>About us</a></nav>{}<footer>Copyright of the owners</footer>"
+INNER = {
+    "table": ("<table><thead><tr><th>{0}</th><th>{1}</th></tr></thead><tbody><tr><td>{2}</td><td>{3}</td></tr></tbody></table>", 4),
+    "bare table": ("<table><tr><td>{0}</td><td>{1}</td></tr><tr><td>{2}</td><td>{3}</td></tr></table>", 4),
+    "figure": ("<figure><img src=x.png alt=picture><figcaption>{0}</figcaption></figure>", 1),
+    "terms": ("<dl><dt>{0}</dt><dd>{1}</dd><dt>{2}</dt><dd>{3}</dd></dl>", 4),
+    "details": ("<details><summary>{0}</summary><p>{1}</p></details>", 2),
+    "list": ("<ol><li>{0}</li><li>{1}</li></ol>", 2),
+}
+
+
+@pytest.mark.parametrize("kind", INNER)
+def test_nothing_of_an_article_is_dropped(extractor, kind):
+    """Layouts of the test's own: the given pages have none of these, and no template of the training is used."""
+    template, n = INNER[kind]
+    lost = 0
+    for seed in range(12):
+        r = random.Random(seed)
+        inner = [prose(100 * seed + i, r.randint(1, 9)) for i in range(n)]
+        before, after = prose(seed, r.randint(20, 60)), prose(seed + 50, r.randint(20, 60))
+        article = f"<article><h1>{prose(seed + 9, 5)}</h1><p>{before}</p>{template.format(*inner)}<p>{after}</p></article>"
+        want = " ".join([prose(seed + 9, 5), before, *inner, after])
+        lost += extractor.texts([CHROME.format(article)])[0] != want
+    assert lost <= 1
+
+
+def test_invisible_text_is_no_text(extractor):
+    body = f"<article><p>{prose(1, 40)}</p><p hidden>secret words</p><div style='color:red; display: none'><p>more of them</p></div><p>{prose(2, 40)}</p></article>"
+    assert extractor.texts([CHROME.format(body)])[0] == f"{prose(1, 40)} {prose(2, 40)}"
+
+
+def test_decoding_is_the_best_closed_choice():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        depth, parts = 0, []
+        for _ in range(int(rng.integers(1, 7))):
+            parts.append("<div>" + "w " * int(rng.integers(0, 4)))
+            depth += 1
+            if rng.random() < 0.5:
+                parts.append("</div>")
+        page = dom.parse("".join(parts))
+        n = len(page.tag)
+        logit = rng.normal(size=n).tolist()
+        gain = [v * (1 + w) for v, w in zip(logit, page.words, strict=True)]
+        best = 0.0
+        for bits in range(1 << n):
+            kept = [bool(bits >> i & 1) for i in range(n)]
+            if all(kept[page.parent[i]] for i in range(1, n) if kept[i]):
+                best = max(best, sum(g for g, k in zip(gain, kept, strict=True) if k))
+        found = extraction.decode(page, logit)
+        assert sum(g for g, k in zip(gain, found, strict=True) if k) == pytest.approx(best)
+
+
+@pytest.mark.parametrize("filler", ["<!--", "<!-- x -->", "<p>w", "<div>", "<!a", "<a ", "<script>", "<!-- > ", "</p>", "&amp;", "<p hidden>w"])
+def test_long_pages_take_linear_time_and_bounded_memory(extractor, filler):
+    page = "<p>start</p>" + filler * (300_000 // len(filler))
+    began = time.process_time()
+    tracemalloc.start()
+    extractor.texts([page])
+    assert tracemalloc.get_traced_memory()[1] < 250_000_000
+    tracemalloc.stop()
+    assert time.process_time() - began < 60
+
+
+def test_slices_of_nodes_have_the_same_features(extractor, monkeypatch):
+    layouts = extraction._Layouts([prose(i, 30) for i in range(20)], seed=3)
+    pages = [layouts.page().replace(extraction._MARK, "") for _ in range(20)]
+    whole = extractor.texts(pages)
+    monkeypatch.setattr(extraction, "NODES_AT_ONCE", 7)
+    monkeypatch.setattr(extraction, "CHARS_AT_ONCE", 1)
+    assert extractor.texts(pages) == whole
+
+
 @pytest.mark.parametrize("after", ["<body><p>", "<body class=x><article><p>", "<p>", "<article>", "<div>", "<br>", "<span>", "", "<noscript><p>no</p></noscript><p>"])
 def test_a_head_without_its_end_tag(after):
     page = dom.parse(f"<!DOCTYPE html><html><head><meta charset=utf-8><title>T</title><script>var t;</script>{after}one two</html>")
