@@ -28,15 +28,16 @@ HALF_WIDTH = 1.3
 SLACK = 1.0
 #: A radius that held too few is widened by this factor, and more each time.
 WIDEN = 1.12
-#: Vectors of an index block, queries that meet it in one task, and vectors that hint at the first radius.
-BLOCK, QUERIES, HINT = 16384, 16384, 512
+#: Vectors of an index block, queries that meet one copy of it in a task, how many of them are searched
+#: together, and vectors that hint at the first radius.
+BLOCK, QUERIES, TOGETHER, HINT = 16384, 65536, 8192, 512
 SEED = 11
 
 _INDEX = "dim int, block long, ids binary, vectors binary, sorted binary, ranks binary, longest double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, embedding (doubles), dim``: one row per id, the least vector if an id repeats.
+    """``vec_id, embedding (doubles), dim``: rows equal in id and vector are one; an id with several vectors has a row for each.
 
     Vectors without an id, null, empty, of length zero, or with a null or non-finite component
     are left out.
@@ -50,7 +51,7 @@ def usable(vectors: DataFrame) -> DataFrame:
             F.lit(False),
         )
     )
-    return clean.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).withColumn("dim", F.size("embedding"))
+    return clean.distinct().withColumn("dim", F.size("embedding"))
 
 
 def _projections(dim: int) -> np.ndarray:
@@ -66,7 +67,7 @@ def build_index(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     blocks = F.lit(-(-n // block) or 1)
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("vec_id")
+        part = part.sort_values("vec_id", kind="stable")
         x = np.vstack(part["embedding"].to_numpy()).astype(np.float64)
         rest = np.sqrt(np.maximum(longest**2 - (x * x).sum(axis=1), 0.0))
         p = (np.hstack([x, rest[:, None]]) @ _projections(x.shape[1])).astype(np.float32)
@@ -149,10 +150,11 @@ class Block:
         for rank, first, more in zip(self.ranks, low, width, strict=True):
             count += (rank - first) <= more
         near = np.flatnonzero(count >= self.collisions)
-        near = near[self.ids[near] != own]
         whole = radius >= 2 * self.longest  # no vector is farther away
         if whole:
-            near = np.flatnonzero(self.ids != own)
+            near = np.arange(len(self.ids))
+        itself = (self.ids[near] == own) & (self.vectors[near] == query).all(axis=1)
+        near = near[~itself]
         scores = (self.vectors[near] * query).sum(axis=1)
         within = scores * (self.longest / np.sqrt((query * query).sum())) >= self.longest**2 - radius**2 / 2
         return self.ids[near], scores, whole or int(within.sum()) >= nearest
@@ -163,7 +165,7 @@ def search(index: DataFrame, queries: DataFrame, nearest: int = NEAREST, own: bo
 
     ``queries`` has the columns of ``usable``. Best first, equal scores by vec_id; fewer rows if
     there are fewer vectors of a query's dimension. Unless ``own``, a query is no neighbour of
-    itself.
+    itself; another row of its id, with another vector, may be. Rows of one id are queries of their own.
     """
     blocks = index.select(F.col("dim").alias("of"), F.col("block").alias("met"))
     n = queries.count()
@@ -171,31 +173,33 @@ def search(index: DataFrame, queries: DataFrame, nearest: int = NEAREST, own: bo
     asked = (
         queries.withColumn("chunk", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(chunks)))
         .join(blocks, F.col("dim") == F.col("of"))  # a query for every block of its dimension
-        .select("dim", F.col("met").alias("block"), "chunk", F.col("vec_id").alias("query_id"), "embedding")
+        .select("dim", F.col("met").alias("block"), "chunk", F.col("vec_id").alias("query_id"), "embedding", F.xxhash64("embedding").alias("row"))
     )
     held = index.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["query_id", "vec_id", "score"]
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})[names]
+            return pd.DataFrame({"query_id": [], "row": [], "vec_id": [], "score": []})
         block = Block(left.iloc[0])
         ids = right["query_id"].to_numpy(np.int64)
-        found = block.search(
-            np.vstack(right["embedding"].to_numpy()).astype(np.float64), ids if not own else np.full(len(ids), -1), nearest
-        )
+        found: list = []
+        for at in range(0, len(right), TOGETHER):
+            part = right.iloc[at : at + TOGETHER]
+            asked_for = np.vstack(part["embedding"].to_numpy()).astype(np.float64)
+            found += block.search(asked_for, ids[at : at + TOGETHER] if not own else np.full(len(part), np.iinfo(np.int64).min), nearest)
         size = [len(f[0]) for f in found]
         return pd.DataFrame(
             {
                 "query_id": np.repeat(ids, size),
+                "row": np.repeat(right["row"].to_numpy(np.int64), size),
                 "vec_id": np.concatenate([f[0] for f in found]),
                 "score": np.concatenate([f[1] for f in found]),
             }
         )
 
     key = ("dim", "block", "chunk")
-    found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(meet, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(meet, "query_id long, row long, vec_id long, score double")
+    best = Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= nearest)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -49,6 +49,17 @@ def test_ties_repeats_and_vectors_that_take_no_part(spark):
     assert found[0] == [(i, 1.0) for i in (1, 2, 3, 4, 5)] and found[3] == [(i, 1.0) for i in (0, 1, 2, 4, 5)]
 
 
+def test_an_id_with_two_vectors_is_two_candidates_and_two_queries(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.1, 0.8])]
+    vectors = _table(spark, rows)
+    index = neighbours.build_index(vectors, block=64)
+    asked = neighbours.usable(vectors.filter("vec_id = 0"))
+    found = sorted((round(r.score, 6), r.rank, r.vec_id) for r in neighbours.search(index, asked, 5).collect())
+    f = lambda x: round(float(np.float32(x)), 6)
+    want = [(0.0, 3, 0), (f(0.1), 2, 2), (f(0.9), 1, 1), (0.0, 3, 0), (f(0.1), 2, 1), (f(0.8), 1, 2)]
+    assert found == sorted(want)
+
+
 def test_fewer_vectors_than_asked_for_and_none(spark):
     assert _search(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0])]) == {0: [(1, 4.0)], 1: [(0, 4.0)]}
     assert _search(spark, [(0, None)]) == {} and _search(spark, []) == {}
