@@ -2,8 +2,8 @@
 
 Slim headers are shuffled by payload digest to choose one response per digest; the payloads
 move once, by page, and only to be written. Spark's own text writer makes the archives, so any
-file system, its commit protocol and lost executors are taken care of: a record is one "line"
-and the separator is the empty line pair that ends a WARC record.
+file system, its commit protocol and lost executors are taken care of: a "line" is a record,
+compressed as a gzip member of its own, and the separator is an empty member.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ import gzip
 import hashlib
 import io
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,17 +23,17 @@ from cadentia.session import materialise, scratch_dir
 
 #: Smaller payloads are always written in full: a revisit record would not be shorter.
 LEAST_BYTES = 1000
-#: Bounds the size of an archive file.
-RECORDS_PER_FILE = 20_000
-DATE = "2024-01-01T00:00:00Z"
+#: Bytes of payloads that a file has on average at most; it is read whole by one task.
+FILE_BYTES = 32 << 20
 
 # fixed values of the format
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_RECORD = "urn:x-page:"
 _END = "\r\n\r\n"
+#: Between records: a gzip member without content, as characters of one byte.
+_BETWEEN = gzip.compress(b"", mtime=0).decode("latin-1")
 
 _READ = (
-    "page_id long, url string, record_type string, refers_to long, payload_digest string, "
+    "page_id long, url string, record_type string, record_id string, refers_id string, payload_digest string, "
     "declared_bytes long, payload binary"
 )
 
@@ -41,34 +43,44 @@ def _payload(html: str = "html") -> Column:
 
 
 def headers(pages: DataFrame) -> DataFrame:
-    """``page_id, payload_digest, payload_bytes`` of every page; a null payload is empty."""
+    """``page_id, url, payload_digest, payload_bytes`` of every page; a null payload is empty."""
     return pages.select(
-        "page_id", F.sha1(_payload()).alias("payload_digest"), F.octet_length(_payload()).cast("long").alias("payload_bytes")
+        "page_id", "url", F.sha1(_payload()).alias("payload_digest"), F.octet_length(_payload()).cast("long").alias("payload_bytes")
     )
 
 
-def revisits(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """``(page_id, payload_digest, refers_to)`` of the pages whose payload a larger page_id holds."""
-    slim = headers(pages).filter(F.col("payload_bytes") >= least_bytes)
+def revisits(slim: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
+    """``(page_id, payload_digest, refers_to, refers_url)`` of ``headers`` rows (with a ``url``) whose payload a larger page_id holds."""
+    slim = slim.filter(F.col("payload_bytes") >= least_bytes)
     last = (
         slim.groupBy("payload_digest")
-        .agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
+        .agg(F.max(F.struct("page_id", "url")).alias("last"), F.count("*").alias("n"))
         .filter("n > 1")
-        .drop("n")
+        .select("payload_digest", F.col("last.page_id").alias("refers_to"), F.col("last.url").alias("refers_url"))
     )
     return (
         slim.join(last, "payload_digest")
         .filter(F.col("page_id") < F.col("refers_to"))
-        .select("page_id", "payload_digest", "refers_to")
+        .select("page_id", "payload_digest", "refers_to", "refers_url")
         .distinct()
     )
 
 
-def _records(pages: DataFrame, date: str) -> Column:
-    """The WARC record of a row with ``refers_to`` and ``payload_digest``, without its end."""
+def _record_id(page: Column | str) -> Column:
+    """A name made of the page and its payload, so whoever knows both can refer to it; a page without an id has a drawn one."""
+    page = F.col(page) if isinstance(page, str) else page
+    named = F.sha1(F.concat(page.cast("string"), F.lit("|"), F.col("payload_digest")))
+    parts = F.regexp_replace(named, "^(.{8})(.{4})(.{4})(.{4})(.{12}).*$", "$1-$2-$3-$4-$5")
+    return F.concat(F.lit("<urn:uuid:"), F.coalesce(parts, F.uuid()), F.lit(">"))
+
+
+def _uri(url: str) -> Column:
+    return F.coalesce(F.regexp_replace(url, r"[\x00-\x20\x7F]", "%20"), F.lit(""))
+
+
+def _records(date: str) -> Column:
+    """The WARC record of a row with ``refers_to``, ``refers_url`` and ``payload_digest``."""
     line = "\r\n"
-    known = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    uri = F.coalesce(F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20"), F.lit(""))
     again = F.col("refers_to").isNotNull()
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{line}Content-Type: text/html; charset=utf-8{line}Content-Length: "),
@@ -79,36 +91,52 @@ def _records(pages: DataFrame, date: str) -> Column:
     return F.concat(
         F.lit(f"WARC/1.1{line}WARC-Type: "),
         F.when(again, "revisit").otherwise("response"),
-        F.lit(f"{line}WARC-Record-ID: <{_RECORD}"), known, F.lit(">"),
-        F.lit(f"{line}WARC-Date: {date}{line}WARC-Target-URI: "), uri,
+        F.lit(f"{line}WARC-Record-ID: "), _record_id("page_id"),
+        F.lit(f"{line}WARC-Date: {date}{line}WARC-Target-URI: "), _uri("url"),
         F.lit(f"{line}WARC-Payload-Digest: sha1:"), F.col("payload_digest"),
+        F.coalesce(F.concat(F.lit(f"{line}X-Page-ID: "), F.col("page_id").cast("string")), F.lit("")),
         F.when(
             again,
             F.concat(
-                F.lit(f"{line}WARC-Profile: {_PROFILE}{line}WARC-Refers-To: <{_RECORD}"),
-                F.col("refers_to").cast("string"), F.lit(">"),
+                F.lit(f"{line}WARC-Profile: {_PROFILE}{line}WARC-Refers-To: "), _record_id("refers_to"),
+                F.lit(f"{line}WARC-Refers-To-Target-URI: "), _uri("refers_url"), F.lit(f"{line}WARC-Refers-To-Date: {date}"),
             ),
         ).otherwise(""),
         F.lit(f"{line}Content-Type: application/http;msgtype=response{line}Content-Length: "),
-        F.octet_length(block).cast("string"), F.lit(_END), block,
+        F.octet_length(block).cast("string"), F.lit(_END), block, F.lit(_END),
     )
 
 
-def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date: str = DATE) -> None:
-    """Write a record per row of ``pages(page_id, url, html, ...)`` into gzipped WARC files below ``path``.
+def _member(record: Column) -> Column:
+    """A record as a gzip member."""
+
+    @F.arrow_udf("binary")
+    def member(records: pa.Array) -> pa.Array:
+        return pa.array([gzip.compress(r, 6, mtime=0) for r in records.cast(pa.binary()).to_pylist()], pa.binary())
+
+    return member(record)
+
+
+def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date: datetime | None = None) -> None:
+    """Write a record per row of ``pages(page_id, url, html, ...)`` into WARC files below ``path``, a gzip member each.
 
     Of equal payloads of ``least_bytes`` and more, the one with the largest page_id is the
-    response, the others are revisits. A null page_id is always a response, and so are all
-    rows that repeat the largest page_id. A null html is an empty payload, a null url empty.
+    response, the others are revisits, which name its record, address and date. A null page_id is
+    always a response, and so are all rows that repeat the largest page_id. A null html is an empty
+    payload, a null url empty. Records are dated ``date``, or now; rows equal in page_id and payload are
+    captures of one name. A file has about ``FILE_BYTES`` of payloads.
     """
-    again = materialise(revisits(pages, least_bytes), "revisits")
+    when = (date or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    slim = materialise(headers(pages), "headers")
+    again = materialise(revisits(slim, least_bytes), "revisits")
+    n, total = slim.agg(F.count("*"), F.sum("payload_bytes")).first()
     digested = pages.select("page_id", "url", "html", F.sha1(_payload()).alias("payload_digest"))
     marked = digested.join(again, ["page_id", "payload_digest"], "left")
     (
-        marked.select(_records(marked, date).alias("value"))
-        .write.option("lineSep", _END)
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        marked.select(_member(_records(when)).cast("string").alias("value"))
+        .write.option("lineSep", _BETWEEN)
+        .option("encoding", "ISO-8859-1")
+        .option("maxRecordsPerFile", max(1, FILE_BYTES * n // max(total or 0, 1)))
         .text(path)
     )
 
@@ -133,10 +161,11 @@ def _parse(content: bytes) -> Iterator[dict]:
         if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
             raise ValueError(f"payload of {fields['warc-record-id']} does not have its digest")
         yield {
-            "page_id": _page(fields["warc-record-id"]),
+            "page_id": int(fields["x-page-id"]) if "x-page-id" in fields else None,
             "url": fields["warc-target-uri"],
             "record_type": kind,
-            "refers_to": _page(fields.get("warc-refers-to", "")),
+            "record_id": fields["warc-record-id"],
+            "refers_id": fields.get("warc-refers-to"),
             "payload_digest": digest,
             "declared_bytes": declared,
             "payload": payload,
@@ -151,11 +180,6 @@ def _fields(stream: io.BufferedIOBase) -> dict[str, str]:
     return out
 
 
-def _page(uri: str) -> int | None:
-    number = uri.strip("<>").removeprefix(_RECORD)
-    return int(number) if number else None
-
-
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of the archives below ``path``, payloads checked against length and digest."""
 
@@ -178,7 +202,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 def _frame(rows: list[dict], names: list[str]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=names)
-    for name in ("page_id", "refers_to", "declared_bytes"):
+    for name in ("page_id", "declared_bytes"):
         out[name] = out[name].astype("Int64")
     return out
 
@@ -191,12 +215,13 @@ def resolve(records: DataFrame, payload: bool = True) -> DataFrame:
     borrowed = ["payload_bytes", "payload"] if payload else ["payload_bytes"]
     original = (
         own.filter("record_type = 'response'")
-        .select(F.col("page_id").alias("refers_to"), "payload_digest", F.struct(*borrowed).alias("original"))
-        .dropDuplicates(["refers_to", "payload_digest"])
+        .join(own.select(F.col("refers_id").alias("record_id")).filter("record_id IS NOT NULL").distinct(), "record_id", "left_semi")
+        .select(F.col("record_id").alias("refers_id"), F.struct("page_id", *borrowed).alias("original"))
+        .dropDuplicates(["refers_id"])
     )
-    joined = own.join(original, ["refers_to", "payload_digest"], "left")
+    joined = own.join(original, "refers_id", "left")
     return joined.select(
-        "page_id", "url", "payload_digest", "record_type", "refers_to",
+        "page_id", "url", "payload_digest", "record_type", F.col("original.page_id").alias("refers_to"),
         *[F.coalesce(F.col(name), F.col(f"original.{name}")).alias(name) for name in borrowed],
     )
 

@@ -6,6 +6,7 @@ import time
 import tracemalloc
 import zlib
 from collections import Counter
+from datetime import datetime, timezone
 
 import numpy as np
 import pytest
@@ -187,6 +188,33 @@ def test_revisits_and_exact_round_trip(spark):
         assert r.payload_digest == hashlib.sha1(bytes(r.payload)).hexdigest() and r.payload_bytes == len(bytes(r.payload))
 
 
+def test_archives_are_members_of_named_and_dated_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 3000)
+    rows = [(i, f"http://h/{i}", "a" * 1000) for i in range(4)] + [(None, "u", "b"), (None, "u", "b"), (4, "v", "c" * 500)]
+    pages = spark.createDataFrame([(*r, "x", "y", 1) for r in rows], PAGES).coalesce(1)
+    warc.write_archives(pages, str(tmp_path / "w"), date=datetime(2031, 5, 6, 7, 8, 9, tzinfo=timezone.utc))
+    files = sorted((tmp_path / "w").glob("part-*"))
+    assert len(files) >= 2
+    records = []
+    for file in files:
+        raw = file.read_bytes()
+        while raw:  # each member by itself, as a reader that seeks would take it
+            member = zlib.decompressobj(31)
+            record = member.decompress(raw)
+            raw = member.unused_data
+            if record:
+                assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+                head = record.split(b"\r\n\r\n")[0].decode().split("\r\n")[1:]
+                records.append(dict(line.split(": ", 1) for line in head))
+    assert len(records) == len(rows) and len({r["WARC-Record-ID"] for r in records}) == len(rows)
+    assert all(re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", r["WARC-Record-ID"]) for r in records)
+    assert {r["WARC-Date"] for r in records} == {"2031-05-06T07:08:09Z"}
+    by_page = {r.get("X-Page-ID"): r for r in records}
+    for page in "012":
+        assert by_page[page]["WARC-Type"] == "revisit" and by_page[page]["WARC-Refers-To"] == by_page["3"]["WARC-Record-ID"]
+        assert by_page[page]["WARC-Refers-To-Target-URI"] == "http://h/3" and by_page[page]["WARC-Refers-To-Date"] == "2031-05-06T07:08:09Z"
+
+
 def test_no_pages_and_cut_off_archives(spark):
     assert _records(spark, []).collect() == []
     with pytest.raises(ValueError, match="not a WARC"):
