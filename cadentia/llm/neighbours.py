@@ -2,11 +2,12 @@
 
 The largest inner product becomes the smallest distance: a vector gets one more coordinate that
 fills its length up to the longest one, a query is scaled to it. Vectors lie in blocks; a block keeps
-every vector's place in one sorted array per random projection. A query opens a window around its own
-projection in each array; vectors that collide in enough windows are verified by their exact inner
-product. The windows are those of a radius, and widen (virtual rehashing on the same arrays) until
-enough verified vectors lie within it, so no number of candidates is set. Blocks of queries meet blocks of
-vectors; only the best of a block leave it.
+its vectors sorted by each random projection. A query opens a window around its own projection in each
+array; vectors that collide in enough windows are verified by their exact inner product. The windows
+are those of a radius, and widen (virtual rehashing on the same arrays) until enough verified vectors
+lie within it, so no number of candidates is set. What a window has covered is counted once: a wider one
+goes on from where it ended, to the left and to the right. Blocks of queries meet blocks of vectors; only the
+best of a block leave it.
 """
 
 from __future__ import annotations
@@ -30,10 +31,10 @@ SLACK = 1.0
 WIDEN = 1.12
 #: Vectors of an index block, queries that meet one copy of it in a task, how many of them are searched
 #: together, and vectors that hint at the first radius.
-BLOCK, QUERIES, TOGETHER, HINT = 16384, 65536, 8192, 512
+BLOCK, QUERIES, TOGETHER, HINT = 16384, 65536, 1024, 512
 SEED = 11
 
-_INDEX = "dim int, block long, ids binary, vectors binary, sorted binary, ranks binary, longest double"
+_INDEX = "dim int, block long, ids binary, vectors binary, sorted binary, places binary, longest double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def _projections(dim: int) -> np.ndarray:
 
 
 def build_index(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
-    """A row per block: its ids, vectors, sorted projections, and each vector's place among them in 256ths."""
+    """A row per block: its ids and vectors, and for each projection the sorted values and whose they are."""
     rows = materialise(usable(vectors), "vectors")
     length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x))
     n, longest = rows.agg(F.count("*"), F.max(length)).first()
@@ -72,9 +73,6 @@ def build_index(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
         rest = np.sqrt(np.maximum(longest**2 - (x * x).sum(axis=1), 0.0))
         p = (np.hstack([x, rest[:, None]]) @ _projections(x.shape[1])).astype(np.float32)
         order = np.argsort(p, axis=0, kind="stable")
-        ranks = np.empty(p.shape, np.uint8)
-        place = (np.arange(len(x)) * 256 // len(x)).astype(np.uint8)
-        np.put_along_axis(ranks, order, np.broadcast_to(place[:, None], p.shape), axis=0)
         in_order = np.take_along_axis(p, order, axis=0)
         return pd.DataFrame(
             {
@@ -83,7 +81,7 @@ def build_index(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
                 "ids": [part["vec_id"].to_numpy(np.int64).tobytes()],
                 "vectors": [x.tobytes()],
                 "sorted": [np.ascontiguousarray(in_order.T).tobytes()],
-                "ranks": [np.ascontiguousarray(ranks.T).tobytes()],
+                "places": [np.ascontiguousarray(order.T.astype(np.uint32)).tobytes()],
                 "longest": [longest],
             }
         )
@@ -100,7 +98,8 @@ class Block:
         n = len(self.ids)
         self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(n, -1)
         self.sorted = np.frombuffer(row["sorted"], np.float32).reshape(PROJECTIONS, n)
-        self.ranks = np.frombuffer(row["ranks"], np.uint8).reshape(PROJECTIONS, n)
+        self.places = np.frombuffer(row["places"], np.uint32).reshape(PROJECTIONS, n)
+        self.counted = 0  # entries of windows, over all queries
         self.longest = row["longest"]
         self.projections = _projections(self.vectors.shape[1])[:-1]  # a query's last coordinate is 0
         p = math.erf(HALF_WIDTH / math.sqrt(2))
@@ -108,14 +107,13 @@ class Block:
         self.hint = self.vectors[:: max(1, n // HINT)]
 
     def _windows(self, projected: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First place, and number of further places, of every query's window in every sorted array."""
-        n, half = len(self.ids), HALF_WIDTH * radius
+        """Where every query's window begins and ends in every sorted array."""
+        half = HALF_WIDTH * radius
         low, high = np.empty(projected.shape, np.int64), np.empty(projected.shape, np.int64)
         for j, line in enumerate(self.sorted):
             low[:, j] = np.searchsorted(line, projected[:, j] - half)
-            high[:, j] = np.searchsorted(line, projected[:, j] + half)
-        low, high = np.minimum(low * 256 // n, 255), np.minimum(high * 256 // n, 255)
-        return low.astype(np.uint8), (high - low).astype(np.uint8)
+            high[:, j] = np.searchsorted(line, projected[:, j] + half, side="right")
+        return low, high
 
     def search(self, queries: np.ndarray, own: np.ndarray, nearest: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids and inner products of the ``nearest`` vectors of every query, best first."""
@@ -130,26 +128,36 @@ class Block:
         radius = np.sqrt(np.maximum(2 * (full - best), 1e-4 * full))
         out: list = [None] * len(queries)
         left, widen = np.arange(len(queries)), 1.0
+        collisions = np.zeros((len(queries), len(self.ids)), np.uint8)
+        # an empty window at the query's own place
+        begins = ends = np.stack([np.searchsorted(line, projected[:, j]) for j, line in enumerate(self.sorted)], axis=1)
         while len(left):
-            low, width = self._windows(projected[left], radius[left])
+            low, high = self._windows(projected[left], radius[left])
             again = []
             for place, q in enumerate(left):
-                ids, scores, done = self._verified(scaled[q], queries[q], own[q], low[place], width[place], radius[q], nearest)
+                self._count(collisions[q], low[place], begins[q], ends[q], high[place])
+                ids, scores, done = self._verified(collisions[q], queries[q], own[q], radius[q], nearest)
                 if done:
                     order = np.lexsort((ids, -scores))[:nearest]
                     out[q] = ids[order], scores[order]
                 else:
                     again.append(q)
+            begins, ends = begins.copy(), ends.copy()
+            begins[left], ends[left] = low, high
             left = np.array(again, np.int64)
             widen *= WIDEN
             radius[left] *= widen
         return out
 
-    def _verified(self, scaled, query, own, low, width, radius, nearest):
-        count = np.zeros(len(self.ids), np.uint8)
-        for rank, first, more in zip(self.ranks, low, width, strict=True):
-            count += (rank - first) <= more
-        near = np.flatnonzero(count >= self.collisions)
+    def _count(self, collisions: np.ndarray, low: np.ndarray, begin: np.ndarray, end: np.ndarray, high: np.ndarray) -> None:
+        """Adds what the windows cover beyond what they covered before, to the left and to the right."""
+        bounds = zip(self.places, low.tolist(), begin.tolist(), end.tolist(), high.tolist(), strict=True)
+        new = np.concatenate([part for line, a, b, c, d in bounds for part in (line[a:b], line[c:d])])
+        self.counted += len(new)
+        collisions += np.bincount(new, minlength=len(collisions)).astype(np.uint8)
+
+    def _verified(self, collisions, query, own, radius, nearest):
+        near = np.flatnonzero(collisions >= self.collisions)
         whole = radius >= 2 * self.longest  # no vector is farther away
         if whole:
             near = np.arange(len(self.ids))

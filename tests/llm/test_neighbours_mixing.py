@@ -60,6 +60,54 @@ def test_an_id_with_two_vectors_is_two_candidates_and_two_queries(spark):
     assert found == sorted(want)
 
 
+def _block(vectors):
+    """One block of an index, made as the tasks make it."""
+    longest = np.sqrt((vectors * vectors).sum(axis=1)).max()
+    rest = np.sqrt(np.maximum(longest**2 - (vectors * vectors).sum(axis=1), 0))
+    p = (np.hstack([vectors, rest[:, None]]) @ neighbours._projections(vectors.shape[1])).astype(np.float32)
+    order = np.argsort(p, axis=0, kind="stable")
+    return neighbours.Block({
+        "ids": np.arange(len(vectors)).tobytes(), "vectors": vectors.tobytes(), "longest": longest,
+        "sorted": np.ascontiguousarray(np.take_along_axis(p, order, axis=0).T).tobytes(),
+        "places": np.ascontiguousarray(order.T.astype(np.uint32)).tobytes(),
+    })
+
+
+def test_windows_are_counted_once_however_often_they_widen():
+    rng = np.random.default_rng(8)
+    block = _block(rng.normal(size=(500, 16)))
+    projected = rng.normal(size=(1, neighbours.PROJECTIONS)).astype(np.float32) * 4
+    start = np.array([np.searchsorted(line, v) for line, v in zip(block.sorted, projected[0], strict=True)])
+    grown, begin, end = np.zeros(500, np.uint8), start, start
+    for radius in (0.5, 0.9, 2.0, 7.0):
+        low, high = (x[0] for x in block._windows(projected, np.array([radius])))
+        block._count(grown, low, begin, end, high)
+        begin, end = low, high
+        inside = np.abs(block.sorted - projected.T) <= neighbours.HALF_WIDTH * radius
+        want = np.zeros(500, int)
+        np.add.at(want, block.places[inside], 1)
+        assert abs(grown.astype(int) - want).max() <= 1  # a value on the edge may fall to either side
+    assert block.counted == grown.sum()
+
+
+def test_near_vectors_are_found_without_looking_at_most_of_the_arrays():
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(80, 24))
+    vectors = (centres[rng.integers(0, 80, 4000)] + 0.15 * rng.normal(size=(4000, 24))).astype(np.float32).astype(float)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    block = _block(vectors)
+    asked = np.arange(0, 4000, 100)
+    found = block.search(vectors[asked], asked, 20)
+    hit = 0
+    for q, (ids, scores) in zip(asked, found, strict=True):
+        exact = vectors @ vectors[q]
+        exact[q] = -np.inf
+        hit += len(set(ids) & set(np.argsort(-exact)[:20]))
+        assert (scores == (vectors[ids] * vectors[q]).sum(axis=1)).all()
+    assert hit >= 0.95 * 20 * len(asked)
+    assert block.counted < 0.3 * neighbours.PROJECTIONS * len(vectors) * len(asked)
+
+
 def test_fewer_vectors_than_asked_for_and_none(spark):
     assert _search(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0])]) == {0: [(1, 4.0)], 1: [(0, 4.0)]}
     assert _search(spark, [(0, None)]) == {} and _search(spark, []) == {}
