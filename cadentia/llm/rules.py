@@ -45,7 +45,11 @@ LEAST_PRECISION, LEAST_COVERED = 0.9, 5
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """``docs`` with the counts of every whole text; a null text has no words."""
+    """``docs`` with the counts of every whole text; a null or empty text has no words.
+
+    Row by row: repeated rows and null ids are counted like any other, an empty table stays empty. Columns of
+    ``docs`` that have the name of a count, or begin with ``_q_``, are replaced; ``clean`` keeps all as they were.
+    """
     text = F.coalesce("text", F.lit(""))
     left = lambda pattern: F.char_length(F.regexp_replace(text, pattern, "")).cast("long")
     solid_lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(SOLID))
@@ -232,7 +236,10 @@ def _prune(rows: DataFrame, rule: Rule, least_precision: float = LEAST_PRECISION
 
 
 def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``stats`` with ``base_failed``, ``rule`` (the first that rejects, or null) and ``kept``."""
+    """``stats`` with ``base_failed``, ``rule`` (the first that rejects, or null) and ``kept``.
+
+    Row by row, whatever the id; columns of these three names are replaced. Counts are never null.
+    """
     rule = rejected_by(rules)
     return stats.withColumns({"base_failed": base_failed(), "rule": rule}).withColumn(
         "kept", ~F.col("base_failed") & F.col("rule").isNull()
