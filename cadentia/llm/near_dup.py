@@ -7,11 +7,13 @@
 2. Equal sets are one *class*, so copies never make pairs. The set's fingerprint names the
    class; ids play no part until the smallest one of each component is looked up at the end.
 3. Classes that share a band bucket are first compared with the bucket's smallest class only
-   (a star, not all pairs). Pairs that the bounds of size and signature leave are confirmed on the full sets.
+   (a star, not all pairs), by the bounds of size and signature; of its stars' centres the likeliest one of
+   a class is confirmed on the full sets.
 4. What the stars left apart inside a bucket is compared across components: first classes of
    which too few shingles occur in any other such class are set aside (they can have no link),
-   the rest meet in blocks of a bucket, pass the bounds of size and signature, and are confirmed
-   on the full sets. So no link between different texts is lost to the star.
+   the rest meet in blocks of a bucket and pass the bounds of size and signature. The likeliest pairs of
+   two components are confirmed on the full sets; those that stay apart are tried with more pairs, up to all.
+   So no link between components is lost to the star, and copies of copies don't make pairs.
 5. Components come from alternating large and small stars over the links, on Spark.
 """
 
@@ -40,6 +42,8 @@ MISSED, DISAGREEING = 1e-5, 1e-6
 BAND_BITS = 6
 #: Classes of one bucket that meet in one task.
 BLOCK = 512
+#: Pairs of two components in one block that are confirmed first, and how many times as many each time after.
+TRIED, MORE = 2, 32
 #: Bits of the map of candidate ids, 8 MB at most.
 MAP_BITS = 1 << 26
 
@@ -179,22 +183,22 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").filter(linked("set_a", "set_b")).select("a", "b")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, cut: Banding) -> DataFrame:
-    """Those of the ``(a, b)`` that the bounds of size and signature let be links; moves no sets."""
+def _agreement(pairs: DataFrame, classes: DataFrame, cut: Banding) -> DataFrame:
+    """``(a, b, agree)`` of the pairs that the bounds of size and signature let be links; moves no sets."""
 
-    @F.pandas_udf("boolean")
+    @F.pandas_udf("int")
     def agree(x: pd.Series, y: pd.Series) -> pd.Series:
         a, b = (np.frombuffer(b"".join(s), np.uint32).reshape(len(s), COORDINATES) for s in (x, y))
-        return pd.Series((a == b).sum(axis=1) >= cut.agreeing, dtype=bool)
+        return pd.Series((a == b).sum(axis=1), dtype="int32")
 
     side = lambda c: classes.select(F.col("fp1").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
     met = pairs.join(side("b"), "b").join(side("a"), "a")
     met = met.filter(100 * F.least("n_a", "n_b") >= cut.least * F.greatest("n_a", "n_b"))
-    return met.filter(agree("s_a", "s_b")).select("a", "b")
+    return met.select("a", "b", agree("s_a", "s_b").alias("agree")).filter(F.col("agree") >= cut.agreeing)
 
 
 def _star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
-    """Confirmed links of each class with the smallest class of every bucket it lies in."""
+    """Confirmed links of each class with the likeliest of the classes that its buckets are centred on."""
     buckets = members.groupBy("bucket").agg(F.min(F.struct("order", "fp1")).alias("least"), F.count("*").alias("n"))
     buckets = materialise(buckets.filter("n > 1").select("bucket", F.col("least.fp1").alias("a"), "n"), "buckets")
     # a bucket of many members doesn't meet in one task: there are few of these, so their side is slim
@@ -203,7 +207,8 @@ def _star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, cut: Ba
     plain = tagged.filter("hot is null").join(buckets.filter(F.col("n") <= BLOCK).select("bucket", "a"), "bucket").select("a", "fp1")
     both = plain.union(tagged.filter("hot is not null").select("hot", "fp1"))
     pairs = both.filter("fp1 <> a").select("a", F.col("fp1").alias("b")).distinct()
-    return _confirmed(materialise(_likely(pairs, classes, cut), "likely"), sets, cut)
+    best = _agreement(pairs, classes, cut).groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best"))
+    return _confirmed(materialise(best.select("best.a", "b"), "likely"), sets, cut)
 
 
 def _links_by_id(sketch: DataFrame) -> DataFrame:
@@ -259,8 +264,23 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), digest).first())
 
 
-def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
-    """Confirmed links between classes of one bucket that the stars left in different components."""
+def _residual_links(members: DataFrame, stars: DataFrame, classes: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
+    """Confirmed links between classes of one bucket that the stars left in different components.
+
+    Of two components that meet in a block the likeliest pairs are confirmed first, ``TRIED`` of them; what
+    is still apart afterwards is tried with more, until no pair has been left out.
+    """
+    links, tried = stars, TRIED
+    while True:
+        pairs = materialise(_apart(members, components(links).toDF("fp1", "component"), classes, sets, cut, tried), "likely")
+        links = materialise(links.union(_confirmed(pairs.select("a", "b").distinct(), sets, cut)).distinct(), "links")
+        if pairs.filter("more").isEmpty():
+            return links
+        tried *= MORE
+
+
+def _apart(members: DataFrame, component: DataFrame, classes: DataFrame, sets: DataFrame, cut: Banding, tried: int) -> DataFrame:
+    """``(a, b, more)``: the likeliest pairs between components of one bucket, and whether there are ``more`` of the two."""
     placed = members.join(component, "fp1", "left").withColumn("component", F.coalesce("component", "fp1"))
     split = (
         placed.groupBy("bucket")
@@ -304,10 +324,10 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
 
     def likely(rows: pd.DataFrame) -> pd.DataFrame:
         blocks = rows.groupby(["bucket", "i", "j"], sort=False).indices
-        found = [pair for (key, i, j), at in blocks.items() for pair in likely_in_block(rows.iloc[at], key % (1 << BAND_BITS), i, j)]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        found = [likely_in_block(rows.iloc[at], key % (1 << BAND_BITS), i, j) for (key, i, j), at in blocks.items()]
+        return pd.concat([pd.DataFrame({"a": [], "b": [], "more": []}).astype({"a": "int64", "b": "int64", "more": bool}), *found])
 
-    def likely_in_block(rows: pd.DataFrame, band: int, i: int, j: int) -> list[tuple[int, int]]:
+    def likely_in_block(rows: pd.DataFrame, band: int, i: int, j: int) -> pd.DataFrame:
         signature = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), COORDINATES)
         mine, component, ids_ = rows["mine"].to_numpy(), rows["component"].to_numpy(), rows["fp1"].to_numpy()
         n, shared = rows["n_shingles"].to_numpy(), rows["shared"].to_numpy()
@@ -321,11 +341,21 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
             equal = signature[y] == signature[x]
             # a pair belongs to the first band it shares
             earlier = equal[:, : band * cut.rows].reshape(len(y), band, cut.rows).all(axis=2).any(axis=1)
-            found += [(ids_[x], ids_[z]) for z in y[~earlier & (equal.sum(axis=1) >= cut.agreeing)]]
-        return found
-
-    pairs = dealt.join(able, "fp1").groupBy("task").applyInPandas(likely, "a long, b long")
-    return _confirmed(materialise(pairs, "likely"), sets, cut)
+            agree = equal.sum(axis=1)
+            kept = ~earlier & (agree >= cut.agreeing)
+            y = y[kept]
+            found.append(np.column_stack([np.full(len(y), x), y, agree[kept]]))
+        x, y, agree = np.concatenate([np.empty((0, 3), np.int64), *found]).T
+        low, high = np.minimum(component[x], component[y]), np.maximum(component[x], component[y])
+        order = np.lexsort((ids_[y], ids_[x], -agree, high, low))
+        x, y, low, high = x[order], y[order], low[order], high[order]
+        starts = np.flatnonzero((np.diff(low, prepend=low[:1] - 1) != 0) | (np.diff(high, prepend=high[:1] - 1) != 0))
+        size = np.diff(np.append(starts, len(x)))
+        nth = np.arange(len(x)) - np.repeat(starts, size)
+        first = nth < tried
+        return pd.DataFrame({"a": ids_[x[first]], "b": ids_[y[first]], "more": np.repeat(size > tried, size)[first]})
+
+    return dealt.join(able, "fp1").groupBy("task").applyInPandas(likely, "a long, b long, more boolean")
 
 
 def _placed(docs: DataFrame, least: int) -> DataFrame:
@@ -356,10 +386,9 @@ def _placed(docs: DataFrame, least: int) -> DataFrame:
         wanted = materialise(found_at.join(members.select("fp1").distinct(), "fp1"), "wanted")
         sets = materialise(shingle_table(docs, wanted), "sets")
         stars = materialise(_star_links(members, classes, sets, cut).union(_links_by_id(sketch)), "links")
-        near = components(stars).toDF("fp1", "component")
-        rest = materialise(_residual_links(members, near, classes, sets, cut), "links")
+        links = _residual_links(members, stars, classes, sets, cut)
         # (class, component), with the component's smallest doc_id
-        component = components(stars.union(rest)).toDF("fp1", "component")
+        component = components(links).toDF("fp1", "component")
     component = component.union(component.select("component", "component").distinct())  # its least class too
     linked = classes.select("fp1", "id").join(component, "fp1")
     linked = materialise(linked, "linked")
