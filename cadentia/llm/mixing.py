@@ -191,7 +191,8 @@ def mixed(docs: DataFrame, seed: int = SEED, **shares) -> DataFrame:
     else:  # rows that repeat are told apart by a number
         nth = F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(0)))
     times = F.floor(total / n).cast("int") + (nth <= total % n).cast("int")
-    drawn = keyed.join(taken, "_mix_key").withColumn("_mix_times", times).filter("_mix_times > 0")
+    # a row for every document: never broadcast, so the plan is the same at every size
+    drawn = keyed.join(taken.hint("merge"), "_mix_key").withColumn("_mix_times", times).filter("_mix_times > 0")
     return drawn.withColumn("_mix_times", F.explode(F.sequence(F.lit(1), "_mix_times"))).select(*docs.columns)
 
 
