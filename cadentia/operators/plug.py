@@ -47,7 +47,7 @@ def generate_with(planned: DataFrame, make: Callable[[], Generator]) -> DataFram
 
     kinds = {f.name: f.dataType.simpleString() for f in planned.schema}
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in CHUNK) + ", " + _MADE
-    function = F.udtf(Generate, returnType=schema)
+    function = F.udtf(Generate, returnType=schema, useArrow=True)
     table = planned.select(*CHUNK, "sample_idx", "background_idx", "obs_cells").asTable()
     return function(table.partitionBy(*CHUNK).orderBy("sample_idx"))
 
