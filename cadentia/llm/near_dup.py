@@ -7,8 +7,8 @@
 2. Equal sets are one *class*, so copies never make pairs. The set's fingerprint names the
    class; ids play no part until the smallest one of each component is looked up at the end.
 3. Classes that share a band bucket are first compared with the bucket's smallest class only
-   (a star, not all pairs), by the bounds of size and signature; of its stars' centres the likeliest one of
-   a class is confirmed on the full sets.
+   (a star, not all pairs), by the bounds of size and signature; of a class's stars the smallest likely centre
+   and the likeliest one are confirmed on the full sets.
 4. What the stars left apart inside a bucket is compared across components: first classes of
    which too few shingles occur in any other such class are set aside (they can have no link),
    the rest meet in blocks of a bucket and pass the bounds of size and signature. The likeliest pairs of
@@ -184,7 +184,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
 
 
 def _agreement(pairs: DataFrame, classes: DataFrame, cut: Banding) -> DataFrame:
-    """``(a, b, agree)`` of the pairs that the bounds of size and signature let be links; moves no sets."""
+    """The ``(first, a, b)`` that the bounds of size and signature let be links, with ``agree``; moves no sets."""
 
     @F.pandas_udf("int")
     def agree(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -194,21 +194,23 @@ def _agreement(pairs: DataFrame, classes: DataFrame, cut: Banding) -> DataFrame:
     side = lambda c: classes.select(F.col("fp1").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
     met = pairs.join(side("b"), "b").join(side("a"), "a")
     met = met.filter(100 * F.least("n_a", "n_b") >= cut.least * F.greatest("n_a", "n_b"))
-    return met.select("a", "b", agree("s_a", "s_b").alias("agree")).filter(F.col("agree") >= cut.agreeing)
+    return met.select("first", "a", "b", agree("s_a", "s_b").alias("agree")).filter(F.col("agree") >= cut.agreeing)
 
 
 def _star_links(members: DataFrame, classes: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
-    """Confirmed links of each class with the likeliest of the classes that its buckets are centred on."""
+    """Confirmed links of each class with two of those that its buckets are centred on: the smallest likely one, and the likeliest."""
     buckets = members.groupBy("bucket").agg(F.min(F.struct("order", "fp1")).alias("least"), F.count("*").alias("n"))
-    buckets = materialise(buckets.filter("n > 1").select("bucket", F.col("least.fp1").alias("a"), "n"), "buckets")
+    buckets = materialise(buckets.filter("n > 1").select("bucket", F.col("least.fp1").alias("a"), F.col("least.order").alias("first"), "n"), "buckets")
     # a bucket of many members doesn't meet in one task: there are few of these, so their side is slim
-    hot = materialise(buckets.filter(F.col("n") > BLOCK).select("bucket", F.col("a").alias("hot")), "crowded")
+    hot = materialise(buckets.filter(F.col("n") > BLOCK).select("bucket", F.struct("first", "a").alias("hot")), "crowded")
     tagged = members.join(hot, "bucket", "left")
-    plain = tagged.filter("hot is null").join(buckets.filter(F.col("n") <= BLOCK).select("bucket", "a"), "bucket").select("a", "fp1")
-    both = plain.union(tagged.filter("hot is not null").select("hot", "fp1"))
-    pairs = both.filter("fp1 <> a").select("a", F.col("fp1").alias("b")).distinct()
-    best = _agreement(pairs, classes, cut).groupBy("b").agg(F.max(F.struct("agree", "a")).alias("best"))
-    return _confirmed(materialise(best.select("best.a", "b"), "likely"), sets, cut)
+    rest = buckets.filter(F.col("n") <= BLOCK).select("bucket", "first", "a")
+    plain = tagged.filter("hot is null").join(rest, "bucket").select("first", "a", "fp1")
+    both = plain.union(tagged.filter("hot is not null").select("hot.first", "hot.a", "fp1"))
+    pairs = both.filter("fp1 <> a").select("first", "a", F.col("fp1").alias("b")).distinct()
+    chosen = F.array_distinct(F.array(F.min(F.struct("first", "a"))["a"], F.max(F.struct("agree", "a"))["a"]))
+    best = _agreement(pairs, classes, cut).groupBy("b").agg(chosen.alias("of"))
+    return _confirmed(materialise(best.select(F.explode("of").alias("a"), "b"), "likely"), sets, cut)
 
 
 def _links_by_id(sketch: DataFrame) -> DataFrame:
