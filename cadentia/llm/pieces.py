@@ -27,7 +27,7 @@ UNKNOWN_PENALTY = 10.0
 #: Bytes of text cut and encoded together.
 BATCH_BYTES = 1 << 20
 #: Different parts that a worker remembers; beyond that it starts anew. Bounds memory, not results.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Rows decoded together.
 DECODED_ROWS = 256
 _NO_SCORE = -np.inf
