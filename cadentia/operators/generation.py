@@ -40,23 +40,38 @@ TRACK_TYPE = (
 PAIR_TYPE = f"struct<draw_no:bigint,rfi:{TRACK_TYPE},eti:{TRACK_TYPE}>"
 
 
-def class_plan(samples: DataFrame, n: Column, chunk_size: int) -> DataFrame:
+def _run_of(within: Column, size: Column, runs: int) -> Column:
+    """Which of ``runs`` equal runs a row lies in; what is left over belongs to the last."""
+    length = F.floor(size / runs)
+    nth = F.floor(F.try_divide(within, length))
+    return F.when(within.isNull(), None).when(nth.between(0, runs - 1), nth).otherwise(runs - 1)
+
+
+def class_plan(samples: DataFrame, n: Column, chunk_size: int, *, remainder: str = "error") -> DataFrame:
     """One row per ``(split_set, sample_idx)`` with its chunk and class.
 
     ``samples`` has a dense ``sample_idx``; ``n`` is their number. Every chunk, the
     last one too, gives each class of its set an equal run of rows: quarters in
-    ``concatenated``, halves in ``true`` and ``false``.
+    ``concatenated``, halves in ``true`` and ``false``. A chunk that is no multiple of
+    4 samples is an error, or with ``remainder="last"`` its last class gets the rows
+    left over.
     """
     if chunk_size % 4:
         raise ValueError("chunk_size must be a multiple of 4")
+    if remainder not in ("error", "last"):
+        raise ValueError(f"unknown remainder {remainder!r}")
     idx = F.col("sample_idx")
     size = F.least(F.lit(chunk_size).cast("bigint"), n - F.col("chunk") * chunk_size)
     balanced = F.when(
         size % 4 != 0, F.raise_error(F.lit("a chunk is not a multiple of 4 samples")).cast("bigint")
     ).otherwise(size)
     within = idx % chunk_size
-    quarter = F.floor(within * 4 / F.col("_size"))
-    half = F.floor(within * 2 / F.col("_size"))
+    if remainder == "last":
+        balanced = size
+        quarter, half = (_run_of(within, F.col("_size"), runs) for runs in (4, 2))
+    else:
+        quarter = F.floor(within * 4 / F.col("_size"))
+        half = F.floor(within * 2 / F.col("_size"))
     number = (
         F.when(F.col("split_set") == "concatenated", quarter)
         .when(F.col("split_set") == "false", half)
@@ -375,14 +390,16 @@ def generate_batch(
     engine: str | None = None,
     precision: str = "double",
     augmenters: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+    remainder: str = "error",
 ) -> DataFrame:
     """The balanced ``concatenated`` / ``true`` / ``false`` sets as one long table.
 
-    ``augmenters`` maps a class to a DataFrame function applied to its finished
+    ``remainder`` is that of ``class_plan``. ``augmenters`` maps a class to a DataFrame function applied to its finished
     observations, for user-defined generation.
     """
     n = samples.count()
-    params = draw_params(class_plan(samples, F.lit(n), par.chunk_size), geo, seed=seed, par=par)
+    plan = class_plan(samples, F.lit(n), par.chunk_size, remainder=remainder)
+    params = draw_params(plan, geo, seed=seed, par=par)
     parts = generation_partitions(samples.sparkSession, n * len(SPLIT_SETS), geo)
     built = build_samples(
         params, backgrounds, geo, par=par, engine=engine, partitions=parts, precision=precision

@@ -282,7 +282,7 @@ def _plan(spark, sf_dir, kind: str | None = None) -> DataFrame:
     """The balanced plan, or every sample as one given class."""
     samples = fx.samples(spark, sf_dir)
     if kind is None:
-        return generation.class_plan(samples, indexing.row_count(samples), 1000)
+        return generation.class_plan(samples, indexing.row_count(samples), 1000, remainder="last")
     return samples.withColumn("split_set", F.lit("concatenated")).withColumn("class", F.lit(kind))
 
 
@@ -291,7 +291,7 @@ def _backgrounds(spark, sf_dir) -> DataFrame:
 
 
 def _batch(spark, sf_dir) -> DataFrame:
-    return generation.generate_batch(fx.samples(spark, sf_dir), _backgrounds(spark, sf_dir), FULL, seed=SEED)
+    return generation.generate_batch(fx.samples(spark, sf_dir), _backgrounds(spark, sf_dir), FULL, seed=SEED, remainder="last")
 
 
 @query
