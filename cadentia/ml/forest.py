@@ -13,20 +13,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadentia.operators.cadence import predict_confidence
-from cadentia.session import materialise
+from cadentia.session import materialise, scratch_dir
 from cadentia.settings import ForestParams
+from cadentia.sources.npy import open_system, qualified
 
 NODES = "tree int, node int, feature int, threshold double, left int, right int, p double, weight double, gain double"
 #: Bytes of a shard's features. At most one shard for each tree is learned from.
 SHARD_BYTES = 64 << 20
 #: Histogram bins of a feature, and cells of the histograms that are held at once.
-BINS, CELLS = 128, 1 << 22
-#: Bytes of nodes that are broadcast at once; a larger forest is scored in several passes.
-MODEL_BYTES, NODE_BYTES = 64 << 20, 36
+BINS, CELLS = 128, 1 << 19
+#: Bytes of nodes that a worker holds at once, and of the features of rows that meet them; a larger forest is read a pack of trees at a time.
+MODEL_BYTES, NODE_BYTES, ROW_BYTES = 16 << 20, 36, 32 << 20
 #: Rows times trees that a worker walks at once.
 WALKED = 1 << 20
 _GAIN = 1e-12
@@ -150,12 +153,26 @@ def _numbers(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def _shard(batches: Iterator[pa.RecordBatch], d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and row hashes of a shard; a batch is let go when its numbers have been taken."""
+    x, y, row = [], [], []
+    for batch in batches:
+        if batch["features"].null_count:
+            raise ValueError("features must not be null")
+        x.append(_numbers(batch["features"], d).copy())
+        if not np.isfinite(x[-1]).all():
+            raise ValueError("features must be finite")
+        y.append(batch["label"].to_numpy(zero_copy_only=False))
+        row.append(batch["row"].to_numpy(zero_copy_only=False).astype(np.uint64))
+    return np.concatenate(x), np.concatenate(y), np.concatenate(row)
+
+
 def fit_forest(labelled: DataFrame, par: ForestParams = ForestParams()) -> Forest:
     """A forest on ``labelled(features, label)``; labels are 0 and 1.
 
     Without ``max_depth`` trees grow until their leaves are pure or can't be split. A shard has up to
     ``SHARD_BYTES`` of features; tables of more than ``par.n_trees`` shards are learned from in part.
-    Rows that are equal have draws of their own. No rows, or null or non-finite features, are an error.
+    A task holds its shard as bins and the nodes of one tree. Rows that are equal have draws of their own. No rows, or null or non-finite features, are an error.
     """
     rows = labelled.select(F.col("features").cast("array<double>").alias("features"), F.col("label").cast("double").alias("label"))
     first = rows.first()
@@ -170,27 +187,23 @@ def fit_forest(labelled: DataFrame, par: ForestParams = ForestParams()) -> Fores
     kinds = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("feature", pa.int32()), ("threshold", pa.float64()), ("left", pa.int32()),
                        ("right", pa.int32()), ("p", pa.float64()), ("weight", pa.float64()), ("gain", pa.float64())])
 
-    def grown(key: tuple, shard: pa.Table) -> pa.Table:
+    def grown(key: tuple[pa.Scalar, ...], shard: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, copy = (k.as_py() for k in key)
-        x, y = _numbers(shard["features"], d), shard["label"].to_numpy()
-        if not np.isfinite(x).all():
-            raise ValueError("features must be finite")
-        row = shard["row"].to_numpy().astype(np.uint64)
+        x, y, row = _shard(shard, d)
+        bins, cuts = _binned(x, BINS)
+        del x  # from here on the bins stand for the features
         order = np.argsort(row, kind="stable")
-        x, y, row = x[order], y[order], row[order]
+        bins, y, row = bins[order], y[order], row[order]
         starts = np.flatnonzero(np.diff(row, prepend=~row[:1]))
         nth = np.arange(len(row)) - np.repeat(starts, np.diff(np.append(starts, len(row))))
         row = _mixed(row + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        bins, cuts = _binned(x, BINS)
-        out = []
         for tree in range(number + shards * copy, trees, shards * copies):
             salt = _mixed(np.array([par.seed * 1_000_003 + tree], np.uint64))
             w = _poisson(_uniform(row ^ salt)) if par.bootstrap else np.ones(len(y))
             nodes = grow(bins, cuts, y, w if w.any() else np.ones(len(y)), tree, par)
             n = len(nodes["p"])
             columns = {"tree": np.full(n, tree), "node": np.arange(n), **nodes}
-            out.append(pa.table([pa.array(columns[f.name]).cast(f.type) for f in kinds], schema=kinds))
-        return pa.concat_tables(out) if out else kinds.empty_table()
+            yield pa.record_batch([pa.array(columns[f.name]).cast(f.type) for f in kinds], schema=kinds)
 
     found = dealt.groupBy("shard", "copy").applyInArrow(grown, NODES)
     return Forest(materialise(found, "forest"), d, trees)
@@ -239,14 +252,58 @@ class Walker:
         return out
 
 
-def _total(walker, d: int):
+_WALKED = ("tree", "node", "feature", "threshold", "left", "right", "p")
+
+
+def _packed(model: Forest) -> tuple[str, int]:
+    """The folder below which the trees lie in packs of about ``MODEL_BYTES``, ``pack=0`` and so on, and the number of packs."""
+    spark = model.nodes.sparkSession
+    packs = max(1, -(-model.nodes.count() * NODE_BYTES // MODEL_BYTES))
+    path = scratch_dir(spark, "packs")
+    nodes = model.nodes.select(*_WALKED, F.pmod("tree", F.lit(packs)).alias("pack"))
+    nodes.repartition("pack").sortWithinPartitions("pack", "tree", "node").write.partitionBy("pack").parquet(path)
+    return qualified(spark, path), packs
+
+
+def _pack(folder: str, number: int) -> Walker | None:
+    """The trees of a pack; none if no tree fell to it."""
+    system, inner = open_system(f"{folder}/pack={number}")
+    if system.get_file_info(inner).type != fs.FileType.Directory:
+        return None
+    files = sorted(f.path for f in system.get_file_info(fs.FileSelector(inner)) if f.base_name.endswith(".parquet"))
+    return Walker(pa.concat_tables([pq.ParquetFile(system.open_input_file(f)).read(list(_WALKED)) for f in files]))
+
+
+def _total(folder: str, packs: int, d: int):
+    size = max(1, ROW_BYTES // (8 * d))
+
     @F.arrow_udf("double")
     def total(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        only = _pack(folder, 0) if packs == 1 else None
+
+        def scored(held: list[pa.Array]) -> Iterator[pa.Array]:
+            """Every pack is read once for all the rows that are held."""
+            rows = [_numbers(batch.drop_null(), d) for batch in held]
+            sums = [np.zeros(len(x)) for x in rows]
+            for number in range(packs):
+                walker = only or _pack(folder, number)
+                for x, found in zip(rows, sums, strict=True):
+                    found += walker.total(x) if walker else 0.0
+            for batch, found in zip(held, sums, strict=True):
+                known = batch.is_valid().to_numpy(zero_copy_only=False)
+                out = np.zeros(len(batch))
+                out[known] = found
+                yield pa.array(out, mask=~known)
+
+        held, n = [], 0
         for batch in batches:
-            known = batch.is_valid().to_numpy(zero_copy_only=False)
-            found = np.zeros(len(batch))
-            found[known] = walker.value.total(_numbers(batch.drop_null(), d))
-            yield pa.array(found, mask=~known)
+            held.append(batch)
+            n += len(batch)
+            if n >= size or only:
+                yield from scored(held)
+                held, n = [], 0
+        if held:
+            yield from scored(held)
 
     return total
 
@@ -254,20 +311,12 @@ def _total(walker, d: int):
 def forest_scores(model: Forest, df: DataFrame) -> DataFrame:
     """Adds ``p``, the probability of class 1: the mean of the leaves that a row comes to.
 
-    Nodes of up to ``MODEL_BYTES`` are broadcast. A larger forest is scored so many trees at a
-    time, a pass over the rows for each, with the sums written in between. Null features give null.
+    The nodes stay in the shared folder, as packs of whole trees of about ``MODEL_BYTES``; a task
+    holds one of them at a time, for rows of about ``ROW_BYTES``. None comes to the driver.
+    Null features give null.
     """
-    spark, d = df.sparkSession, model.n_features
-    size = model.nodes.count() * NODE_BYTES
-    passes = max(1, -(-size // MODEL_BYTES))
-    rows = df.withColumn("p", F.lit(0.0))
-    for number in range(passes):
-        own = model.nodes.where(F.pmod("tree", F.lit(passes)) == number).select("tree", "node", "feature", "threshold", "left", "right", "p")
-        walker = spark.sparkContext.broadcast(Walker(own.toArrow()))
-        rows = rows.withColumn("p", F.col("p") + _total(walker, d)(F.col("features").cast("array<double>")))
-        if number + 1 < passes:
-            rows = materialise(rows, "scores")
-    return rows.withColumn("p", F.col("p") / model.n_trees)
+    total = _total(*_packed(model), model.n_features)
+    return df.withColumn("p", total(F.col("features").cast("array<double>")) / model.n_trees)
 
 
 def forest_predict(model: Forest, df: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -1,15 +1,21 @@
 """Queries on tables whose sizes divide by nothing, against their SQL or what they returned on other sizes."""
 
+import tracemalloc
+
 import duckdb
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadentia.ml import forest
 from cadentia.operators import generation
 from cadentia.plans.oracles import ORACLES
 from cadentia.plans.queries import QUERIES
+from cadentia.session import materialise
+from cadentia.settings import ForestParams
 from test_oracles import _sorted
 
 
@@ -46,3 +52,48 @@ def test_rows_left_over_go_to_the_last_class(spark, n):
         assert kinds["concatenated", i] == generation.CLASSES[min(3, i % 1000 // (size // 4)) if size >= 4 else 3]
         half = min(1, i % 1000 // (size // 2)) if size >= 2 else 1
         assert (kinds["false", i], kinds["true", i]) == (generation.CLASSES[half], generation.CLASSES[half + 2])
+
+
+def _vectors(spark, n=3000, d=8):
+    """Labels as good as random, so that trees grow deep."""
+    cells = F.transform(F.sequence(F.lit(1), F.lit(d)), lambda k: F.pmod(F.xxhash64("id", k), F.lit(1000)).cast("double"))
+    return spark.range(n).select("id", cells.alias("features"), F.pmod(F.xxhash64("id", F.lit(0)), F.lit(2)).cast("double").alias("label"))
+
+
+def test_a_forest_is_scored_without_its_nodes_in_the_driver(spark, monkeypatch):
+    rows = materialise(_vectors(spark), "vectors")
+    model = forest.fit_forest(rows, ForestParams(n_trees=12))
+    whole = {r["id"]: r["p"] for r in forest.forest_scores(model, rows).collect()}
+    monkeypatch.setattr(forest, "MODEL_BYTES", 2000 * forest.NODE_BYTES)
+    monkeypatch.setattr(forest, "ROW_BYTES", 700 * 8 * 8)  # rows meet the packs in several lots
+    monkeypatch.setattr(DataFrame, "toArrow", None)
+    monkeypatch.setattr(spark.sparkContext, "broadcast", None)
+    got = {r["id"]: r["p"] for r in forest.forest_scores(model, rows.coalesce(1)).collect()}
+    assert got.keys() == whole.keys() and len(got) == 3000
+    assert all(got[i] == pytest.approx(p, abs=1e-12) for i, p in whole.items())
+
+
+def test_histograms_are_cut_without_a_change_of_the_trees(monkeypatch):
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(4000, 8)), (rng.random(4000) < 0.5).astype(float)
+    bins, cuts = forest._binned(x, forest.BINS)
+    grown = lambda: forest.grow(bins, cuts, y, np.ones(4000), 3, ForestParams())
+    monkeypatch.setattr(forest, "CELLS", 1 << 22)
+    whole = grown()
+    for cells in (1 << 19, 1 << 12):
+        monkeypatch.setattr(forest, "CELLS", cells)
+        cut = grown()
+        assert all((whole[c] == cut[c]).all() for c in whole)
+
+
+def test_growing_a_shard_takes_little_more_than_its_features():
+    """A shard's task holds its features once, then their bins and the nodes of one tree."""
+    d, rows = 64, 20_000
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(rows, d)), (rng.random(rows) < 0.5).astype(float)
+    bins, cuts = forest._binned(x, forest.BINS)
+    tracemalloc.start()
+    forest.grow(bins, cuts, y, np.ones(rows), 1, ForestParams())
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 100 << 20
