@@ -934,10 +934,11 @@ FLUSHES = 8
 def stream_ingest_flush(spark, sf_dir):
     """The flushes of the events, each an eighth of them: which rows went together."""
     root, events = scratch_dir(spark, "flush"), fx.table(spark, sf_dir, "events")
-    # one file, in order, as the rows came in
-    events.coalesce(1).sortWithinPartitions("event_id").write.parquet(f"{root}/in")
+    # files whose names are in order, as the rows came in, each of a task
+    events.orderBy("event_id").write.parquet(f"{root}/in")
     rows = max(1, -(-events.count() // FLUSHES))
-    flush.drain_flushes(flush.ingest_in_flushes(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", rows=rows, seconds=0))
+    query = flush.ingest_in_flushes(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", rows=rows, seconds=0, order="name")
+    flush.drain_flushes(query)
     stored = spark.read.parquet(f"{root}/out")
     return stored.groupBy(F.col("batch_id").cast("bigint").alias("flush")).agg(
         F.count(F.lit(1)).alias("rows"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"), r6(F.sum("value")).alias("total")

@@ -35,7 +35,7 @@ class FlushReader(DataSourceStreamReader):
 
     def __init__(self, options: Mapping[str, str]):
         self.folder, self.rows, self.seconds = options["path"], int(options["rows"]), float(options["seconds"])
-        self.checkpoint = options["checkpoint"]
+        self.checkpoint, self.order = options["checkpoint"], options.get("order", "arrival")
         self.kinds = to_arrow_schema(StructType.fromJson(json.loads(options["schema"])))
         self.files: dict[str, int] = {}  # path -> rows, in order of arrival
         self.admitted: int | None = None
@@ -59,7 +59,7 @@ class FlushReader(DataSourceStreamReader):
         """Adds files that have arrived; only their footers are read."""
         system, inner = open_system(self.folder)
         found = [f for f in system.get_file_info(fs.FileSelector(inner, recursive=True)) if f.base_name.endswith(".parquet") and f.is_file]
-        for f in sorted(found, key=lambda f: (f.mtime_ns, f.path)):
+        for f in sorted(found, key=lambda f: (f.mtime_ns if self.order == "arrival" else 0, f.path)):
             if f.path not in self.files:
                 with system.open_input_file(f.path) as file:
                     self.files[f.path] = pq.ParquetFile(file).metadata.num_rows
@@ -100,10 +100,21 @@ class FlushReader(DataSourceStreamReader):
                 n = parquet.metadata.row_group(group).num_rows
                 lo, hi = max(part.lo - first, 0), min(part.hi - first, n)
                 if lo < hi:
-                    kept = parquet.read_row_group(group, columns=self.kinds.names).slice(lo, hi - lo)
-                    yield from kept.select(self.kinds.names).cast(self.kinds).to_batches()
+                    yield from self._slices(parquet, group, lo, hi)
                 first += n
 
+    def _slices(self, parquet: pq.ParquetFile, group: int, lo: int, hi: int) -> Iterator[pa.RecordBatch]:
+        """Rows ``lo`` to ``hi`` of a row group, a batch at a time."""
+        first = 0
+        for batch in parquet.iter_batches(row_groups=[group], columns=self.kinds.names):
+            at, end = max(lo - first, 0), min(hi - first, batch.num_rows)
+            if at < end:
+                kept = pa.Table.from_batches([batch.slice(at, end - at)])
+                yield from kept.select(self.kinds.names).cast(self.kinds).to_batches()
+            first += batch.num_rows
+            if first >= hi:
+                return
+
     def commit(self, end: dict) -> None:
         pass
 
@@ -121,15 +132,19 @@ class FlushSource(DataSource):
 
 
 def ingest_in_flushes(
-    spark: SparkSession, folder: str, out: str, checkpoint: str, *, rows: int = LIMITS.rows, seconds: float = LIMITS.interval_seconds
+    spark: SparkSession, folder: str, out: str, checkpoint: str, *, rows: int = LIMITS.rows, seconds: float = LIMITS.interval_seconds, order: str = "arrival"
 ) -> StreamingQuery:
     """Writes the rows of ``folder``'s files below ``out``, a folder ``batch_id=n`` for each flush.
 
     A flush has ``rows`` rows, or fewer when no more came for ``seconds``; every row is written
-    once, and a batch that runs again overwrites what it wrote. New files must be newer than those before.
+    once, and a batch that runs again overwrites what it wrote. New files must be newer than those before;
+    with ``order="name"`` files follow one another by their paths instead, as tasks that write
+    side by side end in any order, and new ones must come behind those before.
     """
+    if order not in ("arrival", "name"):
+        raise ValueError(f"unknown order {order!r}")
     spark.dataSource.register(FlushSource)
-    options = {"path": qualified(spark, folder), "checkpoint": qualified(spark, checkpoint), "rows": rows, "seconds": seconds}
+    options = {"path": qualified(spark, folder), "checkpoint": qualified(spark, checkpoint), "rows": rows, "seconds": seconds, "order": order}
     options["schema"] = spark.read.parquet(folder).schema.json()
     stream = spark.readStream.format(FlushSource.name()).options(**options).load()
 

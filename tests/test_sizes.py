@@ -1,5 +1,6 @@
 """Queries on tables whose sizes divide by nothing, against their SQL or what they returned on other sizes."""
 
+import os
 import tracemalloc
 
 import duckdb
@@ -16,6 +17,8 @@ from cadentia.plans.oracles import ORACLES
 from cadentia.plans.queries import QUERIES
 from cadentia.session import materialise
 from cadentia.settings import ForestParams
+from cadentia.sources import npy
+from cadentia.streaming import flush
 from test_oracles import _sorted
 
 
@@ -97,3 +100,36 @@ def test_growing_a_shard_takes_little_more_than_its_features():
     _, most = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert most < 100 << 20
+
+
+def test_flushes_of_files_that_tasks_wrote_side_by_side(spark, tmp_path, monkeypatch):
+    """No task sorts all events, and files count in the order of their names, whatever ended first."""
+    n = 5003
+    ids = np.random.default_rng(1).permutation(n)
+    events = {"event_id": pa.array(ids, pa.int64()), "value": pa.array(ids / 7)}
+    pq.write_table(pa.table(events), f"{tmp_path}/events.parquet", row_group_size=500)
+    seen = []
+    start = flush.ingest_in_flushes
+    monkeypatch.setattr(flush, "ingest_in_flushes", lambda spark, folder, *a, **k: seen.append(folder) or start(spark, folder, *a, **k))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert same_as_sql(spark, str(tmp_path), "stream_ingest_flush", "events") == 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(spark.read.parquet(seen[0]).inputFiles()) == 4
+
+
+def test_the_order_of_files_is_that_of_arrival_or_of_names(spark, tmp_path):
+    for nth, name in enumerate(("c", "a", "b")):
+        pq.write_table(pa.table({"x": pa.array(range(10 * nth, 10 * nth + 10))}), f"{tmp_path}/{name}.parquet", row_group_size=4)
+        os.utime(f"{tmp_path}/{name}.parquet", (nth + 1, nth + 1))
+    schema = spark.read.parquet(str(tmp_path)).schema.json()
+    common = {"path": npy.qualified(spark, str(tmp_path)), "checkpoint": npy.qualified(spark, f"{tmp_path}/no"), "rows": "30", "seconds": "0", "schema": schema}
+    for order, first in (({}, (0, 10, 20)), ({"order": "name"}, (10, 20, 0))):
+        reader = flush.FlushReader(common | order)
+        assert reader.latestOffset() == {"row": 30}
+        parts = reader.partitions({"row": 3}, {"row": 27})
+        got = [x for p in parts for b in reader.read(p) for x in b.column(0).to_pylist()]
+        assert got == [f + i for f in first for i in range(10)][3:27]
+    with pytest.raises(ValueError, match="order"):
+        flush.ingest_in_flushes(spark, str(tmp_path), "out", "checkpoint", order="size")
