@@ -98,7 +98,8 @@ class Block:
         n = len(self.ids)
         self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(n, -1)
         self.sorted = np.frombuffer(row["sorted"], np.float32).reshape(PROJECTIONS, n)
-        self.places = np.frombuffer(row["places"], np.uint32).reshape(PROJECTIONS, n)
+        # as wide as bincount asks for, so that no window is converted again
+        self.places = np.frombuffer(row["places"], np.uint32).reshape(PROJECTIONS, n).astype(np.intp)
         self.counted = 0  # entries of windows, over all queries
         self.longest = row["longest"]
         self.projections = _projections(self.vectors.shape[1])[:-1]  # a query's last coordinate is 0
@@ -150,21 +151,41 @@ class Block:
         return out
 
     def _count(self, collisions: np.ndarray, low: np.ndarray, begin: np.ndarray, end: np.ndarray, high: np.ndarray) -> None:
-        """Adds what the windows cover beyond what they covered before, to the left and to the right."""
+        """Adds what the windows cover beyond what they covered before, to the left and to the right.
+
+        Where less lies outside the windows than is new in them, what is outside is counted instead.
+        """
+        n, covered = len(collisions), int((begin - low + high - end).sum())
+        self.counted += covered
+        if int((low + n - high).sum()) < covered:
+            bounds = zip(self.places, low.tolist(), high.tolist(), strict=True)
+            outside = np.concatenate([part for line, a, b in bounds for part in (line[:a], line[b:])])
+            np.subtract(PROJECTIONS, np.bincount(outside, minlength=n), out=collisions, casting="unsafe")
+            return
         bounds = zip(self.places, low.tolist(), begin.tolist(), end.tolist(), high.tolist(), strict=True)
         new = np.concatenate([part for line, a, b, c, d in bounds for part in (line[a:b], line[c:d])])
-        self.counted += len(new)
-        collisions += np.bincount(new, minlength=len(collisions)).astype(np.uint8)
+        collisions += np.bincount(new, minlength=n).astype(np.uint8)
 
     def _verified(self, collisions, query, own, radius, nearest):
+        """Ids and exact inner products of the ``nearest`` vectors that collide often, and whether enough lie within the radius.
+
+        Products of a matrix and a vector may differ from the exact ones in the last digits; all that could be
+        among the nearest by that much are summed again one by one.
+        """
         near = np.flatnonzero(collisions >= self.collisions)
         whole = radius >= 2 * self.longest  # no vector is farther away
         if whole:
             near = np.arange(len(self.ids))
-        itself = (self.ids[near] == own) & (self.vectors[near] == query).all(axis=1)
-        near = near[~itself]
+        mine = near[self.ids[near] == own]
+        near = near[~np.isin(near, mine[(self.vectors[mine] == query).all(axis=1)])] if len(mine) else near
+        length = np.sqrt((query * query).sum())
+        if len(near) > nearest:
+            about = self.vectors[near] @ query
+            if np.isfinite(about).all():  # products of vast numbers are not
+                least = np.partition(about, len(near) - nearest)[len(near) - nearest]
+                near = near[about >= least - 1e-9 * self.longest * length]
         scores = (self.vectors[near] * query).sum(axis=1)
-        within = scores * (self.longest / np.sqrt((query * query).sum())) >= self.longest**2 - radius**2 / 2
+        within = scores * (self.longest / length) >= self.longest**2 - radius**2 / 2
         return self.ids[near], scores, whole or int(within.sum()) >= nearest
 
 

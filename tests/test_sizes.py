@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadentia.llm import neighbours
 from cadentia.ml import forest
 from cadentia.operators import generation
 from cadentia.plans.oracles import ORACLES
@@ -19,6 +20,7 @@ from cadentia.session import materialise
 from cadentia.settings import ForestParams
 from cadentia.sources import npy
 from cadentia.streaming import flush
+from llm.test_neighbours_mixing import _block
 from test_oracles import _sorted
 
 
@@ -133,3 +135,32 @@ def test_the_order_of_files_is_that_of_arrival_or_of_names(spark, tmp_path):
         assert got == [f + i for f in first for i in range(10)][3:27]
     with pytest.raises(ValueError, match="order"):
         flush.ingest_in_flushes(spark, str(tmp_path), "out", "checkpoint", order="size")
+
+
+def test_wide_windows_are_counted_by_what_lies_outside(monkeypatch):
+    """The same neighbours and collisions, with fewer entries walked than the windows cover."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(3000, 48))
+    block, asked = _block(vectors), np.arange(0, 3000, 100)
+    walked, plain = [], np.bincount
+    monkeypatch.setattr(neighbours.np, "bincount", lambda x, **k: walked.append(len(x)) or plain(x, **k))
+    found = block.search(vectors[asked], asked, 20)
+    assert sum(walked) < 0.75 * block.counted
+    hits = 0
+    for q, (ids, scores) in zip(asked, found, strict=True):
+        exact = (vectors * vectors[q]).sum(axis=1)
+        assert (scores == exact[ids]).all() and q not in ids
+        exact[q] = -np.inf
+        hits += len(set(ids) & set(np.argsort(-exact)[:20]))
+    assert hits >= 0.9 * 20 * len(asked)
+    collisions, low, high = np.zeros(3000, np.uint8), np.full(96, 200), np.full(96, 2900)
+    block._count(collisions, low, np.full(96, 1000), np.full(96, 1000), high)
+    assert (collisions == plain(block.places[:, 200:2900].ravel(), minlength=3000)).all()
+
+
+@pytest.mark.filterwarnings("ignore")
+def test_vast_vectors_are_verified_too():
+    vectors = np.random.default_rng(3).normal(size=(60, 4)) * 1e150
+    block = _block(vectors)
+    near = block._verified(np.full(60, 96, np.uint8), vectors[0] * 1e10, -1, block.longest * 2, 5)
+    assert len(near[0]) >= 5
