@@ -10,8 +10,10 @@
    (a star, not all pairs). Pairs that the bounds of size and signature leave are confirmed on the full sets.
 4. What the stars left apart inside a bucket is compared across components: first classes of
    which too few shingles occur in any other such class are set aside (they can have no link),
-   the rest meet in blocks of a bucket, pass the bounds of size and signature, and are confirmed
-   on the full sets. So no link between different texts is lost to the star.
+   the rest meet in blocks of a bucket and pass the bounds of size and signature. What such likely pairs
+   hold together is a group; its sets meet in blocks, where pairs that are apart are confirmed until
+   links join them. So no link between different texts is lost to the star, and a group of near
+   copies makes no rows for its pairs.
 5. Components come from alternating large and small stars over the links, on Spark.
 """
 
@@ -302,30 +304,86 @@ def _residual_links(members: DataFrame, component: DataFrame, classes: DataFrame
         .withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(tasks)))
     )
 
-    def likely(rows: pd.DataFrame) -> pd.DataFrame:
+    def spanning(rows: pd.DataFrame) -> pd.DataFrame:
+        """Likely pairs that hold together what likely pairs hold together: fewer than there are classes."""
         blocks = rows.groupby(["bucket", "i", "j"], sort=False).indices
-        found = [pair for (key, i, j), at in blocks.items() for pair in likely_in_block(rows.iloc[at], key % (1 << BAND_BITS), i, j)]
+        found = []
+        for (_, i, j), at in blocks.items():
+            block = rows.iloc[at]
+            ids, joined = block["fp1"].to_numpy(), _Joined(np.arange(len(block)))
+            found += [(ids[x], ids[y]) for x, ys in _likely_in_block(block, i, j, cut) for y in ys if joined.join(x, y)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    def likely_in_block(rows: pd.DataFrame, band: int, i: int, j: int) -> list[tuple[int, int]]:
-        signature = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), COORDINATES)
-        mine, component, ids_ = rows["mine"].to_numpy(), rows["component"].to_numpy(), rows["fp1"].to_numpy()
-        n, shared = rows["n_shingles"].to_numpy(), rows["shared"].to_numpy()
+    forest = dealt.join(able, "fp1").groupBy("task").applyInPandas(spanning, "a long, b long")
+    group = components(materialise(forest.distinct(), "forest")).toDF("fp1", "near")
+    return _links_in_groups(group.union(group.select("near", "near").distinct()), component, able, sets, cut)
+
+
+class _Joined:
+    """Which of a few numbered classes hang together."""
+
+    def __init__(self, start: np.ndarray):
+        self.of = {}
+        self.root = [self.of.setdefault(c, i) for i, c in enumerate(start.tolist())]
+
+    def find(self, x: int) -> int:
+        while self.root[x] != x:
+            self.root[x] = self.root[self.root[x]]
+            x = self.root[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Joins two classes; says whether they were apart."""
+        x, y = self.find(x), self.find(y)
+        self.root[x] = y
+        return x != y
+
+
+def _likely_in_block(rows: pd.DataFrame, i: int, j: int, cut: Banding) -> Iterator[tuple[int, np.ndarray]]:
+    """For each place among ``rows`` of block ``i`` those of block ``j`` that may be its links, by component, size, signature and a band in common."""
+    signature = np.frombuffer(b"".join(rows["signature"]), np.uint32).reshape(len(rows), COORDINATES)
+    mine, component = rows["mine"].to_numpy(), rows["component"].to_numpy()
+    n, shared = rows["n_shingles"].to_numpy(), rows["shared"].to_numpy()
+    for x in np.flatnonzero(mine == i):
+        other = component != component[x]
+        other &= (mine == j) if i != j else (np.arange(len(rows)) > x)
+        other &= 100 * np.minimum(n, n[x]) >= cut.least * np.maximum(n, n[x])
+        other &= (100 + cut.least) * np.minimum(shared, shared[x]) >= cut.least * (n + n[x])
+        y = np.flatnonzero(other)
+        equal = signature[y] == signature[x]
+        band = equal[:, : cut.bands * cut.rows].reshape(len(y), cut.bands, cut.rows).all(axis=2).any(axis=1)
+        yield int(x), y[band & (equal.sum(axis=1) >= cut.agreeing)]
+
+
+def _links_in_groups(group: DataFrame, component: DataFrame, able: DataFrame, sets: DataFrame, cut: Banding) -> DataFrame:
+    """Links that join the classes of each group of likely pairs as far as its links do, confirmed on the full sets.
+
+    A set moves once to its group, or once for each block of a large one. No pair makes a row: a
+    task leaves out pairs that its links already join, so few links come out of a group of near copies.
+    """
+    sizes = group.groupBy("near").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = materialise(group.join(sizes, "near").join(able, "fp1").join(component, "fp1", "left"), "grouped")
+    # small groups share a task, of about a million shingles
+    tasks = (placed.agg(F.sum(F.col("n_shingles") * F.col("blocks"))).first()[0] or 0) // (1 << 20) + 1
+    placed = placed.withColumn("component", F.coalesce("component", "fp1")).withColumn("mine", F.pmod(F.xxhash64("fp1"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "near", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+        "mine", "component", "fp1", "signature", "shared", "n_shingles",
+    ).withColumn("task", F.pmod(F.xxhash64("near", "i", "j"), F.lit(tasks)))
+
+    def linked(rows: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for x in np.flatnonzero(mine == i):
-            other = component != component[x]
-            other &= (mine == j) if i != j else (np.arange(len(rows)) > x)
-            other &= 100 * np.minimum(n, n[x]) >= cut.least * np.maximum(n, n[x])
-            other &= (100 + cut.least) * np.minimum(shared, shared[x]) >= cut.least * (n + n[x])
-            y = np.flatnonzero(other)
-            equal = signature[y] == signature[x]
-            # a pair belongs to the first band it shares
-            earlier = equal[:, : band * cut.rows].reshape(len(y), band, cut.rows).all(axis=2).any(axis=1)
-            found += [(ids_[x], ids_[z]) for z in y[~earlier & (equal.sum(axis=1) >= cut.agreeing)]]
-        return found
-
-    pairs = dealt.join(able, "fp1").groupBy("task").applyInPandas(likely, "a long, b long")
-    return _confirmed(materialise(pairs, "likely"), sets, cut)
+        for (_, i, j), at in rows.groupby(["near", "i", "j"], sort=False).indices.items():
+            block = rows.iloc[at].sort_values("fp1", kind="stable")
+            ids, held, joined = block["fp1"].to_numpy(), block["shingles"].to_numpy(), _Joined(block["component"].to_numpy())
+            for x, ys in _likely_in_block(block, i, j, cut):
+                for y in ys:
+                    if joined.find(x) != joined.find(y) and _similar(held[x], held[y], cut.least):
+                        joined.join(x, y)
+                        found.append((ids[x], ids[y]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return dealt.join(sets, "fp1").groupBy("task").applyInPandas(linked, "a long, b long")
 
 
 def _placed(docs: DataFrame, least: int) -> DataFrame:

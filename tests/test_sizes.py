@@ -1,6 +1,7 @@
 """Queries on tables whose sizes divide by nothing, against their SQL or what they returned on other sizes."""
 
 import os
+import random
 import tracemalloc
 
 import duckdb
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadentia.llm import neighbours
+from cadentia.llm import near_dup, neighbours
 from cadentia.ml import forest
 from cadentia.operators import generation
 from cadentia.plans.oracles import ORACLES
@@ -20,6 +21,7 @@ from cadentia.session import materialise
 from cadentia.settings import ForestParams
 from cadentia.sources import npy
 from cadentia.streaming import flush
+from llm.test_near_dup import _got, brute
 from llm.test_neighbours_mixing import _block
 from test_oracles import _sorted
 
@@ -164,3 +166,24 @@ def test_vast_vectors_are_verified_too():
     block = _block(vectors)
     near = block._verified(np.full(60, 96, np.uint8), vectors[0] * 1e10, -1, block.longest * 2, 5)
     assert len(near[0]) >= 5
+
+
+def test_a_group_of_near_copies_makes_few_links_and_no_row_for_each_pair(spark, monkeypatch):
+    """Texts around the threshold, in several blocks: the components are those of all exact links."""
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    r = random.Random(5)
+    words, rows = [f"w{i}" for i in range(300)], []
+    for i in range(160):
+        text = list(words)
+        for _ in range(r.randint(3, 9)):
+            text[r.randrange(300)] = f"n{r.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    confirmed = []
+    plain = near_dup._confirmed
+    monkeypatch.setattr(near_dup, "_confirmed", lambda pairs, *a: confirmed.append(pairs.count()) or plain(pairs, *a))
+    links = []
+    residual = near_dup._residual_links
+    monkeypatch.setattr(near_dup, "_residual_links", lambda *a: links.append(residual(*a)) or links[-1])
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert _got(found) == brute(rows)
+    assert len(confirmed) == 1 and links  # pairs of the stars only
