@@ -80,6 +80,76 @@ def test_a_forest_is_scored_without_its_nodes_in_the_driver(spark, monkeypatch):
     assert all(got[i] == pytest.approx(p, abs=1e-12) for i, p in whole.items())
 
 
+def _paths(model):
+    """A tree's nodes by the way that leads to them, as their numbers may differ."""
+    nodes = {(r["tree"], r["node"]): r for r in model.nodes.collect()}
+    out, waiting = {}, [((tree, node), "") for tree, node in nodes if node == 0]
+    while waiting:
+        (tree, node), way = waiting.pop()
+        r = nodes.pop((tree, node))
+        out[tree, way] = (r["feature"], r["threshold"], r["p"], r["weight"], r["gain"])
+        if r["feature"] >= 0:
+            assert r["left"] > node and r["right"] > node
+            waiting += [((tree, r["left"]), way + "l"), ((tree, r["right"]), way + "r")]
+    assert not nodes  # all are reached
+    return out
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    """More rows than a task holds, and a forest on them whose trees are alike."""
+    rows = materialise(_vectors(spark, 140_000, 64), "vectors")
+    return rows, forest.fit_forest(rows, ForestParams(n_trees=2, max_depth=2, bootstrap=False, feature_subset="all"))
+
+
+def test_every_tree_of_a_table_larger_than_a_task_holds_learns_from_all_rows(large):
+    rows, model = large
+    nodes = model.nodes
+    assert [(r["tree"], r["weight"]) for r in nodes.where("node = 0").orderBy("tree").collect()] == [(0, 140_000.0), (1, 140_000.0)]
+    x = np.array([r["features"] for r in rows.select("features").collect()])
+    thresholds = forest._binned(x, forest.BINS)[1]
+    assert all(r["threshold"] in thresholds[r["feature"]] for r in nodes.where("feature >= 0").collect())
+
+
+@pytest.mark.parametrize("par", [ForestParams(n_trees=5, feature_subset="all"), ForestParams(n_trees=3, bootstrap=False, feature_subset="all", max_depth=6)])
+def test_trees_grown_from_files_are_those_grown_in_memory(spark, monkeypatch, par):
+    some = _vectors(spark).withColumn("features", F.transform("features", lambda v, i: F.when(i == 2, v % 2).when(i == 3, 0.0).otherwise(v - 500)))
+    rows = materialise(some.unionByName(some.where("id % 3 = 0")).unionByName(some.where("id % 9 = 0")), "vectors")  # equal rows
+    whole = _paths(forest.fit_forest(rows, par))
+    monkeypatch.setattr(forest, "HELD_BYTES", 150 * 8 * 8)
+    monkeypatch.setattr(forest, "CHUNK_BYTES", 190 * 24)
+    monkeypatch.setattr(forest, "INTERVALS", 700)
+    monkeypatch.setattr(forest, "DRAWS", 100)
+    assert _paths(forest.fit_forest(rows.repartition(5), par)) == whole
+
+
+def test_trees_grown_from_files_of_some_features_are_whole_and_the_same_again(spark, monkeypatch):
+    rows, par = materialise(_vectors(spark), "vectors"), ForestParams(n_trees=4)
+    whole = _paths(forest.fit_forest(rows, par))
+    monkeypatch.setattr(forest, "HELD_BYTES", 150 * 8 * 8)
+    grown = _paths(forest.fit_forest(rows, par))
+    assert grown == _paths(forest.fit_forest(rows.repartition(7), par))
+    assert all(grown[tree, ""][2:4] == whole[tree, ""][2:4] for tree in range(4))  # the same draws of all rows
+    for (tree, way), (feature, _, p, weight, _) in grown.items():
+        if feature >= 0:
+            assert weight == grown[tree, way + "l"][3] + grown[tree, way + "r"][3]
+        else:
+            assert p in (0, 1)  # grown until they are pure
+
+
+def test_thresholds_of_a_table_are_those_of_its_rows_in_one_place(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    columns = [rng.normal(size=2000), rng.normal(size=2000) * 10.0 ** rng.integers(-300, 300, 2000), np.where(rng.random(2000) < 0.6, 0.0, rng.random(2000)),
+               rng.integers(0, 128, 2000) - 64.0, rng.integers(0, 129, 2000) * -1.0, np.zeros(2000), 1 + rng.random(2000) * 1e-12, -np.exp(rng.normal(size=2000))]
+    x = np.stack(columns, axis=1)
+    rows = spark.createDataFrame([([float(v) for v in r],) for r in x], "features array<double>").repartition(6)
+    want = forest._binned(x, forest.BINS)[1]
+    for intervals in (1, 1 << 17):
+        monkeypatch.setattr(forest, "INTERVALS", intervals)
+        got = forest._table_cuts(rows, 8, forest.BINS)
+        assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
+
+
 def test_histograms_are_cut_without_a_change_of_the_trees(monkeypatch):
     rng = np.random.default_rng(2)
     x, y = rng.normal(size=(4000, 8)), (rng.random(4000) < 0.5).astype(float)
