@@ -564,43 +564,86 @@ class Walker:
         return out
 
 
+class Piece:
+    """Some consecutive nodes of a tree that is larger than a pack."""
+
+    def __init__(self, nodes: pa.Table):
+        nodes = nodes.sort_by("node")
+        self.feature, self.threshold, self.left, self.right, self.p = (nodes[c].to_numpy() for c in ("feature", "threshold", "left", "right", "p"))
+        self.low = int(nodes["node"][0].as_py())
+        self.high = self.low + len(nodes)
+
+    def walk(self, x: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
+        """Rows that are ``at`` a node of the piece walk on until they leave it; at a leaf they add its probability and end at -1."""
+        open_ = np.flatnonzero((at >= self.low) & (at < self.high))
+        while len(open_):
+            here = at[open_] - self.low
+            leaf = self.feature[here] < 0
+            out[open_[leaf]] += self.p[here[leaf]]
+            at[open_[leaf]] = -1
+            open_, here = open_[~leaf], here[~leaf]
+            left = x[open_, self.feature[here]] <= self.threshold[here]
+            at[open_] = np.where(left, self.left[here], self.right[here])
+            open_ = open_[(at[open_] >= self.low) & (at[open_] < self.high)]
+
+
 _WALKED = ("tree", "node", "feature", "threshold", "left", "right", "p")
 
 
-def _packed(model: Forest) -> tuple[str, int]:
-    """The folder below which the trees lie in packs of about ``MODEL_BYTES``, ``pack=0`` and so on, and the number of packs."""
-    spark = model.nodes.sparkSession
-    packs = max(1, -(-model.nodes.count() * NODE_BYTES // MODEL_BYTES))
+def _packed(model: Forest) -> tuple[str, int, list[range]]:
+    """The folder below which the trees lie in packs of about ``MODEL_BYTES``, ``pack=0`` and so on, the number of packs of
+    whole trees, and the packs of each tree that is larger than one."""
+    spark, most = model.nodes.sparkSession, max(1, MODEL_BYTES // NODE_BYTES)
+    sizes = model.nodes.groupBy("tree").agg((F.max("node") + 1).cast("long").alias("n"))
+    large = F.array_sort(F.collect_list(F.when(F.col("n") > most, F.struct("tree", "n"))))
+    found = sizes.agg(F.sum(F.when(F.col("n") <= most, F.col("n"))).alias("small"), large.alias("large")).first()
+    packs = max(1, -(-(found["small"] or 0) // most))
+    pieces, end = [], packs
+    for _, n in found["large"]:
+        pieces.append(range(end, end - (-n // most)))
+        end = pieces[-1].stop
+    nodes, pack = model.nodes.select(*_WALKED), F.pmod("tree", F.lit(packs))
+    if pieces:
+        firsts = [(tree, of.start) for (tree, _), of in zip(found["large"], pieces, strict=True)]
+        nodes = nodes.join(F.broadcast(spark.createDataFrame(firsts, "tree int, first int")), "tree", "left")
+        pack = F.coalesce(F.expr(f"cast(first + node div {most} as int)"), pack)
     path = scratch_dir(spark, "packs")
-    nodes = model.nodes.select(*_WALKED, F.pmod("tree", F.lit(packs)).alias("pack"))
+    nodes = nodes.select(*_WALKED, pack.alias("pack"))
     nodes.repartition("pack").sortWithinPartitions("pack", "tree", "node").write.partitionBy("pack").parquet(path)
-    return qualified(spark, path), packs
+    return qualified(spark, path), packs, pieces
 
 
-def _pack(folder: str, number: int) -> Walker | None:
+def _pack(folder: str, number: int, kind: type[Walker] | type[Piece] = Walker) -> Walker | Piece | None:
     """The trees of a pack; none if no tree fell to it."""
     system, inner = open_system(f"{folder}/pack={number}")
     if system.get_file_info(inner).type != fs.FileType.Directory:
         return None
     files = sorted(f.path for f in system.get_file_info(fs.FileSelector(inner)) if f.base_name.endswith(".parquet"))
-    return Walker(pa.concat_tables([pq.ParquetFile(system.open_input_file(f)).read(list(_WALKED)) for f in files]))
+    return kind(pa.concat_tables([pq.ParquetFile(system.open_input_file(f)).read(list(_WALKED)) for f in files]))
 
 
-def _total(folder: str, packs: int, d: int):
+def _total(folder: str, packs: int, pieces: list[range], d: int):
     size = max(1, ROW_BYTES // (8 * d))
 
     @F.arrow_udf("double")
     def total(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        only = _pack(folder, 0) if packs == 1 else None
+        only = _pack(folder, 0) if packs == 1 and not pieces else None
 
         def scored(held: list[pa.Array]) -> Iterator[pa.Array]:
-            """Every pack is read once for all the rows that are held."""
+            """Every pack is read once for all the rows that are held; those of a large tree again if its nodes lead back."""
             rows = [_numbers(batch.drop_null(), d) for batch in held]
             sums = [np.zeros(len(x)) for x in rows]
             for number in range(packs):
                 walker = only or _pack(folder, number)
                 for x, found in zip(rows, sums, strict=True):
                     found += walker.total(x) if walker else 0.0
+            for numbers in pieces:
+                at = [np.zeros(len(x), np.int64) for x in rows]
+                while any((a >= 0).any() for a in at):
+                    for number in numbers:
+                        piece = _pack(folder, number, Piece)
+                        for x, a, found in zip(rows, at, sums, strict=True):
+                            piece.walk(x, a, found)
             for batch, found in zip(held, sums, strict=True):
                 known = batch.is_valid().to_numpy(zero_copy_only=False)
                 out = np.zeros(len(batch))
@@ -623,8 +666,8 @@ def _total(folder: str, packs: int, d: int):
 def forest_scores(model: Forest, df: DataFrame) -> DataFrame:
     """Adds ``p``, the probability of class 1: the mean of the leaves that a row comes to.
 
-    The nodes stay in the shared folder, as packs of whole trees of about ``MODEL_BYTES``; a task
-    holds one of them at a time, for rows of about ``ROW_BYTES``. None comes to the driver.
+    The nodes stay in the shared folder, as packs of whole trees of about ``MODEL_BYTES``, or of pieces of a tree that
+    is larger; a task holds one of them at a time, for rows of about ``ROW_BYTES``. None comes to the driver.
     Null features give null.
     """
     total = _total(*_packed(model), model.n_features)

@@ -150,6 +150,27 @@ def test_thresholds_of_a_table_are_those_of_its_rows_in_one_place(spark, monkeyp
         assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
 
 
+def test_a_tree_larger_than_a_pack_is_walked_in_pieces(spark, monkeypatch):
+    rows = materialise(_vectors(spark), "vectors")
+    model = forest.fit_forest(rows, ForestParams(n_trees=5))
+    small = forest.fit_forest(rows, ForestParams(n_trees=2, max_depth=3)).nodes.withColumn("tree", F.col("tree") + 5)
+    model = forest.Forest(materialise(model.nodes.unionByName(small), "forest"), 8, 7)
+    whole = {r["id"]: r["p"] for r in forest.forest_scores(model, rows).collect()}
+    monkeypatch.setattr(forest, "MODEL_BYTES", 300 * forest.NODE_BYTES)
+    monkeypatch.setattr(forest, "ROW_BYTES", 700 * 8 * 8)
+    folder, packs, pieces = forest._packed(model)
+    assert packs == 1 and len(pieces) == 5 and all(len(p) > 1 for p in pieces)
+    got = {r["id"]: r["p"] for r in forest.forest_scores(model, rows.coalesce(1)).collect()}
+    assert got.keys() == whole.keys() and len(got) == 3000
+    assert all(got[i] == pytest.approx(p, abs=1e-12) for i, p in whole.items())
+
+
+def test_scores_of_a_large_table_are_the_shares_of_all_its_rows(large):
+    rows, model = large
+    leaves = forest.forest_scores(model, rows).groupBy(F.round("p", 12)).agg(F.first("p").alias("p"), F.avg("label").alias("share")).collect()
+    assert len(leaves) == 4 and all(r["p"] == pytest.approx(r["share"], abs=1e-12) for r in leaves)
+
+
 def test_histograms_are_cut_without_a_change_of_the_trees(monkeypatch):
     rng = np.random.default_rng(2)
     x, y = rng.normal(size=(4000, 8)), (rng.random(4000) < 0.5).astype(float)
