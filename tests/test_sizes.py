@@ -171,6 +171,16 @@ def test_scores_of_a_large_table_are_the_shares_of_all_its_rows(large):
     assert len(leaves) == 4 and all(r["p"] == pytest.approx(r["share"], abs=1e-12) for r in leaves)
 
 
+def test_a_forest_on_all_rows_of_a_large_table_survives_storage(spark, large, tmp_path):
+    rows, model = large
+    forest.save_model(model, str(tmp_path), "final_v1")
+    again = forest.load_model(spark, str(tmp_path), "final_v1")
+    assert _paths(again) == _paths(model) and (again.n_features, again.n_trees) == (64, 2)
+    both = forest.forest_scores(again, forest.forest_scores(model, rows).withColumnRenamed("p", "before"))
+    leaves = both.groupBy(F.round("p", 12)).agg(F.first("p").alias("p"), F.avg("label").alias("share"), F.max(F.abs(F.expr("p - before"))).alias("off")).collect()
+    assert len(leaves) == 4 and all(r["p"] == pytest.approx(r["share"], abs=1e-12) and r["off"] == 0 for r in leaves)
+
+
 def test_histograms_are_cut_without_a_change_of_the_trees(monkeypatch):
     rng = np.random.default_rng(2)
     x, y = rng.normal(size=(4000, 8)), (rng.random(4000) < 0.5).astype(float)
