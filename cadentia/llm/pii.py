@@ -12,7 +12,7 @@ import datetime as dt
 import hashlib
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 from math import isqrt
 
 import pyarrow as pa
@@ -279,13 +279,15 @@ _KINDS = {
 }
 
 
+@cache
+def _first_digits(n: int) -> re.Pattern:
+    return re.compile(rf"(?:\ ?[A-Z0-9]){{{n}}}(?![A-Z0-9])")
+
+
 def _digits_end(text: str, n: int) -> int:
-    """Where the ``n``-th letter or digit ends; -1 unless a group ends there as well."""
-    for at, c in enumerate(text):
-        n -= c.isalnum()
-        if n == 0:
-            return at + 1 if at + 1 == len(text) or not text[at + 1].isalnum() else -1
-    return -1
+    """Where the ``n``-th letter or digit of an IBAN's groups ends; -1 unless a group ends there as well."""
+    found = _first_digits(n).match(text)
+    return found.end() if found else -1
 
 
 def _ends(kind: str, text: str) -> Iterator[int]:
@@ -293,14 +295,16 @@ def _ends(kind: str, text: str) -> Iterator[int]:
     if kind not in ("iban", "phone"):
         yield len(text)
         return
+    country = _IBAN_LENGTH.get(text[:2]) if kind == "iban" else None
+    if country:
+        if (end := _digits_end(text, country)) > 0:
+            yield end
+        yield len(text)
+        return
     groups = [m.start() for m in re.finditer(r"(?<=[A-Za-z0-9])[ .-]", text)]
     if kind == "iban":
-        country = _IBAN_LENGTH.get(text[:2])
-        if country and (end := _digits_end(text, country)) > 0:
-            yield end
         yield len(text)
-        if not country:
-            yield from reversed(groups)
+        yield from reversed(groups)
         return
     ends = [len(text), *sorted(groups, key=lambda e: (text[e] == " ", e), reverse=True)]  # at blanks first
     if text.startswith("+") and not text.startswith("+1"):
